@@ -18,7 +18,7 @@ from ..sinks.tables import audited, create_table_as, refresh_view, replace_table
 from ..sources import archives
 from ..sources.objects import (batch_of, entity_name, latest_batch, list_objects,
                                newest_batch_key, select_paths)
-from ..sources.tables import SCHEMAS, external_tables, read_json_lines
+from ..sources.tables import SCHEMAS, external_tables, line_views, read_json_lines
 
 # Names of the original folders and tables.
 EMAIL_FOLDER = "emails_feedback_faker"
@@ -50,7 +50,9 @@ def ingest_emails(spark, archive: str, root: str, now: datetime, kind="zip") ->
 def ingest_lines(spark, archive: str, root: str, now: datetime, kind="tar") -> str:
     """Unpack the JSON members, line by line, into a batch of the parquet landing."""
     batch = batch_name(spark, now)
-    write_batch(archives.read_archive_lines(spark, archive, kind, ".json"), root, batch)
+    lines = archives.read_archive_lines(spark, archive, kind, ".json")
+    lines = lines.withColumn("entity", entity_name(F.col("member")))
+    write_batch(lines, root, batch, also_by=["entity"])
     return batch
 
 
@@ -81,36 +83,35 @@ def load_emails(spark, root: str, table: str = EMAILS, landing="parquet", **opti
     return rejects
 
 
-def load_reviews(spark, root: str, clean_root: str, prefix=EXTERNAL_PREFIX, landing="parquet") -> DataFrame:
+def load_reviews(spark, root: str, clean_root: str = None, prefix=EXTERNAL_PREFIX,
+                 landing="parquet") -> DataFrame:
     """Register one external table per entity of the newest batch; one status row each.
 
-    Business lines lose ``attributes`` on the way. Cleaned lines go to a path of
-    their own, since Spark does not overwrite what it reads.
+    Over the parquet landing the tables are views that parse the landed lines, so
+    nothing is copied. Over files they are tables on the files themselves, except
+    that business files lose ``attributes`` first; the cleaned copy goes below
+    ``clean_root``, since Spark does not overwrite what it reads.
     """
     if landing == "parquet":
-        lines = newest_batch(spark, root)
-        _require_rows(lines)
-        batch = newest_batch_key(lines)
-        lines = lines.select(entity_name(F.col("member")).alias("entity"), "value")
-        business = F.col("entity").contains("business")
-        clean, _ = drop_json_key(lines.where(business), DROPPED_KEY)
-        target = f"{clean_root.rstrip('/')}/{batch}"
-        both = clean.unionByName(lines.where(~business & F.col("value").isNotNull()))
-        both.write.mode("overwrite").partitionBy("entity").text(target)
-        entities = [r[0] for r in lines.select("entity").distinct().collect()]
-        paths = {f"{prefix}{entity}": f"{target}/entity={entity}" for entity in sorted(entities)}
-        return external_tables(spark, paths, SCHEMAS)
+        batch = newest_batch_key(spark.read.parquet(root))
+        landed = spark.read.parquet(root).where(F.col("batch") == batch)
+        entities = [r[0] for r in landed.select("entity").distinct().collect()]
+        return line_views(spark, root, batch, {f"{prefix}{e}": e for e in sorted(entities)}, SCHEMAS)
     names = select_paths(latest_batch(list_objects(spark, root)), suffix=".json")
-    found = names.select("path", "name", "batch", entity_name(F.col("name")).alias("entity")).collect()
-    if not found:
+    by_entity = (names.groupBy(entity_name(F.col("name")).alias("entity"), "batch")
+                 .agg(F.sort_array(F.collect_list("path")).alias("paths"),
+                      F.max(F.col("name").contains("business")).alias("business")).collect())
+    if not by_entity:
         raise ValueError("no JSON file in the newest batch")
     paths = {}
-    for row in found:
-        path = row["path"]
-        if "business" in row["name"]:
-            clean, _ = drop_json_key(read_json_lines(spark, path), DROPPED_KEY)
-            path = f"{clean_root.rstrip('/')}/{row['name']}"
-            clean.write.mode("overwrite").text(path)
+    for row in sorted(by_entity):
+        path = row["paths"][0]
+        if row["business"] or len(row["paths"]) > 1:
+            lines = read_json_lines(spark, row["paths"])
+            if row["business"]:
+                lines, _ = drop_json_key(lines, DROPPED_KEY)
+            path = f"{clean_root.rstrip('/')}/{row['batch']}/{row['entity']}"
+            lines.write.mode("overwrite").text(path)
         paths[f"{prefix}{row['entity']}"] = path
     return external_tables(spark, paths, SCHEMAS)
 
@@ -159,7 +160,7 @@ def run_all(spark, email_archive: str, review_archive: str, root: str, now: date
     ingest_emails(spark, email_archive, f"{root}/emails", now)
     ingest_lines(spark, review_archive, f"{root}/reviews", now)
     load_emails(spark, f"{root}/emails")
-    status = load_reviews(spark, f"{root}/reviews", f"{root}/clean")
+    status = load_reviews(spark, f"{root}/reviews")
     failed = [r["table"] for r in status.where("NOT ok").collect()]
     if failed:
         raise RuntimeError(f"external tables failed: {', '.join(failed)}")

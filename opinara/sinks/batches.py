@@ -8,21 +8,19 @@ from pyspark.sql import functions as F
 from ..sources import archives
 
 
-def write_batch(df: DataFrame, root: str, batch: str) -> None:
+def write_batch(df: DataFrame, root: str, batch: str, also_by=()) -> None:
     """Write rows as partition ``batch`` of the parquet table at ``root``.
 
     Landing the same batch again replaces that partition only.
     """
     (df.withColumn("batch", F.lit(batch)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(root))
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch", *also_by).parquet(root))
 
 
 def newest_batch(spark, root: str) -> DataFrame:
     """Rows of the newest batch at ``root``; older partitions are not read."""
-    df = spark.read.option("basePath", root).option("inferSchema", "false").parquet(root)
-    df = df.withColumn("batch", F.col("batch").cast("string"))
-    newest = df.agg(F.max("batch"))
-    return df.where(F.col("batch") == newest.scalar())
+    df = spark.read.parquet(root)
+    return df.where(F.col("batch") == df.agg(F.max("batch")).scalar())
 
 
 def write_member_files(index: DataFrame, kind: str, root: str, batch: str) -> DataFrame:

@@ -29,19 +29,55 @@ def external_table(spark: SparkSession, name: str, path: str, schema: str = None
     return spark.table(name)
 
 
-def external_tables(spark: SparkSession, paths: dict, schemas: dict = None) -> DataFrame:
-    """Register ``{table: path}``; one status row per table, a failure does not stop the others."""
+def line_view(spark: SparkSession, name: str, root: str, batch: str, entity: str, schema: str = None) -> None:
+    """Register view ``name`` over the lines of one entity in a landed batch.
+
+    With ``schema`` the view has its columns and skips lines that are no such
+    object; without it one column ``object`` holds the line as VARIANT.
+    """
+    landed = f"parquet.`{root}` WHERE batch = '{batch}' AND entity = '{entity}'"
+    if schema is None:
+        body = f"SELECT * FROM (SELECT try_parse_json(value) AS object FROM {landed}) WHERE object IS NOT NULL"
+    else:
+        columns = " ".join(schema.split())
+        body = f"""
+            SELECT o.* EXCEPT (o._corrupt_record)
+            FROM (SELECT from_json(value, '{columns}, _corrupt_record string') AS o
+                  FROM {landed} AND ltrim(value) LIKE '{{%')
+            WHERE o._corrupt_record IS NULL"""
+    spark.sql(f"DROP VIEW IF EXISTS {name}")
+    spark.sql(f"CREATE VIEW {name} AS {body}")
+
+
+def _each(spark, items, register) -> DataFrame:
+    """Register every ``(table, path)``; a failure is kept as status and the next one follows."""
     status = []
-    for name, path in paths.items():
-        entity = name.rsplit("_", 1)[-1]
+    for name, path in items:
         try:
-            external_table(spark, name, path, (schemas or {}).get(entity))
+            register(name, path)
             status.append((name, path, True, None))
         except Exception as error:
             status.append((name, path, False, str(error).splitlines()[0]))
     return spark.createDataFrame(status, "table string, path string, ok boolean, error string")
 
 
+def external_tables(spark: SparkSession, paths: dict, schemas: dict = None) -> DataFrame:
+    """Register ``{table: path}`` as external tables; one status row per table."""
+    def register(name, path):
+        external_table(spark, name, path, (schemas or {}).get(name.rsplit("_", 1)[-1]))
+
+    return _each(spark, paths.items(), register)
+
+
+def line_views(spark: SparkSession, root: str, batch: str, entities: dict, schemas: dict = None) -> DataFrame:
+    """Register ``{view: entity}`` over a landed batch; one status row per view."""
+    def register(name, path):
+        line_view(spark, name, root, batch, entities[name], (schemas or {}).get(entities[name]))
+
+    paths = ((name, f"{root}/batch={batch}/entity={entity}") for name, entity in entities.items())
+    return _each(spark, paths, register)
+
+
 def read_table(spark: SparkSession, source: str, fmt: str = None, **options) -> DataFrame:
     """A catalog table, or with ``fmt`` whatever that connector calls ``source``."""
     if fmt is None:
