@@ -182,6 +182,11 @@ def punctuation(text: Column) -> Column:
 
 
 def compound(total: Column, text: Column) -> Column:
-    """Total and emphasis brought to [-1, 1], four decimals."""
+    """Total and emphasis brought to [-1, 1], four decimals.
+
+    The total is rounded first, so that opinions that cancel out give exactly
+    zero in whatever order they were added.
+    """
+    total = F.round(total, 9)
     loud = total + F.signum(total) * punctuation(text)
     return F.round(loud / F.sqrt(loud * loud + F.lit(W.ALPHA)), 4)

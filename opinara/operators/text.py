@@ -113,7 +113,8 @@ def translate_with(df: DataFrame, translator, text="text", out="translated",
                 pass
         return result
 
-    df = df.withColumn(out, F.coalesce(call(text, code), F.col(text)))
+    foreign = F.when(F.col(code) != ENGLISH, call(text, code))
+    df = df.withColumn(out, F.coalesce(foreign, F.col(text)))
     return df if lang else df.drop(code)
 
 

@@ -24,9 +24,9 @@ from ..sources.tables import SCHEMAS, external_tables, line_views, read_json_lin
 EMAIL_FOLDER = "emails_feedback_faker"
 EMAILS = "tb_emails_feedback"
 SCORED_EMAILS = "tb_emails_feedback_analizados"
-REVIEWS = "tb_yelp_review"
-BUSINESSES = "tb_yelp_business"
-SCORED_REVIEWS = "tb_yelp_review_analizados"
+REVIEWS = "tb_review"
+BUSINESSES = "tb_business"
+SCORED_REVIEWS = "tb_review_analizados"
 REPORT = "view_materializada_review_sentimentos"
 EXTERNAL_PREFIX = "ext_tb_"
 DROPPED_KEY = "attributes"
@@ -131,20 +131,23 @@ def score_emails_table(spark, source=EMAILS, target=SCORED_EMAILS, body="body",
 
 
 def score_reviews_table(spark, reviews=REVIEWS, businesses=BUSINESSES, target=SCORED_REVIEWS,
-                        prefix=EXTERNAL_PREFIX, buckets=None, options=None, **scoring) -> DataFrame:
+                        prefix=EXTERNAL_PREFIX, buckets=None, root=None, **scoring) -> DataFrame:
     """Copy the external tables, score the reviews; returns the load audit.
 
     Reviews and scores are bucketed alike by ``review_id``, so neither the
-    scoring nor the report shuffles them again.
+    scoring nor the report shuffles them again. ``root`` names a folder for the
+    three tables; without it they go to the warehouse folder.
     """
-    options = dict(options or {})
+    def at(name):
+        return {"path": f"{root.rstrip('/')}/{name}"} if root else {}
+
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bucketed = dict(options, bucket_by="review_id", buckets=buckets)
-    create_table_as(spark.table(f"{prefix}review"), reviews, **bucketed)
+    create_table_as(spark.table(f"{prefix}review"), reviews, bucket_by="review_id", buckets=buckets, **at(reviews))
     create_table_as(spark.table(f"{prefix}business"), businesses,
-                    ["business_id", "categories", "name"], **options)
+                    ["business_id", "categories", "name"], **at(businesses))
     scored = score_reviews(spark.table(reviews), **scoring).select("review_id", SCORE)
-    return audited(scored, target, lambda df: replace_table(df, target, **bucketed))
+    return audited(scored, target, lambda df: replace_table(
+        df, target, bucket_by="review_id", buckets=buckets, **at(target)))
 
 
 def refresh_report(spark, reviews=REVIEWS, businesses=BUSINESSES, scores=SCORED_REVIEWS,

@@ -41,7 +41,7 @@ def line_view(spark: SparkSession, name: str, root: str, batch: str, entity: str
     else:
         columns = " ".join(schema.split())
         body = f"""
-            SELECT o.* EXCEPT (o._corrupt_record)
+            SELECT o.* EXCEPT (_corrupt_record)
             FROM (SELECT from_json(value, '{columns}, _corrupt_record string') AS o
                   FROM {landed} AND ltrim(value) LIKE '{{%')
             WHERE o._corrupt_record IS NULL"""
