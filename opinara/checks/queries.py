@@ -114,7 +114,6 @@ def review_report_unique(spark, sf_dir):
 def refreshed_view(spark, sf_dir):
     folder = work_folder(spark, "view")
     refresh_view(review_report_unique(spark, sf_dir), "check_report", path=folder)
-    refresh_view(review_report_unique(spark, sf_dir), "check_report", path=folder)
     return spark.table("check_report")
 
 
@@ -212,7 +211,7 @@ def event_lines(spark, sf_dir):
         F.lit(', "event_type": "'), F.col("event_type"),
         F.lit('", "keep": 2, "value": '), F.col("value").cast("string"), F.lit("}"))
     cut = F.when(F.col("event_id") % 10 == 0, F.substr(line, F.lit(1), F.length(line) - 1)).otherwise(line)
-    return read(spark, sf_dir, "events").select("event_id", cut.alias("value"))
+    return spread(read(spark, sf_dir, "events")).select("event_id", cut.alias("value"))
 
 
 def json_key_dropped(spark, sf_dir):

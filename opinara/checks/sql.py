@@ -1,9 +1,11 @@
 """SQL, written for DuckDB, that each check query must agree with."""
 
 from ..functions import words as W
-from ..functions.text import SPACE
 from .vocabulary import CHECK_LEXICON, EDITS
 
+# Unicode white space, as the body of a character class.
+SPACE = (r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+         r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 MARK = "|".join("".join(f"[{c}]" for c in m) for m in sorted(W.EDGE_PUNCTUATION, key=len, reverse=True))
 PLAIN = rf"[^{SPACE}!-/:-@\[-`{{-~]{{2,}}"
 BATCH = r"^[0-9]{4}(-[0-9]{2}){4}$"

@@ -3,8 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import letter_runs
-from .vocabulary import lookup
+from .vocabulary import let, lookup
 
 ENGLISH = "en"
 
@@ -17,25 +16,23 @@ def best_language(words: Column, stop_words: Column) -> Column:
     """
     langs = F.flatten(F.filter(
         F.transform(words, lambda w: lookup(stop_words, w)), lambda a: a.isNotNull()))
-    ranked = F.transform(F.array_distinct(langs), lambda code: F.struct(
-        F.size(F.filter(langs, lambda c: c == code)).alias("n"), code.alias("lang")))
-    return F.array_max(ranked)["lang"]
+
+    def best(found):
+        ranked = F.transform(F.array_distinct(found), lambda code: F.struct(
+            F.size(F.filter(found, lambda c: c == code)).alias("n"), code.alias("lang")))
+        return F.array_max(ranked)["lang"]
+
+    return let(langs, best)
 
 
 def glossary_key(lang: Column, word: Column) -> Column:
     return F.concat(lang, F.lit(" "), F.lower(word))
 
 
-def _like(word: Column, english: Column) -> Column:
-    """Give the translation the capitals of the word it replaces."""
+def in_place_of(word: Column, english: Column) -> Column:
+    """``english`` with the capitals of the word it replaces; the word itself when NULL."""
     first = F.substring(word, 1, 1)
     capital = F.concat(F.upper(F.substring(english, 1, 1)), F.substring(english, 2, 1 << 30))
-    return (F.when((F.length(word) > 1) & (word == F.upper(word)), F.upper(english))
+    return (F.when(english.isNull(), word)
+            .when((F.length(word) > 1) & (word == F.upper(word)), F.upper(english))
             .when(first != F.lower(first), capital).otherwise(english))
-
-
-def to_english(text: Column, lang: Column, glossary: Column) -> Column:
-    """Replace the words the glossary holds; keep every other character."""
-    pieces = F.transform(letter_runs(text), lambda p: F.coalesce(
-        _like(p, lookup(glossary, glossary_key(lang, p))), p))
-    return F.array_join(pieces, "")

@@ -5,7 +5,7 @@ probe, each opinion word is judged in its context, and the sum is normalised to
 [-1, 1]. There is no key to group by, so copies of a row or a hot id cost
 nothing extra, and a text is never cut.
 
-Steps, each one a column of ``stages``:
+The rules read these columns, which ``Stages`` names after the score column:
 
 ``words``    the words as written
 ``lower``    the same, lower-cased
@@ -19,23 +19,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import words as W
-from .vocabulary import Vocabulary, lookup
+from .vocabulary import Vocabulary, let, lookup
 
 FIRST = "first"
 EACH = "each"
 
 
-def _let(value: Column, body) -> Column:
-    """Bind ``value`` once and use it many times in ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def is_upper(word: Column) -> Column:
     return (word == F.upper(word)) & (word != F.lower(word))
 
 
-def mixed_capitals(words: Column) -> Column:
-    capitals = F.size(F.filter(words, is_upper))
+class Stages:
+    """Names of the columns between a text and its score."""
+
+    def __init__(self, out: str):
+        for name in ("words", "lower", "lexicon", "valence", "shout", "but_at", "total"):
+            setattr(self, name, f"{out}__{name}")
+
+    def all(self):
+        return list(vars(self).values())
+
+
+def mixed_capitals(words: str, lower: str) -> Column:
+    # Most words equal their lower case, which settles them.
+    capitals = F.size(F.filter(words, lambda w, i: (w != F.get(lower, i)) & (w == F.upper(w))))
     return (capitals > 0) & (capitals < F.size(words))
 
 
@@ -46,25 +53,29 @@ def _joined(*parts):
 class Context:
     """The words around position ``at`` of one text, and the rules that read them."""
 
-    def __init__(self, at: Column, boosters: Column, negators: Column, idioms: Column):
+    def __init__(self, stages: Stages, at: Column, boosters: Column, negators: Column, idioms: Column):
+        self.stages = stages
         self.at = at
         self.boosters = boosters
         self.negators = negators
         self.idioms = idioms
+        self.cells = {}
 
     def word(self, offset):
-        return self._get("words", offset)
+        return self._get(self.stages.words, offset)
 
     def lower(self, offset):
-        return self._get("lower", offset)
+        return self._get(self.stages.lower, offset)
 
     def _get(self, array, offset):
         # A negative index reads NULL: there is no word before the first.
-        return F.get(F.col(array), self.at + F.lit(offset))
+        if (array, offset) not in self.cells:
+            self.cells[array, offset] = F.get(F.col(array), self.at + F.lit(offset))
+        return self.cells[array, offset]
 
     def plain(self, offset):
         """A word stands there and the lexicon does not hold it."""
-        return self.word(offset).isNotNull() & self._get("valence", offset).isNull()
+        return self.word(offset).isNotNull() & self._get(self.stages.valence, offset).isNull()
 
     def is_modifier(self):
         """The word strengthens or weakens others, so it has no sentiment of its own."""
@@ -73,13 +84,13 @@ class Context:
 
     def with_capitals(self, valence):
         step = F.when(valence > 0, F.lit(W.CAPS)).otherwise(F.lit(-W.CAPS))
-        return F.when(is_upper(self.word(0)) & F.col("shout"), valence + step).otherwise(valence)
+        return F.when(is_upper(self.word(0)) & F.col(self.stages.shout), valence + step).otherwise(valence)
 
     def shift(self, distance, valence):
         """What the word ``distance`` before adds to the valence."""
         sign = F.when(valence < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
         loud = F.when(
-            is_upper(self.word(-distance)) & F.col("shout"),
+            is_upper(self.word(-distance)) & F.col(self.stages.shout),
             F.when(valence > 0, F.lit(W.CAPS)).otherwise(F.lit(-W.CAPS)),
         ).otherwise(F.lit(0.0))
         boost = lookup(self.boosters, self.lower(-distance))
@@ -98,7 +109,7 @@ class Context:
         return F.when(((self.word(-3) == "never") & middle) | near, F.lit(1.25)).otherwise(turned)
 
     def after_word(self, distance, valence):
-        changed = _let(valence, lambda v: (v + self.shift(distance, v)) * self.factor(distance))
+        changed = let(valence, lambda v: (v + self.shift(distance, v)) * self.factor(distance))
         return F.when(self.plain(-distance), changed).otherwise(valence)
 
     def after_idioms(self, valence):
@@ -122,23 +133,23 @@ class Context:
         return F.when(turned, valence * F.lit(W.NEGATE)).otherwise(valence)
 
     def valence(self):
-        value = self.with_capitals(self._get("valence", 0))
-        value = _let(value, lambda v: self.after_word(1, v))
-        value = _let(value, lambda v: self.after_word(2, v))
-        value = _let(value, lambda v: self.after_word(3, v))
-        value = _let(value, lambda v: self.after_idioms(v))
-        value = _let(value, lambda v: self.after_least(v))
+        value = self.with_capitals(self._get(self.stages.valence, 0))
+        value = let(value, lambda v: self.after_word(1, v))
+        value = let(value, lambda v: self.after_word(2, v))
+        value = let(value, lambda v: self.after_word(3, v))
+        value = let(value, lambda v: self.after_idioms(v))
+        value = let(value, lambda v: self.after_least(v))
         return F.when(self.is_modifier(), F.lit(0.0)).otherwise(value)
 
 
-def but_weight(at: Column) -> Column:
+def but_weight(but_at: str, at: Column) -> Column:
     """Opinions before the first "but" count half, those after it half as much again."""
-    but = F.col("but_at") - 1
+    but = F.col(but_at) - 1
     return (F.when((but < 0) | (at == but), F.lit(1.0))
             .when(at < but, F.lit(0.5)).otherwise(F.lit(1.5)))
 
 
-def total(context: str) -> Column:
+def total(stages: Stages, context: str) -> Column:
     """Sum of the judged valences over the opinion words of the text.
 
     With ``context="first"`` every repetition of a word is judged where the word
@@ -149,20 +160,20 @@ def total(context: str) -> Column:
     tables = [Vocabulary.of(entries).constant()
               for entries in (W.BOOSTERS, dict.fromkeys(W.NEGATORS, 1.0), W.IDIOMS)]
     hits = F.filter(
-        F.transform("valence", lambda v, i: F.when(
-            v.isNotNull(), F.struct(F.get("words", i).alias("word"), i.alias("at")))),
+        F.transform(stages.valence, lambda v, i: F.when(
+            v.isNotNull(), F.struct(F.get(stages.words, i).alias("word"), i.alias("at")))),
         lambda h: h.isNotNull())
     if context == EACH:
         judged = F.transform(
-            hits, lambda h: Context(h["at"], *tables).valence() * but_weight(h["at"]))
+            hits, lambda h: Context(stages, h["at"], *tables).valence() * but_weight(stages.but_at, h["at"]))
         return F.aggregate(judged, F.lit(0.0), lambda a, v: a + v)
 
     def step(done, hit):
         value = F.when(done["word"] == hit["word"], done["value"]).otherwise(
-            Context(hit["at"], *tables).valence())
-        return _let(value, lambda v: F.struct(
+            Context(stages, hit["at"], *tables).valence())
+        return let(value, lambda v: F.struct(
             hit["word"].alias("word"), v.alias("value"),
-            (done["sum"] + v * but_weight(hit["at"])).alias("sum")))
+            (done["sum"] + v * but_weight(stages.but_at, hit["at"])).alias("sum")))
 
     start = F.struct(F.lit(None).cast("string").alias("word"),
                      F.lit(0.0).alias("value"), F.lit(0.0).alias("sum"))

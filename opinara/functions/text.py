@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from .words import EDGE_PUNCTUATION
 
-# Unicode white space, as a character class body that Java and RE2 both read.
-SPACE = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# Unicode white space. The rare characters stand in a nested class behind one range
+# test, so that an ordinary character is settled by few tests.
+SPACE = (r"[\s\x1c\x1d\x1e\x1f\x85\xa0"
+         r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]]")
 ASCII_PUNCTUATION = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 EDGE = "^(?:" + "|".join(
     "".join(f"[{c}]" for c in mark) for mark in EDGE_PUNCTUATION) + ")$"
@@ -35,7 +37,7 @@ def words(text: Column) -> Column:
     One punctuation mark of the fixed list is taken off one end of a plain word;
     every other spelling (emoticons, contractions, hyphens) stays as written.
     """
-    parts = F.filter(F.split(text, f"[{SPACE}]+"), lambda w: F.length(w) > 1)
+    parts = F.filter(F.split(text, f"{SPACE}+"), lambda w: F.length(w) > 1)
     return F.transform(parts, _without_edge)
 
 

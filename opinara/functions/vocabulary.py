@@ -60,6 +60,11 @@ class Vocabulary:
         return F.from_json(F.lit(json.dumps(buckets)), schema)
 
 
+def let(value: Column, body) -> Column:
+    """Bind ``value`` once and use it many times in ``body``; lambdas share no work otherwise."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def lookup(vocabulary: Column, word: Column) -> Column:
     """Value of ``word``, NULL when the vocabulary does not hold it."""
     bucket = (F.crc32(word.cast("binary")) % F.size(vocabulary)).cast("int")
@@ -80,14 +85,15 @@ def attach(df: DataFrame, vocabulary: Vocabulary, words: Column, text: str, out:
         return df, vocabulary.constant()
     key = f"{out}_key"
     df = df.withColumn(key, F.sha2(F.col(text), 256))
-    asked = (df.where(F.col(text).isNotNull())
-             .select(key, F.array_distinct(words).alias("words"))
+    asked = (df.select(key, F.array_distinct(words).alias("words"))
              .dropDuplicates([key])
              .select(key, F.explode("words").alias("word"))
              .withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")))
     salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
     table = vocabulary.table.select("word", "value", F.explode(salts).alias("salt"))
-    hits = (asked.join(table, ["word", "salt"])
+    # The words of all texts look small to the planner before they are exploded;
+    # a merge join keeps it from broadcasting them.
+    hits = (asked.join(table.hint("merge"), ["word", "salt"])
             .groupBy(key).agg(F.collect_list(F.struct("word", "value")).alias("hits")))
     n = F.ceil(F.sqrt(F.size("hits"))).cast("int")
     own = F.transform(

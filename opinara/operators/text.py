@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sentiment, words as W
-from ..functions.language import ENGLISH, best_language, glossary_key, to_english
+from ..functions.language import ENGLISH, best_language, glossary_key, in_place_of
 from ..functions.text import letter_runs, lower_letters, words
-from ..functions.vocabulary import Vocabulary, attach
+from ..functions.vocabulary import Vocabulary, attach, lookup
 
 
 def default_lexicon() -> Vocabulary:
@@ -48,19 +48,18 @@ def glossary_from_table(table: DataFrame, lang="lang", word="word", english="eng
 def score_sentiment(df: DataFrame, text="text", out="sentiment_score",
                     lexicon: Vocabulary = None, context=sentiment.FIRST) -> DataFrame:
     """Add the sentiment of ``text`` in [-1, 1] as FLOAT; NULL stays NULL."""
-    row = "row"
-    staged = df.select(F.struct("*").alias(row), F.col(text).alias("text"))
-    staged = staged.withColumn("words", words(F.col("text")))
-    staged = staged.withColumn("lower", F.transform("words", F.lower))
-    staged, index = attach(staged, lexicon or default_lexicon(), F.col("lower"), "text", "lexicon")
-    staged = staged.withColumns({
-        "valence": F.transform("lower", lambda w: sentiment.lookup(index, w).cast("double")),
-        "shout": sentiment.mixed_capitals(F.col("words")),
-        "but_at": F.array_position("lower", "but").cast("int"),
+    at = sentiment.Stages(out)
+    df = df.withColumn(at.words, words(F.col(text)))
+    df = df.withColumn(at.lower, F.transform(at.words, F.lower))
+    df, index = attach(df, lexicon or default_lexicon(), F.col(at.lower), text, at.lexicon)
+    df = df.withColumns({
+        at.valence: F.transform(at.lower, lambda w: lookup(index, w).cast("double")),
+        at.shout: sentiment.mixed_capitals(at.words, at.lower),
+        at.but_at: F.array_position(at.lower, "but").cast("int"),
     })
-    staged = staged.withColumn("total", sentiment.total(context))
-    score = sentiment.compound(F.col("total"), F.col("text")).cast("float")
-    return staged.select(f"{row}.*", score.alias(out))
+    df = df.withColumn(at.total, sentiment.total(at, context))
+    score = sentiment.compound(F.col(at.total), F.col(text)).cast("float")
+    return df.withColumn(out, score).drop(*at.all())
 
 
 def detect_language(df: DataFrame, text="text", out="language",
@@ -82,13 +81,16 @@ def translate(df: DataFrame, text="text", out="translated", lang=None,
     code = lang or f"{out}_language"
     if lang is None:
         df = detect_language(df, text, code, stop_words)
-    asked = F.transform(letter_runs(F.col(text)), lambda p: glossary_key(F.col(code), p))
-    foreign = f"{out}_source"
-    df = df.withColumn(foreign, F.when(F.col(code) != ENGLISH, F.col(text)))
-    df, index = attach(df, glossary or glossary_vocabulary(), asked, foreign, f"{out}_vocabulary")
-    english = to_english(F.col(foreign), F.col(code), index)
-    df = df.withColumn(out, F.coalesce(english, F.col(text)))
-    return df.drop(foreign, f"{out}_vocabulary", *([] if lang else [code]))
+    source, pieces, keys, found, index = (
+        f"{out}__{stage}" for stage in ("source", "pieces", "keys", "found", "vocabulary"))
+    df = df.withColumn(source, F.when(F.col(code) != ENGLISH, F.col(text)))
+    df = df.withColumn(pieces, letter_runs(F.col(source)))
+    df = df.withColumn(keys, F.transform(pieces, lambda p: glossary_key(F.col(code), p)))
+    df, words_of = attach(df, glossary or glossary_vocabulary(), F.col(keys), source, index)
+    df = df.withColumn(found, F.transform(keys, lambda k: lookup(words_of, k)))
+    english = F.transform(pieces, lambda p, i: in_place_of(p, F.get(found, i)))
+    df = df.withColumn(out, F.coalesce(F.array_join(english, ""), F.col(text)))
+    return df.drop(source, pieces, keys, found, index, *([] if lang else [code]))
 
 
 def translate_with(df: DataFrame, translator, text="text", out="translated",
