@@ -11,11 +11,42 @@ from pyspark.sql import DataFrame
 from ..sources.archives import filesystem
 
 
+MEMBER_BYTES = 1 << 20
+
+
 def write_archives(df: DataFrame, folder: str, kind: str) -> None:
-    """Write rows ``(member, content)`` to archives below ``folder``.
+    """Write rows ``(member, content)`` to archives below ``folder``."""
+    def members(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield row["member"], row["content"]
+
+    _write(df.select("member", "content"), folder, kind, members)
+
+
+def write_line_archives(df: DataFrame, folder: str, kind: str) -> None:
+    """Write rows ``(entity, value)`` as lines of members of bounded size."""
+    def members(batches):
+        from pyspark import TaskContext
+
+        task, number, held = TaskContext.get().partitionId(), 0, {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                lines = held.setdefault(row["entity"], bytearray())
+                lines += row["value"].encode() + b"\n"
+                if len(lines) >= MEMBER_BYTES:
+                    yield f"set-{task}-{number}_{row['entity']}.json", bytes(held.pop(row["entity"]))
+                    number += 1
+        for entity, lines in held.items():
+            yield f"set-{task}-{number}_{entity}.json", bytes(lines)
+
+    _write(df.select("entity", "value"), folder, kind, members)
+
+
+def _write(df, folder, kind, members):
+    """One archive per task. ``kind`` is ``zip``, ``tar`` or ``tar.gz``.
 
-    ``kind`` is ``zip``, ``tar`` or ``tar.gz``. A finished archive is moved into
-    place, so a repeated task leaves no broken file.
+    A finished archive is moved into place, so a repeated task leaves no broken file.
     """
     def write(batches):
         from pyspark import TaskContext
@@ -29,16 +60,15 @@ def write_archives(df: DataFrame, folder: str, kind: str) -> None:
             archive = (zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) if kind == "zip"
                        else tarfile.open(fileobj=out, mode="w|gz" if kind == "tar.gz" else "w|"))
             with archive:
-                for batch in batches:
-                    for row in batch.to_pylist():
-                        n += 1
-                        if kind == "zip":
-                            archive.writestr(row["member"], row["content"])
-                        else:
-                            info = tarfile.TarInfo(row["member"])
-                            info.size = len(row["content"])
-                            archive.addfile(info, io.BytesIO(row["content"]))
+                for name, content in members(batches):
+                    n += 1
+                    if kind == "zip":
+                        archive.writestr(name, content)
+                    else:
+                        info = tarfile.TarInfo(name)
+                        info.size = len(content)
+                        archive.addfile(info, io.BytesIO(content))
         files.move(partial, final)
         yield pa.RecordBatch.from_pydict({"n": [n]})
 
-    df.select("member", "content").mapInArrow(write, "n bigint").write.format("noop").mode("overwrite").save()
+    df.mapInArrow(write, "n bigint").write.format("noop").mode("overwrite").save()

@@ -20,7 +20,7 @@ from ..sinks.tables import audited, create_table_as, refresh_view, replace_table
 from ..sources import archives
 from ..sources.objects import batches, entity_name, latest_batch, list_objects, select_paths
 from ..sources.tables import external_table, read_table
-from .archives import write_archives
+from .archives import write_archives, write_line_archives
 from .vocabulary import CHECK_LEXICON, EDITS
 
 NOW = datetime(2024, 1, 2, 13, 0)
@@ -320,7 +320,8 @@ def members(kind, piece_bytes=4096):
         folder = work_folder(spark, "archives")
         write_archives(page_members(spark, sf_dir), folder, kind)
         pieces = archives.read_archive(spark, folder, kind.split(".")[0], piece_bytes)
-        whole = archives.whole_members(pieces, piece_bytes)
+        write_batch(pieces, f"{folder}-landing", BATCH, also_by=["cut"])
+        whole = archives.whole_members(newest_batch(spark, f"{folder}-landing"))
         return whole.select("member", "size", F.md5("content").alias("digest"))
     return query
 
@@ -385,31 +386,26 @@ def job_emails_files(spark, sf_dir):
     return spark.table("check_emails_files")
 
 
-def json_members(df, name, files):
-    """Rows as JSON lines, grouped into ``files`` members by hash."""
-    line = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    number = F.pmod(F.xxhash64(*df.columns[:1]), F.lit(files))
-    return df.groupBy(number.alias("n")).agg(F.concat_ws("\n", F.collect_list(line)).alias("text")).select(
-        F.concat(F.lit("set"), F.col("n").cast("string"), F.lit(f"_{name}.json")).alias("member"),
-        F.encode("text", "UTF-8").alias("content"))
+def review_archives(spark, sf_dir, folder):
+    """Reviews and businesses as lines of JSON in tar archives."""
+    def lines(df, entity):
+        value = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+        return df.select(F.lit(entity).alias("entity"), value.alias("value"))
 
-
-def review_archives(spark, sf_dir, folder, files):
-    rows = reviews(spark, sf_dir)
-    strings = rows.select(F.col("review_id").cast("string"), F.col("business_id").cast("string"), "stars",
-                          "text", "date", F.lit("u").alias("user_id"), F.lit(0).alias("useful"))
+    rows = reviews(spark, sf_dir).select(
+        F.col("review_id").cast("string"), F.col("business_id").cast("string"), "stars",
+        "text", "date", F.lit("u").alias("user_id"), F.lit(0).alias("useful"))
     shops = businesses(spark, sf_dir).select(
         F.col("business_id").cast("string"), "name", "categories",
         F.struct(F.lit(True).alias("parking")).alias("attributes"))
-    both = json_members(strings, "review", files).unionByName(json_members(shops, "business", 1))
-    write_archives(both.repartition(4), folder, "tar")
+    write_line_archives(lines(rows, "review").unionByName(lines(shops, "business")), folder, "tar")
 
 
-def job_reviews_from(landing, files):
+def job_reviews_from(landing):
     def query(spark, sf_dir):
         folder = work_folder(spark, "reviews")
         name = f"check_{landing}_"
-        review_archives(spark, sf_dir, f"{folder}/archives", files)
+        review_archives(spark, sf_dir, f"{folder}/archives")
         if landing == "parquet":
             jobs.ingest_lines(spark, f"{folder}/archives", f"{folder}/landing", NOW)
         else:
@@ -476,6 +472,6 @@ def registry():
         "preview": previewed,
         "job_emails": job_emails,
         "job_emails_files": job_emails_files,
-        "job_reviews": job_reviews_from("parquet", 5),
-        "job_reviews_files": job_reviews_from("files", 1),
+        "job_reviews": job_reviews_from("parquet"),
+        "job_reviews_files": job_reviews_from("files"),
     }

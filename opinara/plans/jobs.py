@@ -43,7 +43,7 @@ def batch_name(spark: SparkSession, now: datetime) -> str:
 def ingest_emails(spark, archive: str, root: str, now: datetime, kind="zip") -> str:
     """Unpack the messages into a batch of the parquet landing at ``root``."""
     batch = batch_name(spark, now)
-    write_batch(archives.read_archive(spark, archive, kind), root, batch)
+    write_batch(archives.read_archive(spark, archive, kind), root, batch, also_by=["cut"])
     return batch
 
 
@@ -97,23 +97,26 @@ def load_reviews(spark, root: str, clean_root: str = None, prefix=EXTERNAL_PREFI
         landed = spark.read.parquet(root).where(F.col("batch") == batch)
         entities = [r[0] for r in landed.select("entity").distinct().collect()]
         return line_views(spark, root, batch, {f"{prefix}{e}": e for e in sorted(entities)}, SCHEMAS)
-    names = select_paths(latest_batch(list_objects(spark, root)), suffix=".json")
-    by_entity = (names.groupBy(entity_name(F.col("name")).alias("entity"), "batch")
-                 .agg(F.sort_array(F.collect_list("path")).alias("paths"),
-                      F.max(F.col("name").contains("business")).alias("business")).collect())
-    if not by_entity:
+    files = select_paths(latest_batch(list_objects(spark, root)), suffix=".json")
+    # One row per table to be made.
+    entities = (files.groupBy("batch", entity_name(F.col("name")).alias("entity"))
+                .agg(F.count(F.lit(1)).alias("files"), F.min("path").alias("path"),
+                     F.max(F.col("name").contains("business")).alias("business")).collect())
+    if not entities:
         raise ValueError("no JSON file in the newest batch")
-    paths = {}
-    for row in sorted(by_entity):
-        path = row["paths"][0]
-        if row["business"] or len(row["paths"]) > 1:
-            lines = read_json_lines(spark, row["paths"])
-            if row["business"]:
-                lines, _ = drop_json_key(lines, DROPPED_KEY)
-            path = f"{clean_root.rstrip('/')}/{row['batch']}/{row['entity']}"
-            lines.write.mode("overwrite").text(path)
-        paths[f"{prefix}{row['entity']}"] = path
-    return external_tables(spark, paths, SCHEMAS)
+    paths = {r["entity"]: r["path"] for r in entities}
+    cleaned = [r["entity"] for r in entities if r["business"]]
+    merged = [r["entity"] for r in entities if r["files"] > 1 and not r["business"]]
+    if cleaned or merged:
+        batch = entities[0]["batch"]
+        lines = read_json_lines(spark, f"{root.rstrip('/')}/{batch}").select(
+            "value", entity_name(F.col("_metadata.file_name")).alias("entity"))
+        clean, _ = drop_json_key(lines.where(F.col("entity").isin(cleaned)), DROPPED_KEY)
+        target = f"{clean_root.rstrip('/')}/{batch}"
+        (clean.unionByName(lines.where(F.col("entity").isin(merged)))
+         .write.mode("overwrite").partitionBy("entity").text(target))
+        paths |= {entity: f"{target}/entity={entity}" for entity in cleaned + merged}
+    return external_tables(spark, {f"{prefix}{e}": p for e, p in sorted(paths.items())}, SCHEMAS)
 
 
 def _require_rows(df: DataFrame) -> None:

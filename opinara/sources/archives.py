@@ -254,10 +254,11 @@ def _flushed(rows, schema, weight):
 
 
 def read_archive(spark: SparkSession, path: str, kind: str, piece_bytes: int = PIECE_BYTES) -> DataFrame:
-    """Rows ``(archive, member, size, piece, content)``; ``piece`` counts from 0.
+    """Rows ``(archive, member, size, piece, content, cut)``.
 
-    A member of at most ``piece_bytes`` is one row. Directories, links and names
-    that would leave the target folder are not read.
+    ``piece`` counts from 0. A member of at most ``piece_bytes`` is one row and
+    has ``cut`` 0, the pieces of a larger one have ``cut`` 1. Directories, links
+    and names that would leave the target folder are not read.
     """
     schema = pa.schema([("archive", pa.string()), ("member", pa.string()), ("size", pa.int64()),
                         ("piece", pa.int32()), ("content", pa.binary())])
@@ -277,22 +278,24 @@ def read_archive(spark: SparkSession, path: str, kind: str, piece_bytes: int = P
     def read(batches):
         return _flushed(pieces(batches), schema, lambda r: len(r["content"]))
 
-    return _pieces(member_index(spark, path, kind), piece_bytes).mapInArrow(
+    rows = _pieces(member_index(spark, path, kind), piece_bytes).mapInArrow(
         read, "archive string, member string, size bigint, piece int, content binary")
+    return rows.withColumn("cut", (F.col("size") > piece_bytes).cast("int"))
 
 
-def whole_members(df: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+def whole_members(df: DataFrame) -> DataFrame:
     """Put members back together: rows ``(archive, member, size, content)``.
 
-    Only members of several pieces are shuffled; each is bounded by its own size.
+    Only cut members are shuffled; each is bounded by its own size. Land the
+    pieces partitioned by ``cut`` first, as the jobs do: either part then reads
+    only its own files.
     """
     columns = ["archive", "member", "size", "content"]
-    single = df.where(F.col("size") <= piece_bytes).select(*columns)
     parts = F.sort_array(F.collect_list(F.struct("piece", "content")))
     joined = F.aggregate(parts, F.lit(b""), lambda a, p: F.concat(a, p["content"]))
-    several = (df.where(F.col("size") > piece_bytes)
-               .groupBy("archive", "member", "size").agg(joined.alias("content")))
-    return single.unionByName(several.select(*columns))
+    cut = (df.where(F.col("cut") == 1)
+           .groupBy("archive", "member", "size").agg(joined.alias("content")))
+    return df.where(F.col("cut") == 0).select(*columns).unionByName(cut.select(*columns))
 
 
 def _lines(chunks, at=0):

@@ -12,9 +12,10 @@ is_open bigint, categories string, hours map<string,string>"""
 SCHEMAS = {"review": REVIEW_SCHEMA, "business": BUSINESS_SCHEMA}
 
 
-def read_json_lines(spark: SparkSession, path) -> DataFrame:
-    """One row ``value`` per line of the files at ``path``."""
-    return spark.read.text(path)
+def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One row ``value`` per line of the JSON files at or below ``path``."""
+    return (spark.read.option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.json").text(path))
 
 
 def external_table(spark: SparkSession, name: str, path: str, schema: str = None) -> DataFrame:

@@ -60,7 +60,7 @@ def test_members_come_back_whole(spark, archive):
     pieces = archives.read_archive(spark, path, kind, piece_bytes=1000)
     assert pieces.agg(F.max(F.length("content"))).first()[0] <= 1000
     found = {r["member"]: bytes(r["content"])
-             for r in archives.whole_members(pieces, 1000).collect()}
+             for r in archives.whole_members(pieces).collect()}
     assert found == FILES
 
 
