@@ -12,6 +12,7 @@ The rules read these columns, which ``Stages`` names after the score column:
 ``valence``  lexicon value at each position, NULL where there is none
 ``shout``    true when some but not all words are in capitals
 ``but_at``   position of the first "but", 0 when absent
+``idioms``   true when a word stands there that every expression of several words needs
 ``total``    sum of the judged valences
 """
 
@@ -33,7 +34,7 @@ class Stages:
     """Names of the columns between a text and its score."""
 
     def __init__(self, out: str):
-        for name in ("words", "lower", "lexicon", "valence", "shout", "but_at", "total"):
+        for name in ("words", "lower", "lexicon", "valence", "shout", "but_at", "idioms", "total"):
             setattr(self, name, f"{out}__{name}")
 
     def all(self):
@@ -50,6 +51,11 @@ def _joined(*parts):
     return F.concat_ws(" ", *parts)
 
 
+def may_hold_idioms(words: str) -> Column:
+    needed = {i.split()[-1] for i in W.IDIOMS} | {p.split()[0] for p in W.WEAKENING_PAIRS}
+    return F.arrays_overlap(words, F.array(*map(F.lit, sorted(needed))))
+
+
 class Context:
     """The words around position ``at`` of one text, and the rules that read them."""
 
@@ -109,7 +115,7 @@ class Context:
         return F.when(((self.word(-3) == "never") & middle) | near, F.lit(1.25)).otherwise(turned)
 
     def after_word(self, distance, valence):
-        changed = let(valence, lambda v: (v + self.shift(distance, v)) * self.factor(distance))
+        changed = (valence + self.shift(distance, valence)) * self.factor(distance)
         return F.when(self.plain(-distance), changed).otherwise(valence)
 
     def after_idioms(self, valence):
@@ -124,7 +130,7 @@ class Context:
                           lookup(self.boosters, _joined(self.word(-2), self.word(-1))))
         changed = (F.coalesce(behind, before, valence)
                    + F.when(weak.isNotNull(), F.lit(-W.BOOST)).otherwise(F.lit(0.0)))
-        return F.when(self.plain(-3), changed).otherwise(valence)
+        return F.when(F.col(self.stages.idioms) & self.plain(-3), changed).otherwise(valence)
 
     def after_least(self, valence):
         """"least" turns the sign, unless it is "at least" or "very least"."""

@@ -13,8 +13,8 @@ import zlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_INLINE_ENTRIES = 100_000
-MAX_INLINE_BYTES = 8 << 20
+MAX_INLINE_ENTRIES = 50_000
+MAX_INLINE_BYTES = 2 << 20
 SALTS = 16
 
 

@@ -56,6 +56,7 @@ def score_sentiment(df: DataFrame, text="text", out="sentiment_score",
         at.valence: F.transform(at.lower, lambda w: lookup(index, w).cast("double")),
         at.shout: sentiment.mixed_capitals(at.words, at.lower),
         at.but_at: F.array_position(at.lower, "but").cast("int"),
+        at.idioms: sentiment.may_hold_idioms(at.words),
     })
     df = df.withColumn(at.total, sentiment.total(at, context))
     score = sentiment.compound(F.col(at.total), F.col(text)).cast("float")

@@ -150,7 +150,7 @@ def score_reviews_table(spark, reviews=REVIEWS, businesses=BUSINESSES, target=SC
                     ["business_id", "categories", "name"], **at(businesses))
     scored = score_reviews(spark.table(reviews), **scoring).select("review_id", SCORE)
     return audited(scored, target, lambda df: replace_table(
-        df, target, bucket_by="review_id", buckets=buckets, **at(target)))
+        df, target, bucket_by="review_id", buckets=buckets, clustered=True, **at(target)))
 
 
 def refresh_report(spark, reviews=REVIEWS, businesses=BUSINESSES, scores=SCORED_REVIEWS,

@@ -26,4 +26,4 @@ def spread(df: DataFrame) -> DataFrame:
     A large input already has many splits and passes through untouched.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(4 * cores) if df.rdd.getNumPartitions() < cores else df

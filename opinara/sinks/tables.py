@@ -9,12 +9,17 @@ AUDIT_SCHEMA = "table string, started timestamp, ended timestamp, duration inter
 
 
 def replace_table(df: DataFrame, name: str, path: str = None, fmt="parquet",
-                  partition_by=None, bucket_by=None, buckets=None, **options) -> None:
+                  partition_by=None, bucket_by=None, buckets=None, clustered=False, **options) -> None:
     """Write ``df`` as table ``name`` in place of what was there.
 
     Tables that will be joined on ``bucket_by`` should share ``buckets``: they
-    then meet bucket by bucket, without a shuffle.
+    then meet bucket by bucket, without a shuffle. Rows are brought together by
+    bucket before the write, so that not every task adds a file to every bucket;
+    adaptive execution splits a bucket that a hot key has made too large.
+    ``clustered`` says that the rows come from a table of the same buckets.
     """
+    if bucket_by and not clustered:
+        df = df.hint("rebalance", bucket_by)
     writer = df.write.format(fmt).mode("overwrite").options(**options)
     if path:
         writer = writer.option("path", path)

@@ -20,7 +20,7 @@ def connect(sf_dir):
 
 def _cell(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 9)
+        return "nan" if math.isnan(value) else value
     return value
 
 
