@@ -117,6 +117,15 @@ def refreshed_view(spark, sf_dir):
     return spark.table("check_report")
 
 
+def report_view(spark, sf_dir):
+    folder = work_folder(spark, "report")
+    scored = R.score_reviews(reviews(spark, sf_dir), lexicon=lexicon()).select("review_id", R.SCORE)
+    for name, df in (("scores", scored), ("reviews", reviews(spark, sf_dir)), ("businesses", businesses(spark, sf_dir))):
+        replace_table(df, f"check_view_{name}", path=f"{folder}/{name}")
+    R.report_view(spark, "check_view", "check_view_scores", "check_view_reviews", "check_view_businesses")
+    return four_places(spark.table("check_view"), "SENTIMENT_SCORE")
+
+
 # --- emails and languages ---
 
 def emails_report(spark, sf_dir):
@@ -461,6 +470,7 @@ def registry():
         "external_table": external,
         "save_external": saved_external,
         "refresh_view": refreshed_view,
+        "report_view": report_view,
         "archive_zip": members("zip"),
         "archive_tar": members("tar"),
         "archive_tar_gz": members("tar.gz"),

@@ -214,6 +214,7 @@ def oracles():
         "review_report": REPORT,
         "review_report_unique": REPORT,
         "refresh_view": REPORT,
+        "report_view": REPORT,
         "job_reviews": REPORT,
         "job_reviews_files": REPORT,
         "score_each": score_query(context="each"),

@@ -71,6 +71,12 @@ def lookup(vocabulary: Column, word: Column) -> Column:
     return F.try_element_at(F.get(vocabulary, bucket), word)
 
 
+def text_key(text: Column) -> Column:
+    """Digest to match equal texts by. Missing texts match nothing and stay spread out."""
+    nothing = F.concat(F.lit("none "), F.spark_partition_id().cast("string"))
+    return F.coalesce(F.sha2(text, 256), nothing)
+
+
 def attach(df: DataFrame, vocabulary: Vocabulary, words: Column, text: str, out: str):
     """Return ``(df, column)`` where ``column`` can be given to ``lookup``.
 
@@ -84,7 +90,7 @@ def attach(df: DataFrame, vocabulary: Vocabulary, words: Column, text: str, out:
     if vocabulary.inline:
         return df, vocabulary.constant()
     key = f"{out}_key"
-    df = df.withColumn(key, F.sha2(F.col(text), 256))
+    df = df.withColumn(key, text_key(F.col(text)))
     asked = (df.select(key, F.array_distinct(words).alias("words"))
              .dropDuplicates([key])
              .select(key, F.explode("words").alias("word"))

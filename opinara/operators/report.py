@@ -48,6 +48,18 @@ def review_report(scores: DataFrame, reviews: DataFrame, businesses: DataFrame)
     return _with_business(joined, businesses)
 
 
+def report_view(spark, name: str, scores: str, reviews: str, businesses: str) -> None:
+    """The report as a plain view over three tables, joined anew whenever it is read."""
+    spark.sql(f"""
+        CREATE OR REPLACE VIEW {name} AS
+        SELECT b.name AS NOME, b.categories AS CATEGORIAS, r.text AS REVIEW,
+               r.date AS DATA_AVALIACAO, r.stars AS ESTRELAS, s.sentiment_score AS SENTIMENT_SCORE,
+               CASE WHEN s.sentiment_score > 0 THEN 'POSITIVO'
+                    WHEN s.sentiment_score < 0 THEN 'NEGATIVO'
+                    WHEN s.sentiment_score = 0 THEN 'NEUTRO' END AS SENTIMENTO
+        FROM {scores} s JOIN {reviews} r USING (review_id) JOIN {businesses} b USING (business_id)""")
+
+
 def review_report_unique(reviews: DataFrame, businesses: DataFrame, **scoring) -> DataFrame:
     """The same report where ``review_id`` is known to be unique.
 

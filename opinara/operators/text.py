@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import sentiment, words as W
 from ..functions.language import ENGLISH, best_language, glossary_key, in_place_of
 from ..functions.text import letter_runs, lower_letters, words
-from ..functions.vocabulary import Vocabulary, attach, lookup
+from ..functions.vocabulary import Vocabulary, attach, lookup, text_key
 
 
 def default_lexicon() -> Vocabulary:
@@ -67,9 +67,9 @@ def detect_language(df: DataFrame, text="text", out="language",
                     stop_words: Vocabulary = None) -> DataFrame:
     """Add the language code of ``text``; NULL when no stop word tells."""
     df, index = attach(df, stop_words or stop_word_vocabulary(),
-                       lower_letters(F.col(text)), text, f"{out}_vocabulary")
+                       lower_letters(F.col(text)), text, f"{out}__vocabulary")
     result = df.withColumn(out, best_language(lower_letters(F.col(text)), index))
-    return result.drop(f"{out}_vocabulary")
+    return result.drop(f"{out}__vocabulary")
 
 
 def translate(df: DataFrame, text="text", out="translated", lang=None,
@@ -79,7 +79,7 @@ def translate(df: DataFrame, text="text", out="translated", lang=None,
     ``lang`` names a column that holds the language; without it the language is
     detected first.
     """
-    code = lang or f"{out}_language"
+    code = lang or f"{out}__language"
     if lang is None:
         df = detect_language(df, text, code, stop_words)
     source, pieces, keys, found, index = (
@@ -98,27 +98,32 @@ def translate_with(df: DataFrame, translator, text="text", out="translated",
                    lang=None, stop_words: Vocabulary = None) -> DataFrame:
     """Translate foreign text with a caller's ``translator(texts, languages) -> texts``.
 
-    It gets pandas batches holding foreign rows only; a batch that raises, or a
-    missing result, keeps the original text.
+    It gets pandas batches of distinct foreign texts, so copies cost one call; the
+    results go back to their rows by digest. A batch that raises, or a missing
+    result, keeps the original text.
     """
-    code = lang or f"{out}_language"
+    code = lang or f"{out}__language"
     if lang is None:
         df = detect_language(df, text, code, stop_words)
-
-    @F.pandas_udf("string")
-    def call(texts: pd.Series, langs: pd.Series) -> pd.Series:
-        todo = texts.notna() & langs.notna() & (langs != ENGLISH)
-        result = texts.copy()
-        if todo.any():
+    key = f"{out}__key"
+    df = df.withColumn(key, text_key(F.col(text)))
+    todo = (df.where(F.col(code) != ENGLISH)
+            .select(key, F.col(code).alias("code"), F.col(text).alias("source"))
+            .dropDuplicates([key, "code"]))
+
+    def call(batches):
+        for batch in batches:
             try:
-                result[todo] = list(translator(texts[todo], langs[todo]))
+                found = pd.Series(list(translator(batch["source"], batch["code"])), dtype="object")
             except Exception:
-                pass
-        return result
-
-    foreign = F.when(F.col(code) != ENGLISH, call(text, code))
-    df = df.withColumn(out, F.coalesce(foreign, F.col(text)))
-    return df if lang else df.drop(code)
+                found = pd.Series([None] * len(batch), dtype="object")
+            yield pd.DataFrame({key: batch[key].values, "code": batch["code"].values, out: found.values})
+
+    done = todo.mapInPandas(call, f"`{key}` string, code string, `{out}` string")
+    done = done.withColumnsRenamed({"code": f"{out}__code", key: f"{out}__done"})
+    same = (F.col(key) == F.col(f"{out}__done")) & (F.col(code) == F.col(f"{out}__code"))
+    df = df.drop(out).join(done, same, "left").withColumn(out, F.coalesce(F.col(out), F.col(text)))
+    return df.drop(key, f"{out}__done", f"{out}__code", *([] if lang else [code]))
 
 
 def score_with(df: DataFrame, scorer, text="text", out="sentiment_score") -> DataFrame:

@@ -13,7 +13,7 @@ from ..functions.batch import batch_key
 from ..operators.emails import parse_emails, split_readable
 from ..operators.jsonlines import drop_json_key
 from ..operators.report import SCORE, review_report, score_emails, score_reviews
-from ..sinks.batches import newest_batch, write_batch, write_member_files
+from ..sinks.batches import landed_folders, newest_batch, write_batch, write_member_files
 from ..sinks.tables import audited, create_table_as, refresh_view, replace_table
 from ..sources import archives
 from ..sources.objects import (batch_of, entity_name, latest_batch, list_objects,
@@ -93,9 +93,9 @@ def load_reviews(spark, root: str, clean_root: str = None, prefix=EXTERNAL_PREFI
     ``clean_root``, since Spark does not overwrite what it reads.
     """
     if landing == "parquet":
-        batch = newest_batch_key(spark.read.parquet(root))
-        landed = spark.read.parquet(root).where(F.col("batch") == batch)
-        entities = [r[0] for r in landed.select("entity").distinct().collect()]
+        folders = landed_folders(spark, root)
+        batch = newest_batch_key(folders)
+        entities = [r[0] for r in folders.where(F.col("batch") == batch).select("entity").distinct().collect()]
         return line_views(spark, root, batch, {f"{prefix}{e}": e for e in sorted(entities)}, SCHEMAS)
     files = select_paths(latest_batch(list_objects(spark, root)), suffix=".json")
     # One row per table to be made.

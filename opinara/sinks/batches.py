@@ -17,10 +17,15 @@ def write_batch(df: DataFrame, root: str, batch: str, also_by=()) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch", *also_by).parquet(root))
 
 
+def landed_folders(spark, root: str) -> DataFrame:
+    """One row per landed file with its partition columns; no file is opened."""
+    return spark.read.format("binaryFile").load(root).drop("path", "modificationTime", "length", "content")
+
+
 def newest_batch(spark, root: str) -> DataFrame:
     """Rows of the newest batch at ``root``; older partitions are not read."""
-    df = spark.read.parquet(root)
-    return df.where(F.col("batch") == df.agg(F.max("batch")).scalar())
+    newest = landed_folders(spark, root).agg(F.max("batch"))
+    return spark.read.parquet(root).where(F.col("batch") == newest.scalar())
 
 
 def write_member_files(index: DataFrame, kind: str, root: str, batch: str) -> DataFrame:

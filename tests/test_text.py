@@ -97,9 +97,25 @@ def test_failing_translator_keeps_the_text(spark):
     def upper(texts, langs):
         return texts.str.upper()
 
-    assert [r["translated"] for r in translate_with(df, broken).collect()] == [r["text"] for r in df.collect()]
-    assert [r["translated"] for r in translate_with(df, upper).collect()] == [
-        "LE SERVICE EST LENT ET LA VIE", "the cat is on it", None]
+    df = df.unionByName(df)
+    for translator, first in ((broken, "le service est lent et la vie"), (upper, "LE SERVICE EST LENT ET LA VIE")):
+        found = translate_with(df, translator)
+        assert found.columns == ["text", "translated"]
+        assert sorted((r["translated"] for r in found.collect()), key=str) == sorted(
+            2 * [first, "the cat is on it", None], key=str)
+
+
+def test_translator_sees_every_foreign_text_once(spark):
+    rows = 300 * [("le service est lent",)] + 200 * [("the cat is on it",)] + [("der Hund ist nicht da",)]
+    df = spark.createDataFrame(rows, "text string").repartition(5)
+
+    def count(texts, langs):
+        assert len(set(texts)) == len(texts) and not texts.str.contains("cat").any()
+        return langs + ":" + texts
+
+    found = translate_with(df, count).groupBy("translated").count().collect()
+    assert {r["translated"]: r["count"] for r in found} == {
+        "fr:le service est lent": 300, "the cat is on it": 200, "de:der Hund ist nicht da": 1}
 
 
 def test_default_plans_stay_in_the_row(spark):
