@@ -13,6 +13,3 @@ def batch_key(utc: Column, zone: str = ZONE) -> Column:
     """Folder name of a UTC wall-clock time."""
     return F.date_format(F.from_utc_timestamp(utc, zone), KEY_FORMAT)
 
-
-def is_batch_key(key: Column) -> Column:
-    return key.rlike(rf"^{KEY_PATTERN}\z")

@@ -3,8 +3,8 @@
 A vocabulary is an array of small maps; a word lives in the map at
 ``crc32(word) % size``. A vocabulary of checked size becomes one constant of the
 plan, so a look-up needs neither join nor shuffle. A larger one stays a table:
-``attach`` joins its entries to the texts that use them, and every row then
-carries a vocabulary of just its own words. Look-ups read the same either way.
+``attach`` joins its entries to the distinct texts that use them, and each of
+these carries a vocabulary of just its own words. Look-ups read the same either way.
 """
 
 import json
@@ -71,29 +71,37 @@ def lookup(vocabulary: Column, word: Column) -> Column:
     return F.try_element_at(F.get(vocabulary, bucket), word)
 
 
-def text_key(text: Column) -> Column:
+def text_key(*text: Column) -> Column:
     """Digest to match equal texts by. Missing texts match nothing and stay spread out."""
     nothing = F.concat(F.lit("none "), F.spark_partition_id().cast("string"))
-    return F.coalesce(F.sha2(text, 256), nothing)
+    return F.coalesce(F.sha2(F.concat(*text), 256), nothing)
 
 
-def attach(df: DataFrame, vocabulary: Vocabulary, words: Column, text: str, out: str):
+def by_text(df: DataFrame, key: str, digest: Column, columns, work, out: str) -> DataFrame:
+    """Add column ``out``, worked out once per distinct text.
+
+    ``work`` gets one row ``(key, *columns)`` per digest and returns it with ``out``.
+    Copies of a text, however many, cost one piece of work; the results go back
+    to their rows by digest, in a join that adaptive execution splits where one
+    text has very many copies. A recomputed task finds the same digests.
+    """
+    df = df.withColumn(key, digest)
+    distinct = df.select(key, *columns).dropDuplicates([key])
+    done = work(distinct).select(key, F.col(out).alias(f"{key}__{out}"))
+    return (df.join(done, key, "left").withColumn(out, F.col(f"{key}__{out}"))
+            .drop(key, f"{key}__{out}"))
+
+
+def attach(df: DataFrame, vocabulary: Vocabulary, words: Column, key: str, out: str):
     """Return ``(df, column)`` where ``column`` can be given to ``lookup``.
 
-    ``words`` is the array of words that the expression over ``text`` will ask
-    for. An inline vocabulary leaves ``df`` as it is. Otherwise the distinct
-    words of each distinct text meet the table in a salted join, the hits go
-    back to their text as one small map per text, and ``df`` gains column
-    ``out``. Texts are matched by digest, so copies of a row share the work and
-    a recomputed task finds the same keys.
+    An inline vocabulary leaves ``df`` as it is. Otherwise ``df`` has one row per
+    ``key`` (see ``by_text``): the distinct ``words`` of each row meet the table
+    in a salted join, and ``df`` gains a small map of its own hits as ``out``.
     """
     if vocabulary.inline:
         return df, vocabulary.constant()
-    key = f"{out}_key"
-    df = df.withColumn(key, text_key(F.col(text)))
-    asked = (df.select(key, F.array_distinct(words).alias("words"))
-             .dropDuplicates([key])
-             .select(key, F.explode("words").alias("word"))
+    asked = (df.select(key, F.explode(F.array_distinct(words)).alias("word"))
              .withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")))
     salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
     table = vocabulary.table.select("word", "value", F.explode(salts).alias("salt"))
@@ -108,6 +116,5 @@ def attach(df: DataFrame, vocabulary: Vocabulary, words: Column, text: str, out:
             "hits", lambda h: F.crc32(h["word"].cast("binary")) % n == b)))
     hits = hits.select(key, own.alias(out))
     empty = F.array(F.create_map().cast(f"map<string,{vocabulary.value_type}>"))
-    df = (df.join(hits, key, "left").drop(key)
-          .withColumn(out, F.coalesce(F.col(out), empty)))
+    df = df.join(hits, key, "left").withColumn(out, F.coalesce(F.col(out), empty))
     return df, F.col(out)

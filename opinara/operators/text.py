@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import sentiment, words as W
 from ..functions.language import ENGLISH, best_language, glossary_key, in_place_of
 from ..functions.text import letter_runs, lower_letters, words
-from ..functions.vocabulary import Vocabulary, attach, lookup, text_key
+from ..functions.vocabulary import Vocabulary, attach, by_text, lookup, text_key
 
 
 def default_lexicon() -> Vocabulary:
@@ -48,28 +48,43 @@ def glossary_from_table(table: DataFrame, lang="lang", word="word", english="eng
 def score_sentiment(df: DataFrame, text="text", out="sentiment_score",
                     lexicon: Vocabulary = None, context=sentiment.FIRST) -> DataFrame:
     """Add the sentiment of ``text`` in [-1, 1] as FLOAT; NULL stays NULL."""
-    at = sentiment.Stages(out)
-    df = df.withColumn(at.words, words(F.col(text)))
-    df = df.withColumn(at.lower, F.transform(at.words, F.lower))
-    df, index = attach(df, lexicon or default_lexicon(), F.col(at.lower), text, at.lexicon)
-    df = df.withColumns({
-        at.valence: F.transform(at.lower, lambda w: lookup(index, w).cast("double")),
-        at.shout: sentiment.mixed_capitals(at.words, at.lower),
-        at.but_at: F.array_position(at.lower, "but").cast("int"),
-        at.idioms: sentiment.may_hold_idioms(at.words),
-    })
-    df = df.withColumn(at.total, sentiment.total(at, context))
-    score = sentiment.compound(F.col(at.total), F.col(text)).cast("float")
-    return df.withColumn(out, score).drop(*at.all())
+    lexicon = lexicon or default_lexicon()
+    key = f"{out}__key"
+
+    def score(rows):
+        at = sentiment.Stages(out)
+        rows, index = attach(rows, lexicon, F.transform(words(F.col(text)), F.lower), key, at.lexicon)
+        rows = rows.withColumn(at.words, words(F.col(text)))
+        rows = rows.withColumn(at.lower, F.transform(at.words, F.lower))
+        rows = rows.withColumns({
+            at.valence: F.transform(at.lower, lambda w: lookup(index, w).cast("double")),
+            at.shout: sentiment.mixed_capitals(at.words, at.lower),
+            at.but_at: F.array_position(at.lower, "but").cast("int"),
+            at.idioms: sentiment.may_hold_idioms(at.words),
+        })
+        rows = rows.withColumn(at.total, sentiment.total(at, context))
+        result = sentiment.compound(F.col(at.total), F.col(text)).cast("float")
+        return rows.withColumn(out, result).drop(*at.all())
+
+    if lexicon.inline:
+        return score(df)
+    return by_text(df, key, text_key(F.col(text)), [text], score, out)
 
 
 def detect_language(df: DataFrame, text="text", out="language",
                     stop_words: Vocabulary = None) -> DataFrame:
     """Add the language code of ``text``; NULL when no stop word tells."""
-    df, index = attach(df, stop_words or stop_word_vocabulary(),
-                       lower_letters(F.col(text)), text, f"{out}__vocabulary")
-    result = df.withColumn(out, best_language(lower_letters(F.col(text)), index))
-    return result.drop(f"{out}__vocabulary")
+    stop_words = stop_words or stop_word_vocabulary()
+    key, own = f"{out}__key", f"{out}__vocabulary"
+
+    def detect(rows):
+        listed = lower_letters(F.col(text))
+        rows, index = attach(rows, stop_words, listed, key, own)
+        return rows.withColumn(out, best_language(listed, index)).drop(own)
+
+    if stop_words.inline:
+        return detect(df)
+    return by_text(df, key, text_key(F.col(text)), [text], detect, out)
 
 
 def translate(df: DataFrame, text="text", out="translated", lang=None,
@@ -79,51 +94,63 @@ def translate(df: DataFrame, text="text", out="translated", lang=None,
     ``lang`` names a column that holds the language; without it the language is
     detected first.
     """
+    glossary = glossary or glossary_vocabulary()
     code = lang or f"{out}__language"
+    key, source, pieces, keys, found, own = (
+        f"{out}__{stage}" for stage in ("key", "source", "pieces", "keys", "found", "vocabulary"))
     if lang is None:
         df = detect_language(df, text, code, stop_words)
-    source, pieces, keys, found, index = (
-        f"{out}__{stage}" for stage in ("source", "pieces", "keys", "found", "vocabulary"))
-    df = df.withColumn(source, F.when(F.col(code) != ENGLISH, F.col(text)))
-    df = df.withColumn(pieces, letter_runs(F.col(source)))
-    df = df.withColumn(keys, F.transform(pieces, lambda p: glossary_key(F.col(code), p)))
-    df, words_of = attach(df, glossary or glossary_vocabulary(), F.col(keys), source, index)
-    df = df.withColumn(found, F.transform(keys, lambda k: lookup(words_of, k)))
-    english = F.transform(pieces, lambda p, i: in_place_of(p, F.get(found, i)))
-    df = df.withColumn(out, F.coalesce(F.array_join(english, ""), F.col(text)))
-    return df.drop(source, pieces, keys, found, index, *([] if lang else [code]))
+
+    def asked(runs):
+        return F.transform(runs, lambda p: glossary_key(F.col(code), p))
+
+    def turn(rows):
+        rows = rows.withColumn(source, F.when(F.col(code) != ENGLISH, F.col(text)))
+        rows, index = attach(rows, glossary, asked(letter_runs(F.col(source))), key, own)
+        rows = rows.withColumn(pieces, letter_runs(F.col(source)))
+        rows = rows.withColumn(keys, asked(F.col(pieces)))
+        rows = rows.withColumn(found, F.transform(keys, lambda k: lookup(index, k)))
+        english = F.transform(pieces, lambda p, i: in_place_of(p, F.get(found, i)))
+        rows = rows.withColumn(out, F.coalesce(F.array_join(english, ""), F.col(text)))
+        return rows.drop(source, pieces, keys, found, own)
+
+    if glossary.inline:
+        df = turn(df)
+    else:
+        df = by_text(df, key, _translation_key(code, text), list(dict.fromkeys([text, code])), turn, out)
+    return df if lang else df.drop(code)
+
+
+def _translation_key(code, text):
+    return text_key(F.coalesce(F.col(code), F.lit("")), F.lit("\n"), F.col(text))
 
 
 def translate_with(df: DataFrame, translator, text="text", out="translated",
                    lang=None, stop_words: Vocabulary = None) -> DataFrame:
     """Translate foreign text with a caller's ``translator(texts, languages) -> texts``.
 
-    It gets pandas batches of distinct foreign texts, so copies cost one call; the
-    results go back to their rows by digest. A batch that raises, or a missing
-    result, keeps the original text.
+    It gets pandas batches of distinct foreign texts. A batch that raises, or a
+    missing result, keeps the original text.
     """
     code = lang or f"{out}__language"
+    key = f"{out}__key"
     if lang is None:
         df = detect_language(df, text, code, stop_words)
-    key = f"{out}__key"
-    df = df.withColumn(key, text_key(F.col(text)))
-    todo = (df.where(F.col(code) != ENGLISH)
-            .select(key, F.col(code).alias("code"), F.col(text).alias("source"))
-            .dropDuplicates([key, "code"]))
 
     def call(batches):
         for batch in batches:
             try:
-                found = pd.Series(list(translator(batch["source"], batch["code"])), dtype="object")
+                found = list(translator(batch[text], batch[code]))
             except Exception:
-                found = pd.Series([None] * len(batch), dtype="object")
-            yield pd.DataFrame({key: batch[key].values, "code": batch["code"].values, out: found.values})
-
-    done = todo.mapInPandas(call, f"`{key}` string, code string, `{out}` string")
-    done = done.withColumnsRenamed({"code": f"{out}__code", key: f"{out}__done"})
-    same = (F.col(key) == F.col(f"{out}__done")) & (F.col(code) == F.col(f"{out}__code"))
-    df = df.drop(out).join(done, same, "left").withColumn(out, F.coalesce(F.col(out), F.col(text)))
-    return df.drop(key, f"{out}__done", f"{out}__code", *([] if lang else [code]))
+                found = [None] * len(batch)
+            yield pd.DataFrame({key: batch[key].values, out: pd.Series(found, dtype="object").values})
+
+    def turn(rows):
+        return rows.where(F.col(code) != ENGLISH).mapInPandas(call, f"`{key}` string, `{out}` string")
+
+    df = by_text(df, key, _translation_key(code, text), [text, code], turn, out)
+    df = df.withColumn(out, F.coalesce(F.col(out), F.col(text)))
+    return df if lang else df.drop(code)
 
 
 def score_with(df: DataFrame, scorer, text="text", out="sentiment_score") -> DataFrame:

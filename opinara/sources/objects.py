@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.batch import is_batch_key
+from ..functions.batch import KEY_PATTERN
 
 
 def list_objects(spark: SparkSession, root: str, prefix: str = "", content=False) -> DataFrame:
@@ -27,8 +27,7 @@ def _quoted(text):
 
 def batch_of(name: Column) -> Column:
     """First path segment, NULL when it is no batch key or the name has no folder."""
-    folder = F.when(F.contains(name, F.lit("/")), F.split_part(name, F.lit("/"), F.lit(1)))
-    return F.when(is_batch_key(folder), folder)
+    return F.nullif(F.regexp_extract(name, rf"\A({KEY_PATTERN})/", 1), F.lit(""))
 
 
 def batches(df: DataFrame, name="name") -> DataFrame:
