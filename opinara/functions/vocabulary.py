@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 MAX_INLINE_ENTRIES = 50_000
 MAX_INLINE_BYTES = 2 << 20
-SALTS = 16
+SALTS = 16  # a power of two
 
 
 class Vocabulary:
@@ -102,7 +102,7 @@ def attach(df: DataFrame, vocabulary: Vocabulary, words: Column, key: str, out:
     if vocabulary.inline:
         return df, vocabulary.constant()
     asked = (df.select(key, F.explode(F.array_distinct(words)).alias("word"))
-             .withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")))
+             .withColumn("salt", F.xxhash64(key).bitwiseAND(SALTS - 1).cast("int")))
     salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
     table = vocabulary.table.select("word", "value", F.explode(salts).alias("salt"))
     # The words of all texts look small to the planner before they are exploded;
