@@ -28,7 +28,10 @@ def drop_json_key(df: DataFrame, key: str, line="value"):
     keeps its last value.
     """
     parsed = "parsed"
-    df = df.withColumn(parsed, json_object(F.col(line)))
+    # Exploding the object, if there is one, parses each kept line once; a filter on
+    # the parsed column would be pushed down and parse it again.
+    found = F.filter(F.array(json_object(F.col(line))), lambda o: o.isNotNull())
+    clean = df.select("*", F.explode(found).alias(parsed))
     kept = F.map_filter(_last_of_each_key(F.col(parsed)), lambda k, v: k != key)
-    clean = df.where(F.col(parsed).isNotNull()).withColumn(line, F.to_json(kept)).drop(parsed)
-    return clean, df.where(F.col(parsed).isNull()).drop(parsed)
+    clean = clean.withColumn(line, F.to_json(kept)).drop(parsed)
+    return clean, df.where(json_object(F.col(line)).isNull())
