@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 LINE_START = r"(?:\A|(?<=\n)|(?<=\r)(?!\n))"
 HEADER_LINE = r"(?:[!-9;-~]*:|[\t ]|From )"
 BODY_START = rf"{LINE_START}(?!{HEADER_LINE})"
+ENVELOPE_LINE = r"(From [^\r\n]*+(?>\r\n|\n|\r|\z))"
 LINE_END = r"(?:\r\n|\n|\r(?!\n))"
 
 
@@ -30,7 +31,13 @@ def header(block: Column, name: str) -> Column:
 
 
 def body(message: Column) -> Column:
-    return F.regexp_extract(message, rf"(?s)\A.*?(?:{BODY_START}(?:\r\n|\n|\r)?|\z)(.*)\z", 1)
+    """The text after the headers, less the empty line that ends them.
+
+    An envelope line ("From ...") that ends the headers opens the body instead,
+    unless it is the first line of the message.
+    """
+    start = rf"(?:{LINE_START}(?!\A){ENVELOPE_LINE}(?!{HEADER_LINE})|{BODY_START}|\z)"
+    return F.regexp_replace(message, rf"(?s)\A.*?{start}(?:\r\n|\n|\r)?", "$1")
 
 
 def is_multipart(block: Column) -> Column:
