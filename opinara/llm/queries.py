@@ -27,6 +27,13 @@ def op3_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", F.col("taken").cast("bigint").alias("taken"))
 
 
+def op4_minhash(spark, sf_dir):
+    from .minhash import near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), k=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_byte_bpe(spark, sf_dir):
     import public_tokenizers
 
@@ -38,7 +45,7 @@ def op9_byte_bpe(spark, sf_dir):
 
 
 def registry():
-    return {f.__name__: f for f in (op1_exact_dedup, op2_training_order, op3_mixing, op9_byte_bpe)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_training_order, op3_mixing, op4_minhash, op9_byte_bpe)}
 
 
 def oracles():

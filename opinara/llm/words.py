@@ -106,7 +106,7 @@ def shingles(words, k):
     if not len(words):
         return words
     m = min(k, len(words))
-    total = np.full(len(words) - m + 1, np.uint64(m) * FACTORS[63], dtype=np.uint64)
+    total = np.zeros(len(words) - m + 1, dtype=np.uint64) + mix(np.array([m], dtype=np.uint64))
     for i in range(m):
         total += words[i:len(words) - m + 1 + i] * FACTORS[i]
     total = np.sort(mix(total))
