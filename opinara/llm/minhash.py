@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, materialise, names_for
-from .words import _stream, blocks, mix, per_text, set_key, shingles, word_hashes
+from .words import stream, blocks, mix, per_text, set_key, shingles, word_hashes
 
 BUCKET_BITS = 8
 BUCKETS = 1 << BUCKET_BITS
@@ -25,7 +25,7 @@ MARGIN = 0.15  # six standard deviations of the estimate near the thresholds in
 WIDEN = 16
 
 # Fixed random sequences of buckets to borrow from.
-_PROBES = (mix(np.arange(BUCKETS * 512, dtype=np.uint64) + _stream(4, 1)[0]) % np.uint64(BUCKETS)).astype(np.int64).reshape(BUCKETS, 512)
+_PROBES = (mix(np.arange(BUCKETS * 512, dtype=np.uint64) + stream(4, 1)[0]) % np.uint64(BUCKETS)).astype(np.int64).reshape(BUCKETS, 512)
 _BOUNDS = np.arange(BUCKETS, dtype=np.uint64) << np.uint64(64 - BUCKET_BITS)
 
 

@@ -34,6 +34,13 @@ def op4_minhash(spark, sf_dir):
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op5_lines(spark, sf_dir):
+    from .lines import dedup_lines
+
+    found = dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_byte_bpe(spark, sf_dir):
     import public_tokenizers
 
@@ -45,7 +52,7 @@ def op9_byte_bpe(spark, sf_dir):
 
 
 def registry():
-    return {f.__name__: f for f in (op1_exact_dedup, op2_training_order, op3_mixing, op4_minhash, op9_byte_bpe)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_training_order, op3_mixing, op4_minhash, op5_lines, op9_byte_bpe)}
 
 
 def oracles():

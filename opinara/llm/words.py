@@ -12,7 +12,7 @@ BLOCK = 2 << 20
 MASK = (1 << 64) - 1
 
 
-def _stream(seed, n):
+def stream(seed, n):
     """``n`` fixed odd 64-bit values."""
     out, x = [], seed
     for _ in range(n):
@@ -25,10 +25,10 @@ def _stream(seed, n):
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[32, *range(9, 14)]] = True
-VALUE = _stream(1, 256)
+VALUE = stream(1, 256)
 VALUE[65:91] = VALUE[97:123]
 VALUE[SPACE] = 0
-STEP = _stream(2, 1)[0]
+STEP = stream(2, 1)[0]
 _powers = np.ones(1, dtype=np.uint64)
 
 
@@ -98,7 +98,7 @@ def per_text(offsets, starts):
     return np.searchsorted(starts, offsets)
 
 
-FACTORS = _stream(3, 64)
+FACTORS = stream(3, 64)
 
 
 def shingles(words, k):
