@@ -41,6 +41,15 @@ def op5_lines(spark, sf_dir):
     return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op8_toxicity(spark, sf_dir):
+    from .toxicity import fold, score, train
+
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    held_out = F.coalesce(fold(F.col("doc_id")) == 2, F.lit(False)).alias("held_out")
+    return score(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
 def op9_byte_bpe(spark, sf_dir):
     import public_tokenizers
 
@@ -52,7 +61,7 @@ def op9_byte_bpe(spark, sf_dir):
 
 
 def registry():
-    return {f.__name__: f for f in (op1_exact_dedup, op2_training_order, op3_mixing, op4_minhash, op5_lines, op9_byte_bpe)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_training_order, op3_mixing, op4_minhash, op5_lines, op8_toxicity, op9_byte_bpe)}
 
 
 def oracles():
