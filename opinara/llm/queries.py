@@ -41,6 +41,13 @@ def op5_lines(spark, sf_dir):
     return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_suffixes(spark, sf_dir):
+    from .suffixes import remove_repeats
+
+    found = remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_toxicity(spark, sf_dir):
     from .toxicity import fold, score, train
 
@@ -61,7 +68,7 @@ def op9_byte_bpe(spark, sf_dir):
 
 
 def registry():
-    return {f.__name__: f for f in (op1_exact_dedup, op2_training_order, op3_mixing, op4_minhash, op5_lines, op8_toxicity, op9_byte_bpe)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_training_order, op3_mixing, op4_minhash, op5_lines, op7_suffixes, op8_toxicity, op9_byte_bpe)}
 
 
 def oracles():
