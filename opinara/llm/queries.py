@@ -41,6 +41,20 @@ def op5_lines(spark, sf_dir):
     return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_personal(spark, sf_dir):
+    from .personal import PATTERNS, personal_spans
+
+    found = personal_spans(table(spark, sf_dir, "documents", "doc_id", "text"))
+    base = F.transform("base", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+    terms = F.transform("terms", lambda s: F.concat_ws(":", F.lit("term"), s["start"], s["end"]))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, PATTERNS), F.sha2(F.array_join(base, ",").cast("binary"), 256).alias("base_sha256"),
+                        F.array_join(F.concat(base, terms), ",").alias("spans"))
+
+
 def op7_suffixes(spark, sf_dir):
     from .suffixes import remove_repeats
 
@@ -68,7 +82,7 @@ def op9_byte_bpe(spark, sf_dir):
 
 
 def registry():
-    return {f.__name__: f for f in (op1_exact_dedup, op2_training_order, op3_mixing, op4_minhash, op5_lines, op7_suffixes, op8_toxicity, op9_byte_bpe)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_training_order, op3_mixing, op4_minhash, op5_lines, op6_personal, op7_suffixes, op8_toxicity, op9_byte_bpe)}
 
 
 def oracles():
