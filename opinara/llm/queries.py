@@ -81,8 +81,15 @@ def op9_byte_bpe(spark, sf_dir):
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op10_neighbours(spark, sf_dir):
+    from .neighbours import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
 def registry():
-    return {f.__name__: f for f in (op1_exact_dedup, op2_training_order, op3_mixing, op4_minhash, op5_lines, op6_personal, op7_suffixes, op8_toxicity, op9_byte_bpe)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_training_order, op3_mixing, op4_minhash, op5_lines, op6_personal, op7_suffixes, op8_toxicity, op9_byte_bpe,
+                                     op10_neighbours)}
 
 
 def oracles():

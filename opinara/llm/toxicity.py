@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_of, materialise, names_for
+from .common import free_of, materialise
 from .words import blocks, mix, per_text, word_hashes
 
 WORD_BITS = 20
@@ -300,18 +300,9 @@ def train(docs: DataFrame, labels: DataFrame, id="doc_id", text="text", label="t
     return model
 
 
-def score(df: DataFrame, model: Model, text="text", least=0.3) -> DataFrame:
-    """Add ``score`` (0 to 1, the likelier toxic the higher) and ``predicted`` (1 from ``least`` on).
-
-    Uses nothing but the whole text; no shuffle. A null or empty text has no words
-    and gets what the fitted curve says of that; repeated rows score alike; an
-    empty table gives no rows. Other columns stay; those named like the new ones
-    become ``<name>_in``.
-    """
-    if text.lower() in ("score", "predicted"):
-        raise ValueError(f"the text column may not be called {text}")
-    df = free_of(df, "score", "predicted")
-    shared = df.sparkSession.sparkContext.broadcast(model)
+def rating(spark, model: Model, text):
+    """The score of a text column, as a column."""
+    shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def rate(texts):
@@ -322,13 +313,23 @@ def score(df: DataFrame, model: Model, text="text", least=0.3) -> DataFrame:
         fit = shared.value.fit
         return pd.Series(1 / (1 + np.exp(-np.clip(x @ fit[:-1] + fit[-1], -30, 30))))
 
-    return df.withColumn("score", rate(F.col(text).cast("string"))).withColumn(
-        "predicted", (F.col("score") >= least).cast("int"))
+    return rate(text.cast("string"))
+
+
+def score(df: DataFrame, model: Model, text="text", least=0.3) -> DataFrame:
+    """Add ``score`` (0 to 1, the likelier toxic the higher) and ``predicted`` (1 from ``least`` on).
+
+    Uses nothing but the whole text; no shuffle. A null or empty text has no words
+    and gets what the fitted curve says of that; repeated rows score alike; an
+    empty table gives no rows. Other columns stay; those named like the new ones
+    become ``<name>_in``.
+    """
+    if text.lower() in ("score", "predicted"):
+        raise ValueError(f"the text column may not be called {text}")
+    df = free_of(df, "score", "predicted").withColumn("score", rating(df.sparkSession, model, F.col(text)))
+    return df.withColumn("predicted", (F.col("score") >= least).cast("int"))
 
 
 def drop_toxic(df: DataFrame, model: Model, text="text", least=0.3) -> DataFrame:
     """The rows of ``df`` that score below ``least``, with their columns as they are."""
-    s, = names_for(df, "toxicity")
-    scored = score(df.select(*df.columns, F.col(text).alias(s)), model, s, least)
-    back = [F.col(f"{c}_in").alias(c) if f"{c}_in" in scored.columns and c in ("score", "predicted") else F.col(c) for c in df.columns]
-    return scored.where("predicted = 0").select(*back)
+    return df.where(rating(df.sparkSession, model, F.col(text)) < least)
