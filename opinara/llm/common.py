@@ -66,6 +66,30 @@ def numbered(df: DataFrame, order: list[str], sizes: list[str], name: str) -> Da
     return out.drop("range_no", *[f"{s}_base" for s in sizes])
 
 
+BITMAP, BITMAPS = 32768, 1024  # a filter of 4 MB at any size
+
+
+def possibly_in(df: DataFrame, key, keys: DataFrame, name: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` may be among ``keys.name``: a Bloom filter of one probe, as broadcast bitmaps.
+
+    Keeps every row whose key is there, and the more others the more keys there
+    are; an exact join follows. Its use is that few rows shuffle for that join.
+    """
+    def cell(column):
+        whole = F.pmod(F.xxhash64(column), F.lit(BITMAP * BITMAPS))
+        return F.floor(whole / BITMAP), whole % BITMAP
+
+    part, bit = cell(F.col(name))
+    maps = (keys.select(part.alias("part"), bit.alias("bit")).groupBy("part")
+            .agg(F.bitmap_construct_agg("bit").alias("bits")))
+    c_part, c_bit, c_bits = names_for(df, "filter_part", "filter_bit", "filter_bits")
+    part, bit = cell(key)
+    asked = (df.withColumn(c_part, part).withColumn(c_bit, bit)
+             .join(F.broadcast(maps.toDF(c_part, c_bits)), c_part))
+    byte = F.conv(F.hex(F.substring(c_bits, F.floor(F.col(c_bit) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return asked.where(F.getbit(byte, (F.col(c_bit) % 8).cast("int")) == 1).select(df.columns)
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Smallest reachable node of every node of ``edges`` (a, b): rows ``(node, root)``.
 

@@ -10,10 +10,10 @@ the full sets.
 """
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialise, names_for
+from .common import components, materialise, names_for, possibly_in
 from .words import stream, blocks, mix, per_text, set_key, shingles, word_hashes
 
 BUCKET_BITS = 8
@@ -21,8 +21,8 @@ BUCKETS = 1 << BUCKET_BITS
 MANTISSA_BITS = 10
 ROWS = 6
 BANDS = BUCKETS // ROWS
-MARGIN = 0.15  # six standard deviations of the estimate near the thresholds in use
-WIDEN = 16
+MARGIN = 0.11  # over four standard deviations of the estimate near the thresholds in use
+TILE_ROWS, TILE_SHINGLES = 512, 1 << 20
 
 # Fixed random sequences of buckets to borrow from.
 _PROBES = (mix(np.arange(BUCKETS * 512, dtype=np.uint64) + stream(4, 1)[0]) % np.uint64(BUCKETS)).astype(np.int64).reshape(BUCKETS, 512)
@@ -90,97 +90,116 @@ def signatures(df: DataFrame, k: int) -> DataFrame:
     return df.mapInArrow(sign, f"id {kind}, text_hash bigint, n_shingles bigint, node binary, registers binary")
 
 
-def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose estimate does not rule the link out."""
-    least = percent / 100 - MARGIN
+def clusters(classes: DataFrame) -> DataFrame | None:
+    """Classes that agree in any band, directly or through others, ``(c, cluster)``; None if there are none.
 
-    def judge(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
+    In each bucket all members are tied to the first, so a bucket gives as many
+    edges as it has members, whatever its size.
+    """
+    band = F.posexplode(F.transform(
+        F.sequence(F.lit(0), F.lit(BANDS - 1)),
+        lambda i: F.xxhash64(i, F.substring(F.col("registers"), i * (2 * ROWS) + 1, F.lit(2 * ROWS)))))
+    members = classes.select("c", band).select("c", F.col("col").alias("key"))
+    first = (members.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+             .where("lo < hi").select("key", "lo"))
+    edges = members.join(first.hint("merge"), "key").where("c != lo").select(F.col("c").alias("a"), F.col("lo").alias("b"))
+    edges = materialise(edges.distinct(), "bands")
+    if edges.isEmpty():
+        return None
+    return components(edges, "clusters").select(F.col("node").alias("c"), F.col("root").alias("cluster"))
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<u2").reshape(-1, BUCKETS)
-                    for c in ("a_registers", "b_registers"))
-            n_a, n_b = (batch.column(c).to_numpy() for c in ("a_n", "b_n"))
-            # Sets of too different sizes cannot reach the threshold.
-            fit = (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)) & (estimate(a, b, n_a, n_b) >= least)
-            yield pa.RecordBatch.from_arrays(
-                [pc.filter(batch.column(c), pa.array(fit)) for c in ("a", "b")], names=["a", "b"])
 
-    side = {s: classes.select(F.col("c").alias(s), F.col("n").alias(f"{s}_n"), F.col("registers").alias(f"{s}_registers")) for s in "ab"}
-    return (pairs.join(side["b"].hint("merge"), "b").join(side["a"].hint("merge"), "a")
-            .select("a", "b", "a_n", "b_n", "a_registers", "b_registers").mapInArrow(judge, "a bigint, b bigint"))
+def links(classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame | None:
+    """Root of every linked class, ``(node, root)``; None if nothing is linked.
 
+    A cluster is dealt into tiles of a bounded size, and every two tiles of it meet
+    in a group of rows, so that any two members meet once or more. There the
+    registers are compared; of what they do not rule out, pairs that are not yet
+    connected are settled on the full sets, and only links that connect anything
+    are returned: fewer than a group has members.
+    """
+    found = clusters(classes)
+    if found is None:
+        return None
+    named = materialise(classes.join(found.hint("merge"), "c"), "clustered")
+    tiles = F.ceil(F.greatest(F.count(F.lit(1)) / TILE_ROWS, F.sum("n") / TILE_SHINGLES)).cast("int")
+    sizes = named.groupBy("cluster").agg(tiles.alias("tiles"))
+    named = named.join(sizes.hint("merge"), "cluster").withColumn("tile", F.pmod(F.xxhash64("c"), F.col("tiles")).cast("int"))
+    owners = named.select("c", "node", "rep", "registers", "n", "cluster", "tiles", "tile")
+    own = possibly_in(texts, F.col("id"), named, "rep").join(owners.hint("merge"), F.col("id") == F.col("rep"))
+    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
+    met = own.select("cluster", "c", "node", "registers", "n", "text", "tile", other).select(
+        "cluster", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "c", "node", "registers", "n", "text")
+    n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["cluster", "low", "high"]
+    met = met.repartition(4 * n, *keys).sortWithinPartitions(*keys)
+    edges = materialise(met.mapInArrow(_connect(k, percent), "a bigint, b bigint").distinct(), "links")
+    return None if edges.isEmpty() else components(edges, "components")
+
+
+def _connect(k, percent):
+    """Task function: links that connect the members of each group of rows."""
+    least = percent / 100 - MARGIN
 
-def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs whose full sets reach the threshold. A text counts only if its set is that of its class."""
-    def settle(batches):
+    def settle(rows):
         import pyarrow as pa
 
-        for batch in batches:
-            yes = []
-            sets = zip(text_sets(batch.column("a_text"), k), text_sets(batch.column("b_text"), k),
-                       batch.column("a_node").to_pylist(), batch.column("b_node").to_pylist())
-            for a, b, a_node, b_node in sets:
-                both = np.concatenate([a, b])
+        held = pa.Table.from_batches(rows).combine_chunks()
+        c, tile, n = (held.column(x).to_numpy() for x in ("c", "tile", "n"))
+        low, high = held.column("low")[0].as_py(), held.column("high")[0].as_py()
+        stamps = np.frombuffer(b"".join(held.column("registers").to_pylist()), dtype="<u2").reshape(-1, BUCKETS)
+        nodes = held.column("node").to_pylist()
+        texts = held.column("text")
+        sets, root = {}, list(range(len(c)))
+
+        def of(i):
+            if i not in sets:
+                own = next(text_sets(texts.slice(i, 1).combine_chunks(), k))
+                # Another text under the id of the class's first document is not the class's text.
+                sets[i] = own if set_key(own) == nodes[i] else own[:0]
+            return sets[i]
+
+        def find(i):
+            while root[i] != i:
+                root[i] = root[root[i]]
+                i = root[i]
+            return i
+
+        a, b = [], []
+        for i in range(len(c)):
+            rest = np.arange(i + 1, len(c)) if low == high else np.flatnonzero(tile[i + 1:] != tile[i]) + i + 1
+            rest = rest[100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i])]
+            if not len(rest):
+                continue
+            guess = estimate(stamps[rest], stamps[i], n[rest], n[i])
+            good = np.flatnonzero(guess >= least)
+            for j in rest[good[np.argsort(-guess[good], kind="stable")]].tolist():
+                if find(i) == find(j):
+                    continue
+                both = np.concatenate([of(i), of(j)])
                 both.sort()
                 shared = int((both[1:] == both[:-1]).sum())
-                yes.append(100 * shared >= percent * (len(both) - shared) and set_key(a) == a_node and set_key(b) == b_node)
-            yes = pa.array(yes, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(yes) for c in ("a", "b")], names=["a", "b"])
-
-    wanted = pairs.select(F.col("a").alias("c")).union(pairs.select(F.col("b").alias("c"))).distinct()
-    owners = classes.join(wanted, "c", "left_semi").select("c", "node", F.col("rep").alias("id"))
-    own = materialise(texts.select("id", "text").join(owners, "id").select("c", "node", "text"), "texts")
-    side = {s: own.select(F.col("c").alias(s), F.col("node").alias(f"{s}_node"), F.col("text").alias(f"{s}_text")) for s in "ab"}
-    return (pairs.join(side["b"].hint("merge"), "b").join(side["a"].hint("merge"), "a")
-            .select("a", "b", "a_node", "b_node", "a_text", "b_text").mapInArrow(settle, "a bigint, b bigint").distinct())
-
-
-def links(classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame | None:
-    """Root of every linked class, ``(node, root)``; None if nothing is linked.
-
-    In each bucket the first members are compared with all others that are not yet
-    connected with them, and leave the bucket. Buckets whose members are all
-    connected are done; the others go on with more members at once. So each pair
-    of a bucket is compared or already connected, no group is paired in full
-    where its members connect, and only classes beyond a bucket's first are emitted.
-    """
-    band = F.posexplode(F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda i: F.xxhash64(i, F.substring(F.col("registers"), i * (2 * ROWS) + 1, F.lit(2 * ROWS)))))
-    members = classes.select("c", band).select("c", F.col("col").alias("key"))
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    members = materialise(members.join(shared.hint("merge"), "key"), "members").withColumn("root", F.col("c"))
-    edges = roots = tested = None
-    width = 1
-    while True:
-        if roots is not None:
-            label = roots.select(F.col("node").alias("c"), F.col("root").alias("new_root"))
-            members = (members.drop("root").join(label.hint("merge"), "c", "left")
-                       .withColumn("root", F.coalesce("new_root", "c")).drop("new_root"))
-        open_keys = members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-        members = materialise(members.join(open_keys.hint("merge"), "key").select("key", "c", "root"), "open")
-        if members.isEmpty():
-            return roots
-        first = members.withColumn("no", F.row_number().over(Window.partitionBy("key").orderBy("c"))).where(F.col("no") <= width)
-        centres = materialise(first.select("key", F.col("c").alias("a"), F.col("root").alias("a_root")), "centres")
-        pairs = (members.join(centres.hint("merge"), "key").where("c > a AND root != a_root")
-                 .select("a", F.col("c").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested.hint("merge"), ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        probable = materialise(likely(pairs, classes, percent), "likely")
-        found = materialise(verified(probable, classes, texts, k, percent), "links")
-        if not found.isEmpty():
-            edges = found if edges is None else edges.union(found)
-            roots = components(edges, "components")
-        last = centres.groupBy("key").agg(F.max("a").alias("last"))
-        members = members.join(last.hint("merge"), "key").where("c > last").drop("last")
-        width *= WIDEN
+                if shared and 100 * shared >= percent * (len(both) - shared):
+                    root[find(j)] = find(i)
+                    a.append(c[i])
+                    b.append(c[j])
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    def connect(batches):
+        held, rows = None, []
+        for batch in batches:
+            keys = np.stack([batch.column(x).to_numpy() for x in ("cluster", "low", "high")], axis=1)
+            edges = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)][:len(keys)])
+            for x, y in zip(edges, [*edges[1:], len(keys)]):
+                key = tuple(keys[x])
+                if held not in (None, key):
+                    yield settle(rows)
+                    rows = []
+                held = key
+                rows.append(batch.slice(x, y - x))
+        if rows:
+            yield settle(rows)
+    return connect
 
 
 def near_duplicates(df: DataFrame, id="doc_id", text="text", k=5, percent=80) -> DataFrame:

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_of, materialise
+from .common import free_of, materialise, possibly_in
 from .words import blocks, mix, per_text, word_hashes
 
 WORD_BITS = 20
@@ -260,14 +260,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id: str, text: str, label:
     known = (labels.where(F.col(label).isNotNull()).select(F.col(id).cast("string").alias("id"), F.col(label).alias("toxic"))
              .where("id IS NOT NULL").groupBy("id").agg(F.max("toxic").alias("toxic")))
     known = known.where(fold(F.col("id")) != 2)
-    cell = F.pmod(F.xxhash64("id"), F.lit(1 << 24))
-    part, bit = F.floor(cell / 32768), (cell % 32768)
-    maps = (known.select(part.alias("part"), bit.alias("bit")).groupBy("part")
-            .agg(F.bitmap_construct_agg("bit").alias("bits")))  # 512 rows of 4 KB at most
     rows = docs.select(F.col(id).cast("string").alias("id"), F.col(text).alias("text")).where(fold(F.col("id")) != 2)
-    rows = rows.withColumn("part", part).withColumn("bit", bit).join(F.broadcast(maps), "part")
-    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    rows = rows.where(F.getbit(byte, (F.col("bit") % 8).cast("int")) == 1).select("id", "text")
+    rows = possibly_in(rows, F.col("id"), known, "id")
     rows = rows.join(known.hint("merge"), "id")
     return rows.select("id", "text", (F.col("toxic") > 0).cast("int").alias("toxic"), fold(F.col("id")).alias("fold"))
 
