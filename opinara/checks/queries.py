@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.batch import batch_key
 from ..functions.labels import email_label, review_label
+from ..functions.text import lower_letters
 from ..functions.vocabulary import Vocabulary
 from ..operators import report as R
 from ..operators.emails import parse_emails, split_readable
@@ -14,7 +15,7 @@ from ..operators.text import (detect_language, glossary_from_table, score_sentim
                               translate, translate_with)
 from ..functions.words import GLOSSARY
 from ..plans import jobs
-from ..session import spread, work_folder
+from ..session import work_folder
 from ..sinks.batches import newest_batch, write_batch, write_member_files
 from ..sinks.tables import audited, create_table_as, refresh_view, replace_table, save_external
 from ..sources import archives
@@ -27,6 +28,15 @@ NOW = datetime(2024, 1, 2, 13, 0)
 BATCH = "2024-01-02-10-00"
 
 
+def staged(prepare, run):
+    """A query in two steps, so that the making of its input can be told from its work."""
+    def query(spark, sf_dir):
+        return run(spark, prepare(spark, sf_dir))
+
+    query.prepare, query.run = prepare, run
+    return query
+
+
 def read(spark, sf_dir, table, *columns):
     df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     return df.select(*columns) if columns else df
@@ -41,7 +51,7 @@ def four_places(df, column=R.SCORE):
 
 
 def documents(spark, sf_dir, *columns):
-    return spread(read(spark, sf_dir, "documents", *(columns or ("doc_id", "text"))))
+    return read(spark, sf_dir, "documents", *(columns or ("doc_id", "text")))
 
 
 # --- scores ---
@@ -61,10 +71,9 @@ def score(edits=(), vocabulary=None, **options):
 def corpus_lexicon(**bounds):
     """Valences by rule for the words of the benchmark texts."""
     def build(spark, sf_dir):
-        words = read(spark, sf_dir, "benchmark").select(
-            F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"))).alias("word"))
+        words = read(spark, sf_dir, "benchmark").select(F.explode(lower_letters(F.col("text"))).alias("word"))
         valence = ((F.length("word") * 7 + F.ascii("word")) % 17 - 8) / F.lit(4.0)
-        table = words.where(F.length("word") > 2).distinct().withColumn("valence", valence)
+        table = words.distinct().withColumn("valence", valence)
         return Vocabulary.from_table(table, "word", "valence", **bounds)
     return build
 
@@ -112,9 +121,13 @@ def review_report_unique(spark, sf_dir):
 
 
 def refreshed_view(spark, sf_dir):
+    """Two views whose names begin alike, refreshed in turn; both have to keep their rows."""
     folder = work_folder(spark, "view")
-    refresh_view(review_report_unique(spark, sf_dir), "check_report", path=folder)
-    return spark.table("check_report")
+    rows = review_report_unique(spark, sf_dir)
+    for part in (rows.limit(1), rows, rows):
+        refresh_view(rows, "check_report_more", path=folder)
+        refresh_view(part, "check_report", path=folder)
+    return spark.table("check_report").unionByName(spark.table("check_report_more")).distinct()
 
 
 def report_view(spark, sf_dir):
@@ -137,10 +150,9 @@ def detect(spark, sf_dir):
     return detect_language(documents(spark, sf_dir)).drop("text")
 
 
-def detect_title(spark, sf_dir):
-    title = F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title")
-    pages = read(spark, sf_dir, "pages", "page_id", title)
-    return detect_language(pages, "title").drop("title")
+def detect_page(spark, sf_dir):
+    body = F.regexp_replace("html", "<[^>]*>", " ").alias("body")
+    return detect_language(read(spark, sf_dir, "pages", "page_id", body), "body").drop("body")
 
 
 def translated(spark, sf_dir):
@@ -160,6 +172,15 @@ def translated_with_function(spark, sf_dir):
     return translate_with(documents(spark, sf_dir), translator).drop("text")
 
 
+def translated_in_part(spark, sf_dir):
+    """A translator that fails on every text with a given letter pair: only those stay."""
+    def translator(texts, langs):
+        if texts.str.contains("ez", regex=False).any():
+            raise RuntimeError("no translation")
+        return langs + ": " + texts
+    return translate_with(documents(spark, sf_dir), translator, ok="ok").drop("text")
+
+
 def label_nulls(spark, sf_dir):
     n = F.col("event_id") % 10
     value = F.when(n == 0, None).when(n == 1, 0).otherwise(F.col("value") - 10)
@@ -213,14 +234,27 @@ def message_members(spark, sf_dir):
 
 # --- JSON lines ---
 
+LONG = "123456789012345678901234567890123456789012345"
+
+
 def event_lines(spark, sf_dir):
     line = F.concat(
         F.lit('{"event_id": '), F.col("event_id").cast("string"),
         F.lit(', "attributes": {"a": [1, {"b": null}], "attributes": "x"}, "keep": 1, "props": '), F.col("props"),
         F.lit(', "event_type": "'), F.col("event_type"),
         F.lit('", "keep": 2, "value": '), F.col("value").cast("string"), F.lit("}"))
-    cut = F.when(F.col("event_id") % 10 == 0, F.substr(line, F.lit(1), F.length(line) - 1)).otherwise(line)
-    return spread(read(spark, sf_dir, "events")).select("event_id", cut.alias("value"))
+    n = F.col("event_id") % 20
+    # Malformed, trailing text, a second object, single quotes, and fine ones with a tab in front,
+    # a repeated key inside and a long number.
+    told = (F.when(F.col("event_id") % 10 == 0, F.substr(line, F.lit(1), F.length(line) - 1))
+            .when(n == 1, F.concat(line, F.lit(" trailing")))
+            .when(n == 2, F.concat(line, line))
+            .when(n == 3, F.replace(line, F.lit('"'), F.lit("'")))
+            .when(n == 4, F.concat(line, F.lit("]")))
+            .when(n == 5, F.concat(F.lit("\t"), line))
+            .when(n == 6, F.replace(line, F.lit('"keep": 1'), F.lit('"twice": {"x": 1, "x": 2}, "long": ' + LONG)))
+            .otherwise(line))
+    return read(spark, sf_dir, "events").select("event_id", told.alias("value"))
 
 
 def json_key_dropped(spark, sf_dir):
@@ -228,8 +262,9 @@ def json_key_dropped(spark, sf_dir):
     shape = "event_id bigint, props struct<k: bigint>, event_type string, value double, keep bigint"
     has = F.get_json_object("value", "$.attributes").isNotNull()
     o = F.from_json("value", shape)
-    return clean.select(o.alias("o"), has.alias("has_attributes")).select(
-        "o.event_id", "o.props.k", "o.event_type", "o.value", "o.keep", "has_attributes")
+    return clean.select(o.alias("o"), has.alias("has_attributes"), F.get_json_object("value", "$.twice.x").alias("twice"),
+                        F.regexp_extract("value", '"long":([0-9]+)', 1).alias("long")).select(
+        "o.event_id", "o.props.k", "o.event_type", "o.value", "o.keep", "has_attributes", "twice", "long")
 
 
 def json_rejects(spark, sf_dir):
@@ -295,7 +330,7 @@ def replaced(spark, sf_dir):
     docs = read(spark, sf_dir, "documents", "doc_id", "n_chars")
     path = work_folder(spark, "replaced")
     replace_table(docs, "check_replaced", path=path)
-    replace_table(docs.where("doc_id % 2 = 0"), "check_replaced", path=path,
+    replace_table(docs.withColumn("n_chars", F.col("n_chars") + 1), "check_replaced", path=path,
                   bucket_by="doc_id", buckets=8)
     return spark.table("check_replaced")
 
@@ -324,43 +359,85 @@ def page_members(spark, sf_dir, folder=None):
         name.alias("member"), F.encode("html", "UTF-8").alias("content"), "page_id").repartition(4)
 
 
-def members(kind, piece_bytes=4096):
-    def query(spark, sf_dir):
+def page_archives(kind):
+    def prepare(spark, sf_dir):
         folder = work_folder(spark, "archives")
         write_archives(page_members(spark, sf_dir), folder, kind)
+        return folder
+    return prepare
+
+
+def members(kind, piece_bytes=4096):
+    def run(spark, folder):
         pieces = archives.read_archive(spark, folder, kind.split(".")[0], piece_bytes)
-        write_batch(pieces, f"{folder}-landing", BATCH, also_by=["cut"])
-        whole = archives.whole_members(newest_batch(spark, f"{folder}-landing"))
+        landing = work_folder(spark, "landing")
+        write_batch(pieces, landing, BATCH, also_by=["cut"])
+        whole = archives.whole_members(newest_batch(spark, landing))
         return whole.select("member", "size", F.md5("content").alias("digest"))
-    return query
+    return staged(page_archives(kind), run)
 
 
 def lines(kind):
-    def query(spark, sf_dir):
-        folder = work_folder(spark, "archives")
-        write_archives(page_members(spark, sf_dir), folder, kind)
+    def run(spark, folder):
         rows = archives.read_archive_lines(spark, folder, kind, ".html", 1000)
         page = F.regexp_extract("member", "([0-9]+)", 1).cast("bigint").alias("page_id")
         return rows.groupBy(page).agg(
             F.count(F.lit(1)).alias("lines"), F.sum(F.length("value")).alias("characters"))
-    return query
+    return staged(page_archives(kind), run)
 
 
 def batch_written(spark, sf_dir):
     folder = work_folder(spark, "landing")
     pages = read(spark, sf_dir, "pages").select("page_id", F.md5("html").alias("digest"))
-    for batch, rows in (("2024-01-01-10-00", pages), (BATCH, pages), (BATCH, pages.where("page_id % 2 = 0"))):
+    for batch, rows in (("2024-01-01-10-00", pages), (BATCH, pages), (BATCH, pages.withColumn("digest", F.md5("digest")))):
         write_batch(rows, folder, batch)
     return newest_batch(spark, folder)
 
 
-def files_written(spark, sf_dir):
-    folder = work_folder(spark, "files")
-    write_archives(page_members(spark, sf_dir), f"{folder}-archives", "zip")
-    jobs.ingest_files(spark, f"{folder}-archives", folder, NOW, "zip")
-    files = list_objects(spark, folder, f"{BATCH}/", content=True)
+def batch_relanded(spark, sf_dir):
+    """A batch of two entities landed again with one: nothing of the other may stay."""
+    folder = work_folder(spark, "landing")
+    pages = read(spark, sf_dir, "pages").select("page_id", F.md5("html").alias("digest"))
+    first = pages.withColumn("entity", F.when(F.col("page_id") % 2 == 0, "review").otherwise("tip"))
+    for rows in (first, pages.withColumn("entity", F.lit("review"))):
+        write_batch(rows, folder, BATCH, also_by=["entity"])
+    return spark.read.parquet(folder)
+
+
+def awkward_archives(spark, sf_dir):
+    """Pages as messages: some empty, some with names that Spark's readers skip, some written twice."""
+    page = F.col("page_id")
+    start = F.when(page % 5 == 0, "_").when(page % 5 == 1, ".").otherwise("")
+    name = F.concat(F.lit("emails_feedback_faker/"), start, page.cast("string"), F.lit(".eml"))
+    body = F.when(page % 7 == 0, F.lit("")).otherwise(F.col("html"))
+    copies = F.when(page % 3 == 0, F.array(F.lit("old version"), body)).otherwise(F.array(body))
+    rows = read(spark, sf_dir, "pages").select(name.alias("member"), F.posexplode(copies).alias("n", "text"))
+    folder = work_folder(spark, "awkward")
+    # The versions of a name lie in one archive, the newer one behind the older.
+    rows = rows.select("member", "n", F.encode("text", "UTF-8").alias("content"))
+    write_archives(rows.repartition(4, "member").sortWithinPartitions("n"), folder, "zip")
+    return folder
+
+
+def landed_members(spark, folder):
+    """The members of both landings, which have to be the same."""
+    landing = work_folder(spark, "landing")
+    write_batch(archives.read_archive(spark, folder, "zip", 4096), landing, BATCH, also_by=["cut"])
+    whole = archives.whole_members(newest_batch(spark, landing)).select("member", "size", "content", F.lit("parquet").alias("landing"))
+    files = work_folder(spark, "files")
+    jobs.ingest_files(spark, folder, files, NOW, "zip")
+    listed = list_objects(spark, files, f"{BATCH}/", content=True)
+    member = F.substr("name", F.lit(len(BATCH) + 2)).alias("member")
+    found = whole.unionByName(listed.select(member, F.col("length").alias("size"), "content", F.lit("files").alias("landing")))
+    return found.select("landing", "member", "size", F.md5("content").alias("digest"))
+
+
+def written_files(spark, folder):
+    files = work_folder(spark, "files")
+    jobs.ingest_files(spark, folder, files, NOW, "zip")
+    found = list_objects(spark, files, f"{BATCH}/", content=True)
     member = F.substr("name", F.lit(len(BATCH) + 2))
-    return files.select(member.alias("member"), "length", F.md5("content").alias("digest")).withColumnRenamed("length", "size")
+    return found.select(member.alias("member"), "length", F.md5("content").alias("digest")).withColumnRenamed("length", "size")
 
 
 def load_audit(spark, sf_dir):
@@ -376,10 +453,15 @@ def previewed(spark, sf_dir):
 
 # --- whole jobs ---
 
-def job_emails(spark, sf_dir):
+def email_archives(spark, sf_dir):
     folder = work_folder(spark, "emails")
     write_archives(message_members(spark, sf_dir), f"{folder}/archives", "zip")
-    jobs.ingest_emails(spark, f"{folder}/archives", f"{folder}/landing", NOW)
+    return folder
+
+
+def job_emails(spark, folder):
+    folder, archived = work_folder(spark, "emails"), f"{folder}/archives"
+    jobs.ingest_emails(spark, archived, f"{folder}/landing", NOW)
     jobs.load_emails(spark, f"{folder}/landing", "check_emails", path=f"{folder}/table")
     jobs.score_emails_table(spark, "check_emails", "check_scored_emails",
                             options={"path": f"{folder}/scored"}, lexicon=lexicon())
@@ -387,49 +469,72 @@ def job_emails(spark, sf_dir):
     return four_places(scored.select("sender", "subject", R.SCORE, "sentiment"))
 
 
-def job_emails_files(spark, sf_dir):
-    folder = work_folder(spark, "emails")
-    write_archives(message_members(spark, sf_dir), f"{folder}/archives", "zip")
-    jobs.ingest_files(spark, f"{folder}/archives", f"{folder}/landing", NOW, "zip")
+def job_emails_files(spark, folder):
+    folder, archived = work_folder(spark, "emails"), f"{folder}/archives"
+    jobs.ingest_files(spark, archived, f"{folder}/landing", NOW, "zip")
     jobs.load_emails(spark, f"{folder}/landing", "check_emails_files", "files", path=f"{folder}/table")
     return spark.table("check_emails_files")
 
 
-def review_archives(spark, sf_dir, folder):
-    """Reviews and businesses as lines of JSON in tar archives."""
+def review_archives(spark, sf_dir):
+    """Reviews, businesses and a third entity as lines of JSON in tar archives."""
     def lines(df, entity):
         value = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
         return df.select(F.lit(entity).alias("entity"), value.alias("value"))
 
+    folder = work_folder(spark, "reviews")
     rows = reviews(spark, sf_dir).select(
         F.col("review_id").cast("string"), F.col("business_id").cast("string"), "stars",
-        "text", "date", F.lit("u").alias("user_id"), F.lit(0).alias("useful"))
+        "text", "date", F.lit("u").alias("user_id"), F.lit(0).alias("useful"),
+        F.struct((F.col("review_id") % 9).alias("rank")).alias("extra"))
     shops = businesses(spark, sf_dir).select(
         F.col("business_id").cast("string"), "name", "categories",
         F.struct(F.lit(True).alias("parking")).alias("attributes"))
-    write_line_archives(lines(rows, "review").unionByName(lines(shops, "business")), folder, "tar")
+    tips = read(spark, sf_dir, "nation", F.col("n_name").alias("tip"), F.col("n_nationkey").alias("likes"))
+    write_line_archives(lines(rows, "review").unionByName(lines(shops, "business")).unionByName(lines(tips, "tip")),
+                        f"{folder}/archives", "tar")
+    return folder
+
+
+def load_review_tables(spark, archived, landing, name):
+    folder = work_folder(spark, "reviews")
+    if landing == "parquet":
+        jobs.ingest_lines(spark, f"{archived}/archives", f"{folder}/landing", NOW)
+    else:
+        jobs.ingest_files(spark, f"{archived}/archives", f"{folder}/landing", NOW, "tar")
+    status = jobs.load_reviews(spark, f"{folder}/landing", f"{folder}/clean", name, landing)
+    failed = status.where("NOT ok").collect()
+    if failed:
+        raise RuntimeError(str(failed))
+    return folder
 
 
 def job_reviews_from(landing):
-    def query(spark, sf_dir):
-        folder = work_folder(spark, "reviews")
+    def run(spark, archived):
         name = f"check_{landing}_"
-        review_archives(spark, sf_dir, f"{folder}/archives")
-        if landing == "parquet":
-            jobs.ingest_lines(spark, f"{folder}/archives", f"{folder}/landing", NOW)
-        else:
-            jobs.ingest_files(spark, f"{folder}/archives", f"{folder}/landing", NOW, "tar")
-        status = jobs.load_reviews(spark, f"{folder}/landing", f"{folder}/clean", name, landing)
-        failed = status.where("NOT ok").collect()
-        if failed:
-            raise RuntimeError(str(failed))
+        folder = load_review_tables(spark, archived, landing, name)
         tables = {"reviews": f"{name}reviews", "businesses": f"{name}businesses"}
         jobs.score_reviews_table(spark, target=f"{name}scores", prefix=name, root=folder,
                                  lexicon=lexicon(), **tables)
         jobs.refresh_report(spark, scores=f"{name}scores", view=f"{name}report", path=folder, **tables)
         report = spark.table(f"{name}report").withColumn("ESTRELAS", F.col("ESTRELAS").cast("int"))
         return four_places(report, "SENTIMENT_SCORE")
-    return query
+    return staged(review_archives, run)
+
+
+def all_columns(spark, archived):
+    """Fields that no schema names, in both landings: of reviews, and of an entity without a schema."""
+    rows = []
+    for landing in ("parquet", "files"):
+        name = f"check_all_{landing}_"
+        load_review_tables(spark, archived, landing, name)
+        create_table_as(spark.table(f"{name}review"), f"{name}copy", path=work_folder(spark, "copy"))
+        rows.append(spark.table(f"{name}copy").select(F.lit(landing).alias("landing"), F.col("review_id").alias("name"), F.col("extra.rank").alias("number")))
+        rows.append(spark.table(f"{name}tip").select(F.lit(landing).alias("landing"), F.col("tip").alias("name"), F.col("likes").alias("number")))
+    out = rows[0]
+    for more in rows[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def registry():
@@ -445,10 +550,11 @@ def registry():
         "score_with_function": score_with_function,
         "emails_report": emails_report,
         "detect_language": detect,
-        "detect_title": detect_title,
+        "detect_page": detect_page,
         "translate": translated,
         "translate_joined_glossary": translated_joined,
         "translate_with_function": translated_with_function,
+        "translate_in_part": translated_in_part,
         "label_nulls": label_nulls,
         "parse_emails": parsed(),
         "parse_emails_original_names": parsed(True),
@@ -477,11 +583,14 @@ def registry():
         "archive_lines_zip": lines("zip"),
         "archive_lines_tar": lines("tar"),
         "write_batch": batch_written,
-        "write_member_files": files_written,
+        "reland_batch": batch_relanded,
+        "write_member_files": staged(page_archives("zip"), written_files),
+        "landing_members": staged(awkward_archives, landed_members),
         "load_audit": load_audit,
         "preview": previewed,
-        "job_emails": job_emails,
-        "job_emails_files": job_emails_files,
+        "job_emails": staged(email_archives, job_emails),
+        "job_emails_files": staged(email_archives, job_emails_files),
+        "all_columns": staged(review_archives, all_columns),
         "job_reviews": job_reviews_from("parquet"),
         "job_reviews_files": job_reviews_from("files"),
     }

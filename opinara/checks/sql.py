@@ -28,8 +28,7 @@ def table(name, columns, rows):
 CHECK_WORDS = table("lexicon", ["word", "valence"], CHECK_LEXICON.items())
 CORPUS_WORDS = r"""lexicon AS (
   SELECT word, ((length(word) * 7 + ascii(word)) % 17 - 8)::DOUBLE / 4.0::DOUBLE AS valence
-  FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM benchmark)
-  WHERE length(word) > 2)"""
+  FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\p{L}\p{M}]+')) AS word FROM benchmark))"""
 
 
 def edited(column, edits):
@@ -213,7 +212,7 @@ def oracles():
     sql |= {
         "review_report": REPORT,
         "review_report_unique": REPORT,
-        "refresh_view": REPORT,
+        "refresh_view": f"SELECT DISTINCT * FROM ({REPORT})",
         "report_view": REPORT,
         "job_reviews": REPORT,
         "job_reviews_files": REPORT,
@@ -224,13 +223,16 @@ def oracles():
         "score_with_function": "SELECT doc_id, round(length(text)::DOUBLE / (length(text) + 1000), 4) AS sentiment_score FROM documents",
         "emails_report": emails_report(DOCUMENTS),
         "detect_language": f"WITH {language(DOCUMENTS)} SELECT id AS doc_id, lang AS language FROM detected",
-        "detect_title": "WITH " + language(
-            "SELECT page_id AS id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS body FROM pages")
+        "detect_page": "WITH " + language(
+            "SELECT page_id AS id, regexp_replace(html, '<[^>]*>', ' ', 'g') AS body FROM pages")
             + " SELECT id AS page_id, lang AS language FROM detected",
         "translate": f"WITH {english(DOCUMENTS)} SELECT id AS doc_id, english AS translated FROM translated",
         "translate_joined_glossary": f"WITH {english(DOCUMENTS)} SELECT id AS doc_id, english AS translated FROM translated",
         "translate_with_function": f"WITH {language(DOCUMENTS)} SELECT id AS doc_id, "
             "CASE WHEN lang <> 'en' THEN lang || ': ' || body ELSE body END AS translated FROM detected",
+        "translate_in_part": f"""WITH {language(DOCUMENTS)} SELECT id AS doc_id,
+            CASE WHEN lang <> 'en' AND NOT contains(body, 'ez') THEN lang || ': ' || body ELSE body END AS translated,
+            CASE WHEN lang <> 'en' THEN NOT contains(body, 'ez') END AS ok FROM detected""",
         "label_nulls": f"""SELECT event_id, {LABEL_EMAIL.format("v")} AS email_label, {LABEL_REVIEW.format("v")} AS review_label
             FROM (SELECT event_id, CASE event_id % 10 WHEN 0 THEN NULL WHEN 1 THEN 0 ELSE value - 10 END AS v FROM events)""",
         "parse_emails": f"WITH {MESSAGES} SELECT * FROM messages",
@@ -238,8 +240,10 @@ def oracles():
             subject AS assunto, date AS data, body AS corpo, is_multipart FROM messages""",
         "email_rejects": "SELECT conv_id, turn FROM conversations WHERE conv_id % 7 = 0",
         "drop_json_key": """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type, value,
-            CAST(2 AS BIGINT) AS keep, false AS has_attributes FROM events WHERE event_id % 10 <> 0""",
-        "json_rejects": """SELECT event_id FROM events WHERE event_id % 10 = 0""",
+            CAST(2 AS BIGINT) AS keep, false AS has_attributes, CASE WHEN event_id % 20 = 6 THEN '2' END AS twice,
+            CASE WHEN event_id % 20 = 6 THEN '123456789012345678901234567890123456789012345' ELSE '' END AS long
+            FROM events WHERE event_id % 20 NOT IN (0, 1, 2, 3, 4, 10)""",
+        "json_rejects": """SELECT event_id FROM events WHERE event_id % 20 IN (0, 1, 2, 3, 4, 10)""",
         "batch_key": "SELECT event_id, strftime(ts - INTERVAL 3 HOUR, '%Y-%m-%d-%H-%M') AS batch FROM events",
         "batches": f"WITH {EVENT_BATCHES} SELECT DISTINCT batch FROM batched WHERE name LIKE '2%/%'",
         "latest_batch": f"""WITH {EVENT_BATCHES} SELECT event_id, batch FROM batched
@@ -252,7 +256,7 @@ def oracles():
         "create_table_as": "SELECT doc_id, text, lang, source, n_chars FROM documents",
         "create_table_as_columns": """SELECT n_nationkey AS business_id, r_name AS categories, n_name AS name
             FROM nation JOIN region ON r_regionkey = n_regionkey""",
-        "replace_table": "SELECT doc_id, n_chars FROM documents WHERE doc_id % 2 = 0",
+        "replace_table": "SELECT doc_id, n_chars + 1 AS n_chars FROM documents",
         "external_table": "SELECT doc_id, lang, n_chars, text FROM documents",
         "save_external": "SELECT conv_id, turn, role, text FROM conversations",
         "archive_zip": MEMBERS,
@@ -260,7 +264,16 @@ def oracles():
         "archive_tar_gz": MEMBERS,
         "archive_lines_zip": LINES,
         "archive_lines_tar": LINES,
-        "write_batch": "SELECT '2024-01-02-10-00' AS batch, page_id, md5(html) AS digest FROM pages WHERE page_id % 2 = 0",
+        "write_batch": "SELECT '2024-01-02-10-00' AS batch, page_id, md5(md5(html)) AS digest FROM pages",
+        "reland_batch": "SELECT '2024-01-02-10-00' AS batch, 'review' AS entity, page_id, md5(html) AS digest FROM pages",
+        "landing_members": """SELECT landing, 'emails_feedback_faker/' || CASE page_id % 5 WHEN 0 THEN '_' WHEN 1 THEN '.' ELSE '' END
+            || page_id || '.eml' AS member, CAST(strlen(body) AS BIGINT) AS size, md5(body) AS digest
+            FROM (SELECT page_id, CASE WHEN page_id % 7 = 0 THEN '' ELSE html END AS body FROM pages)
+            CROSS JOIN (VALUES ('parquet'), ('files')) v(landing)""",
+        "all_columns": """SELECT landing, name, number FROM (
+              SELECT CAST(doc_id AS VARCHAR) AS name, CAST(doc_id % 9 AS BIGINT) AS number FROM documents
+              UNION ALL SELECT n_name, CAST(n_nationkey AS BIGINT) FROM nation)
+            CROSS JOIN (VALUES ('parquet'), ('files')) v(landing)""",
         "write_member_files": MEMBERS,
         "load_audit": "SELECT 'documents_copy' AS \"table\", count(*) AS \"rows\" FROM documents",
         "preview": "SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id LIMIT 5",

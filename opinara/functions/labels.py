@@ -3,6 +3,9 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The labels of the report, by the sign of the score.
+REVIEW_LABELS = {"= 0": "NEUTRO", "> 0": "POSITIVO", "< 0": "NEGATIVO"}
+
 
 def email_label(score: Column) -> Column:
     """English label; a missing score counts as Neutral."""
@@ -11,4 +14,12 @@ def email_label(score: Column) -> Column:
 
 def review_label(score: Column) -> Column:
     """Portuguese label of the report; a missing score has no label."""
-    return (F.when(score == 0, "NEUTRO").when(score > 0, "POSITIVO").when(score < 0, "NEGATIVO"))
+    label = F
+    for sign, condition in (("= 0", score == 0), ("> 0", score > 0), ("< 0", score < 0)):
+        label = label.when(condition, REVIEW_LABELS[sign])
+    return label
+
+
+def review_label_sql(score: str) -> str:
+    """The same label as SQL, for views."""
+    return "CASE " + " ".join(f"WHEN {score} {sign} THEN '{label}'" for sign, label in REVIEW_LABELS.items()) + " END"

@@ -12,6 +12,7 @@ import zlib
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 MAX_INLINE_ENTRIES = 50_000
 MAX_INLINE_BYTES = 2 << 20
@@ -32,6 +33,10 @@ class Vocabulary:
 
     @classmethod
     def of(cls, entries: dict, value_type="double"):
+        """A dictionary of the caller's as a constant; one beyond the bounds has to come as a table."""
+        size = sum(len(word.encode()) + len(json.dumps({"value": value})) for word, value in entries.items())
+        if len(entries) > MAX_INLINE_ENTRIES or size > MAX_INLINE_BYTES:
+            raise ValueError("too large for a constant: give it as a table, with Vocabulary.from_table")
         return cls(entries=entries, value_type=value_type)
 
     @classmethod
@@ -39,8 +44,11 @@ class Vocabulary:
                    max_entries=MAX_INLINE_ENTRIES, max_bytes=MAX_INLINE_BYTES):
         """Measure ``table``; keep it inline only if rows and bytes stay within the bounds.
 
-        A word listed twice keeps its greatest value, whichever form is chosen.
+        A word listed twice keeps its greatest value, whichever form is chosen. Numbers
+        of any type become doubles first, so that both forms look up the same.
         """
+        if isinstance(table.schema[value].dataType, NumericType):
+            table = table.withColumn(value, F.col(value).cast("double"))
         table = (table.where(F.col(word).isNotNull() & F.col(value).isNotNull())
                  .groupBy(F.col(word).alias("word")).agg(F.max(value).alias("value")))
         value_type = table.schema["value"].dataType.simpleString()

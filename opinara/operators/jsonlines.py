@@ -1,14 +1,35 @@
-"""Clean line-delimited JSON."""
+"""Clean line-delimited JSON, as strictly as a JSON parser for one document takes a line."""
+
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OBJECT = "map<string,variant>"
+STRICT = {"allowSingleQuotes": "false"}
+
+
+def _quoted(text):
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def strict_sql(line: str, kind: str, options=None) -> str:
+    """SQL for the one JSON object of ``line`` as ``kind``, NULL for anything else.
+
+    Spark's parser stops behind the first value of a line. So the line is read as
+    the value of an object that goes on with a key nobody has written, which a cut
+    line or trailing text would hide, and as the only element of an array.
+    """
+    end = f"end_{uuid.uuid4().hex}"
+    given = "map('allowSingleQuotes', 'false'" + "".join(f", '{k}', '{v}'" for k, v in (options or {}).items()) + ")"
+    whole = f"from_json(concat('{{\"o\":', {line}, ',\"{end}\":0}}'), 'o {_quoted(kind)}, {end} int', {given})"
+    alone = f"size(from_json(concat('[', {line}, ']'), 'array<string>', {given}))"
+    return f"CASE WHEN {alone} = 1 AND {whole}.{end} = 0 THEN {whole}.o END"
 
 
-def json_object(line: Column) -> Column:
+def json_object(line: str) -> Column:
     """The line's object as a map, NULL for anything else."""
-    return F.from_json(line, OBJECT)
+    return F.expr(strict_sql(f"`{line}`", OBJECT))
 
 
 def _last_of_each_key(parsed: Column) -> Column:
@@ -20,18 +41,40 @@ def _last_of_each_key(parsed: Column) -> Column:
     return F.when(repeated, F.map_from_entries(last)).otherwise(parsed)
 
 
+def _is_double(value: Column) -> Column:
+    return F.schema_of_variant(value) == "DOUBLE"
+
+
+def _written(kept: Column, line: Column) -> Column:
+    """The map as JSON. A number that a double would change keeps the text it had."""
+    texts = F.from_json(line, "map<string,string>", STRICT)
+
+    def member(entry):
+        key = F.to_json(F.array(entry["key"]))
+        raw = F.regexp_replace(F.element_at(texts, entry["key"]), "\"", "")
+        value = F.when(_is_double(entry["value"]), raw).otherwise(F.to_json(entry["value"]))
+        return F.concat(F.substring(key, F.lit(2), F.length(key) - 2), F.lit(":"), value)
+
+    rewritten = F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries(kept), member), ","), F.lit("}"))
+    return F.when(F.exists(F.map_values(kept), _is_double), rewritten).otherwise(F.to_json(kept))
+
+
 def drop_json_key(df: DataFrame, key: str, line="value"):
     """Return ``(clean, rejects)``.
 
-    ``clean`` holds every JSON object without its top-level ``key``, written as
-    JSON again; ``rejects`` the lines that are no JSON object. A key given twice
-    keeps its last value.
+    ``clean`` holds every line that is one JSON object, without its top-level
+    ``key``, written as JSON again; ``rejects`` all other lines: malformed ones,
+    trailing text, a second object, single quotes, other values. A key given twice
+    keeps its last value, at any depth; for that the session's
+    ``spark.sql.variant.allowDuplicateKeys`` is set. Numbers of any size and NaN at
+    the top level stay as written; deeper ones beyond a double's precision do not.
     """
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     parsed = "parsed"
     # Exploding the object, if there is one, parses each kept line once; a filter on
     # the parsed column would be pushed down and parse it again.
-    found = F.filter(F.array(json_object(F.col(line))), lambda o: o.isNotNull())
+    found = F.filter(F.array(json_object(line)), lambda o: o.isNotNull())
     clean = df.select("*", F.explode(found).alias(parsed))
     kept = F.map_filter(_last_of_each_key(F.col(parsed)), lambda k, v: k != key)
-    clean = clean.withColumn(line, F.to_json(kept)).drop(parsed)
-    return clean, df.where(json_object(F.col(line)).isNull())
+    clean = clean.withColumn("kept", kept).withColumn(line, _written(F.col("kept"), F.col(line))).drop(parsed, "kept")
+    return clean, df.where(json_object(line).isNull())

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.labels import email_label, review_label
+from ..functions.labels import email_label, review_label, review_label_sql
 from .text import score_sentiment, translate
 
 SCORE = "sentiment_score"
@@ -54,9 +54,7 @@ def report_view(spark, name: str, scores: str, reviews: str, businesses: str) ->
         CREATE OR REPLACE VIEW {name} AS
         SELECT b.name AS NOME, b.categories AS CATEGORIAS, r.text AS REVIEW,
                r.date AS DATA_AVALIACAO, r.stars AS ESTRELAS, s.sentiment_score AS SENTIMENT_SCORE,
-               CASE WHEN s.sentiment_score > 0 THEN 'POSITIVO'
-                    WHEN s.sentiment_score < 0 THEN 'NEGATIVO'
-                    WHEN s.sentiment_score = 0 THEN 'NEUTRO' END AS SENTIMENTO
+               {review_label_sql('s.sentiment_score')} AS SENTIMENTO
         FROM {scores} s JOIN {reviews} r USING (review_id) JOIN {businesses} b USING (business_id)""")
 
 

@@ -125,12 +125,29 @@ def _translation_key(code, text):
     return text_key(F.coalesce(F.col(code), F.lit("")), F.lit("\n"), F.col(text))
 
 
+def _each_or_none(translator, texts, langs):
+    """Results of ``translator``; None for each text it fails on. A failing batch is halved down to single texts."""
+    try:
+        found = list(translator(texts, langs))
+        if len(found) == len(texts):
+            return found
+    except Exception:
+        pass
+    if len(texts) <= 1:
+        return [None] * len(texts)
+    half = len(texts) // 2
+    return [result for part in (slice(0, half), slice(half, None))
+            for result in _each_or_none(translator, texts.iloc[part].reset_index(drop=True), langs.iloc[part].reset_index(drop=True))]
+
+
 def translate_with(df: DataFrame, translator, text="text", out="translated",
-                   lang=None, stop_words: Vocabulary = None) -> DataFrame:
+                   lang=None, stop_words: Vocabulary = None, ok: str = None) -> DataFrame:
     """Translate foreign text with a caller's ``translator(texts, languages) -> texts``.
 
-    It gets pandas batches of distinct foreign texts. A batch that raises, or a
-    missing result, keeps the original text.
+    It gets pandas batches of distinct foreign texts. A text that it raises on or
+    gives no result for keeps the original; the others of its batch are translated
+    all the same. ``ok`` names a column that says so: false for a foreign text that
+    kept the original, true for a translated one, missing where nothing was asked.
     """
     code = lang or f"{out}__language"
     key = f"{out}__key"
@@ -139,16 +156,15 @@ def translate_with(df: DataFrame, translator, text="text", out="translated",
 
     def call(batches):
         for batch in batches:
-            try:
-                found = list(translator(batch[text], batch[code]))
-            except Exception:
-                found = [None] * len(batch)
+            found = _each_or_none(translator, batch[text], batch[code])
             yield pd.DataFrame({key: batch[key].values, out: pd.Series(found, dtype="object").values})
 
     def turn(rows):
         return rows.where(F.col(code) != ENGLISH).mapInPandas(call, f"`{key}` string, `{out}` string")
 
     df = by_text(df, key, _translation_key(code, text), [text, code], turn, out)
+    if ok:
+        df = df.withColumn(ok, F.when((F.col(code) != ENGLISH) & F.col(text).isNotNull(), F.col(out).isNotNull()))
     df = df.withColumn(out, F.coalesce(F.col(out), F.col(text)))
     return df if lang else df.drop(code)
 

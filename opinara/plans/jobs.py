@@ -18,7 +18,7 @@ from ..sinks.tables import audited, create_table_as, refresh_view, replace_table
 from ..sources import archives
 from ..sources.objects import (batch_of, entity_name, latest_batch, list_objects,
                                newest_batch_key, select_paths)
-from ..sources.tables import SCHEMAS, external_tables, line_views, read_json_lines
+from ..sources.tables import SCHEMAS, line_views, read_json_lines
 
 # Names of the original folders and tables.
 EMAIL_FOLDER = "emails_feedback_faker"
@@ -76,7 +76,7 @@ def load_emails(spark, root: str, table: str = EMAILS, landing="parquet", **opti
         messages = archives.whole_members(members).select(F.col("member").alias("name"), "content")
     else:
         batch = newest_batch_key(list_objects(spark, root).select(batch_of(F.col("name")).alias("batch")))
-        files = list_objects(spark, root, f"{batch}/", content=True)
+        files = list_objects(spark, root, f"{batch}/{EMAIL_FOLDER}/", content=True)
         messages = select_paths(files, EMAIL_FOLDER, ".eml").select("name", "content")
     readable, rejects = split_readable(messages)
     replace_table(parse_emails(readable.drop("name")), table, **options)
@@ -87,36 +87,50 @@ def load_reviews(spark, root: str, clean_root: str = None, prefix=EXTERNAL_PREFI
                  landing="parquet") -> DataFrame:
     """Register one external table per entity of the newest batch; one status row each.
 
-    Over the parquet landing the tables are views that parse the landed lines, so
-    nothing is copied. Over files they are tables on the files themselves, except
-    that business files lose ``attributes`` first; the cleaned copy goes below
-    ``clean_root``, since Spark does not overwrite what it reads.
+    The tables are views that parse the landed lines, with every column that the
+    lines have, so nothing is copied; lines that are not one JSON object are skipped,
+    in either landing alike. Over files, business files lose ``attributes`` first, as
+    the original's did; the cleaned copy goes below ``clean_root``, since Spark does
+    not overwrite what it reads. Spark reads no file whose name begins with ``_`` or
+    ``.``: such members need the parquet landing, and here fail with an error.
     """
     if landing == "parquet":
         folders = landed_folders(spark, root)
         batch = newest_batch_key(folders)
         entities = [r[0] for r in folders.where(F.col("batch") == batch).select("entity").distinct().collect()]
-        return line_views(spark, root, batch, {f"{prefix}{e}": e for e in sorted(entities)}, SCHEMAS)
+        sources = {e: f"SELECT value FROM parquet.`{root}` WHERE batch = '{batch}' AND entity = '{e}'" for e in entities}
+        dropped = {e: (DROPPED_KEY,) for e in entities if "business" in e}
+    else:
+        sources, dropped = _file_sources(spark, root.rstrip("/"), clean_root), {}
+    names = {f"{prefix}{e}": e for e in sorted(sources)}
+    return line_views(spark, {name: sources[e] for name, e in names.items()}, names, SCHEMAS, dropped)
+
+
+def _file_sources(spark, root, clean_root):
+    """SQL for the lines of each entity of the newest batch of files; business files cleaned first."""
     files = select_paths(latest_batch(list_objects(spark, root)), suffix=".json")
+    hidden = F.max(F.substring_index("name", "/", -1).rlike("^[_.]"))
     # One row per table to be made.
     entities = (files.groupBy("batch", entity_name(F.col("name")).alias("entity"))
-                .agg(F.count(F.lit(1)).alias("files"), F.min("path").alias("path"),
-                     F.max(F.col("name").contains("business")).alias("business")).collect())
+                .agg(F.min("path").alias("path"), F.max(F.col("name").contains("business")).alias("business"),
+                     F.count(F.lit(1)).alias("files"), hidden.alias("hidden")).collect())
     if not entities:
         raise ValueError("no JSON file in the newest batch")
-    paths = {r["entity"]: r["path"] for r in entities}
+    if any(r["hidden"] for r in entities):
+        raise ValueError("file names that begin with _ or . need the parquet landing")
+    sources = {r["entity"]: f"SELECT value FROM text.`{r['path']}`" for r in entities}
     cleaned = [r["entity"] for r in entities if r["business"]]
     merged = [r["entity"] for r in entities if r["files"] > 1 and not r["business"]]
     if cleaned or merged:
         batch = entities[0]["batch"]
-        lines = read_json_lines(spark, f"{root.rstrip('/')}/{batch}").select(
+        lines = read_json_lines(spark, f"{root}/{batch}").select(
             "value", entity_name(F.col("_metadata.file_name")).alias("entity"))
         clean, _ = drop_json_key(lines.where(F.col("entity").isin(cleaned)), DROPPED_KEY)
         target = f"{clean_root.rstrip('/')}/{batch}"
         (clean.unionByName(lines.where(F.col("entity").isin(merged)))
          .write.mode("overwrite").partitionBy("entity").text(target))
-        paths |= {entity: f"{target}/entity={entity}" for entity in cleaned + merged}
-    return external_tables(spark, {f"{prefix}{e}": p for e, p in sorted(paths.items())}, SCHEMAS)
+        sources |= {entity: f"SELECT value FROM text.`{target}/entity={entity}`" for entity in cleaned + merged}
+    return sources
 
 
 def _require_rows(df: DataFrame) -> None:

@@ -1,29 +1,17 @@
-"""Session helpers: a shared work folder and an even spread of small inputs."""
+"""Session helper: a shared work folder."""
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder path that every executor can reach.
 
-    It lies in the folder the cluster names in ``spark.checkpoint.dir``. Only a
-    local session without that setting may use a temporary folder of the machine.
+    It lies in the folder the cluster names in ``spark.checkpoint.dir``; where that is
+    unset, below the warehouse folder, which tables share anyway.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="opinara-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Share out an input that arrives in fewer pieces than the cluster has cores.
-
-    A large input already has many splits and passes through untouched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(4 * cores) if df.rdd.getNumPartitions() < cores else df

@@ -11,10 +11,11 @@ from ..sources import archives
 def write_batch(df: DataFrame, root: str, batch: str, also_by=()) -> None:
     """Write rows as partition ``batch`` of the parquet table at ``root``.
 
-    Landing the same batch again replaces that partition only.
+    Landing the same batch again replaces all of it, whatever its inner partitions
+    were, and an empty landing leaves it empty. Other batches stay as they are.
     """
-    (df.withColumn("batch", F.lit(batch)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch", *also_by).parquet(root))
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(*also_by).parquet(f"{root.rstrip('/')}/batch={batch}"))
 
 
 def landed_folders(spark, root: str) -> DataFrame:

@@ -1,33 +1,87 @@
 """Replace tables, refresh views, keep a load audit."""
 
+import re
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+OWNER = "opinara.made_by"
 AUDIT_SCHEMA = "table string, started timestamp, ended timestamp, duration interval day to second, rows bigint"
 
 
+def _stamp() -> str:
+    return datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")  # 20 digits
+
+
+def drop_with_files(spark, name: str) -> None:
+    """Drop a table of this module's making together with its files, wherever they lie."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    for row in rows:
+        _delete(spark, row["data_type"])
+
+
+def _delete(spark, folder):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _write_table(df, name, path, fmt, partition_by, bucket_by, buckets, options):
+    writer = df.write.format(fmt).mode("errorifexists").options(**options)
+    if path:
+        writer = writer.option("path", path)
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+    writer.saveAsTable(name)
+
+
 def replace_table(df: DataFrame, name: str, path: str = None, fmt="parquet",
                   partition_by=None, bucket_by=None, buckets=None, clustered=False, **options) -> None:
     """Write ``df`` as table ``name`` in place of what was there.
 
+    The rows are written beside the old table, which takes the name over only when
+    they are complete: a write that fails leaves the old table as it was. With
+    ``path`` each version has a folder of its own below it. The old version goes
+    with its files if this function made it; of any other table the files stay.
+
     Tables that will be joined on ``bucket_by`` should share ``buckets``: they
     then meet bucket by bucket, without a shuffle. Rows are brought together by
     bucket before the write, so that not every task adds a file to every bucket;
     adaptive execution splits a bucket that a hot key has made too large.
     ``clustered`` says that the rows come from a table of the same buckets.
     """
+    spark = df.sparkSession
     if bucket_by and not clustered:
         df = df.hint("rebalance", bucket_by)
-    writer = df.write.format(fmt).mode("overwrite").options(**options)
-    if path:
-        writer = writer.option("path", path)
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    if bucket_by:
-        writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
-    writer.saveAsTable(name)
+    stamp = _stamp()
+    fresh, old = f"{name}_new{stamp}", f"{name}_old{stamp}"
+    folder = f"{path.rstrip('/')}/{stamp}" if path else None
+    try:
+        _write_table(df, fresh, folder, fmt, partition_by, bucket_by, buckets, options)
+    except Exception:
+        if spark.catalog.tableExists(fresh):
+            drop_with_files(spark, fresh)
+        elif folder:
+            _delete(spark, folder)
+        raise
+    spark.sql(f"ALTER TABLE {fresh} SET TBLPROPERTIES ('{OWNER}' = 'replace_table')")
+    exists = spark.catalog.tableExists(name)
+    if exists:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    if exists:
+        if _owner(spark, old) == "replace_table":
+            drop_with_files(spark, old)
+        else:
+            spark.sql(f"DROP TABLE {old}")
+
+
+def _owner(spark, name):
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == OWNER).collect()
+    return rows[0]["value"] if rows else None
 
 
 def save_external(df: DataFrame, fmt: str, mode="overwrite", **options) -> None:
@@ -44,18 +98,23 @@ def refresh_view(df: DataFrame, name: str, path: str = None, **options) -> None:
     """Store ``df`` beside the current version, then point view ``name`` at it.
 
     Readers see the old rows or the new ones, never a half-written table. The
-    version before the current one is dropped.
+    version before the current one stays for readers under way; older ones are
+    dropped with their files. Only tables that this function made for this very
+    view are ever dropped: their names are the view's with 20 digits, and they
+    carry its name as a property.
     """
     spark = df.sparkSession
-    version = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
-    stored = f"{name}_v{version}"
-    replace_table(df, stored, path=f"{path}/{stored}" if path else None, **options)
     database, _, short = name.rpartition(".")
+    dot = f"{database}." if database else ""
+    stored = f"{name}_v{_stamp()}"
+    _write_table(df, stored, f"{path.rstrip('/')}/{stored.rpartition('.')[2]}" if path else None, options.pop("fmt", "parquet"),
+                 None, None, None, options)
+    spark.sql(f"ALTER TABLE {stored} SET TBLPROPERTIES ('{OWNER}' = 'refresh_view {short}')")
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {stored}")
-    tables = spark.catalog.listTables(database or None, pattern=f"{short}_v*")
-    versions = sorted(t.name for t in tables if t.name.rsplit("_v", 1)[-1].isdigit())
-    for old in versions[:-2]:
-        spark.sql(f"DROP TABLE IF EXISTS {database + '.' if database else ''}{old}")
+    tables = [t.name for t in spark.catalog.listTables(database or None) if re.fullmatch(re.escape(short) + r"_v[0-9]{20}", t.name)]
+    versions = sorted(t for t in tables if _owner(spark, dot + t) == f"refresh_view {short}")
+    for older in versions[:-2]:
+        drop_with_files(spark, dot + older)
 
 
 def audited(df: DataFrame, table: str, write, clock=lambda: datetime.now(timezone.utc)) -> DataFrame:

@@ -9,13 +9,19 @@ of a zip are byte ranges, read by as many tasks as they have pieces. A deflated
 zip member has to be read from its start: one task per member. A compressed tar
 has to be read from its start as a whole: one task per archive. Either way the
 bytes pass through in pieces.
+
+A name written twice in one archive stands for its last member, as unpacking the
+archive would have it. For that the first pass holds the names of one archive; over
+a compressed tar it is a pass of its own.
 """
 
 import struct
 import tarfile
 import zipfile
 import zlib
+from functools import lru_cache
 
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,17 +30,23 @@ from pyspark.sql import functions as F
 PIECE_BYTES = 4 << 20
 FLUSH_BYTES = 8 << 20
 FLUSH_ROWS = 2000
+TASK_BYTES = 128 << 20
+WHOLE_BYTES = 1 << 30
+
+# Schemes that Spark's file systems go by, and what Arrow calls the same stores.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs", "wasbs": "abfss"}
 
 INDEX = "archive string, member string, size bigint, offset bigint, packed bigint, crc bigint, method string"
 RANGE, STORED, DEFLATED, OTHER, STREAM = "range", "stored", "deflated", "other", "stream"
 
 
 def filesystem(path: str):
-    """File system and path of an object, for use inside tasks."""
+    """Arrow file system and path of an object, for use inside tasks; takes the schemes that Spark takes."""
     if path.startswith("file:"):
         return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
     if "://" in path:
-        return fs.FileSystem.from_uri(path)
+        scheme, _, rest = path.partition("://")
+        return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")
     return fs.LocalFileSystem(), path
 
 
@@ -47,9 +59,8 @@ def _open(path):
 
 def _zip_members(path):
     with _open(path) as handle, zipfile.ZipFile(handle) as archive:
-        for info in archive.infolist():
-            if info.is_dir():
-                continue
+        last = {info.filename: info for info in archive.infolist() if not info.is_dir()}
+        for info in last.values():
             method = OTHER
             if not info.flag_bits & 1:
                 method = {zipfile.ZIP_STORED: STORED, zipfile.ZIP_DEFLATED: DEFLATED}.get(
@@ -65,12 +76,14 @@ def _tar_members(path):
             # Compressed: the members are known only once it has been read.
             yield path, None, None, 0, None, None, STREAM
             return
+        last = {}
         with archive:
             for info in archive:
                 if info.isfile():
                     method = OTHER if info.sparse else RANGE
-                    yield path, info.name, info.size, info.offset_data, None, None, method
+                    last[info.name] = (path, info.name, info.size, info.offset_data, None, None, method)
                 archive.members = []
+        yield from last.values()
 
 
 def member_index(spark: SparkSession, path: str, kind: str) -> DataFrame:
@@ -114,8 +127,9 @@ def _pieces(index: DataFrame, piece_bytes: int) -> DataFrame:
     cuttable = F.col("method").isin(RANGE, STORED) & (F.col("size") > 0)
     starts = F.when(cuttable, F.sequence(F.lit(0), F.col("size") - 1, F.lit(piece_bytes)))
     starts = F.coalesce(starts, F.array(F.lit(0).cast("bigint")))
-    return _hashed(_safe(index).select("*", F.posexplode(starts).alias("piece", "start")),
-                   "archive", "member", "piece")
+    pieces = _safe(index).select("*", F.posexplode(starts).alias("piece", "start"))
+    own = F.when(cuttable, F.least(F.lit(piece_bytes), F.col("size") - F.col("start")))
+    return _hashed(pieces.withColumn("piece_size", own), "archive", "member", "piece")
 
 
 def _safe(index):
@@ -124,15 +138,16 @@ def _safe(index):
 
 def _hashed(rows, *keys):
     spark = rows.sparkSession
+    size = rows.agg(F.sum(F.coalesce("piece_size", "packed", "size", F.lit(0)))).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                spark.sparkContext.defaultParallelism)
+                spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
     # A fixed number: adaptive execution would merge these tiny rows into one task.
-    return rows.repartition(tasks, *keys)
+    return rows.drop("piece_size").repartition(tasks, *keys)
 
 
 def spread_members(index: DataFrame) -> DataFrame:
     """The safe members of an index, hashed over the cluster as wholes."""
-    return _hashed(_safe(index), "archive", "member")
+    return _hashed(_safe(index).withColumn("piece_size", F.lit(None).cast("bigint")), "archive", "member")
 
 
 # --- second pass: the bytes ---
@@ -171,20 +186,55 @@ def _inflate(handle, row):
     yield data
 
 
+def _checked(chunks, row):
+    """The chunks of a whole member, with its checksum tested at the end where the archive has one."""
+    crc = 0
+    for chunk in chunks:
+        crc = zlib.crc32(chunk, crc)
+        yield chunk
+    if row["crc"] is not None and crc != row["crc"]:
+        raise zipfile.BadZipFile(f"bad checksum in {row['member']}")
+
+
 def _copy(stream):
     while data := stream.read(PIECE_BYTES):
         yield data
 
 
+@lru_cache(maxsize=1)
+def _zip_directory(handle):
+    """The archive and its members by place, parsed once while the archive stays open."""
+    handle.seek(0)
+    archive = zipfile.ZipFile(handle)
+    return archive, {info.header_offset: info for info in archive.infolist()}
+
+
 def _other(handle, row, kind):
     """Rare encodings, left to the standard library."""
-    handle.seek(0)
     if kind == "zip":
-        with zipfile.ZipFile(handle) as archive, archive.open(row["member"]) as stream:
+        archive, by_offset = _zip_directory(handle)
+        with archive.open(by_offset[row["offset"]]) as stream:
             yield from _copy(stream)
     else:
+        handle.seek(0)
         with tarfile.open(fileobj=handle, mode="r:") as archive:
-            yield from _copy(archive.extractfile(row["member"]))
+            for info in archive:
+                if info.offset_data == row["offset"]:
+                    yield from _copy(archive.extractfile(info))
+                    return
+                archive.members = []
+
+
+def _last_places(handle):
+    """Place in a compressed tar of the last file of each name."""
+    handle.seek(0)
+    with tarfile.open(fileobj=handle, mode="r|*") as archive:
+        last = {}
+        for number, info in enumerate(archive):
+            if info.isfile():
+                last[info.name] = number
+            archive.members = []
+        return set(last.values())
 
 
 def _range_start(handle, row):
@@ -195,10 +245,11 @@ def _range_start(handle, row):
 def members_of(handle, row, kind):
     """``(member, size, byte chunks)`` of everything one index row stands for, read from its start."""
     if row["method"] == STREAM:
+        last = _last_places(handle)
         handle.seek(0)
         with tarfile.open(fileobj=handle, mode="r|*") as archive:
-            for info in archive:
-                if info.isfile() and _name_is_safe(info.name):
+            for number, info in enumerate(archive):
+                if number in last and _name_is_safe(info.name):
                     yield info.name, info.size, _copy(archive.extractfile(info))
                 archive.members = []
     elif row["method"] == DEFLATED:
@@ -206,7 +257,8 @@ def members_of(handle, row, kind):
     elif row["method"] == OTHER:
         yield row["member"], row["size"], _other(handle, row, kind)
     else:
-        yield row["member"], row["size"], _read_range(handle, _range_start(handle, row), row["size"])
+        chunks = _read_range(handle, _range_start(handle, row), row["size"])
+        yield row["member"], row["size"], _checked(chunks, row)
 
 
 def each_row(batches):
@@ -254,69 +306,79 @@ def _flushed(rows, schema, weight):
 
 
 def read_archive(spark: SparkSession, path: str, kind: str, piece_bytes: int = PIECE_BYTES) -> DataFrame:
-    """Rows ``(archive, member, size, piece, content, cut)``.
+    """Rows ``(archive, member, size, piece, content, crc, cut)``.
 
+    ``crc`` is the checksum of a cut member that the archive has stored as it is;
+    ``whole_members`` tests it, all others are tested as they are read.
     ``piece`` counts from 0. A member of at most ``piece_bytes`` is one row and
     has ``cut`` 0, the pieces of a larger one have ``cut`` 1. Directories, links
     and names that would leave the target folder are not read.
     """
     schema = pa.schema([("archive", pa.string()), ("member", pa.string()), ("size", pa.int64()),
-                        ("piece", pa.int32()), ("content", pa.binary())])
+                        ("piece", pa.int32()), ("content", pa.binary()), ("crc", pa.int64())])
 
     def pieces(batches):
         for handle, row in each_row(batches):
             if row["method"] in (RANGE, STORED):
                 length = min(piece_bytes, row["size"] - row["start"])
-                content = b"".join(_read_range(handle, _range_start(handle, row) + row["start"], length))
-                yield dict(row, content=content)
+                chunks = _read_range(handle, _range_start(handle, row) + row["start"], length)
+                whole = length == row["size"]
+                content = b"".join(_checked(chunks, row) if whole else chunks)
+                yield dict(row, content=content, crc=None if whole else row["crc"])
                 continue
             for member, size, chunks in members_of(handle, row, kind):
                 for number, content in enumerate(_resized(chunks, piece_bytes)):
                     yield {"archive": row["archive"], "member": member, "size": size,
-                           "piece": number, "content": content}
+                           "piece": number, "content": content, "crc": None}
 
     def read(batches):
         return _flushed(pieces(batches), schema, lambda r: len(r["content"]))
 
     rows = _pieces(member_index(spark, path, kind), piece_bytes).mapInArrow(
-        read, "archive string, member string, size bigint, piece int, content binary")
+        read, "archive string, member string, size bigint, piece int, content binary, crc bigint")
     return rows.withColumn("cut", (F.col("size") > piece_bytes).cast("int"))
 
 
 def whole_members(df: DataFrame) -> DataFrame:
     """Put members back together: rows ``(archive, member, size, content)``.
 
-    Only cut members are shuffled; each is bounded by its own size. Land the
+    Only cut members are shuffled. A row holds a member whole, so this is for
+    members such as messages: one of more than 1 GB raises an error. Land the
     pieces partitioned by ``cut`` first, as the jobs do: either part then reads
     only its own files.
     """
     columns = ["archive", "member", "size", "content"]
-    parts = F.sort_array(F.collect_list(F.struct("piece", "content")))
-    joined = F.aggregate(parts, F.lit(b""), lambda a, p: F.concat(a, p["content"]))
-    cut = (df.where(F.col("cut") == 1)
-           .groupBy("archive", "member", "size").agg(joined.alias("content")))
+    fits = F.when(F.col("size") <= WHOLE_BYTES, F.col("size")).otherwise(F.raise_error(
+        F.concat(F.lit("too large to be one row: "), "member")).cast("bigint"))
+
+    def join(key, rows):
+        content = b"".join(rows.sort_values("piece")["content"])
+        crc = rows["crc"].iloc[0]
+        if len(content) != key[2] or (crc == crc and crc is not None and zlib.crc32(content) != int(crc)):
+            raise zipfile.BadZipFile(f"bad checksum or size of {key[1]}")
+        return pd.DataFrame([(*key, content)], columns=columns)
+
+    cut = (df.where(F.col("cut") == 1).withColumn("size", fits).groupBy("archive", "member", "size")
+           .applyInPandas(join, "archive string, member string, size bigint, content binary"))
     return df.where(F.col("cut") == 0).select(*columns).unionByName(cut.select(*columns))
 
 
-def _lines(chunks, at=0):
-    """``(line, position after it)``; the line end is taken off, a last line needs none."""
-    held = []
+def _blocks(chunks):
+    """Regroup byte chunks to blocks of whole lines, of ``FLUSH_BYTES`` or one line; without the last line end."""
+    held = bytearray()
     for chunk in chunks:
-        *ended, rest = chunk.split(b"\n")
-        for line in ended:
-            held.append(line)
-            line, held = b"".join(held), []
-            at += len(line) + 1
-            yield line.removesuffix(b"\r"), at
-        if rest:
-            held.append(rest)
+        held += chunk
+        if len(held) >= FLUSH_BYTES:
+            end = held.rfind(b"\n")
+            if end >= 0:
+                yield bytes(held[:end])
+                del held[:end + 1]
     if held:
-        line = b"".join(held)
-        yield line.removesuffix(b"\r"), at + len(line)
+        yield bytes(held.removesuffix(b"\n"))
 
 
-def _lines_of_range(handle, begin, size, start, length):
-    """Lines that begin in ``[start, start + length)`` of a member that is a byte range.
+def _range_of_lines(handle, begin, size, start, length):
+    """The bytes of the lines that begin in ``[start, start + length)`` of a member that is a byte range.
 
     A line is read to its end even beyond the range, and a range inside a line
     gives nothing, so neighbouring ranges hold every line exactly once.
@@ -334,37 +396,54 @@ def _lines_of_range(handle, begin, size, start, length):
             at += len(chunk)
     if at >= end:
         return
-    for line, after in _lines(_read_range(handle, begin + at, size - at), at):
-        yield line
-        if after >= end:
-            return
+    yield from _read_range(handle, begin + at, end - at)
+    last = next(_read_range(handle, begin + end - 1, 1))
+    if last != b"\n" and end < size:
+        for chunk in _read_range(handle, begin + end, size - end):
+            found = chunk.find(b"\n")
+            if found >= 0:
+                yield chunk[:found]
+                return
+            yield chunk
 
 
 def read_archive_lines(spark: SparkSession, path: str, kind: str, suffix: str = "",
                        piece_bytes: int = 16 * PIECE_BYTES) -> DataFrame:
     """Rows ``(archive, member, value)``, one per line of the members that end with ``suffix``.
 
-    ``value`` is NULL for a line that is not UTF-8.
+    ``value`` is NULL for a line that is not UTF-8. Python hands over blocks of
+    whole lines, which Spark splits; only a block that is not UTF-8 is split there.
     """
-    schema = pa.schema([("archive", pa.string()), ("member", pa.string()), ("line", pa.binary())])
+    schema = pa.schema([("archive", pa.string()), ("member", pa.string()), ("block", pa.string())])
 
-    def lines(batches):
+    def valid(block):
+        try:
+            yield block.decode()
+        except UnicodeDecodeError:
+            for line in block.split(b"\n"):
+                try:
+                    yield line.decode()
+                except UnicodeDecodeError:
+                    yield None
+
+    def blocks(batches):
         for handle, row in each_row(batches):
             if row["method"] in (RANGE, STORED):
-                begin = _range_start(handle, row)
-                found = [(row["member"], _lines_of_range(
-                    handle, begin, row["size"], row["start"], piece_bytes))]
+                found = [(row["member"], _range_of_lines(
+                    handle, _range_start(handle, row), row["size"], row["start"], piece_bytes))]
             else:
-                found = ((member, (line for line, _ in _lines(chunks)))
-                         for member, _, chunks in members_of(handle, row, kind) if member.endswith(suffix))
-            for member, member_lines in found:
-                for line in member_lines:
-                    yield {"archive": row["archive"], "member": member, "line": line}
+                found = ((member, chunks) for member, _, chunks in members_of(handle, row, kind) if member.endswith(suffix))
+            for member, chunks in found:
+                for block in _blocks(chunks):
+                    for text in valid(block):
+                        yield {"archive": row["archive"], "member": member, "block": text}
 
     def read(batches):
-        return _flushed(lines(batches), schema, lambda r: len(r["line"]))
+        return _flushed(blocks(batches), schema, lambda r: len(r["block"] or ""))
 
     index = member_index(spark, path, kind)
     index = index.where(F.col("member").isNull() | F.col("member").endswith(suffix))
-    rows = _pieces(index, piece_bytes).mapInArrow(read, "archive string, member string, line binary")
-    return rows.select("archive", "member", F.try_validate_utf8(F.col("line").cast("string")).alias("value"))
+    rows = _pieces(index, piece_bytes).mapInArrow(read, "archive string, member string, block string")
+    lines = F.transform(F.split("block", "\n", -1), lambda line: F.when(
+        F.endswith(line, F.lit("\r")), F.left(line, F.length(line) - 1)).otherwise(line))
+    return rows.select("archive", "member", F.explode_outer(lines).alias("value"))

@@ -4,25 +4,78 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.batch import KEY_PATTERN
+from .archives import filesystem
 
 
-def list_objects(spark: SparkSession, root: str, prefix: str = "", content=False) -> DataFrame:
-    """One row ``(path, name, length[, content])`` per object below ``root``.
+LISTED = "path string, name string, length bigint"
+FLUSH_BYTES = 8 << 20
+READ_TASK_BYTES = 128 << 20
 
-    ``name`` is the path relative to ``root``. File bytes are read only when
-    ``content`` is asked for and still selected later.
-    """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root))
-    base = root.rstrip("/") + "/"
-    base = base.split(":", 1)[1] if ":" in base.split("/", 1)[0] else base
-    base = "/" + base.lstrip("/")
-    name = F.expr(f"substring(path, instr(path, '{_quoted(base)}') + {len(base)})")
-    columns = ["path", name.alias("name"), "length"] + (["content"] if content else [])
-    return files.select(*columns).where(F.col("name").startswith(prefix))
 
+def _list_folders(files, root, deep):
+    """Objects below the folders ``name`` of ``root``; without ``deep`` also the folders, with length -1."""
+    from pyarrow import fs
+
+    def listed(batches):
+        import pyarrow as pa
+
+        store, base = filesystem(root)
+        base = base.rstrip("/")
+        for batch in batches:
+            for folder in batch.column("name").to_pylist():
+                selector = fs.FileSelector(f"{base}/{folder}".rstrip("/"), recursive=deep, allow_not_found=True)
+                found = [i for i in store.get_file_info(selector) if i.is_file or not deep]
+                names = [i.path[len(base) + 1:] for i in found]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f"{root}/{n}" for n in names], pa.string()), pa.array(names, pa.string()),
+                     pa.array([i.size if i.is_file else -1 for i in found], pa.int64())], names=["path", "name", "length"])
+
+    return files.select("name").mapInArrow(listed, LISTED)
 
-def _quoted(text):
-    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+def list_objects(spark: SparkSession, root: str, prefix: str = "", content=False) -> DataFrame:
+    """One row ``(path, name, length[, content])`` per object below ``root`` whose name begins with ``prefix``.
+
+    ``name`` is the path relative to ``root``. Every object counts, also an empty
+    one and one whose name begins with ``_`` or ``.``, which Spark's own readers
+    leave out. Only the folder that ``prefix`` names is listed, and the folders in it
+    by a task each; no object elsewhere is opened. File bytes are read only when
+    ``content`` is asked for.
+    """
+    root = root.rstrip("/")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    start = spark.createDataFrame([(prefix.rpartition("/")[0],)], "name string")
+    top = _list_folders(start, root, deep=False).where(F.startswith("name", F.lit(prefix)))
+    folders = top.where("length < 0").repartition(tasks, "name")
+    found = top.where("length >= 0").union(_list_folders(folders, root, deep=True))
+    if not content:
+        return found
+    return read_objects(found, tasks)
+
+
+def read_objects(found: DataFrame, tasks: int) -> DataFrame:
+    """Add the bytes of every listed object."""
+    size = found.agg(F.sum("length")).first()[0] or 0
+
+    def read(batches):
+        import pyarrow as pa
+
+        schema = pa.schema([("path", pa.string()), ("name", pa.string()), ("length", pa.int64()), ("content", pa.binary())])
+        held, weight = [], 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                store, path = filesystem(row["path"])
+                with store.open_input_file(path) as stream:
+                    held.append(dict(row, content=stream.read()))
+                weight += row["length"]
+                if weight >= FLUSH_BYTES or len(held) >= 2000:
+                    yield pa.RecordBatch.from_pylist(held, schema=schema)
+                    held, weight = [], 0
+        if held:
+            yield pa.RecordBatch.from_pylist(held, schema=schema)
+
+    spread = found.repartition(max(tasks, -(-size // READ_TASK_BYTES)), "name")
+    return spread.mapInArrow(read, f"{LISTED}, content binary")
 
 
 def batch_of(name: Column) -> Column:

@@ -1,6 +1,11 @@
 """Line-delimited JSON files and tables."""
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.jsonlines import strict_sql
 
 # Schemas of the two entities the reports use, so that no pass over the data has
 # to find them out. ``attributes`` is left out on purpose.
@@ -30,24 +35,38 @@ def external_table(spark: SparkSession, name: str, path: str, schema: str = None
     return spark.table(name)
 
 
-def line_view(spark: SparkSession, name: str, root: str, batch: str, entity: str, schema: str = None) -> None:
-    """Register view ``name`` over the lines of one entity in a landed batch.
+def found_columns(lines: DataFrame, line="value") -> dict:
+    """Columns ``{name: type}`` of the JSON objects of all lines, from one pass over them."""
+    parsed = lines.select(F.expr(f"try_parse_json(`{line}`)").alias("v"))
+    kind = parsed.where(F.expr("schema_of_variant(v) LIKE 'OBJECT%'")).agg(F.expr("schema_of_variant_agg(v)")).first()[0]
+    if not kind or not kind.startswith("OBJECT<"):
+        return {}
+    ddl = re.sub(r"\bOBJECT<", "STRUCT<", kind).replace("VOID", "STRING")
+    shape = lines.sparkSession.sql(f"SELECT CAST(NULL AS {ddl}) AS o").schema["o"].dataType
+    return {f.name: f.dataType.simpleString() for f in shape.fields}
+
+
+def entity_schema(given: str, found: dict, left_out=()) -> str:
+    """The ``given`` columns, with their types, and whatever else was found."""
+    from pyspark.sql.types import StructType
+
+    known = {f.name: f.dataType.simpleString() for f in StructType.fromDDL(given).fields} if given else {}
+    columns = {**known, **{n: t for n, t in found.items() if n not in known}}
+    return ", ".join(f"`{n}` {t}" for n, t in columns.items() if n not in left_out)
 
-    With ``schema`` the view has its columns and skips lines that are no such
-    object; without it one column ``object`` holds the line as VARIANT.
+
+def line_view(spark: SparkSession, name: str, source: str, schema: str) -> None:
+    """Register view ``name`` with the columns of ``schema`` over the JSON lines of ``source``.
+
+    ``source`` is SQL with one column ``value``. Lines that are not one JSON object
+    are skipped; a value that does not fit its column's type is NULL.
     """
-    landed = f"parquet.`{root}` WHERE batch = '{batch}' AND entity = '{entity}'"
-    if schema is None:
-        body = f"SELECT * FROM (SELECT try_parse_json(value) AS object FROM {landed}) WHERE object IS NOT NULL"
-    else:
-        columns = " ".join(schema.split())
-        body = f"""
-            SELECT o.* EXCEPT (_corrupt_record)
-            FROM (SELECT from_json(value, '{columns}, _corrupt_record string') AS o
-                  FROM {landed} AND ltrim(value) LIKE '{{%')
-            WHERE o._corrupt_record IS NULL"""
+    kind = f"struct<{', '.join(schema.split(chr(10)))}>"
+    kind = re.sub(r"(`[^`]+`) ", r"\1:", " ".join(kind.split()))
     spark.sql(f"DROP VIEW IF EXISTS {name}")
-    spark.sql(f"CREATE VIEW {name} AS {body}")
+    spark.sql(f"""
+        CREATE VIEW {name} AS
+        SELECT o.* FROM (SELECT {strict_sql('value', kind)} AS o FROM ({source})) WHERE o IS NOT NULL""")
 
 
 def _each(spark, items, register) -> DataFrame:
@@ -70,13 +89,20 @@ def external_tables(spark: SparkSession, paths: dict, schemas: dict = None) -> D
     return _each(spark, paths.items(), register)
 
 
-def line_views(spark: SparkSession, root: str, batch: str, entities: dict, schemas: dict = None) -> DataFrame:
-    """Register ``{view: entity}`` over a landed batch; one status row per view."""
-    def register(name, path):
-        line_view(spark, name, root, batch, entities[name], (schemas or {}).get(entities[name]))
+def line_views(spark: SparkSession, sources: dict, entities: dict, schemas: dict = None, left_out: dict = None) -> DataFrame:
+    """Register ``{view: source}`` with all columns that their lines have; one status row per view.
 
-    paths = ((name, f"{root}/batch={batch}/entity={entity}") for name, entity in entities.items())
-    return _each(spark, paths, register)
+    ``entities`` names the entity of each view; ``schemas`` gives the types of known
+    columns, ``left_out`` columns to leave out, both by entity.
+    """
+    def register(name, source):
+        entity = entities[name]
+        schema = entity_schema((schemas or {}).get(entity), found_columns(spark.sql(source)), (left_out or {}).get(entity, ()))
+        if not schema:
+            raise ValueError(f"no JSON object among the lines of {entity}")
+        line_view(spark, name, source, schema)
+
+    return _each(spark, sources.items(), register)
 
 
 def read_table(spark: SparkSession, source: str, fmt: str = None, **options) -> DataFrame:

@@ -106,3 +106,59 @@ def test_newest_batch_reads_one_partition(spark, tmp_path):
     assert [tuple(r) for r in newest.collect()] == [("a", 1, "2024-01-02-09-00")]
     plan = newest._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(batch" in plan
+
+
+TWICE = [("x.eml", b"A" * 10), ("y.eml", b"y"), ("x.eml", b"B" * 12)]
+
+
+@pytest.mark.parametrize("kind", list(KINDS))
+@pytest.mark.parametrize("piece", [4, 1000])
+def test_the_last_of_a_name_wins(spark, tmp_path, kind, piece):
+    path, (form, _, packing) = str(tmp_path / "a.bin"), kind.partition("-")
+    if form == "zip":
+        method = {"": zipfile.ZIP_DEFLATED, "stored": zipfile.ZIP_STORED, "bz2": zipfile.ZIP_BZIP2}[packing]
+        with zipfile.ZipFile(path, "w", method) as z:
+            for name, data in TWICE:
+                z.writestr(name, data)
+    else:
+        with tarfile.open(path, f"w:{packing}") as t:
+            for name, data in TWICE:
+                info = tarfile.TarInfo(name)
+                info.size = len(data)
+                t.addfile(info, io.BytesIO(data))
+    rows = archives.whole_members(archives.read_archive(spark, path, form, piece)).collect()
+    assert sorted((r["member"], bytes(r["content"])) for r in rows) == [("x.eml", b"B" * 12), ("y.eml", b"y")]
+
+
+@pytest.mark.parametrize("piece", [4, 1000])
+def test_damage_in_a_stored_member_is_an_error(spark, tmp_path, piece):
+    path = tmp_path / "s.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as z:
+        z.writestr("a.txt", b"hello world")
+    path.write_bytes(path.read_bytes().replace(b"hello", b"HALLO"))
+    with pytest.raises(Exception, match="checksum"):
+        archives.whole_members(archives.read_archive(spark, str(path), "zip", piece)).collect()
+
+
+def test_lines_that_are_not_text_are_missing(spark, tmp_path):
+    path = str(tmp_path / "l.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("a.json", b"one\r\n\xff\n\n\xc3\xa9")
+    values = [r["value"] for r in archives.read_archive_lines(spark, path, "zip").collect()]
+    assert sorted(map(str, values)) == ["", "None", "one", "é"]
+
+
+def test_store_names_of_spark_are_understood(monkeypatch):
+    asked = []
+    monkeypatch.setattr(archives.fs, "FileSystem", type("Fake", (), {"from_uri": staticmethod(lambda uri: asked.append(uri) or (None, uri))}))
+    for uri in ("s3a://b/k.zip", "s3n://b/k", "gs://b/k", "hdfs://h/k"):
+        archives.filesystem(uri)
+    assert asked == ["s3://b/k.zip", "s3://b/k", "gs://b/k", "hdfs://h/k"]
+
+
+def test_a_member_too_large_for_a_row_is_an_error(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "z.zip")
+    make_zip(path, zipfile.ZIP_STORED)
+    monkeypatch.setattr(archives, "WHOLE_BYTES", 2000)
+    with pytest.raises(Exception, match="too large"):
+        archives.whole_members(archives.read_archive(spark, path, "zip", 500)).collect()

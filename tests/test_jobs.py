@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from opinara.operators.report import review_report, review_report_unique, score_reviews
 from opinara.plans import jobs
 from opinara.sinks.tables import audited, refresh_view, replace_table
-from opinara.session import spread, work_folder
+from opinara.session import work_folder
 
 NOW = datetime(2024, 5, 1, 15, 30)
 REVIEWS = [
@@ -82,9 +82,9 @@ def test_jobs_over_plain_files(spark, sources, tmp_path):
     assert status.where("NOT ok").isEmpty() and status.count() == 3
     business = spark.table("f_tb_business")
     assert business.count() == 3 and business.where("name IS NULL").isEmpty()
-    paths = {r["table"]: r["path"] for r in status.collect()}
-    assert "clean" in paths["f_tb_business"] and "clean" not in paths["f_tb_review"]
-    raw = "".join(r[0] for r in spark.read.text(paths["f_tb_business"]).collect())
+    sources = {r["table"]: r["path"] for r in status.collect()}
+    assert "clean" in sources["f_tb_business"] and "clean" not in sources["f_tb_review"]
+    raw = "".join(r[0] for r in spark.sql(sources["f_tb_business"]).collect())
     assert "attributes" not in raw
 
 
@@ -131,7 +131,86 @@ def test_work_folder_follows_the_setting(spark):
     assert work_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_only_small_inputs_are_spread(spark):
-    assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, 50)
-    assert spread(wide) is wide
+def test_work_folder_is_never_a_temporary_one():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: "s3a://b/warehouse/" if key == "spark.sql.warehouse.dir" else default)
+
+    assert work_folder(Session, "x").startswith("s3a://b/warehouse/work/x-")
+
+
+def test_views_with_a_shared_prefix_keep_their_versions(spark, tmp_path):
+    spark.range(5).write.saveAsTable("rep_v1")
+    for n in (1, 2, 3):
+        refresh_view(spark.range(n), "rep_vip", path=str(tmp_path / "vip"))
+        refresh_view(spark.range(10 * n), "rep", path=str(tmp_path / "rep"))
+        refresh_view(spark.range(100 * n), "rep_v2")
+    assert [spark.table(t).count() for t in ("rep_vip", "rep", "rep_v2", "rep_v1")] == [3, 30, 300, 5]
+    assert len(list((tmp_path / "rep").iterdir())) == 2  # older versions go with their files
+
+
+@pytest.mark.parametrize("external", [True, False])
+def test_a_failing_replace_leaves_the_old_rows(spark, tmp_path, external):
+    name = f"t_kept_{external}".lower()
+    path = str(tmp_path / "t") if external else None
+    replace_table(spark.range(3), name, path=path)
+    bad = spark.range(100).select(F.when(F.col("id") < 99, F.col("id")).otherwise(F.raise_error(F.lit("no"))).cast("bigint").alias("id"))
+    with pytest.raises(Exception):
+        replace_table(bad, name, path=path)
+    assert spark.table(name).count() == 3
+    replace_table(spark.table(name).union(spark.range(2)), name, path=path)
+    assert spark.table(name).count() == 5
+    if external:
+        assert len(list((tmp_path / "t").iterdir())) == 1
+
+
+def test_relanding_replaces_the_whole_batch(spark, tmp_path):
+    from opinara.sinks.batches import write_batch
+
+    root = str(tmp_path / "l")
+    df = spark.createDataFrame([("review", "r"), ("tip", "t")], "entity string, value string")
+    for rows in (df, df.where("entity = 'review'")):
+        for batch in ("2024-01-01-00-00", "2024-01-02-00-00"):
+            write_batch(rows if batch.startswith("2024-01-02") else df, root, batch, also_by=["entity"])
+    found = sorted((r["batch"][:10], r["entity"]) for r in spark.read.parquet(root).collect())
+    assert found == [("2024-01-01", "review"), ("2024-01-01", "tip"), ("2024-01-02", "review")]
+    write_batch(df.limit(0), root, "2024-01-02-00-00", also_by=["entity"])
+    assert {r["batch"] for r in spark.read.parquet(root).collect()} == {"2024-01-01-00-00"}
+
+
+AWKWARD = ["a.eml", "_b.eml", ".c.eml", "empty.eml", "twice.eml", "twice.eml"]
+
+
+def test_both_landings_of_messages_agree(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "e.zip", "w") as z:
+        for i, name in enumerate(AWKWARD):
+            z.writestr(f"emails_feedback_faker/{name}", b"" if name == "empty.eml" else b"From: a%d\n\nx" % i)
+    jobs.ingest_emails(spark, str(tmp_path / "e.zip"), str(tmp_path / "p"), NOW)
+    jobs.load_emails(spark, str(tmp_path / "p"), "t_land_p")
+    jobs.ingest_files(spark, str(tmp_path / "e.zip"), str(tmp_path / "f"), NOW, "zip")
+    jobs.load_emails(spark, str(tmp_path / "f"), "t_land_f", "files")
+    both = [sorted(str(r["sender"]) for r in spark.table(t).collect()) for t in ("t_land_p", "t_land_f")]
+    assert both[0] == both[1] and len(both[0]) == 5 and "a5" in both[0] and "a4" not in both[0]
+
+
+@pytest.mark.parametrize("landing", ["parquet", "files"])
+def test_tables_have_all_columns_and_skip_bad_lines(spark, tmp_path, landing):
+    lines = {"review": ['{"review_id": "r", "stars": 4, "extra": {"a": [1]}, "more": 2.5}', '{"review_id": "s"} trailing', "{'review_id': 't'}", '{"review_id'],
+             "business": ['\t{"business_id": "b", "attributes": {"x": 1}, "open_late": true}'], "checkin": ['{"who": "w", "n": 7}']}
+    with tarfile.open(tmp_path / "r.tar", "w") as t:
+        for entity, rows in lines.items():
+            data = "\n".join(rows).encode()
+            info = tarfile.TarInfo(f"set_{entity}.json")
+            info.size = len(data)
+            t.addfile(info, io.BytesIO(data))
+    if landing == "parquet":
+        jobs.ingest_lines(spark, str(tmp_path / "r.tar"), str(tmp_path / "l"), NOW)
+    else:
+        jobs.ingest_files(spark, str(tmp_path / "r.tar"), str(tmp_path / "l"), NOW, "tar")
+    status = jobs.load_reviews(spark, str(tmp_path / "l"), str(tmp_path / "c"), f"all_{landing}_", landing)
+    assert status.where("NOT ok").isEmpty()
+    review = spark.table(f"all_{landing}_review").select("review_id", "stars", "extra.a", "more", "user_id").collect()
+    assert [tuple(r) for r in review] == [("r", 4.0, [1], 2.5, None)]
+    business = spark.table(f"all_{landing}_business")
+    assert "attributes" not in business.columns and business.select("business_id", "open_late").first() == ("b", True)
+    assert spark.table(f"all_{landing}_checkin").select("who", "n").first() == ("w", 7)

@@ -62,8 +62,19 @@ def test_listing_does_not_read_content(spark, tmp_path):
     for root in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}/"):
         found = list_objects(spark, root, "b/")
         assert [(r["name"], r["length"]) for r in found.collect()] == [("b/sub dir/x'1.txt", 5)]
-    plan = list_objects(spark, str(tmp_path)).select("name")._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan
+    assert list_objects(spark, str(tmp_path), "b/su").count() == 1 and list_objects(spark, str(tmp_path), "b/x/y").count() == 0
+
+
+def test_every_object_is_listed_and_only_the_prefix_is_read(spark, tmp_path):
+    names = ["b/a.eml", "b/_b.eml", "b/.c.eml", "b/empty.eml", "b/_d/e.eml", "f.eml"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"" if "empty" in name else name.encode())
+    (tmp_path / "old").mkdir()
+    (tmp_path / "old/unreadable.eml").symlink_to(tmp_path / "missing")
+    assert {r["name"] for r in list_objects(spark, str(tmp_path)).collect()} >= set(names)
+    read = list_objects(spark, str(tmp_path), "b/", content=True).collect()
+    assert {r["name"]: bytes(r["content"]) for r in read} == {n: b"" if "empty" in n else n.encode() for n in names[:5]}
 
 
 def test_batch_key_is_local_time(spark):

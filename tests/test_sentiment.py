@@ -143,3 +143,19 @@ def test_plugged_in_scorer(spark):
 
     assert [r[0] for r in score_with(df, scorer).select("sentiment_score").collect()] == [
         pytest.approx(0.2), None, None]
+
+
+@pytest.mark.parametrize("kind", ["decimal(3,1)", "float", "int", "double"])
+def test_both_forms_take_any_number(spark, kind):
+    table = spark.createDataFrame([("good", 2.0), ("bad", -1.0), ("odd", None)], "word string, value double").withColumn("value", F.col("value").cast(kind))
+    df = spark.createDataFrame([("good food",), ("bad food",), ("odd",)], "text string")
+    scores = []
+    for bounds in ({}, {"max_entries": 0}):
+        lexicon = Vocabulary.from_table(table, "word", "value", **bounds)
+        scores.append(sorted(map(tuple, score_sentiment(df, lexicon=lexicon).collect())))
+    assert scores[0] == scores[1] and scores[0][0][1] < 0 < scores[0][1][1]
+
+
+def test_a_dictionary_is_measured():
+    with pytest.raises(ValueError, match="too large"):
+        Vocabulary.of({str(i): 1.0 for i in range(60_000)})

@@ -105,6 +105,24 @@ def test_failing_translator_keeps_the_text(spark):
             2 * [first, "the cat is on it", None], key=str)
 
 
+def test_only_the_texts_that_fail_stay(spark):
+    foreign = [f"le service est lent et la vie {i}" for i in range(20)]
+    df = spark.createDataFrame([(t,) for t in [*foreign, "the cat is on it", None]], "text string").coalesce(1)
+
+    def picky(texts, langs):
+        if texts.str.contains(" 7").any():
+            raise RuntimeError("no")
+        return texts.str.upper()
+
+    def short(texts, langs):
+        return list(texts.str.upper())[:1]
+
+    found = {r["text"]: (r["translated"], r["ok"]) for r in translate_with(df, picky, ok="ok").collect()}
+    assert found == {**{t: (t, False) if t.endswith(" 7") else (t.upper(), True) for t in foreign},
+                     "the cat is on it": ("the cat is on it", None), None: (None, None)}
+    assert {r["translated"] for r in translate_with(df, short).collect()} == {*(t.upper() for t in foreign), "the cat is on it", None}
+
+
 def test_translator_sees_every_foreign_text_once(spark):
     rows = 300 * [("le service est lent",)] + 200 * [("the cat is on it",)] + [("der Hund ist nicht da",)]
     df = spark.createDataFrame(rows, "text string").repartition(5)
