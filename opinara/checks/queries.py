@@ -159,11 +159,16 @@ def translated(spark, sf_dir):
     return translate(documents(spark, sf_dir)).drop("text")
 
 
-def translated_joined(spark, sf_dir):
+def translated_from_table(**bounds):
+    def query(spark, sf_dir):
+        return translate(documents(spark, sf_dir), glossary=listed_glossary(spark, **bounds)).drop("text")
+    return query
+
+
+def listed_glossary(spark, **bounds):
     rows = [(lang, word, english) for lang, listed in GLOSSARY.items() for word, english in listed.items()]
     table = spark.createDataFrame(rows, "lang string, word string, english string")
-    glossary = glossary_from_table(table, max_entries=10)
-    return translate(documents(spark, sf_dir), glossary=glossary).drop("text")
+    return glossary_from_table(table, **bounds)
 
 
 def translated_with_function(spark, sf_dir):
@@ -545,14 +550,16 @@ def registry():
         "review_report_unique": review_report_unique,
         "score_each": score(context="each"),
         "score_corpus_lexicon": score(vocabulary=corpus_lexicon()),
-        "score_joined_lexicon": score(vocabulary=corpus_lexicon(max_entries=10)),
+        "score_cut_lexicon": score(vocabulary=corpus_lexicon(max_entries=10)),
+        "score_joined_lexicon": score(vocabulary=corpus_lexicon(max_entries=10, cut_entries=10)),
         "score_reviews": score_reviews,
         "score_with_function": score_with_function,
         "emails_report": emails_report,
         "detect_language": detect,
         "detect_page": detect_page,
         "translate": translated,
-        "translate_joined_glossary": translated_joined,
+        "translate_cut_glossary": translated_from_table(max_entries=10),
+        "translate_joined_glossary": translated_from_table(max_entries=10, cut_entries=10),
         "translate_with_function": translated_with_function,
         "translate_in_part": translated_in_part,
         "label_nulls": label_nulls,

@@ -218,6 +218,7 @@ def oracles():
         "job_reviews_files": REPORT,
         "score_each": score_query(context="each"),
         "score_corpus_lexicon": score_query(lexicon=CORPUS_WORDS),
+        "score_cut_lexicon": score_query(lexicon=CORPUS_WORDS),
         "score_joined_lexicon": score_query(lexicon=CORPUS_WORDS),
         "score_reviews": f"WITH {scored(DOCUMENTS)} SELECT id AS review_id, score AS sentiment_score FROM scored",
         "score_with_function": "SELECT doc_id, round(length(text)::DOUBLE / (length(text) + 1000), 4) AS sentiment_score FROM documents",
@@ -227,6 +228,7 @@ def oracles():
             "SELECT page_id AS id, regexp_replace(html, '<[^>]*>', ' ', 'g') AS body FROM pages")
             + " SELECT id AS page_id, lang AS language FROM detected",
         "translate": f"WITH {english(DOCUMENTS)} SELECT id AS doc_id, english AS translated FROM translated",
+        "translate_cut_glossary": f"WITH {english(DOCUMENTS)} SELECT id AS doc_id, english AS translated FROM translated",
         "translate_joined_glossary": f"WITH {english(DOCUMENTS)} SELECT id AS doc_id, english AS translated FROM translated",
         "translate_with_function": f"WITH {language(DOCUMENTS)} SELECT id AS doc_id, "
             "CASE WHEN lang <> 'en' THEN lang || ': ' || body ELSE body END AS translated FROM detected",

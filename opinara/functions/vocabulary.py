@@ -2,9 +2,11 @@
 
 A vocabulary is an array of small maps; a word lives in the map at
 ``crc32(word) % size``. A vocabulary of checked size becomes one constant of the
-plan, so a look-up needs neither join nor shuffle. A larger one stays a table:
-``attach`` joins its entries to the distinct texts that use them, and each of
-these carries a vocabulary of just its own words. Look-ups read the same either way.
+plan, so a look-up needs neither join nor shuffle. A larger one stays a table. Before
+it is used it is cut to the words that the texts hold; what is left is nearly always
+small enough for a constant. If it is not, ``attach`` joins its entries to the
+distinct texts that use them, and each of these carries a vocabulary of just its own
+words. Look-ups read the same in any form.
 """
 
 import json
@@ -16,16 +18,16 @@ from pyspark.sql.types import NumericType
 
 MAX_INLINE_ENTRIES = 50_000
 MAX_INLINE_BYTES = 2 << 20
-SALTS = 16  # a power of two
 
 
 class Vocabulary:
     """Words and their values, held as a constant or, beyond the bound, as a table."""
 
-    def __init__(self, entries=None, table=None, value_type="double"):
+    def __init__(self, entries=None, table=None, value_type="double", cut_entries=MAX_INLINE_ENTRIES):
         self.entries = entries
         self.table = table
         self.value_type = value_type
+        self.cut_entries = cut_entries
 
     @property
     def inline(self):
@@ -41,7 +43,7 @@ class Vocabulary:
 
     @classmethod
     def from_table(cls, table: DataFrame, word: str, value: str,
-                   max_entries=MAX_INLINE_ENTRIES, max_bytes=MAX_INLINE_BYTES):
+                   max_entries=MAX_INLINE_ENTRIES, max_bytes=MAX_INLINE_BYTES, cut_entries=MAX_INLINE_ENTRIES):
         """Measure ``table``; keep it inline only if rows and bytes stay within the bounds.
 
         A word listed twice keeps its greatest value, whichever form is chosen. Numbers
@@ -57,7 +59,22 @@ class Vocabulary:
         if n <= max_entries and size <= max_bytes:
             entries = {r["word"]: r["value"] for r in table.collect()}
             return cls(entries=entries, value_type=value_type)
-        return cls(table=table, value_type=value_type)
+        return cls(table=table, value_type=value_type, cut_entries=cut_entries)
+
+    def cut(self, words: DataFrame):
+        """The vocabulary of the words in ``words``, a constant if at most ``cut_entries`` of them are listed.
+
+        The distinct words of the texts, combined before they shuffle, pick the entries;
+        no more than the bound is ever collected.
+        """
+        if self.inline:
+            return self
+        own = self.table.join(words.select("word").distinct(), "word", "left_semi")
+        rows = own.limit(self.cut_entries + 1).collect()
+        size = sum(len(r["word"].encode()) + len(json.dumps({"value": r["value"]})) for r in rows)
+        if len(rows) <= self.cut_entries and size <= MAX_INLINE_BYTES:
+            return Vocabulary(entries={r["word"]: r["value"] for r in rows}, value_type=self.value_type)
+        return self
 
     def constant(self) -> Column:
         """The vocabulary as one literal, parsed once when the plan is optimized."""
@@ -82,7 +99,7 @@ def lookup(vocabulary: Column, word: Column) -> Column:
 def text_key(*text: Column) -> Column:
     """Digest to match equal texts by. Missing texts match nothing and stay spread out."""
     nothing = F.concat(F.lit("none "), F.spark_partition_id().cast("string"))
-    return F.coalesce(F.sha2(F.concat(*text), 256), nothing)
+    return F.coalesce(F.unhex(F.sha2(F.concat(*text), 256)), nothing.cast("binary"))
 
 
 def by_text(df: DataFrame, key: str, digest: Column, columns, work, out: str) -> DataFrame:
@@ -105,17 +122,15 @@ def attach(df: DataFrame, vocabulary: Vocabulary, words: Column, key: str, out:
 
     An inline vocabulary leaves ``df`` as it is. Otherwise ``df`` has one row per
     ``key`` (see ``by_text``): the distinct ``words`` of each row meet the table
-    in a salted join, and ``df`` gains a small map of its own hits as ``out``.
+    in a join whose hot words adaptive execution splits, and ``df`` gains a small
+    map of its own hits as ``out``.
     """
     if vocabulary.inline:
         return df, vocabulary.constant()
-    asked = (df.select(key, F.explode(F.array_distinct(words)).alias("word"))
-             .withColumn("salt", F.xxhash64(key).bitwiseAND(SALTS - 1).cast("int")))
-    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    table = vocabulary.table.select("word", "value", F.explode(salts).alias("salt"))
+    asked = df.select(key, F.explode(F.array_distinct(words)).alias("word"))
     # The words of all texts look small to the planner before they are exploded;
     # a merge join keeps it from broadcasting them.
-    hits = (asked.join(table.hint("merge"), ["word", "salt"])
+    hits = (asked.join(vocabulary.table.select("word", "value").hint("merge"), "word")
             .groupBy(key).agg(F.collect_list(F.struct("word", "value")).alias("hits")))
     n = F.ceil(F.sqrt(F.size("hits"))).cast("int")
     own = F.transform(

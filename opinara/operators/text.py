@@ -49,6 +49,8 @@ def score_sentiment(df: DataFrame, text="text", out="sentiment_score",
                     lexicon: Vocabulary = None, context=sentiment.FIRST) -> DataFrame:
     """Add the sentiment of ``text`` in [-1, 1] as FLOAT; NULL stays NULL."""
     lexicon = lexicon or default_lexicon()
+    if not lexicon.inline:
+        lexicon = lexicon.cut(df.select(F.explode(F.transform(words(F.col(text)), F.lower)).alias("word")))
     key = f"{out}__key"
 
     def score(rows):
@@ -75,6 +77,8 @@ def detect_language(df: DataFrame, text="text", out="language",
                     stop_words: Vocabulary = None) -> DataFrame:
     """Add the language code of ``text``; NULL when no stop word tells."""
     stop_words = stop_words or stop_word_vocabulary()
+    if not stop_words.inline:
+        stop_words = stop_words.cut(df.select(F.explode(lower_letters(F.col(text))).alias("word")))
     key, own = f"{out}__key", f"{out}__vocabulary"
 
     def detect(rows):
@@ -98,13 +102,19 @@ def translate(df: DataFrame, text="text", out="translated", lang=None,
     code = lang or f"{out}__language"
     key, source, pieces, keys, found, own = (
         f"{out}__{stage}" for stage in ("key", "source", "pieces", "keys", "found", "vocabulary"))
-    if lang is None:
-        df = detect_language(df, text, code, stop_words)
 
     def asked(runs):
         return F.transform(runs, lambda p: glossary_key(F.col(code), p))
 
+    def known(rows):
+        return rows if lang else detect_language(rows, text, code, stop_words)
+
+    if not glossary.inline:
+        foreign = known(df.select(text, *([lang] if lang else []))).where(F.col(code) != ENGLISH)
+        glossary = glossary.cut(foreign.select(F.explode(asked(letter_runs(F.col(text)))).alias("word")))
+
     def turn(rows):
+        rows = known(rows)
         rows = rows.withColumn(source, F.when(F.col(code) != ENGLISH, F.col(text)))
         rows, index = attach(rows, glossary, asked(letter_runs(F.col(source))), key, own)
         rows = rows.withColumn(pieces, letter_runs(F.col(source)))
@@ -117,7 +127,9 @@ def translate(df: DataFrame, text="text", out="translated", lang=None,
     if glossary.inline:
         df = turn(df)
     else:
-        df = by_text(df, key, _translation_key(code, text), list(dict.fromkeys([text, code])), turn, out)
+        # The language is found once for each distinct text, along with its translation.
+        digest = _translation_key(lang, text) if lang else text_key(F.col(text))
+        df = by_text(df, key, digest, list(dict.fromkeys([text, lang or text])), turn, out)
     return df if lang else df.drop(code)
 
 
@@ -160,7 +172,7 @@ def translate_with(df: DataFrame, translator, text="text", out="translated",
             yield pd.DataFrame({key: batch[key].values, out: pd.Series(found, dtype="object").values})
 
     def turn(rows):
-        return rows.where(F.col(code) != ENGLISH).mapInPandas(call, f"`{key}` string, `{out}` string")
+        return rows.where(F.col(code) != ENGLISH).mapInPandas(call, f"`{key}` binary, `{out}` string")
 
     df = by_text(df, key, _translation_key(code, text), [text, code], turn, out)
     if ok:

@@ -150,12 +150,20 @@ def test_both_forms_take_any_number(spark, kind):
     table = spark.createDataFrame([("good", 2.0), ("bad", -1.0), ("odd", None)], "word string, value double").withColumn("value", F.col("value").cast(kind))
     df = spark.createDataFrame([("good food",), ("bad food",), ("odd",)], "text string")
     scores = []
-    for bounds in ({}, {"max_entries": 0}):
+    for bounds in ({}, {"max_entries": 0}, {"max_entries": 0, "cut_entries": 0}):
         lexicon = Vocabulary.from_table(table, "word", "value", **bounds)
         scores.append(sorted(map(tuple, score_sentiment(df, lexicon=lexicon).collect())))
-    assert scores[0] == scores[1] and scores[0][0][1] < 0 < scores[0][1][1]
+    assert scores[0] == scores[1] == scores[2] and scores[0][0][1] < 0 < scores[0][1][1]
 
 
 def test_a_dictionary_is_measured():
     with pytest.raises(ValueError, match="too large"):
         Vocabulary.of({str(i): 1.0 for i in range(60_000)})
+
+
+def test_a_cut_lexicon_leaves_one_scan_and_no_shuffle(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    words = df.select(F.explode(F.split(F.lower("text"), " ")).alias("word")).distinct().withColumn("value", F.lit(1.5))
+    lexicon = Vocabulary.from_table(words, "word", "value", max_entries=0)
+    plan = score_sentiment(df, lexicon=lexicon)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and "Exchange" not in plan and "Join" not in plan

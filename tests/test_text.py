@@ -82,7 +82,7 @@ def test_tables_give_the_same_as_the_built_in_lists(spark):
     glossary = spark.createDataFrame(
         [(k, w, e) for k, v in W.GLOSSARY.items() for w, e in v.items()], "lang string, word string, english string")
     expected = sorted(translate(detect_language(df), lang="language").collect(), key=str)
-    for bounds in ({}, {"max_entries": 5}):
+    for bounds in ({}, {"max_entries": 5}, {"max_entries": 5, "cut_entries": 5}):
         found = translate(detect_language(df, stop_words=stop_words_from_table(stop, **bounds)), lang="language",
                           glossary=glossary_from_table(glossary, **bounds))
         assert sorted(found.select(*df.columns, "language", "translated").collect(), key=str) == expected
