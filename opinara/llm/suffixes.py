@@ -17,38 +17,23 @@ from pyspark.sql import functions as F
 
 from .common import free_of, materialise, names_for
 from .lines import _pack, _unpack, in_filter, key_filter
-from .words import blocks, mix, stream
+from .words import Hashes, blocks, mix, stream
 
 LENGTH = 50
 GRAM = 18
 SPAN = LENGTH - GRAM + 1
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
+FLUSH_BYTES = 4 << 20
+WINDOWS = 1 << 18  # strings that are sorted at once, or one anchor's
 LAST_ID = (1 << 63) - 1
 
 _BYTES = stream(6, 256)
 _BASE = int(stream(7, 1)[0])
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _K = stream(8, 4)
-_tables = {}
 
 
-def _powers(base, n):
-    table = _tables.get(base)
-    if table is None or len(table) < n:
-        table = _tables[base] = np.cumprod(np.r_[np.uint64(1), np.full(max(n, 4 << 20), base, dtype=np.uint64)], dtype=np.uint64)
-    return table
-
-
-class Hashes:
-    """Prefix polynomial hashes of a byte array: the hash of any substring in constant time."""
-
-    def __init__(self, data):
-        self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_BYTES[data] * _powers(_BASE, len(data))[:len(data)], out=self.sums[1:])
-        self.shift = _powers(_INVERSE, len(data) + 1)
-
-    def of(self, start, end):
-        return (self.sums[end] - self.sums[start]) * self.shift[start]
+def hashes_of(data):
+    return Hashes(data, _BYTES, _BASE)
 
 
 def runs(offsets, data, hashes):
@@ -136,15 +121,23 @@ def _send(buckets):
     def send(batches):
         for batch in batches:
             ids, tags = _columns(batch)
-            found = [_described(ids, tags, first, offsets, data, Hashes(data), buckets)[:2]
-                     for first, offsets, data in blocks(batch.column("text")) if len(data) >= LENGTH]
+            found, size = [], 0
+            for first, offsets, data in blocks(batch.column("text")):
+                found.append(_described(ids, tags, first, offsets, data, hashes_of(data), buckets)[:2])
+                size += len(data)
+                if size >= FLUSH_BYTES:
+                    yield _sent(found)
+                    found, size = [], 0
             if found:
-                rows, bucket = (np.concatenate(x) for x in zip(*found))
-                if len(rows):
-                    yield _blobs(SENT, bucket, rows)
+                yield _sent(found)
     return send
 
 
+def _sent(found):
+    rows, bucket = (np.concatenate(x) for x in zip(*found))
+    return _blobs(SENT, bucket, rows)
+
+
 def _by_bucket(work):
     """Task function: ``work(bucket, blobs, more)`` yields the batches of each bucket of rows sorted by bucket."""
     def run(batches):
@@ -216,7 +209,7 @@ def _send_parts(buckets, wanted):
             for first, offsets, data in blocks(batch.column("text")):
                 if len(data) < LENGTH:
                     continue
-                rows, bucket, start, size = _described(ids, tags, first, offsets, data, Hashes(data), buckets)
+                rows, bucket, start, size = _described(ids, tags, first, offsets, data, hashes_of(data), buckets)
                 key = run_key(bucket, rows)
                 good = np.flatnonzero(in_filter(wanted.value, key))
                 if not len(good):
@@ -238,7 +231,7 @@ class Suffixes:
     """Suffixes of byte strings, compared by at most ``LENGTH`` bytes."""
 
     def __init__(self, data, hashes=None):
-        self.data, self.hashes = data, hashes or Hashes(data)
+        self.data, self.hashes = data, hashes or hashes_of(data)
 
     def shared(self, a, b):
         """Bytes that the suffixes at ``a`` and ``b`` share, up to ``LENGTH``: a binary search over hashes."""
@@ -316,47 +309,61 @@ def _resolve(buckets):
         rows = _unpack(blobs, PART)
         data = np.frombuffer(b"".join(more), dtype=np.uint8)
         base = np.cumsum(rows["size"], dtype=np.int64) - rows["size"]
-        hashes = Hashes(data)
-        content = mix(hashes.of(base, base + rows["size"]) + rows["size"].astype(np.uint64))
-        order = np.lexsort((rows["id"], rows["offset"], content, rows["anchor"]))
-        rows, base, content = rows[order], base[order], content[order]
-        new = np.r_[True, (rows["anchor"][1:] != rows["anchor"][:-1]) | (content[1:] != content[:-1]) | (rows["offset"][1:] != rows["offset"][:-1])]
-        first = np.flatnonzero(new)
-        of = np.cumsum(new) - 1
-        least = rows["id"][first]
-        count = rows["size"][first].astype(np.int64) - LENGTH + 1
-        cls = np.repeat(np.arange(len(first)), count)
-        step = np.arange(len(cls)) - np.repeat(np.cumsum(count) - count, count)
-        at = base[first][cls] + step
-        offset = rows["offset"][first][cls].astype(np.int64) - step
-        anchor = rows["anchor"][first][cls]
-        order = np.lexsort((offset, anchor))
-        at, offset, anchor = at[order], offset[order], anchor[order]
-        edges = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (offset[1:] != offset[:-1]), True])
-        number = Suffixes(data, hashes).equal_groups(at, edges)
-        smallest = np.full(number.max() + 1, LAST_ID)
-        np.minimum.at(smallest, number, least[cls[order]])
-        hit = np.zeros(len(cls), dtype=bool)
-        hit[order] = smallest[number] < least[cls[order]]
-        # Strings in a row make one span, for every place of the class in its smallest document.
-        at_hit = np.flatnonzero(hit)
-        if not len(at_hit):
-            return
-        begin = np.flatnonzero(np.r_[True, (np.diff(at_hit) != 1) | (cls[at_hit][1:] != cls[at_hit][:-1])])
-        finish = np.r_[begin[1:] - 1, len(at_hit) - 1]
-        c, low, high = cls[at_hit[begin]], step[at_hit[begin]], step[at_hit[finish]] + LENGTH
-        targets = np.flatnonzero(rows["id"] == least[of])
-        target_cls = of[targets]
-        lo, hi = np.searchsorted(target_cls, c), np.searchsorted(target_cls, c, side="right")
-        span = np.repeat(np.arange(len(c)), hi - lo)
-        row = targets[np.arange(len(span)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[span]]
-        spans = np.empty(len(span), dtype=SPANS)
-        spans["id"], spans["tag"] = rows["id"][row], rows["tag"][row]
-        spans["start"], spans["end"] = rows["start"][row] + low[span], rows["start"][row] + high[span]
-        yield _blobs(COVERED, _doc_bucket(spans["id"], buckets), spans)
+        order = np.argsort(rows["anchor"], kind="stable")
+        rows, base = rows[order], base[order]
+        # Anchors in turn, so many that their strings fit.
+        strings = np.cumsum(rows["size"].astype(np.int64) - LENGTH + 1)
+        edges, low = _edges(rows["anchor"]), 0
+        while low < len(rows):
+            done = strings[low - 1] if low else 0
+            high = edges[max(np.searchsorted(strings[edges[1:] - 1], done + WINDOWS, side="right"), np.searchsorted(edges, low, side="right"))]
+            size = rows["size"][low:high].astype(np.int64)
+            start = np.cumsum(size) - size
+            own = data[np.repeat(base[low:high] - start, size) + np.arange(size.sum())]
+            spans = _spans(rows[low:high], own, start)
+            if len(spans):
+                yield _blobs(COVERED, _doc_bucket(spans["id"], buckets), spans)
+            low = high
     return _by_bucket(work)
 
 
+def _spans(rows, data, base):
+    """What smaller documents have of the runs ``rows``, whose bytes begin at ``base`` in ``data``."""
+    hashes = hashes_of(data)
+    content = mix(hashes.of(base, base + rows["size"]) + rows["size"].astype(np.uint64))
+    order = np.lexsort((rows["id"], rows["offset"], content, rows["anchor"]))
+    rows, base, content = rows[order], base[order], content[order]
+    new = np.r_[True, (rows["anchor"][1:] != rows["anchor"][:-1]) | (content[1:] != content[:-1]) | (rows["offset"][1:] != rows["offset"][:-1])]
+    first, of = np.flatnonzero(new), np.cumsum(new) - 1
+    least = rows["id"][first]
+    count = rows["size"][first].astype(np.int64) - LENGTH + 1
+    cls = np.repeat(np.arange(len(first)), count)
+    step = np.arange(len(cls)) - np.repeat(np.cumsum(count) - count, count)
+    offset = rows["offset"][first][cls].astype(np.int64) - step
+    anchor = rows["anchor"][first][cls]
+    order = np.lexsort((offset, anchor))
+    offset, anchor = offset[order], anchor[order]
+    edges = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (offset[1:] != offset[:-1]), True])
+    number = Suffixes(data, hashes).equal_groups(base[first][cls[order]] + step[order], edges)
+    smallest = np.full(number.max() + 1, LAST_ID)
+    np.minimum.at(smallest, number, least[cls[order]])
+    hit = np.zeros(len(cls), dtype=bool)
+    hit[order] = smallest[number] < least[cls[order]]
+    # Strings in a row make one span, for every place of the class in its smallest document.
+    at_hit = np.flatnonzero(hit)
+    begin = np.flatnonzero(np.r_[True, (np.diff(at_hit) != 1) | (cls[at_hit][1:] != cls[at_hit][:-1])][:len(at_hit)])
+    finish = np.r_[begin[1:] - 1, len(at_hit) - 1][:len(begin)]
+    c, low, high = cls[at_hit[begin]], step[at_hit[begin]], step[at_hit[finish]] + LENGTH
+    targets = np.flatnonzero(rows["id"] == least[of])
+    lo, hi = np.searchsorted(of[targets], c), np.searchsorted(of[targets], c, side="right")
+    span = np.repeat(np.arange(len(c)), hi - lo)
+    row = targets[np.arange(len(span)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[span]]
+    spans = np.empty(len(span), dtype=SPANS)
+    spans["id"], spans["tag"] = rows["id"][row], rows["tag"][row]
+    spans["start"], spans["end"] = rows["start"][row] + low[span], rows["start"][row] + high[span]
+    return spans
+
+
 def _merge(bucket, blobs, more):
     """Spans of each document, joined where they touch."""
     import pyarrow as pa

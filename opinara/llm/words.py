@@ -28,16 +28,30 @@ SPACE[[32, *range(9, 14)]] = True
 VALUE = stream(1, 256)
 VALUE[65:91] = VALUE[97:123]
 VALUE[SPACE] = 0
-STEP = stream(2, 1)[0]
-_powers = np.ones(1, dtype=np.uint64)
+BASE = int(stream(2, 1)[0])
+_tables = {}
 
 
-def powers(n):
-    """The first ``n`` powers of the polynomial's base."""
-    global _powers
-    if len(_powers) < n:
-        _powers = np.cumprod(np.r_[np.uint64(1), np.full(max(n, 256) - 1, STEP)], dtype=np.uint64)
-    return _powers[:n]
+def _powers(base, n):
+    """At least ``n`` powers of an odd 64-bit number."""
+    table = _tables.get(base)
+    if table is None or len(table) < n:
+        table = _tables[base] = np.cumprod(np.r_[np.uint64(1), np.full(max(n, BLOCK + BLOCK // 8), base, dtype=np.uint64)], dtype=np.uint64)
+    return table
+
+
+class Hashes:
+    """Prefix polynomial hashes of a byte array: the hash of any substring in constant time."""
+
+    def __init__(self, data, values, base):
+        self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        terms = np.take(values, data)
+        terms *= _powers(base, len(data))[:len(data)]
+        np.cumsum(terms, out=self.sums[1:])
+        self.shift = _powers(pow(base, -1, 1 << 64), len(data) + 1)
+
+    def of(self, start, end):
+        return (self.sums[end] - self.sums[start]) * self.shift[start]
 
 
 def mix(x):
@@ -85,12 +99,8 @@ def word_hashes(offsets, data, stops=()):
     ends = np.flatnonzero(inside & (~after | cut[1:])) + 1
     if not len(starts):
         return starts.astype(np.uint64), starts, ends
-    lengths = np.diff(np.r_[starts, len(data)])
-    place = np.arange(starts[0], len(data)) - np.repeat(starts, lengths)
-    table = powers(int((ends - starts).max()) + 1)
-    # Bytes of a gap have the value 0, so their power does not matter.
-    terms = VALUE[data[starts[0]:]] * table[np.minimum(place, len(table) - 1)]
-    return mix(np.add.reduceat(terms, starts - starts[0])), starts, ends
+    # Bytes of a gap have the value 0.
+    return mix(Hashes(data, VALUE, BASE).of(starts, ends)), starts, ends
 
 
 def per_text(offsets, starts):

@@ -1,11 +1,13 @@
 import random
 
 import numpy as np
+import pytest
 from brute import repeats
 from fixtures import awkward, documents
 from pyspark.sql import functions as F
 
-from opinara.llm.suffixes import LENGTH, Hashes, Suffixes, remove_repeats
+from opinara.llm import suffixes as S
+from opinara.llm.suffixes import LENGTH, Suffixes, hashes_of, remove_repeats
 
 
 def check(spark, rows):
@@ -18,7 +20,9 @@ def test_agrees_with_all_strings(spark):
     check(spark, awkward(copies=12))
 
 
-def test_periodic_texts_and_partial_overlaps(spark):
+@pytest.mark.parametrize("windows", [1, 1 << 18])
+def test_periodic_texts_and_partial_overlaps(spark, monkeypatch, windows):
+    monkeypatch.setattr(S, "WINDOWS", windows)
     rnd, rows = random.Random(5), []
     pool = ["".join(rnd.choice("abé ") for _ in range(rnd.randrange(40, 130))) for _ in range(6)] + ["x" * 150, "ab" * 80, "abc" * 60]
     for i in range(60):
@@ -50,7 +54,7 @@ def test_suffixes_sort_by_their_bytes():
 
 def test_colliding_hashes_are_told_apart_by_bytes():
     data = np.frombuffer(b"a" * LENGTH + b"b" * LENGTH + b"a" * LENGTH, np.uint8)
-    hashes = Hashes(data)
+    hashes = hashes_of(data)
     hashes.sums[:] = 0  # every two strings collide
     number = Suffixes(data, hashes).equal_groups(np.array([0, LENGTH, 2 * LENGTH]), np.array([0, 3]))
     assert number[0] == number[2] != number[1]
