@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import work_folder
@@ -54,11 +54,8 @@ def numbered(df: DataFrame, order: list[str], sizes: list[str], name: str) -> Da
     ranged = materialise(ranged, name)
     totals = ranged.groupBy("range_no").agg(*[F.sum(s).alias(s) for s in sizes])
     # One row a range: as many as there are shuffle partitions.
-    pairs = totals.select(F.col("range_no").alias("earlier"), *[F.col(s).alias(f"{s}_t") for s in sizes])
-    before = (totals.select("range_no").join(F.broadcast(pairs), F.col("earlier") < F.col("range_no"), "left")
-              .groupBy("range_no").agg(*[F.coalesce(F.sum(f"{s}_t"), F.lit(0)).alias(f"{s}_base") for s in sizes]))
-    from pyspark.sql import Window
-
+    ahead = Window.orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select("range_no", *[F.coalesce(F.sum(s).over(ahead), F.lit(0)).alias(f"{s}_base") for s in sizes])
     w = Window.partitionBy("range_no").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     out = ranged.join(F.broadcast(before), "range_no")
     for s in sizes:

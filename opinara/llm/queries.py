@@ -92,13 +92,44 @@ def registry():
                                      op10_neighbours)}
 
 
+SMALL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
 def oracles():
     return {
-        "op1_exact_dedup": """
-            WITH d AS (
-              SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS h
-              FROM documents)
+        "op1_exact_dedup": f"""
+            WITH d AS (SELECT doc_id, sha256({SMALL}) AS h FROM documents)
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                    doc_id = max(doc_id) OVER w AS kept, h AS text_sha256
             FROM d WINDOW w AS (PARTITION BY h)""",
+        "op4_minhash": f"""
+            WITH RECURSIVE worded AS (SELECT doc_id, regexp_extract_all({SMALL}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+            shingled AS (
+              SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+                ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS sh
+              FROM worded),
+            sizes AS (SELECT doc_id, CAST(len(sh) AS BIGINT) AS n FROM shingled),
+            each AS (SELECT doc_id, unnest(sh) AS x FROM shingled),
+            shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM each a JOIN each b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+            linked AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+            both_ways AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+            reached(id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT b, root FROM reached JOIN both_ways ON a = id)
+            SELECT doc_id, n AS n_shingles, min(root) AS component_id, doc_id = min(root) AS kept
+            FROM sizes JOIN reached ON id = doc_id GROUP BY doc_id, n""",
+        "op7_suffixes": """
+            WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+            strings AS (SELECT doc_id, i, h[i + 1:i + 50] AS s FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM d)),
+            firsts AS (SELECT s, min(doc_id) AS least FROM strings GROUP BY s HAVING min(doc_id) < max(doc_id)),
+            hits AS (SELECT doc_id, i FROM strings JOIN firsts USING (s) WHERE least < doc_id),
+            islands AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM (
+              SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS new FROM hits)),
+            spans AS (SELECT doc_id, k, min(i) AS a, max(i) + 50 AS b FROM islands GROUP BY doc_id, k),
+            pieces AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
+            cut AS (
+              SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, CAST(count(*) AS BIGINT) AS n_spans, max(b) AS last,
+                list_reduce(list(CASE WHEN a > before THEN h[before + 1:a] ELSE ''::BLOB END ORDER BY a), lambda x, y: x || y) AS head
+              FROM pieces JOIN d USING (doc_id) GROUP BY doc_id)
+            SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+              sha256(coalesce(head, ''::BLOB) || CASE WHEN coalesce(last, 0) < n THEN h[coalesce(last, 0) + 1:n] ELSE ''::BLOB END) AS kept_sha256
+            FROM d LEFT JOIN cut USING (doc_id)""",
     }
