@@ -18,6 +18,7 @@ CURVES = 4
 DIRECTIONS = 8
 BITS = 7
 BLOCK = 2048  # rows that are compared at once
+STRIPE = 16  # neighbouring blocks of a task, of which a query keeps the best only
 WINDOW = 1024  # rows on either side of a query, to begin with
 SAMPLE = 128  # queries whose true neighbours are found to measure recall
 RECALL = 0.94  # of the sample; its error leaves 0.9 for all
@@ -144,33 +145,51 @@ def best(queries, numbers, vectors, ids, least, k):
     return [np.concatenate(x) for x in zip(*out)]
 
 
+def _top(found, k):
+    """The ``k`` best rows of each query of ``(query, c, least, score)`` arrays; a class counts once."""
+    query, c, least, score = found
+    order = np.lexsort((c, query))
+    order = order[np.r_[True, (query[order][1:] != query[order][:-1]) | (c[order][1:] != c[order][:-1])][:len(order)]]
+    order = order[np.lexsort((least[order], -score[order], query[order]))]
+    own = query[order]
+    order = order[np.arange(len(own)) - np.searchsorted(own, own) < k]
+    return [x[order] for x in found]
+
+
 def _compare(k, dim):
-    """Task function: the best of each block for each query sent to it."""
+    """Task function: the best of each stripe for each query sent to its blocks."""
     def compare(batches):
         import pyarrow as pa
 
         names = ["query", "c", "least", "score"]
-        block, rows = None, []
+        block = stripe = None
+        rows, kept = [], None
 
         def settle():
+            nonlocal kept
             held = pa.Table.from_batches(rows).combine_chunks()
             vectors, asks = _matrix(held.column("vector").combine_chunks(), dim), held.column("is_query").to_numpy()
             c, least = held.column("c").to_numpy(), held.column("least").to_numpy()
             if asks.any() and not asks.all():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in best(vectors[asks], c[asks], vectors[~asks], c[~asks], least[~asks], k)], names=names)
+                found = best(vectors[asks], c[asks], vectors[~asks], c[~asks], least[~asks], k)
+                kept = _top(found if kept is None else [np.concatenate(x) for x in zip(kept, found)], k)
 
         for batch in batches:
             blocks = batch.column("block").to_numpy()
             edges = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]]) if len(blocks) else []
             for a, b in zip(edges, [*edges[1:], len(blocks)]):
                 if block is not None and blocks[a] != block:
-                    yield from settle()
+                    settle()
                     rows = []
-                block = blocks[a]
+                if kept is not None and blocks[a] // STRIPE != stripe:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in kept], names=names)
+                    kept = None
+                block, stripe = blocks[a], blocks[a] // STRIPE
                 rows.append(batch.slice(a, b - a))
         if rows:
-            yield from settle()
+            settle()
+        if kept is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in kept], names=names)
     return compare
 
 
@@ -181,7 +200,8 @@ def near(placed: DataFrame, asking: DataFrame, window: int, k: int, dim: int) ->
     span = F.sequence(F.floor(F.greatest(F.col("place") - window, F.lit(0)) / BLOCK), F.floor((F.col("place") + window) / BLOCK))
     asked = asking.select(F.explode(span).alias("block"), F.lit(True).alias("is_query"), "c", "least", "vector")
     n = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = rows.unionByName(asked).repartition(4 * n, "block").sortWithinPartitions("block")
+    met = (rows.unionByName(asked).withColumn("stripe", F.floor(F.col("block") / STRIPE))
+           .repartition(4 * n, "stripe").sortWithinPartitions("stripe", "block").drop("stripe"))
     found = met.mapInArrow(_compare(k, dim), FOUND.format(least=least))
     found = found.groupBy("query", "c").agg(F.max("score").alias("score"), F.first("least").alias("least"))
     w = Window.partitionBy("query").orderBy(F.desc("score"), "least")
