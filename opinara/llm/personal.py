@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vocabulary import let
-from .common import materialise, names_for
+from .common import materialise, names_for, possibly_in
 
 # A match can only begin where a run of its first characters begins, or at the end of the
 # last match. That, and never giving back what a run has taken, keeps matching linear and
@@ -114,15 +114,19 @@ def revealing_terms(found: DataFrame, docs: DataFrame, support=SUPPORT, window=W
     n = texts.agg(F.count_distinct("text_hash")).first()[0]
     if pairs.isEmpty():
         return placed.where("false").select("id", "text_hash", "start", "end", F.lit(0.0).alias("share"))
-    words = F.array_distinct(F.split(F.lower(F.col("text")), r"[^\p{L}]+"))
-    once = texts.groupBy("text_hash").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("text_hash", "copies")
-    # A text of several copies gives each copy its share of one.
-    weighed = texts.select(F.explode(words).alias("term"), "text_hash").where(F.length("term") > 2)
-    counted = weighed.groupBy("term").agg(F.count(F.lit(1)).alias("n_rows"))
-    copied = (weighed.join(once.hint("merge"), "text_hash").groupBy("term")
-              .agg(F.sum(1 - 1 / F.col("copies")).alias("again")))
     wanted = pairs.select("term").distinct()
-    counts = (wanted.join(counted.hint("merge"), "term").join(copied.hint("merge"), "term", "left")
+    words = F.explode(F.array_distinct(F.split(F.lower(F.col("text")), r"[^\p{L}]+"))).alias("term")
+
+    def listed(rows, *columns):
+        # Only words that may be asked for leave their task.
+        return possibly_in(rows.select(*columns, words).where(F.length("term") > 2), F.col("term"), wanted, "term")
+
+    counted = listed(texts).groupBy("term").agg(F.count(F.lit(1)).alias("n_rows"))
+    # Of a text of several copies all but one are taken off again, a share from each copy.
+    several = texts.groupBy("text_hash").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    copies = possibly_in(texts, F.col("text_hash"), several, "text_hash").join(several.hint("merge"), "text_hash")
+    again = listed(copies, "copies").groupBy("term").agg(F.sum(1 - 1 / F.col("copies")).alias("again"))
+    counts = (wanted.join(counted.hint("merge"), "term").join(again.hint("merge"), "term", "left")
               .select("term", (F.col("n_rows") - F.coalesce("again", F.lit(0.0))).alias("n_term")))
     share = F.log2(F.lit(float(n)) * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))) / -F.log2(F.col("n_entity") / float(n))
     telling = (pairs.join(counts.hint("merge"), "term").withColumn("share", share).where(F.col("share") >= generalise)
