@@ -1,5 +1,8 @@
 """What the operators share: reading, materialising, global order, components."""
 
+import pickle
+import uuid
+import zlib
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -63,6 +66,24 @@ def numbered(df: DataFrame, order: list[str], sizes: list[str], name: str) -> Da
     return out.drop("range_no", *[f"{s}_base" for s in sizes])
 
 
+class Shared:
+    """A value for all tasks, sent compressed and opened once a worker."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.name = uuid.uuid4().hex
+        self.sent = spark.sparkContext.broadcast(zlib.compress(pickle.dumps(value, protocol=5), 1))
+
+    @property
+    def value(self):
+        if self.name not in _opened:
+            while len(_opened) >= 4:
+                _opened.pop(next(iter(_opened)))
+            _opened[self.name] = pickle.loads(zlib.decompress(self.sent.value))
+        return _opened[self.name]
+
+
+_opened = {}
+
 BITMAP, BITMAPS = 32768, 1024  # a filter of 4 MB at any size
 
 

@@ -18,56 +18,124 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vocabulary import let
-from .common import free_of, materialise, names_for
+from .common import Shared, free_of, materialise, names_for
 from .words import blocks, mix, stream, word_hashes
 
-CELLS = 1 << 20
+CELL_BITS = 20
+CELLS = 1 << CELL_BITS
 SLICES = 16
-BUCKET_BYTES = 16 << 20
-FIRST = 4
+BUCKET_BYTES = 8 << 20
+FLUSH_BYTES = 8 << 20
+FIRST = 2
 WIDEN = 16
+WIDEST = 8
 FILTER_BITS = 1 << 27  # 16 MB: filters of wanted classes that are sent to all tasks
 BITMAP = 32768
 LAST_ID = (1 << 63) - 1
 
 _K = stream(5, 4)
+_LOW = (np.uint64((1 << 48) - 1), np.uint64((1 << 40) - 1))
 
 
 class Lines:
-    """The lines of a block of texts that have words, as arrays over distinct tokens sorted by line and rarity."""
+    """The lines of a block of texts that have words: their sets of tokens, each from rare to common.
+
+    A token is 40 bits of its word's hash; sets are told apart by 48.
+    """
 
     def __init__(self, offsets, data, counts):
-        breaks = np.flatnonzero(data == 10)
-        hashes, starts, _ = word_hashes(offsets, data, breaks)
-        text = np.searchsorted(offsets, starts, side="right") - 1
-        breaks_before = np.searchsorted(breaks, starts)
-        line = breaks_before + text  # grows with every line and every text
-        rarity = counts[(hashes & np.uint64(CELLS - 1)).astype(np.int64)] if counts is not None else None
-        order = np.lexsort((hashes, line) if rarity is None else (hashes, rarity, line))
-        hashes, line, text = hashes[order], line[order], text[order]
-        new = np.r_[True, (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1])][:len(hashes)]
-        self.tokens, line, text = hashes[new], line[new], text[new]
-        self.first = np.flatnonzero(np.r_[True, line[1:] != line[:-1]][:len(line)])
-        self.n = np.diff(np.r_[self.first, len(line)])
-        self.text = text[self.first]
-        self.number = line[self.first] - self.text - np.searchsorted(breaks, offsets[self.text])
-        if len(self.first):
-            one = np.uint64(1) << (mix(self.tokens) & np.uint64(63))
-            self.parity = np.bitwise_xor.reduceat(one, self.first)
-            self.check = (np.add.reduceat(mix(self.tokens ^ _K[0]), self.first) >> np.uint64(32)).astype(np.uint32)
+        self.text, self.number, line, hashes = lines_of(offsets, data)
+        tokens, self.n, parity, check, other = [], [], [], [], []
+        for a in range(0, len(self.text), 1 << 16):
+            low, high = np.searchsorted(line, (a, a + (1 << 16)))
+            at = (line[low:high] - a).astype(np.uint64) << np.uint64(48)
+            whole = np.sort(at | (hashes[low:high] >> np.uint64(16)))
+            whole = whole[np.r_[True, whole[1:] != whole[:-1]]]
+            at, word = whole >> np.uint64(48), whole & _LOW[0]
+            first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+            self.n.append(np.diff(np.r_[first, len(at)]))
+            parity.append(sketches(word, first, self.n[-1]))
+            check.append((np.add.reduceat(mix(word ^ _K[0]), first) >> np.uint64(32)).astype(np.uint32))
+            other.append(np.add.reduceat(mix(word + _K[1]), first))
+            if counts is not None:
+                rarity = counts[(word >> np.uint64(48 - CELL_BITS)).astype(np.int64)]
+                tokens.append(np.sort((at << np.uint64(48)) | (rarity << np.uint64(40)) | (word >> np.uint64(8))) & _LOW[1])
+
+        def joined(parts, kind):
+            return np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
+
+        self.tokens, self.n = joined(tokens, np.uint64), joined(self.n, np.int64)
+        self.parity = np.concatenate(parity) if parity else np.zeros((0, WIDEST), dtype=np.uint64)
+        self.check, self.other = joined(check, np.uint32), joined(other, np.uint64)
+        self.first = np.cumsum(self.n) - self.n
+
+
+def width_of(n):
+    """64-bit parts of the sketch of a set of ``n`` tokens: wide enough to tell it from others of its size."""
+    return np.where(n > 300, 8, np.where(n > 128, 4, np.where(n > 48, 2, 1)))
+
+
+def sketches(word, first, n):
+    """Parity sketches: bit i tells whether an odd number of tokens fall on i. Parts beyond a set's width are 0.
+
+    Where two sketches differ the sets differ, by a token a bit at least.
+    """
+    out = np.zeros((len(n), WIDEST), dtype=np.uint64)
+    spread = mix(word)
+    bit = np.uint64(1) << (spread & np.uint64(63))
+    wide = width_of(n)
+    part = (spread >> np.uint64(6)) & np.repeat(wide - 1, n).astype(np.uint64)
+    for k in range(WIDEST):
+        own = np.flatnonzero(wide > k)
+        if not len(own):
+            break
+        if k == 0:
+            out[:, 0] = np.bitwise_xor.reduceat(np.where(part == 0, bit, np.uint64(0)), first)
         else:
-            self.parity, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
-        self.key = class_key(self.parity, self.check)
-        self.other = np.add.reduceat(mix(self.tokens + _K[1]), self.first) if len(self.first) else self.parity
+            at = np.repeat(first[own] - np.cumsum(n[own]) + n[own], n[own]) + np.arange(n[own].sum())
+            begin = np.cumsum(n[own]) - n[own]
+            out[own, k] = np.bitwise_xor.reduceat(np.where(part[at] == k, bit[at], np.uint64(0)), begin)
+    return out
 
 
-def class_key(parity, check):
-    """The key of a set of tokens, from its parity sketch and check sum."""
-    return mix(parity * _K[2] + check.astype(np.uint64) * _K[3])
+def apart(x, y, wide_x, wide_y):
+    """Tokens at least in which the sets of two rows of sketches differ; the wider one is folded to the other's width."""
+    out = np.zeros(len(x), dtype=np.int64)
+    least = np.minimum(wide_x, wide_y)
+    for width in (1, 2, 4, 8):
+        own = np.flatnonzero(least == width)
+        if len(own):
+            a, b = (np.bitwise_xor.reduce(z[own].reshape(len(own), WIDEST // width, width), axis=1) for z in (x, y))
+            out[own] = np.bitwise_count(a ^ b).sum(axis=1)
+    return out
+
+
+def lines_of(offsets, data):
+    """Lines with words: ``(text, number in the text)`` of each, and ``(line, hash)`` of each word."""
+    breaks = np.flatnonzero(data == 10)
+    hashes, starts, _ = word_hashes(offsets, data, breaks)
+    text = np.searchsorted(offsets, starts, side="right") - 1
+    before = np.searchsorted(breaks, starts)
+    line = before + text  # grows with every line and every text
+    new = np.r_[True, line[1:] != line[:-1]][:len(line)]
+    own = text[new]
+    return own, before[new] - np.searchsorted(breaks, offsets[own]), np.cumsum(new) - 1, hashes
+
+
+def prefix(n, percent):
+    """Tokens of a set of ``n`` that are looked up; none where only equal sets can match."""
+    least = -(-percent * n // 100)
+    alone = (100 * n // percent == n) & (least == n)
+    return np.where(alone, 0, n - least + 1)
+
+
+def place_key(ids, tags, numbers):
+    """Key of a line by where it stands."""
+    return mix(mix(ids.astype(np.uint64) + _K[2]) + (tags.astype(np.uint64) << np.uint64(32)) + numbers.astype(np.uint64))
 
 
 def token_counts(docs: DataFrame) -> np.ndarray:
-    """Words of all texts by cell; a bounded table, added up in slices."""
+    """How common words are, by cell, in eighths of a doubling; a bounded table, added up in slices."""
     def count(batches):
         import pyarrow as pa
 
@@ -75,7 +143,7 @@ def token_counts(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             for _, offsets, data in blocks(batch.column("text")):
                 hashes, _, _ = word_hashes(offsets, data)
-                total += np.bincount((hashes & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
+                total += np.bincount((hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=CELLS)
         for i, part in enumerate(np.split(total, SLICES)):
             if part.any():
                 yield pa.RecordBatch.from_arrays(
@@ -98,7 +166,7 @@ def token_counts(docs: DataFrame) -> np.ndarray:
     total = np.zeros((SLICES, CELLS // SLICES), dtype=np.int64)
     for row in parts:  # the same 8 MB at any size
         total[row["slice"]] = np.frombuffer(row["counts"], dtype=np.int64)
-    return np.minimum(total.ravel(), 0xFFFFFFFF).astype(np.uint32)
+    return np.minimum(8 * np.log2(total.ravel() + 1), 255).astype(np.uint64)
 
 
 def needed(n, m, percent):
@@ -106,13 +174,15 @@ def needed(n, m, percent):
     return -(-percent * (n + m) // (100 + percent))
 
 
-TOKEN = np.dtype([("token", "<u4"), ("place", "<u4"), ("n", "<u4"), ("number", "<u4"), ("check", "<u4"), ("parity", "<u8"), ("id", "<i8")])
+PARTS = [f"sketch{k}" for k in range(WIDEST)]
+TOKEN = np.dtype([("token", "<u4"), ("place", "<u4"), ("n", "<u4"), ("number", "<u4"), ("check", "<u4"), ("id", "<i8"), ("tag", "<u4"),
+                  *((part, "<u8") for part in PARTS)])
 LINE = np.dtype([("number", "<u4"), ("key", "<u8"), ("other", "<u8"), ("id", "<i8"), ("text_hash", "<i8")])
 
 
 def _pack(rows):
-    """The fields one after the other, so that like stands beside like."""
-    return b"".join(rows[name].tobytes() for name in rows.dtype.names)
+    """The bytes of all fields, plane by plane, so that the many bytes that are alike stand together."""
+    return b"".join(np.ascontiguousarray(rows[name]).view(np.uint8).reshape(len(rows), -1).T.tobytes() for name in rows.dtype.names)
 
 
 def _unpack(blobs, dtype):
@@ -121,15 +191,19 @@ def _unpack(blobs, dtype):
     for blob in blobs:
         n, place = len(blob) // dtype.itemsize, 0
         for name in dtype.names:
-            field = dtype[name]
-            out[name][at:at + n] = np.frombuffer(blob, dtype=field, count=n, offset=place)
-            place += n * field.itemsize
+            width = dtype[name].itemsize
+            planes = np.frombuffer(blob, dtype=np.uint8, count=n * width, offset=place).reshape(width, n)
+            out[name][at:at + n] = np.ascontiguousarray(planes.T).view(dtype[name]).ravel()
+            place += n * width
         at += n
     return out
 
 
-def _exchange(docs, counts, buckets, percent, with_lines):
-    """Send lines by set and prefix tokens by token to their bucket, in blobs: ``(kind, bucket, blob)``."""
+def _exchange(docs, counts, buckets, percent, tokens=None):
+    """Send lines by set and prefix tokens by token to their bucket, in blobs: ``(kind, bucket, blob)``.
+
+    With a filter ``tokens`` only the tokens in it go.
+    """
     def send(batches):
         import pyarrow as pa
 
@@ -142,43 +216,61 @@ def _exchange(docs, counts, buckets, percent, with_lines):
                 [pa.array([kind] * len(blobs), pa.int32()), pa.array(bucket[edges[:-1]].astype(np.int32)), pa.array(blobs, pa.binary())],
                 names=["kind", "bucket", "blob"])
 
+        def flushed(line_rows, token_rows, token_buckets):
+            if line_rows:
+                rows = np.concatenate(line_rows)
+                yield out(0, (rows["key"] % np.uint64(buckets)).astype(np.int64), rows)
+            if sum(map(len, token_rows)):
+                yield out(1, np.concatenate(token_buckets), np.concatenate(token_rows))
+
         for batch in batches:
             ids, text_hashes = (batch.column(c).to_numpy() for c in ("id", "text_hash"))
-            token_rows, token_buckets = [], []
+            line_rows, token_rows, token_buckets, size = [], [], [], 0
             for first, offsets, data in blocks(batch.column("text")):
                 found = Lines(offsets, data, counts.value)
                 text = found.text + first
-                if with_lines:
+                if not len(text):
+                    continue
+                key = class_key(found.parity[:, 0], found.check)
+                if tokens is None:
                     rows = np.empty(len(text), dtype=LINE)
-                    rows["key"], rows["other"], rows["id"] = found.key, found.other, ids[text]
+                    rows["key"], rows["other"], rows["id"] = key, found.other, ids[text]
                     rows["text_hash"], rows["number"] = text_hashes[text], found.number
-                    if len(rows):
-                        yield out(0, (found.key % np.uint64(buckets)).astype(np.int64), rows)
-                n = found.n
-                # A set that only its equals can match needs no search.
-                alone = (100 * n // percent == n) & (-(-percent * n // 100) == n)
-                keep = np.where(alone, 0, n - -(-percent * n // 100) + 1)
-                # Of equal sets in a batch the first is enough.
-                key_order = np.lexsort((found.number, ids[text], found.key))
-                again = np.r_[False, found.key[key_order][1:] == found.key[key_order][:-1]][:len(key_order)]
-                keep[key_order[again]] = 0
-                place = np.arange(len(found.tokens)) - np.repeat(found.first, n)
-                at = np.flatnonzero(place < np.repeat(keep, n))
-                line = np.repeat(np.arange(len(n)), n)[at]
+                    line_rows.append(rows)
+                keep = prefix(found.n, percent)
+                # Of equal sets in a block the first is enough.
+                order = np.lexsort((found.number, ids[text], key))
+                keep[order[np.r_[False, key[order][1:] == key[order][:-1]]]] = 0
+                place = np.arange(len(found.tokens)) - np.repeat(found.first, found.n)
+                at = np.flatnonzero(place < np.repeat(keep, found.n))
+                line = np.repeat(np.arange(len(found.n)), found.n)[at]
+                if tokens is not None:
+                    good = in_filter(tokens.value, mix(found.tokens[at]))
+                    at, line = at[good], line[good]
                 rows = np.empty(len(at), dtype=TOKEN)
-                tokens = found.tokens[at]
-                rows["token"], rows["place"], rows["n"] = tokens >> np.uint64(32), place[at], n[line]
+                spread = mix(found.tokens[at])
+                rows["token"], rows["place"], rows["n"] = spread >> np.uint64(32), place[at], found.n[line]
                 rows["number"], rows["check"] = found.number[line], found.check[line]
-                rows["parity"], rows["id"] = found.parity[line], ids[text[line]]
+                for k, part in enumerate(PARTS):
+                    rows[part] = found.parity[line, k]
+                rows["id"], rows["tag"] = ids[text[line]], text_hashes[text[line]] & 0xFFFFFFFF
                 token_rows.append(rows)
-                token_buckets.append((tokens % np.uint64(buckets)).astype(np.int64))
-            if token_rows and sum(map(len, token_rows)):
-                yield out(1, np.concatenate(token_buckets), np.concatenate(token_rows))
+                token_buckets.append((spread & np.uint64(0xFFFFFFFF)).astype(np.int64) % buckets)
+                size += len(data)
+                if size >= FLUSH_BYTES:
+                    yield from flushed(line_rows, token_rows, token_buckets)
+                    line_rows, token_rows, token_buckets, size = [], [], [], 0
+            yield from flushed(line_rows, token_rows, token_buckets)
 
     sent = docs.mapInArrow(send, "kind int, bucket int, blob binary")
     return sent.repartition(buckets, "kind", "bucket").sortWithinPartitions("kind", "bucket")
 
 
+def class_key(parity, check):
+    """The key of a set of tokens, from its parity sketch and check sum."""
+    return mix(parity * _K[2] + check.astype(np.uint64) * _K[3])
+
+
 def later_copies(rows):
     """Of lines of a bucket those that have an equal one before them."""
     rows = rows[np.lexsort((rows["number"], rows["id"], rows["other"], rows["key"]))]
@@ -193,8 +285,8 @@ def candidates(rows, percent, most, wanted):
 
     A y gets the first ``most`` of them at a token; ``more`` says that it has reached that number.
     """
-    order = np.lexsort((rows["number"], rows["id"], rows["check"], rows["parity"], rows["token"]))
-    token, parity, check = rows["token"][order], rows["parity"][order], rows["check"][order]
+    order = np.lexsort((rows["number"], rows["id"], rows["check"], rows["sketch0"], rows["token"]))
+    token, parity, check = rows["token"][order], rows["sketch0"][order], rows["check"][order]
     new = np.r_[True, (token[1:] != token[:-1]) | (parity[1:] != parity[:-1]) | (check[1:] != check[:-1])]
     order = order[new]  # each set once, at its first place
     order = order[np.lexsort((rows["number"][order], rows["id"][order], rows["token"][order]))]
@@ -204,9 +296,10 @@ def candidates(rows, percent, most, wanted):
     group = np.repeat(begin, size)
     ys = np.flatnonzero(np.arange(len(token)) > group)
     if wanted is not None:
-        keys = class_key(rows["parity"][order[ys]], rows["check"][order[ys]])
-        ys = ys[in_filter(wanted, keys)]
-    n, place, parity = rows["n"][order].astype(np.int64), rows["place"][order].astype(np.int64), rows["parity"][order]
+        y = rows[order[ys]]
+        ys = ys[in_filter(wanted, place_key(y["id"], y["tag"], y["number"]))]
+    n, place = rows["n"][order].astype(np.int64), rows["place"][order].astype(np.int64)
+    sketch, wide = np.stack([rows[part][order] for part in PARTS], axis=1), width_of(n)
     given = np.zeros(len(token), dtype=np.int64)
     xs, found, step = [], [], 0
     while True:
@@ -219,7 +312,8 @@ def candidates(rows, percent, most, wanted):
         i, j = place[x], place[ys]
         fit = (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
         fit &= np.minimum(i, j) + 1 + np.minimum(a - 1 - i, b - 1 - j) >= least
-        fit &= np.bitwise_count(parity[x] ^ parity[ys]) <= a + b - 2 * least
+        fit = np.flatnonzero(fit)
+        fit = fit[apart(sketch[x[fit]], sketch[ys[fit]], wide[x[fit]], wide[ys[fit]]) <= (a + b - 2 * least)[fit]]
         hit = ys[fit]
         given[hit] += 1
         xs.append(x[fit])
@@ -263,9 +357,7 @@ def _meet(percent, most, wanted):
         else:
             rows = _unpack(blobs, TOKEN)
             x, y, more = candidates(rows, percent, most, None if wanted is None else wanted.value)
-            key = class_key(rows["parity"], rows["check"]).view(np.int64)
-            pair = np.lexsort((key[y], key[x]))
-            x, y, more = x[pair], y[pair], more[pair]
+            key = place_key(rows["id"], rows["tag"], rows["number"]).view(np.int64)
             columns = [key[x], key[y], rows["id"][y], np.zeros(len(y), np.int64), rows["number"][y], more]
         columns = [pa.array(np.ascontiguousarray(c)) for c in columns]
         columns[4] = columns[4].cast(pa.int32())
@@ -286,30 +378,44 @@ def _meet(percent, most, wanted):
 
 
 def _sets(docs, wanted):
-    """Sets of tokens whose key the filter holds, ``(key, text_hash, tokens)``, with the text of their first place."""
+    """Sets of words of the lines whose place the filter holds: ``(key, text_hash, words)``."""
     def pick(batches):
         import pyarrow as pa
 
         for batch in batches:
             ids, text_hashes = (batch.column(c).to_numpy() for c in ("id", "text_hash"))
             for first, offsets, data in blocks(batch.column("text")):
-                found = Lines(offsets, data, None)
-                good = np.flatnonzero(in_filter(wanted.value, found.key))
+                text, number, line, hashes = lines_of(offsets, data)
+                text = text + first
+                key = place_key(ids[text], text_hashes[text] & 0xFFFFFFFF, number)
+                good = np.flatnonzero(in_filter(wanted.value, key))
                 if not len(good):
                     continue
-                text = found.text[good] + first
-                order = np.lexsort((found.number[good], ids[text], found.key[good]))
-                good, text = good[order], text[order]
-                new = np.r_[True, found.key[good][1:] != found.key[good][:-1]]
-                good, text = good[new], text[new]
-                tokens = [found.tokens[found.first[g]:found.first[g] + found.n[g]].tobytes() for g in good]
+                low, high = np.searchsorted(line, good), np.searchsorted(line, good, side="right")
+                words = [np.unique(hashes[a:b]).tobytes() for a, b in zip(low, high)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.key[good].view(np.int64)), pa.array(ids[text]), pa.array(text_hashes[text]),
-                     pa.array(found.number[good].astype(np.int32)), pa.array(tokens, pa.binary())],
-                    names=["key", "id", "text_hash", "number", "tokens"])
+                    [pa.array(key[good].view(np.int64)), pa.array(text_hashes[text[good]]), pa.array(words, pa.binary())],
+                    names=["key", "text_hash", "words"])
+
+    # Only a repeated row stands in the same place.
+    return docs.mapInArrow(pick, "key bigint, text_hash bigint, words binary").dropDuplicates(["key"])
+
 
-    rows = docs.mapInArrow(pick, "key bigint, id bigint, text_hash bigint, number int, tokens binary")
-    return rows.groupBy("key").agg(F.min_by("text_hash", F.struct("id", "number")).alias("text_hash"), F.first("tokens").alias("tokens"))
+def _prefix_tokens(counts, percent):
+    """Task function: the tokens that the sets of the rows are looked up by, mixed."""
+    def tokens(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = []
+            for words in batch.column("words").to_pylist():
+                word = np.unique(np.frombuffer(words, dtype=np.uint64) >> np.uint64(16))
+                rarity = counts.value[(word >> np.uint64(48 - CELL_BITS)).astype(np.int64)]
+                own = np.sort((rarity << np.uint64(40)) | (word >> np.uint64(8))) & _LOW[1]
+                found.append(mix(own[:int(prefix(np.array([len(own)]), percent)[0])]))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["token"])
+    return tokens
 
 
 def _settle(percent):
@@ -318,7 +424,7 @@ def _settle(percent):
 
         for batch in batches:
             yes = []
-            for a, b in zip(batch.column("x_tokens").to_pylist(), batch.column("y_tokens").to_pylist()):
+            for a, b in zip(batch.column("x_words").to_pylist(), batch.column("y_words").to_pylist()):
                 both = np.frombuffer(a + b, dtype=np.uint64).copy()
                 both.sort()
                 shared = int((both[1:] == both[:-1]).sum())
@@ -336,10 +442,10 @@ def matched_lines(df: DataFrame, id="doc_id", text="text", percent=80) -> DataFr
                      F.col(text).alias("text")).where("text IS NOT NULL")
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
-    counts = spark.sparkContext.broadcast(token_counts(docs))
-    gone, most, wanted = [], FIRST, None
+    counts = Shared(spark, token_counts(docs))
+    gone, most, wanted, tokens = [], FIRST, None, None
     while True:
-        met = _exchange(docs, counts, buckets, percent, wanted is None).mapInArrow(_meet(percent, most, wanted), FOUND)
+        met = _exchange(docs, counts, buckets, percent, tokens).mapInArrow(_meet(percent, most, wanted), FOUND)
         met = materialise(met, "lines")
         if wanted is None:
             gone.append(met.where("kind = 0").select("id", "text_hash", "number"))
@@ -347,20 +453,22 @@ def matched_lines(df: DataFrame, id="doc_id", text="text", percent=80) -> DataFr
             F.min("id").alias("id"), F.min("number").alias("number"), F.max("more").alias("more"))
         pairs = materialise(pairs, "pairs")
         keys = pairs.select(F.col("x").alias("key")).union(pairs.select(F.col("y").alias("key"))).distinct()
-        asked = spark.sparkContext.broadcast(key_filter(keys, "key"))
+        asked = Shared(spark, key_filter(keys, "key"))
         sets = materialise(_sets(docs, asked), "sets")
-        x = sets.select(F.col("key").alias("x"), F.col("tokens").alias("x_tokens"))
-        y = sets.select(F.col("key").alias("y"), F.col("tokens").alias("y_tokens"), "text_hash")
-        settled = (pairs.join(y.hint("merge"), "y").join(x.hint("merge"), "x").select("y", "id", "text_hash", "number", "x_tokens", "y_tokens")
+        x = sets.select(F.col("key").alias("x"), F.col("words").alias("x_words"))
+        y = sets.select(F.col("key").alias("y"), F.col("words").alias("y_words"), "text_hash")
+        settled = (pairs.join(y.hint("merge"), "y").join(x.hint("merge"), "x").select("y", "id", "text_hash", "number", "x_words", "y_words")
                    .mapInArrow(_settle(percent), "y bigint, id bigint, text_hash bigint, number int"))
         settled = materialise(settled.distinct(), "settled")
         gone.append(settled.select("id", "text_hash", "number"))
         # Sets that had more candidates than were tried, and no match among those, go on.
-        open_sets = pairs.where("more").select("y").distinct().join(settled.hint("merge"), "y", "left_anti")
-        open_sets = materialise(open_sets, "open")
-        if open_sets.isEmpty():
+        left = pairs.where("more").select("y").distinct().join(settled.hint("merge"), "y", "left_anti")
+        left = materialise(left.join(y.hint("merge"), "y").select("y", F.col("y_words").alias("words")), "open")
+        if left.isEmpty():
             break
-        wanted = spark.sparkContext.broadcast(key_filter(open_sets, "y"))
+        wanted = Shared(spark, key_filter(left, "y"))
+        looked_up = left.select("words").mapInArrow(_prefix_tokens(counts, percent), "token bigint").distinct()
+        tokens = Shared(spark, key_filter(looked_up, "token"))
         most *= WIDEN
     out = gone[0]
     for more in gone[1:]:

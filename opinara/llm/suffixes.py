@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_of, materialise, names_for
+from .common import Shared, free_of, materialise, names_for
 from .lines import _pack, _unpack, in_filter, key_filter
 from .words import Hashes, blocks, mix, stream
 
@@ -400,7 +400,7 @@ def repeated_spans(df: DataFrame, id="doc_id", text="text") -> DataFrame:
 
     met = materialise(dealt(docs.mapInArrow(_send(buckets), BLOBS)).mapInArrow(_meet(buckets), BLOBS), "runs")
     keys = met.where(F.col("kind") == KEYS).select("blob").mapInArrow(_keys, "key bigint")
-    wanted = spark.sparkContext.broadcast(key_filter(keys, "key"))
+    wanted = Shared(spark, key_filter(keys, "key"))
     parts = dealt(docs.mapInArrow(_send_parts(buckets, wanted), BLOBS)).mapInArrow(_resolve(buckets), BLOBS)
     spans = met.where(F.col("kind") == COVERED).union(parts)
     return dealt(spans).mapInArrow(_by_bucket(_merge), "id bigint, tag int, starts array<bigint>, ends array<bigint>")
