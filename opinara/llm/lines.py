@@ -18,14 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vocabulary import let
-from .common import Shared, free_of, materialise, names_for
+from .common import Shared, free_of, materialise, names_for, possibly_in
 from .words import blocks, mix, stream, word_hashes
 
 CELL_BITS = 20
 CELLS = 1 << CELL_BITS
 SLICES = 16
-BUCKET_BYTES = 8 << 20
-FLUSH_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
+FLUSH_BYTES = 2 << 20
 FIRST = 2
 WIDEN = 16
 WIDEST = 8
@@ -186,19 +186,28 @@ def _pack(rows):
 
 
 def _unpack(blobs, dtype):
-    out = np.empty(sum(len(b) for b in blobs) // dtype.itemsize, dtype=dtype)
-    at = 0
-    for blob in blobs:
-        n, place = len(blob) // dtype.itemsize, 0
-        for name in dtype.names:
-            width = dtype[name].itemsize
-            planes = np.frombuffer(blob, dtype=np.uint8, count=n * width, offset=place).reshape(width, n)
-            out[name][at:at + n] = np.ascontiguousarray(planes.T).view(dtype[name]).ravel()
-            place += n * width
-        at += n
+    columns = _columns_of(blobs, dtype)
+    out = np.empty(len(columns[dtype.names[0]]), dtype=dtype)
+    for name, values in columns.items():
+        out[name] = values
     return out
 
 
+def _columns_of(blobs, dtype):
+    """The fields of all blobs, an array each."""
+    sizes = [len(b) // dtype.itemsize for b in blobs]
+    columns, place = {}, [0] * len(blobs)
+    for name in dtype.names:
+        field = dtype[name]
+        values, at = np.empty((sum(sizes), field.itemsize), dtype=np.uint8), 0
+        for i, (blob, n) in enumerate(zip(blobs, sizes)):
+            values[at:at + n] = np.frombuffer(blob, dtype=np.uint8, count=n * field.itemsize, offset=place[i]).reshape(field.itemsize, n).T
+            place[i] += n * field.itemsize
+            at += n
+        columns[name] = values.view(field).ravel()
+    return columns
+
+
 def _exchange(docs, counts, buckets, percent, tokens=None):
     """Send lines by set and prefix tokens by token to their bucket, in blobs: ``(kind, bucket, blob)``.
 
@@ -283,21 +292,46 @@ def later_copies(rows):
 def candidates(rows, percent, most, wanted):
     """Pairs ``(x, y, more)`` of row numbers: x before y, at a shared prefix token, that no filter rules out.
 
-    A y gets the first ``most`` of them at a token; ``more`` says that it has reached that number.
+    A y gets the first ``most`` of them at a token; ``more`` says that it has reached
+    that number. ``rows`` has an array for each field.
     """
-    order = np.lexsort((rows["number"], rows["id"], rows["check"], rows["sketch0"], rows["token"]))
-    token, parity, check = rows["token"][order], rows["sketch0"][order], rows["check"][order]
-    new = np.r_[True, (token[1:] != token[:-1]) | (parity[1:] != parity[:-1]) | (check[1:] != check[:-1])]
-    order = order[new]  # each set once, at its first place
-    order = order[np.lexsort((rows["number"][order], rows["id"][order], rows["token"][order]))]
-    token = rows["token"][order]
+    # Rows by token, without those that are alone with theirs.
+    packed = np.sort((rows["token"].astype(np.uint64) << np.uint64(32)) | np.arange(len(rows["token"]), dtype=np.uint64))
+    token = packed >> np.uint64(32)
+    same = token[1:] == token[:-1]
+    alone = ~(np.r_[False, same] | np.r_[same, False])
+    order, token = (packed & np.uint64(0xFFFFFFFF)).astype(np.int64)[~alone], token[~alone]
+    if not len(order):
+        return order, order, np.zeros(0, dtype=bool)
+    # Each set once, at its first place.
+    group = np.cumsum(np.r_[False, token[1:] != token[:-1]]).astype(np.uint64)
+    content = mix(rows["sketch0"][order] + rows["check"][order].astype(np.uint64) * _K[3])
+    by = np.argsort((group << np.uint64(32)) | (content >> np.uint64(32)))
+    order, group, content = order[by], group[by], content[by]
+    first = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (content[1:] != content[:-1])])
+    id, number = rows["id"][order], rows["number"][order].astype(np.int64)
+    sizes = np.diff(np.r_[first, len(order)])
+    least = np.repeat(np.minimum.reduceat(id, first), sizes)
+    number = np.where(id == least, number, 1 << 40)
+    here = (number == np.repeat(np.minimum.reduceat(number, first), sizes)) & (id == least)
+    # Several rows of one place may be left, from a repeated row; the first will do.
+    at = np.flatnonzero(here)
+    at = at[np.r_[True, np.repeat(np.arange(len(first)), sizes)[at][1:] != np.repeat(np.arange(len(first)), sizes)[at][:-1]]]
+    order, group = order[at], group[at]
+    same = group[1:] == group[:-1]
+    several = np.r_[False, same] | np.r_[same, False]
+    order, group = order[several], group[several]
+    by = np.lexsort((rows["number"][order], rows["id"][order], group))
+    order, token = order[by], group[by]
+    if not len(order):
+        return order, order, np.zeros(0, dtype=bool)
     begin = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
     size = np.diff(np.r_[begin, len(token)])
     group = np.repeat(begin, size)
     ys = np.flatnonzero(np.arange(len(token)) > group)
     if wanted is not None:
-        y = rows[order[ys]]
-        ys = ys[in_filter(wanted, place_key(y["id"], y["tag"], y["number"]))]
+        y = order[ys]
+        ys = ys[in_filter(wanted, place_key(rows["id"][y], rows["tag"][y], rows["number"][y]))]
     n, place = rows["n"][order].astype(np.int64), rows["place"][order].astype(np.int64)
     sketch, wide = np.stack([rows[part][order] for part in PARTS], axis=1), width_of(n)
     given = np.zeros(len(token), dtype=np.int64)
@@ -342,7 +376,7 @@ def key_filter(keys: DataFrame, column: str) -> np.ndarray:
     return out
 
 
-FOUND = "kind int, x bigint, y bigint, id bigint, text_hash bigint, number int, more boolean"
+FOUND = "kind int, x bigint, y bigint, x_id bigint, id bigint, text_hash bigint, number int, more boolean"
 
 
 def _meet(percent, most, wanted):
@@ -353,14 +387,14 @@ def _meet(percent, most, wanted):
         if kind == 0:
             rows = later_copies(_unpack(blobs, LINE))
             zero = np.zeros(len(rows), dtype=np.int64)
-            columns = [zero, zero, rows["id"], rows["text_hash"], rows["number"], zero.astype(bool)]
+            columns = [zero, zero, zero, rows["id"], rows["text_hash"], rows["number"], zero.astype(bool)]
         else:
-            rows = _unpack(blobs, TOKEN)
+            rows = _columns_of(blobs, TOKEN)
             x, y, more = candidates(rows, percent, most, None if wanted is None else wanted.value)
-            key = place_key(rows["id"], rows["tag"], rows["number"]).view(np.int64)
-            columns = [key[x], key[y], rows["id"][y], np.zeros(len(y), np.int64), rows["number"][y], more]
+            key_x, key_y = (place_key(rows["id"][z], rows["tag"][z], rows["number"][z]).view(np.int64) for z in (x, y))
+            columns = [key_x, key_y, rows["id"][x], rows["id"][y], np.zeros(len(y), np.int64), rows["number"][y], more]
         columns = [pa.array(np.ascontiguousarray(c)) for c in columns]
-        columns[4] = columns[4].cast(pa.int32())
+        columns[5] = columns[5].cast(pa.int32())
         return pa.RecordBatch.from_arrays([pa.array([kind] * len(columns[0]), pa.int32()), *columns], names=names)
 
     def meet(batches):
@@ -450,11 +484,12 @@ def matched_lines(df: DataFrame, id="doc_id", text="text", percent=80) -> DataFr
         if wanted is None:
             gone.append(met.where("kind = 0").select("id", "text_hash", "number"))
         pairs = met.where("kind = 1").groupBy("x", "y").agg(
-            F.min("id").alias("id"), F.min("number").alias("number"), F.max("more").alias("more"))
+            F.min("x_id").alias("x_id"), F.min("id").alias("id"), F.min("number").alias("number"), F.max("more").alias("more"))
         pairs = materialise(pairs, "pairs")
         keys = pairs.select(F.col("x").alias("key")).union(pairs.select(F.col("y").alias("key"))).distinct()
         asked = Shared(spark, key_filter(keys, "key"))
-        sets = materialise(_sets(docs, asked), "sets")
+        holders = pairs.select(F.col("x_id").alias("id")).union(pairs.select("id"))
+        sets = materialise(_sets(possibly_in(docs, F.col("id"), holders, "id"), asked), "sets")
         x = sets.select(F.col("key").alias("x"), F.col("words").alias("x_words"))
         y = sets.select(F.col("key").alias("y"), F.col("words").alias("y_words"), "text_hash")
         settled = (pairs.join(y.hint("merge"), "y").join(x.hint("merge"), "x").select("y", "id", "text_hash", "number", "x_words", "y_words")
