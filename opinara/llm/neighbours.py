@@ -193,15 +193,15 @@ def _compare(k, dim):
     return compare
 
 
-def near(placed: DataFrame, asking: DataFrame, window: int, k: int, dim: int) -> DataFrame:
-    """The best classes of each asking row among those within ``window`` places of it."""
+def near(placed: DataFrame, asking: DataFrame, window: int, k: int, dim: int, total: int) -> DataFrame:
+    """The best classes of each asking row among those within ``window`` places of it, of ``total``."""
     least = placed.schema["least"].dataType.simpleString()
     rows = placed.select((F.floor(F.col("place") / BLOCK)).alias("block"), F.lit(False).alias("is_query"), "c", "least", "vector")
     span = F.sequence(F.floor(F.greatest(F.col("place") - window, F.lit(0)) / BLOCK), F.floor((F.col("place") + window) / BLOCK))
     asked = asking.select(F.explode(span).alias("block"), F.lit(True).alias("is_query"), "c", "least", "vector")
     n = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = (rows.unionByName(asked).withColumn("stripe", F.floor(F.col("block") / STRIPE))
-           .repartition(4 * n, "stripe").sortWithinPartitions("stripe", "block").drop("stripe"))
+           .repartition(max(1, min(4 * n, -(-total // (BLOCK * STRIPE)))), "stripe").sortWithinPartitions("stripe", "block").drop("stripe"))
     found = met.mapInArrow(_compare(k, dim), FOUND.format(least=least))
     found = found.groupBy("query", "c").agg(F.max("score").alias("score"), F.first("least").alias("least"))
     w = Window.partitionBy("query").orderBy(F.desc("score"), "least")
@@ -272,11 +272,11 @@ def nearest(df: DataFrame, asks: Column, id="vec_id", vector="embedding", k=20,
     total = CURVES * classes.count()
     drawn_rows = materialise(placed.where("asks").join(F.broadcast(classes.where("asks").orderBy(F.xxhash64("c")).limit(SAMPLE).select("c")), "c", "left_semi"), "sample")
     while window < total:
-        got = {(r["query"], r["c"]) for r in near(placed, drawn_rows, window, k + 1, dim).select("query", "c").collect()}
+        got = {(r["query"], r["c"]) for r in near(placed, drawn_rows, window, k + 1, dim, total).select("query", "c").collect()}
         if len(got & truth) >= recall * len(truth):
             break
         window *= 2
-    found = near(placed, placed.where("asks"), window, k + 1, dim)
+    found = near(placed, placed.where("asks"), window, k + 1, dim, total)
     lists = found.join(classes.select("c", "ids").hint("merge"), "c").select("query", "score", F.explode("ids").alias("id"))
     w = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     lists = (lists.withColumn("no", F.row_number().over(w)).where(F.col("no") <= k + 1).groupBy("query")
