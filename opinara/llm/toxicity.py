@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_of, materialise, possibly_in
+from .common import Shared, free_of, materialise, possibly_in
 from .words import blocks, mix, per_text, word_hashes
 
 WORD_BITS = 20
@@ -31,7 +31,7 @@ LEAST = 32  # a bigram in fewer texts of both classes counts for its history onl
 COMMON = 8  # a word that follows fewer words of a class is left to the shared counts
 WORD_DISCOUNT = 3  # contexts of a word that go to the shared counts
 STRETCH = 2
-CALIBRATION_ROWS = 50_000  # the most rows the logistic curve is fitted on
+CALIBRATION_ROWS = 50_000  # about the most rows the logistic curve is fitted on, drawn by hash
 COUNTED, FITTED = (0, 1), (3,)  # folds of labelled rows; fold 2 is held out from everything
 
 
@@ -267,14 +267,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, id: str, text: str, label:
 
 
 def train(docs: DataFrame, labels: DataFrame, id="doc_id", text="text", label="toxic", rows=CALIBRATION_ROWS) -> Model:
-    """Count the models on folds 0 and 1 of the labelled rows and fit the curve on at most ``rows`` of fold 3.
+    """Count the models on folds 0 and 1 of the labelled rows and fit the curve on a sample of about ``rows`` of fold 3, if it has more.
 
     Fold 2, by ``crc32`` of the id modulo 4, plays no part. A row labelled twice
     counts as toxic if any label says so.
     """
     known = materialise(training_rows(docs, labels, id, text, label), "labelled")
     model = count_model(known.where(F.col("fold").isin(*COUNTED)))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     def measure(batches):
         import pyarrow as pa
@@ -283,7 +283,10 @@ def train(docs: DataFrame, labels: DataFrame, id="doc_id", text="text", label="t
             x = features(shared.value, batch.column("text"))
             yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in x.T), batch.column("toxic")], names=["a", "b", "c", "toxic"])
 
-    sample = known.where(F.col("fold").isin(*FITTED)).orderBy(F.xxhash64("id")).limit(rows).select("text", "toxic")
+    sample = known.where(F.col("fold").isin(*FITTED))
+    share = rows / max(rows, sample.count())
+    # By hash, in all tasks alike; only the features reach the driver.
+    sample = sample.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).select("text", "toxic")
     found = sample.mapInArrow(measure, "a double, b double, c double, toxic int").toPandas().to_numpy()
     y = found[:, 3] if len(found) else np.zeros(0)
     if 0 < y.sum() < len(y):
@@ -296,7 +299,7 @@ def train(docs: DataFrame, labels: DataFrame, id="doc_id", text="text", label="t
 
 def rating(spark, model: Model, text):
     """The score of a text column, as a column."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = Shared(spark, model)
 
     @F.pandas_udf("double")
     def rate(texts):
