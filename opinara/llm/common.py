@@ -76,7 +76,7 @@ class Shared:
     @property
     def value(self):
         if self.name not in _opened:
-            while len(_opened) >= 4:
+            while len(_opened) >= 3:
                 _opened.pop(next(iter(_opened)))
             _opened[self.name] = pickle.loads(zlib.decompress(self.sent.value))
         return _opened[self.name]

@@ -26,6 +26,7 @@ WORD_BITS = 20
 PAIR_BITS = 21
 WORDS, PAIRS = 1 << WORD_BITS, 1 << PAIR_BITS
 SLICES = 16
+FLUSH_WORDS = 1 << 20  # words of a task that are counted at once
 DISCOUNT = 0.75
 LEAST = 32  # a bigram in fewer texts of both classes counts for its history only
 COMMON = 8  # a word that follows fewer words of a class is left to the shared counts
@@ -114,9 +115,13 @@ def _bigrams(parts):
     def count(batches):
         for batch in batches:
             toxic = batch.column("toxic").to_numpy()
-            found = []
+            found, held = [], 0
             for first, offsets, data in blocks(batch.column("text")):
+                if found and held >= FLUSH_WORDS:
+                    yield _counted(found, parts)
+                    found, held = [], 0
                 cells, edges = word_cells(offsets, data)
+                held += len(cells)
                 if len(cells) < 2:
                     continue
                 text = np.searchsorted(edges[1:], np.arange(len(cells)), side="right")
@@ -129,12 +134,15 @@ def _bigrams(parts):
                 once = np.r_[True, (key[1:] != key[:-1]) | (text[1:] != text[:-1])][:len(key)]
                 found.append(key[once].astype(np.uint64))
             if found:
-                keys, counts = np.unique(np.concatenate(found), return_counts=True)
-                part = (keys >> np.uint64(WORD_BITS + 1)).astype(np.int64) * parts >> WORD_BITS
-                yield _by(BIGRAM, part, keys, counts)
+                yield _counted(found, parts)
     return count
 
 
+def _counted(found, parts):
+    keys, counts = np.unique(np.concatenate(found), return_counts=True)
+    return _by(BIGRAM, (keys >> np.uint64(WORD_BITS + 1)).astype(np.int64) * parts >> WORD_BITS, keys, counts)
+
+
 def _gathered(batches, handle):
     """Call ``handle(kind, part, keys, counts)`` for each kind and part of sorted rows, added up as they come."""
     held, keys, counts, waiting = None, None, None, []
