@@ -4,7 +4,8 @@ Emails, addresses, cards and phones are found by pattern. How much a term reveal
 of such an entity follows from the corpus: the pointwise mutual information of
 the term's standing near the entity, over the information content of the entity,
 is 1 when the term tells it and 0 when it says nothing (Sanchez and Batet's
-measure of disclosure). Terms over one threshold are generalised, over a higher
+measure of disclosure). The term's counts are smoothed, so that entities of one
+text are weighed like any other and chance tells less. Terms over one threshold are generalised, over a higher
 one removed. All of it is DataFrame functions.
 
 A line holds every match whole, as no pattern takes a line feed.
@@ -28,7 +29,7 @@ PATTERNS = {
 SIGNS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 TERM = r"(?<=[^\p{L}])\p{L}{3,}+(?!\p{L})"
 WINDOW = 80  # characters on either side of an entity in which a term counts as near
-SUPPORT = 3  # distinct texts in which a term must stand near an entity
+PRIOR = 2  # texts of which a term's evidence is mixed with what holds of any term
 GENERALISE, REMOVE = 0.7, 0.9  # shares of an entity's information that a term may not reveal
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 BLOCK = 256
@@ -92,14 +93,24 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[of(kind) for kind in PATTERNS])
 
 
-def revealing_terms(found: DataFrame, docs: DataFrame, support=SUPPORT, window=WINDOW, generalise=GENERALISE) -> DataFrame:
+def share_told(n, n_both, n_term, n_entity, prior=PRIOR) -> Column:
+    """The share of an entity's information that a term reveals; nothing where all texts hold the entity.
+
+    The entity's frequency among the term's texts is mixed with that among ``prior``
+    texts of any kind, so that a term of few texts tells less, and no term is left out.
+    """
+    usual = n_entity / F.lit(float(n))
+    return F.when(n_entity < n, F.log2((n_both + prior * usual) / (n_term + prior) / usual) / -F.log2(usual)).otherwise(0.0)
+
+
+def revealing_terms(found: DataFrame, docs: DataFrame, window=WINDOW, generalise=GENERALISE) -> DataFrame:
     """Places of the terms near entities that reveal them: ``(id, text_hash, start, end, share)``.
 
     ``found`` has ``id, text_hash, near`` with the spans and their surroundings,
     ``docs`` the texts. Counts are of distinct texts, so copies weigh as one.
     """
     near = found.select("id", "text_hash", F.explode("near").alias("n")).select("id", "text_hash", "n.*")
-    entities = near.groupBy("entity").agg(F.countDistinct("text_hash").alias("n_entity")).where(F.col("n_entity") >= support)
+    entities = near.groupBy("entity").agg(F.countDistinct("text_hash").alias("n_entity"))
     near = near.join(entities.hint("merge"), "entity")
     terms = F.concat(
         F.transform(matches(F.col("left"), "term", TERM), lambda m: m.withField("start", m["start"] + F.col("left_at")).withField("end", m["end"] + F.col("left_at"))),
@@ -107,8 +118,7 @@ def revealing_terms(found: DataFrame, docs: DataFrame, support=SUPPORT, window=W
     placed = near.select("id", "text_hash", "entity", "n_entity", F.explode(terms).alias("t")).select(
         "id", "text_hash", "entity", "n_entity", F.lower("t.value").alias("term"), F.col("t.start").alias("start"), F.col("t.end").alias("end"))
     placed = materialise(placed, "near")
-    pairs = (placed.groupBy("entity", "term").agg(F.countDistinct("text_hash").alias("n_both"), F.first("n_entity").alias("n_entity"))
-             .where(F.col("n_both") >= support))
+    pairs = placed.groupBy("entity", "term").agg(F.countDistinct("text_hash").alias("n_both"), F.first("n_entity").alias("n_entity"))
     pairs = materialise(pairs, "pairs")
     texts = docs.select("text", "text_hash")
     n = texts.agg(F.count_distinct("text_hash")).first()[0]
@@ -128,14 +138,14 @@ def revealing_terms(found: DataFrame, docs: DataFrame, support=SUPPORT, window=W
     again = listed(copies, "copies").groupBy("term").agg(F.sum(1 - 1 / F.col("copies")).alias("again"))
     counts = (wanted.join(counted.hint("merge"), "term").join(again.hint("merge"), "term", "left")
               .select("term", (F.col("n_rows") - F.coalesce("again", F.lit(0.0))).alias("n_term")))
-    share = F.log2(F.lit(float(n)) * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))) / -F.log2(F.col("n_entity") / float(n))
+    share = share_told(n, *map(F.col, ("n_both", "n_term", "n_entity")))
     telling = (pairs.join(counts.hint("merge"), "term").withColumn("share", share).where(F.col("share") >= generalise)
                .select("entity", "term", "share"))
     return (placed.join(telling.hint("merge"), ["entity", "term"]).groupBy("id", "text_hash", "start", "end")
             .agg(F.max("share").alias("share")))
 
 
-def personal_spans(df: DataFrame, id="doc_id", text="text", support=SUPPORT, window=WINDOW, generalise=GENERALISE) -> DataFrame:
+def personal_spans(df: DataFrame, id="doc_id", text="text", window=WINDOW, generalise=GENERALISE) -> DataFrame:
     """One row a row of ``df``: ``id, text_hash, base, terms``, both arrays of spans in code points.
 
     ``base`` are the emails, ips, cards and phones, by kind and start; ``terms`` the
@@ -156,7 +166,7 @@ def personal_spans(df: DataFrame, id="doc_id", text="text", support=SUPPORT, win
 
     found = docs.withColumn("base", base_spans(F.col("text")))
     found = materialise(found.select("id", "text_hash", "base", F.transform("base", around).alias("near")), "spans")
-    terms = revealing_terms(found, docs, support, window, generalise)
+    terms = revealing_terms(found, docs, window, generalise)
     terms = (terms.groupBy(F.col("id").alias("t_id"), F.col("text_hash").alias("t_hash"))
              .agg(F.sort_array(F.collect_list(F.struct("start", "end", "share"))).alias("terms")))
     same = F.col("id").eqNullSafe(F.col("t_id")) & (F.col("text_hash") == F.col("t_hash"))
@@ -166,14 +176,14 @@ def personal_spans(df: DataFrame, id="doc_id", text="text", support=SUPPORT, win
     return out.select(F.col("id").alias(id), "text_hash", "base", free.alias("terms"))
 
 
-def sanitise(df: DataFrame, id="doc_id", text="text", support=SUPPORT, window=WINDOW, generalise=GENERALISE, remove=REMOVE) -> DataFrame:
+def sanitise(df: DataFrame, id="doc_id", text="text", window=WINDOW, generalise=GENERALISE, remove=REMOVE) -> DataFrame:
     """``df`` with its texts sanitised: entities become ``<EMAIL>`` and so on, terms ``<TERM>`` or nothing.
 
     The spans are those of ``personal_spans``; overlapping ones count as the first
     of them, up to where the last ends. Other columns stay.
     """
     s_id, s_hash, s_base, s_terms = names_for(df, "span_id", "span_hash", "span_base", "span_terms")
-    spans = personal_spans(df, id, text, support, window, generalise).distinct().toDF(s_id, s_hash, s_base, s_terms)
+    spans = personal_spans(df, id, text, window, generalise).distinct().toDF(s_id, s_hash, s_base, s_terms)
     spans = spans.where((F.size(s_base) > 0) | (F.size(s_terms) > 0))
     same = F.col(id).eqNullSafe(F.col(s_id)) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col(s_hash))
     one = "struct<start:int,end:int,with:string>"

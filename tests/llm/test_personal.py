@@ -49,6 +49,22 @@ def test_copies_are_no_further_evidence(spark):
     assert all(not r["terms"] for r in spans(documents(spark, rows)).values())
 
 
+def test_entities_of_one_or_two_texts_are_weighed(spark):
+    rows = [(0, "the Zanzibar office of boss@corp.example said"), (1, "call Timbuktu office of +49 30 1234567 today"), (2, "the Timbuktu people at +49 30 1234567 said")]
+    rows += [(100 + i, f"the office people said call today {i}") for i in range(97)]
+    out = spans(documents(spark, rows))
+    for (i, text), term in zip(rows, ["Zanzibar", "Timbuktu", "Timbuktu"]):
+        assert [text[t["start"]:t["end"]] for t in out[i]["terms"]] == [term]
+    clean = {r["doc_id"]: r["text"] for r in sanitise(documents(spark, rows)).collect()}
+    assert clean[0] == "the <TERM> office of <EMAIL> said"
+    assert all(not out[i]["terms"] and clean[i] == text for i, text in rows[3:])
+
+
+def test_an_entity_of_all_texts_is_told_by_nothing(spark):
+    rows = [(i, f"the Zanzibar office of boss@corp.example said {i}") for i in range(5)]
+    assert all(not r["terms"] for r in spans(documents(spark, rows)).values())
+
+
 def test_awkward_rows(spark):
     rows = [*awkward(), (None, "n@u.ll"), (1, "t@w.ce"), (1, "t@w.ce")]
     df = documents(spark, rows).withColumn("base", F.lit(1)).withColumn("span_id", F.lit(2))
