@@ -2,7 +2,7 @@
 
 Emails, addresses, cards and phones are found by pattern. How much a term reveals
 of such an entity follows from the corpus: the pointwise mutual information of
-the term's standing near the entity, over the information content of the entity,
+the term's standing in a text with the entity, over the information content of the entity,
 is 1 when the term tells it and 0 when it says nothing (Sanchez and Batet's
 measure of disclosure). The term's counts are smoothed, so that entities of one
 text are weighed like any other and chance tells less. Terms over one threshold are generalised, over a higher
@@ -27,8 +27,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 SIGNS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
-TERM = r"(?<=[^\p{L}])\p{L}{3,}+(?!\p{L})"
-WINDOW = 80  # characters on either side of an entity in which a term counts as near
+TERM = r"(?<!\p{L})\p{L}{3,}+(?!\p{L})"
 PRIOR = 2  # texts of which a term's evidence is mixed with what holds of any term
 GENERALISE, REMOVE = 0.7, 0.9  # shares of an entity's information that a term may not reveal
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
@@ -103,33 +102,37 @@ def share_told(n, n_both, n_term, n_entity, prior=PRIOR) -> Column:
     return F.when(n_entity < n, F.log2((n_both + prior * usual) / (n_term + prior) / usual) / -F.log2(usual)).otherwise(0.0)
 
 
-def revealing_terms(found: DataFrame, docs: DataFrame, window=WINDOW, generalise=GENERALISE) -> DataFrame:
-    """Places of the terms near entities that reveal them: ``(id, text_hash, start, end, share)``.
+def terms_of(text: Column) -> Column:
+    """The distinct terms of a text, in small letters."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
-    ``found`` has ``id, text_hash, near`` with the spans and their surroundings,
-    ``docs`` the texts. Counts are of distinct texts, so copies weigh as one.
+
+def revealing_terms(found: DataFrame, docs: DataFrame, generalise=GENERALISE) -> DataFrame:
+    """Places of the terms that reveal an entity of their text: ``(text_hash, start, end, share)``.
+
+    ``found`` has ``text_hash, text, entities`` of the rows with entities, ``docs`` all
+    texts. Counts are of distinct whole texts, so copies weigh as one. Entities of the
+    same texts are weighed once, as their crowd of texts.
     """
-    near = found.select("id", "text_hash", F.explode("near").alias("n")).select("id", "text_hash", "n.*")
-    entities = near.groupBy("entity").agg(F.countDistinct("text_hash").alias("n_entity"))
-    near = near.join(entities.hint("merge"), "entity")
-    terms = F.concat(
-        F.transform(matches(F.col("left"), "term", TERM), lambda m: m.withField("start", m["start"] + F.col("left_at")).withField("end", m["end"] + F.col("left_at"))),
-        F.transform(matches(F.col("right"), "term", TERM), lambda m: m.withField("start", m["start"] + F.col("right_at")).withField("end", m["end"] + F.col("right_at"))))
-    placed = near.select("id", "text_hash", "entity", "n_entity", F.explode(terms).alias("t")).select(
-        "id", "text_hash", "entity", "n_entity", F.lower("t.value").alias("term"), F.col("t.start").alias("start"), F.col("t.end").alias("end"))
-    placed = materialise(placed, "near")
-    pairs = placed.groupBy("entity", "term").agg(F.countDistinct("text_hash").alias("n_both"), F.first("n_entity").alias("n_entity"))
-    pairs = materialise(pairs, "pairs")
+    named = materialise(found.select("text_hash", F.explode("entities").alias("entity")).distinct(), "entities")
+    crowd = F.xxhash64(F.count(F.lit(1)), F.bit_xor(F.xxhash64("text_hash", F.lit(1))), F.bit_xor(F.xxhash64("text_hash", F.lit(2))))
+    crowds = named.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"), crowd.alias("crowd"))
+    crowds = materialise(named.join(crowds.hint("merge"), "entity").select("text_hash", "crowd", "n_entity").distinct(), "crowds")
+    own = found.select("text_hash", "text").dropDuplicates(["text_hash"])
+    placed = own.select("text_hash", F.explode(matches(F.col("text"), "term", TERM)).alias("t")).select(
+        "text_hash", F.lower("t.value").alias("term"), F.col("t.start").alias("start"), F.col("t.end").alias("end"))
+    placed = materialise(placed, "placed")
+    met = materialise(placed.select("text_hash", "term").distinct().join(crowds.hint("merge"), "text_hash"), "met")
+    pairs = materialise(met.groupBy("crowd", "n_entity", "term").agg(F.count(F.lit(1)).alias("n_both")), "pairs")
     texts = docs.select("text", "text_hash")
     n = texts.agg(F.count_distinct("text_hash")).first()[0]
     if pairs.isEmpty():
-        return placed.where("false").select("id", "text_hash", "start", "end", F.lit(0.0).alias("share"))
+        return placed.where("false").select("text_hash", "start", "end", F.lit(0.0).alias("share"))
     wanted = pairs.select("term").distinct()
-    words = F.explode(F.array_distinct(F.split(F.lower(F.col("text")), r"[^\p{L}]+"))).alias("term")
 
     def listed(rows, *columns):
-        # Only words that may be asked for leave their task.
-        return possibly_in(rows.select(*columns, words).where(F.length("term") > 2), F.col("term"), wanted, "term")
+        # Only terms that may be asked for leave their task.
+        return possibly_in(rows.select(*columns, F.explode(terms_of(F.col("text"))).alias("term")), F.col("term"), wanted, "term")
 
     counted = listed(texts).groupBy("term").agg(F.count(F.lit(1)).alias("n_rows"))
     # Of a text of several copies all but one are taken off again, a share from each copy.
@@ -140,50 +143,44 @@ def revealing_terms(found: DataFrame, docs: DataFrame, window=WINDOW, generalise
               .select("term", (F.col("n_rows") - F.coalesce("again", F.lit(0.0))).alias("n_term")))
     share = share_told(n, *map(F.col, ("n_both", "n_term", "n_entity")))
     telling = (pairs.join(counts.hint("merge"), "term").withColumn("share", share).where(F.col("share") >= generalise)
-               .select("entity", "term", "share"))
-    return (placed.join(telling.hint("merge"), ["entity", "term"]).groupBy("id", "text_hash", "start", "end")
-            .agg(F.max("share").alias("share")))
+               .select("crowd", "term", "share"))
+    told = met.join(telling.hint("merge"), ["crowd", "term"]).groupBy("text_hash", "term").agg(F.max("share").alias("share"))
+    return placed.join(told.hint("merge"), ["text_hash", "term"]).select("text_hash", "start", "end", "share")
 
 
-def personal_spans(df: DataFrame, id="doc_id", text="text", window=WINDOW, generalise=GENERALISE) -> DataFrame:
+def personal_spans(df: DataFrame, id="doc_id", text="text", generalise=GENERALISE) -> DataFrame:
     """One row a row of ``df``: ``id, text_hash, base, terms``, both arrays of spans in code points.
 
-    ``base`` are the emails, ips, cards and phones, by kind and start; ``terms`` the
-    terms outside of them that reveal an entity, with the share they reveal, by
-    start. A null or empty text has none. Rows that repeat id and text get the same
-    spans, and copies of a text count once as evidence; other columns play no part;
-    an empty table gives no rows.
+    ``base`` are the emails, ips, cards and phones, by kind and start; ``terms`` every
+    place outside of them of a term that reveals an entity of its text, wherever
+    it stands, with the share it reveals, by start. A null or empty text has none.
+    Rows that repeat id and text get the same spans, and copies of a text count once
+    as evidence; other columns play no part; an empty table gives no rows.
     """
     docs = df.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
-
-    def around(span):
-        left_at = F.greatest(span["start"] - window, F.lit(0))
-        return F.struct(
-            F.concat_ws(":", span["kind"], F.lower(span["value"])).alias("entity"), left_at.alias("left_at"), span["end"].alias("right_at"),
-            F.substring(F.col("text"), left_at + 1, span["start"] - left_at).alias("left"),
-            F.substring(F.col("text"), span["end"] + 1, F.lit(window)).alias("right"))
-
-    found = docs.withColumn("base", base_spans(F.col("text")))
-    found = materialise(found.select("id", "text_hash", "base", F.transform("base", around).alias("near")), "spans")
-    terms = revealing_terms(found, docs, window, generalise)
-    terms = (terms.groupBy(F.col("id").alias("t_id"), F.col("text_hash").alias("t_hash"))
+    entities = F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))))
+    found = docs.withColumn("base", base_spans(F.col("text"))).withColumn("entities", entities)
+    held = F.when(F.size("base") > 0, F.col("text")).alias("text")
+    found = materialise(found.select("id", "text_hash", "base", "entities", held), "spans")
+    terms = revealing_terms(found.where("text IS NOT NULL"), docs, generalise)
+    terms = (terms.groupBy(F.col("text_hash").alias("t_hash"))
              .agg(F.sort_array(F.collect_list(F.struct("start", "end", "share"))).alias("terms")))
-    same = F.col("id").eqNullSafe(F.col("t_id")) & (F.col("text_hash") == F.col("t_hash"))
     none = F.array().cast("array<struct<start:int,end:int,share:double>>")
-    out = found.drop("near").join(terms.hint("merge"), same, "left").withColumn("terms", F.coalesce("terms", none))
+    out = (found.drop("text", "entities").join(terms.hint("merge"), F.col("text_hash") == F.col("t_hash"), "left")
+           .withColumn("terms", F.coalesce("terms", none)))
     free = F.filter("terms", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))
     return out.select(F.col("id").alias(id), "text_hash", "base", free.alias("terms"))
 
 
-def sanitise(df: DataFrame, id="doc_id", text="text", window=WINDOW, generalise=GENERALISE, remove=REMOVE) -> DataFrame:
+def sanitise(df: DataFrame, id="doc_id", text="text", generalise=GENERALISE, remove=REMOVE) -> DataFrame:
     """``df`` with its texts sanitised: entities become ``<EMAIL>`` and so on, terms ``<TERM>`` or nothing.
 
     The spans are those of ``personal_spans``; overlapping ones count as the first
     of them, up to where the last ends. Other columns stay.
     """
     s_id, s_hash, s_base, s_terms = names_for(df, "span_id", "span_hash", "span_base", "span_terms")
-    spans = personal_spans(df, id, text, window, generalise).distinct().toDF(s_id, s_hash, s_base, s_terms)
+    spans = personal_spans(df, id, text, generalise).distinct().toDF(s_id, s_hash, s_base, s_terms)
     spans = spans.where((F.size(s_base) > 0) | (F.size(s_terms) > 0))
     same = F.col(id).eqNullSafe(F.col(s_id)) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col(s_hash))
     one = "struct<start:int,end:int,with:string>"

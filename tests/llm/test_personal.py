@@ -60,6 +60,17 @@ def test_entities_of_one_or_two_texts_are_weighed(spark):
     assert all(not out[i]["terms"] and clean[i] == text for i, text in rows[3:])
 
 
+def test_terms_of_the_whole_text_go(spark):
+    rnd = random.Random(5)
+    far = " and the people".join([""] * 30)
+    rows = [(i, f"Zanzibar office{far} of boss@corp.example{far} said zanzibar\n{sentence(rnd, 5)} Kilwa{i % 2}Pemba") for i in range(3)]
+    rows += [(100 + i, f"the office and people said of all, edge{'x' * (i % 3)} {i}") for i in range(97)]
+    out = spans(documents(spark, rows))
+    for i, text in rows[:3]:
+        assert [text[t["start"]:t["end"]] for t in out[i]["terms"]] == ["Zanzibar", "zanzibar", "Kilwa", "Pemba"]
+    assert all(not out[i]["terms"] for i, _ in rows[3:])
+
+
 def test_an_entity_of_all_texts_is_told_by_nothing(spark):
     rows = [(i, f"the Zanzibar office of boss@corp.example said {i}") for i in range(5)]
     assert all(not r["terms"] for r in spans(documents(spark, rows)).values())
