@@ -7,25 +7,23 @@ expression too rare for either class alone is judged alike by both. A text's mea
 difference of log-likelihoods per word, and that of its most toxic stretch, go
 through a logistic curve fitted on labelled rows that the models have not seen.
 
-Words are known by cells of a table of fixed size, and so the models that are sent
-to the tasks have a proven size at any corpus. The counts are those of all
-labelled training rows.
+The counts are those of all labelled training rows: every word has a number, in the
+order of its 64-bit hash, and no two bigrams share a count. The models grow with the
+distinct words and frequent bigrams of these rows and are sent to the tasks whole.
 """
 
 import zlib
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Shared, free_of, materialise, possibly_in
-from .words import blocks, mix, per_text, word_hashes
+from .words import blocks, per_text, word_hashes
 
-WORD_BITS = 20
-PAIR_BITS = 21
-WORDS, PAIRS = 1 << WORD_BITS, 1 << PAIR_BITS
 SLICES = 16
+RANGE_BITS = 16  # high bits of a hash by which words are dealt out
 FLUSH_WORDS = 1 << 20  # words of a task that are counted at once
 DISCOUNT = 0.75
 LEAST = 32  # a bigram in fewer texts of both classes counts for its history only
@@ -42,37 +40,62 @@ def fold(id):
 
 @dataclass
 class Model:
-    """Tables by cell, each for (ordinary, toxic)."""
+    """Tables by number of a word, the last for words not seen, each for (ordinary, toxic)."""
 
+    words: np.ndarray  # hashes of the words, ascending
     weight: np.ndarray  # of the backoff after a word
     inverse: np.ndarray  # one over the occurrences of a word as a history
     word: np.ndarray  # probability of a word after backoff
-    pair: np.ndarray  # occurrences of a bigram less the discount
+    begin: np.ndarray  # first bigram of each history, and one past the last
+    second: np.ndarray  # second words of the bigrams, ascending within a history
+    pair: np.ndarray  # occurrences of the bigrams, then 0 for any other
     common: np.ndarray  # whether a word stands in enough contexts of both classes to be one of a bigram
     fit: np.ndarray | None = None  # logistic coefficients
-
-    def differences(self, cells, begins):
+    sent: Shared | None = None
+
+    def shared(self, spark):
+        """The tables for all tasks, without the coefficients; sent once."""
+        if self.sent is None:
+            self.sent = Shared(spark, replace(self, fit=None))
+        return self.sent
+
+    def pair_of(self, history, word):
+        """Places of bigrams in ``pair``, by binary search among those of the history."""
+        low, high = self.begin[history], self.begin[history + 1]
+        end = high.copy()
+        open_ = np.flatnonzero(low < high)
+        while len(open_):
+            middle = (low[open_] + high[open_]) >> 1
+            less = self.second[middle] < word[open_]
+            low[open_[less]] = middle[less] + 1
+            high[open_[~less]] = middle[~less]
+            open_ = open_[low[open_] < high[open_]]
+        found = low < end
+        found[found] = self.second[low[found]] == word[found]
+        return np.where(found, low, len(self.second))
+
+    def differences(self, numbers, begins):
         """Toxic less ordinary log-probability of each word; ``begins`` marks first words of texts."""
-        history = np.r_[cells[:1], cells[:-1]]
-        pair = pair_cell(history, cells)
+        history = np.r_[numbers[:1], numbers[:-1]]
+        pair = self.pair_of(history, numbers)
         # A rare word says nothing of its neighbour, in either class.
-        alone = begins | ~self.common[cells] | ~self.common[history]
+        alone = begins | ~self.common[numbers] | ~self.common[history]
         logs = []
         for c in (0, 1):
-            p = self.word[c][cells]
-            after = self.pair[c][pair] * self.inverse[c][history] + self.weight[c][history] * p
+            p = self.word[c][numbers]
+            after = np.maximum(self.pair[c][pair] - DISCOUNT, 0) * self.inverse[c][history] + self.weight[c][history] * p
             logs.append(np.log(np.where(alone, p, after)))
         return logs[1] - logs[0]
 
 
-def pair_cell(history, word):
-    return (mix((history.astype(np.uint64) << np.uint64(32)) | word.astype(np.uint64)) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
-
-
-def word_cells(offsets, data):
-    """Cells of a block's words and the index of each text's first word."""
+def numbered_words(offsets, data, words):
+    """Numbers of a block's words, ``len(words)`` for others, and the index of each text's first word."""
     hashes, starts, _ = word_hashes(offsets, data)
-    return (hashes >> np.uint64(64 - WORD_BITS)).astype(np.int64), per_text(offsets, starts)
+    distinct, which = np.unique(hashes, return_inverse=True)
+    at = np.searchsorted(words, distinct)
+    if len(words):
+        at[words[np.minimum(at, len(words) - 1)] != distinct] = len(words)
+    return at[which], per_text(offsets, starts)
 
 
 def _squeeze(keys, counts):
@@ -107,10 +130,31 @@ def _by(kind, part, keys, counts):
 
 
 ROWS = "kind int, part int, blob binary"
-BIGRAM, FOLLOWS, PAIR, HISTORY, TYPES = range(5)
+BIGRAM, FOLLOWS, PAIR, HISTORY, TYPES, WORD, KEPT, KEPT_TYPES = range(8)
+
 
+def _words(parts):
+    """Distinct words of a partition, by ranges of their hashes."""
+    def gather(found):
+        keys = np.unique(np.concatenate(found))
+        part = (keys >> np.uint64(64 - RANGE_BITS)).astype(np.int64) * parts >> RANGE_BITS
+        return _by(WORD, part, keys, np.ones(len(keys), dtype=np.int64))
 
-def _bigrams(parts):
+    def list_words(batches):
+        for batch in batches:
+            found, held = [], 0
+            for _, offsets, data in blocks(batch.column("text")):
+                found.append(np.unique(word_hashes(offsets, data)[0]))
+                held += len(found[-1])
+                if held >= FLUSH_WORDS:
+                    yield gather(found)
+                    found, held = [], 0
+            if found:
+                yield gather(found)
+    return list_words
+
+
+def _bigrams(parts, words, bits):
     """Count bigrams of a partition; the key is history, word, class from the top."""
     def count(batches):
         for batch in batches:
@@ -118,15 +162,15 @@ def _bigrams(parts):
             found, held = [], 0
             for first, offsets, data in blocks(batch.column("text")):
                 if found and held >= FLUSH_WORDS:
-                    yield _counted(found, parts)
+                    yield _counted(found, parts, bits)
                     found, held = [], 0
-                cells, edges = word_cells(offsets, data)
-                held += len(cells)
-                if len(cells) < 2:
+                numbers, edges = numbered_words(offsets, data, words.value)
+                held += len(numbers)
+                if len(numbers) < 2:
                     continue
-                text = np.searchsorted(edges[1:], np.arange(len(cells)), side="right")
+                text = np.searchsorted(edges[1:], np.arange(len(numbers)), side="right")
                 same = text[1:] == text[:-1]
-                key = (cells[:-1] << (WORD_BITS + 1)) | (cells[1:] << 1) | (toxic[text[1:] + first] > 0)
+                key = (numbers[:-1] << (bits + 1)) | (numbers[1:] << 1) | (toxic[text[1:] + first] > 0)
                 key, text = key[same], text[1:][same]
                 # Once a text: what one text repeats is no evidence of its class.
                 order = np.lexsort((key, text))
@@ -134,13 +178,13 @@ def _bigrams(parts):
                 once = np.r_[True, (key[1:] != key[:-1]) | (text[1:] != text[:-1])][:len(key)]
                 found.append(key[once].astype(np.uint64))
             if found:
-                yield _counted(found, parts)
+                yield _counted(found, parts, bits)
     return count
 
 
-def _counted(found, parts):
+def _counted(found, parts, bits):
     keys, counts = np.unique(np.concatenate(found), return_counts=True)
-    return _by(BIGRAM, (keys >> np.uint64(WORD_BITS + 1)).astype(np.int64) * parts >> WORD_BITS, keys, counts)
+    return _by(BIGRAM, (keys >> np.uint64(bits + 1)).astype(np.int64) * parts >> bits, keys, counts)
 
 
 def _gathered(batches, handle):
@@ -168,26 +212,23 @@ def _gathered(batches, handle):
         yield from handle(*held, keys, counts)
 
 
-def _statistics(batches):
+def _statistics(bits):
     """From the bigrams of a range of histories, sums for the model's tables, by slice."""
     def handle(kind, part, keys, counts):
-        c, word = keys & np.uint64(1), (keys >> np.uint64(1)) & np.uint64(WORDS - 1)
-        history = keys >> np.uint64(WORD_BITS + 1)
+        word, history = (keys >> np.uint64(1)) & np.uint64((1 << bits) - 1), keys >> np.uint64(bits + 1)
         ones = np.ones(len(keys), dtype=np.int64)
-        first = np.flatnonzero(np.r_[True, (keys[1:] >> np.uint64(1)) != (keys[:-1] >> np.uint64(1))])
-        both = np.add.reduceat(counts, first)
+        first = np.flatnonzero(np.r_[True, (keys[1:] >> np.uint64(1)) != (keys[:-1] >> np.uint64(1))][:len(keys)])
+        both = np.add.reduceat(counts, first) if len(first) else counts
         often = np.repeat(both, np.diff(np.r_[first, len(keys)])) >= LEAST
-        pair = pair_cell(history.astype(np.int64), word.astype(np.int64)).astype(np.uint64)
-        for kind, cell, bits, values, use in (
-                (FOLLOWS, word, WORD_BITS, ones, None), (HISTORY, history, WORD_BITS, counts, None),
-                (TYPES, history, WORD_BITS, ones, None), (PAIR, pair, PAIR_BITS, counts, often)):
-            own = (cell << np.uint64(1)) | c
-            if use is not None:
-                own, values = own[use], values[use]
-            if len(own):
-                own, values = _added(own, values)
+        if often.any():
+            yield _by(PAIR, np.full(int(often.sum()), part), keys[often], counts[often])
+        for kind, number, values, use in (
+                (FOLLOWS, word, ones, slice(None)), (HISTORY, history, counts, slice(None)), (TYPES, history, ones, slice(None)),
+                (KEPT, history, counts, often), (KEPT_TYPES, history, ones, often)):
+            if len(number[use]):
+                own, values = _added((number[use] << np.uint64(1)) | keys[use] & np.uint64(1), values[use])
                 yield _by(kind, (own >> np.uint64(1)).astype(np.int64) * SLICES >> bits, own, values)
-    return _gathered(batches, handle)
+    return lambda batches: _gathered(batches, handle)
 
 
 def _sums(batches):
@@ -196,30 +237,63 @@ def _sums(batches):
     return _gathered(batches, handle)
 
 
+def _totals(rows: DataFrame, parts: int):
+    """``(kind, part, keys, counts)``, each part added up in one task."""
+    sums = rows.repartition(parts, "kind", "part").sortWithinPartitions("kind", "part").mapInArrow(_sums, ROWS)
+    for row in sums.toLocalIterator():
+        yield row["kind"], row["part"], *_stretch(row["blob"])
+
+
+def _joined(parts):
+    """The arrays of a dict by part as one; it is emptied."""
+    return np.concatenate([parts.pop(p) for p in sorted(parts)]) if parts else np.zeros(0, dtype=np.uint64)
+
+
 def count_model(rows: DataFrame) -> Model:
-    """The models of ``(text, toxic)`` rows. What reaches the driver is a table of fixed size."""
-    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    bigrams = rows.select("text", "toxic").mapInArrow(_bigrams(parts), ROWS)
+    """The models of ``(text, toxic)`` rows, with every word and the bigrams of ``LEAST`` texts or more."""
+    spark = rows.sparkSession
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    words = _joined({part: keys for _, part, keys, _ in _totals(rows.select("text").mapInArrow(_words(parts), ROWS), parts)})
+    bits = max(1, len(words).bit_length())
+    bigrams = rows.select("text", "toxic").mapInArrow(_bigrams(parts, Shared(spark, words), bits), ROWS)
     bigrams = bigrams.repartition(parts, "part").sortWithinPartitions("kind", "part")
-    sums = bigrams.mapInArrow(_statistics, ROWS).repartition(parts, "kind", "part").sortWithinPartitions("kind", "part")
-    tables = {kind: np.zeros((2, PAIRS if kind == PAIR else WORDS)) for kind in (FOLLOWS, HISTORY, TYPES, PAIR)}
-    for row in sums.mapInArrow(_sums, ROWS).toLocalIterator():
-        keys, counts = _stretch(row["blob"])
-        tables[row["kind"]][(keys & np.uint64(1)).astype(np.int64), (keys >> np.uint64(1)).astype(np.int64)] = counts
-    follows, history, types, pair = (tables[k] for k in (FOLLOWS, HISTORY, TYPES, PAIR))
+    tables = {kind: np.zeros((2, len(words) + 1), dtype=np.int64) for kind in (FOLLOWS, HISTORY, TYPES, KEPT, KEPT_TYPES)}
+    firsts, seconds, seen = {}, {}, {}
+    for kind, part, keys, counts in _totals(bigrams.mapInArrow(_statistics(bits), ROWS), parts):
+        c, key = (keys & np.uint64(1)).astype(np.int64), keys >> np.uint64(1)
+        if kind != PAIR:
+            tables[kind][c, key.astype(np.int64)] = counts
+            continue
+        new = np.r_[True, key[1:] != key[:-1]]
+        own = np.zeros((2, int(new.sum())), dtype=np.uint32)
+        own[c, np.cumsum(new) - 1] = counts
+        history, times = np.unique(key[new] >> np.uint64(bits), return_counts=True)
+        firsts[part] = np.stack([history.astype(np.int64), times], axis=1)
+        seconds[part] = (key[new] & np.uint64((1 << bits) - 1)).astype(np.uint32)
+        seen[part] = own.T.astype(np.min_scalar_type(int(counts.max())))
+    begin = np.zeros(len(words) + 2, dtype=np.int64)
+    for own in firsts.values():
+        begin[own[:, 0] + 1] = own[:, 1]
+    second = _joined(seconds).astype(np.uint32, copy=False)
+    pair = _joined(seen).reshape(-1, 2)
+    pair = np.concatenate([pair, np.zeros((1, 2), dtype=pair.dtype)]).T
+    follows, history, types, kept_pairs, kept_types = (tables[k] for k in (FOLLOWS, HISTORY, TYPES, KEPT, KEPT_TYPES))
     shared = follows.sum(axis=0)
-    shared = (shared + 0.5) / (shared.sum() + 0.5 * WORDS)
+    shared = (shared + 0.5) / (shared.sum() + 0.5 * len(shared))
     word = []
     for c in (0, 1):
         total = follows[c].sum()
         kept = np.maximum(follows[c] - WORD_DISCOUNT, 0)
         word.append((kept + (total - kept.sum()) * shared) / total if total else shared)
-    seen = history > 0
+    known = history > 0
+    # What the bigrams of a history do not have, discounted or too rare, goes to the backoff.
+    left = 1 - (kept_pairs - DISCOUNT * kept_types) / np.maximum(history, 1)
     return Model(
-        weight=np.where(seen, DISCOUNT * types / np.maximum(history, 1), 1).astype(np.float32),
-        inverse=np.where(seen, 1 / np.maximum(history, 1), 0).astype(np.float32),
+        words=words,
+        weight=np.where(known, left, 1).astype(np.float32),
+        inverse=np.where(known, 1 / np.maximum(history, 1), 0).astype(np.float32),
         word=np.array(word).astype(np.float32),
-        pair=np.maximum(pair - DISCOUNT, 0).astype(np.float32),
+        begin=np.cumsum(begin), second=second, pair=pair,
         common=(np.minimum(follows, types) >= COMMON).all(axis=0))
 
 
@@ -227,16 +301,16 @@ def features(model, array):
     """Of each text its mean difference, that of its most toxic stretch, and whether it has words."""
     out = []
     for _, offsets, data in blocks(array):
-        cells, edges = word_cells(offsets, data)
-        begins = np.zeros(len(cells), dtype=bool)
-        begins[edges[:-1][edges[:-1] < len(cells)]] = True
-        sums = np.r_[0.0, np.cumsum(model.differences(cells, begins), dtype=np.float64)]
+        numbers, edges = numbered_words(offsets, data, model.words)
+        begins = np.zeros(len(numbers), dtype=bool)
+        begins[edges[:-1][edges[:-1] < len(numbers)]] = True
+        sums = np.r_[0.0, np.cumsum(model.differences(numbers, begins), dtype=np.float64)]
         a, b = edges[:-1], edges[1:]
         n = b - a
         mean = (sums[b] - sums[a]) / np.maximum(n, 1)
         # Sums of the stretch that ends at each word, not beyond the text's start.
         text = np.repeat(np.arange(len(n)), n)
-        at = np.arange(len(cells))
+        at = np.arange(len(numbers))
         stretch = sums[at + 1] - sums[np.maximum(at + 1 - STRETCH, a[text])]
         top = np.zeros(len(n))
         full = np.flatnonzero(n)
@@ -282,7 +356,7 @@ def train(docs: DataFrame, labels: DataFrame, id="doc_id", text="text", label="t
     """
     known = materialise(training_rows(docs, labels, id, text, label), "labelled")
     model = count_model(known.where(F.col("fold").isin(*COUNTED)))
-    shared = Shared(docs.sparkSession, model)
+    shared = model.shared(docs.sparkSession)
 
     def measure(batches):
         import pyarrow as pa
@@ -307,7 +381,7 @@ def train(docs: DataFrame, labels: DataFrame, id="doc_id", text="text", label="t
 
 def rating(spark, model: Model, text):
     """The score of a text column, as a column."""
-    shared = Shared(spark, model)
+    shared, fit = model.shared(spark), model.fit
 
     @F.pandas_udf("double")
     def rate(texts):
@@ -315,7 +389,6 @@ def rating(spark, model: Model, text):
         import pyarrow as pa
 
         x = features(shared.value, pa.Array.from_pandas(texts, type=pa.large_string()))
-        fit = shared.value.fit
         return pd.Series(1 / (1 + np.exp(-np.clip(x @ fit[:-1] + fit[-1], -30, 30))))
 
     return rate(text.cast("string"))
