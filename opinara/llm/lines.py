@@ -282,11 +282,11 @@ def class_key(parity, check):
 
 def later_copies(rows):
     """Of lines of a bucket those that have an equal one before them."""
-    rows = rows[np.lexsort((rows["number"], rows["id"], rows["other"], rows["key"]))]
+    rows = rows[np.lexsort((rows["text_hash"], rows["number"], rows["id"], rows["other"], rows["key"]))]
     start = np.r_[True, (rows["key"][1:] != rows["key"][:-1]) | (rows["other"][1:] != rows["other"][:-1])]
     first = np.flatnonzero(start)[np.cumsum(start) - 1]
-    # The same place twice is a repeated row, not a later line.
-    return rows[(rows["id"] != rows["id"][first]) | (rows["number"] != rows["number"][first])]
+    # The same place of the same text twice is a repeated row, not a later line.
+    return rows[(rows["id"] != rows["id"][first]) | (rows["number"] != rows["number"][first]) | (rows["text_hash"] != rows["text_hash"][first])]
 
 
 def candidates(rows, percent, most, wanted):

@@ -39,3 +39,9 @@ def test_awkward_rows(spark):
     got = sorted((str(r["doc_id"]), r["n_lines"], r["n_removed"], str(r["text"])) for r in out)
     assert got == [("1", 0, 0, "None"), ("2", 1, 0, ""), ("3", 2, 1, "a b c\r"), ("7", 2, 0, "q r s t\nx"), ("7", 2, 0, "q r s t\nx"), ("None", 1, 1, "")]
     assert dedup_lines(documents(spark, [])).count() == 0
+
+
+def test_equal_lines_at_one_place_of_different_texts(spark):
+    rows = [(None, "a b c\nsome x"), (None, "a b c\nother y"), (7, "q r s\nmore u"), (7, "q r s\nless v"), (8, "k l m"), (8, "k l m")]
+    out = dedup_lines(documents(spark, rows)).collect()
+    assert sorted((str(r["doc_id"]), r["n_removed"]) for r in out) == [("7", 0), ("7", 1), ("8", 0), ("8", 0), ("None", 0), ("None", 1)]
