@@ -21,7 +21,8 @@ BUCKETS = 1 << BUCKET_BITS
 MANTISSA_BITS = 10
 ROWS = 6
 BANDS = BUCKETS // ROWS
-MARGIN = 0.11  # over four standard deviations of the estimate near the thresholds in use
+MARGIN = 0.15  # some six standard deviations of the estimate near the thresholds in use
+SMALL = 256  # sets of fewer shingles borrow registers, which spreads the estimate; they are settled on the sets alone
 TILE_ROWS, TILE_SHINGLES = 512, 1 << 20
 
 # Fixed random sequences of buckets to borrow from.
@@ -172,7 +173,7 @@ def _connect(k, percent):
             if not len(rest):
                 continue
             guess = estimate(stamps[rest], stamps[i], n[rest], n[i])
-            good = np.flatnonzero(guess >= least)
+            good = np.flatnonzero((guess >= least) | (np.minimum(n[rest], n[i]) < SMALL))
             for j in rest[good[np.argsort(-guess[good], kind="stable")]].tolist():
                 if find(i) == find(j):
                     continue

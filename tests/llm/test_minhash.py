@@ -6,8 +6,8 @@ from brute import near, shingle_set
 from fixtures import awkward, documents, sentence
 from pyspark.sql import functions as F
 
-from opinara.llm.minhash import drop_near_duplicates, estimate, near_duplicates, registers
-from opinara.llm.words import blocks, shingles, word_hashes
+from opinara.llm.minhash import BUCKETS, _connect, drop_near_duplicates, estimate, near_duplicates, registers, text_sets
+from opinara.llm.words import blocks, set_key, shingles, word_hashes
 
 
 def check(spark, rows, k, percent):
@@ -70,3 +70,18 @@ def test_awkward_rows(spark):
     kept = drop_near_duplicates(df)
     assert kept.columns == df.columns and kept.count() == sum(r["kept"] for r in out)
     assert near_duplicates(documents(spark, [])).count() == 0
+
+
+def test_small_sets_are_settled_whatever_their_estimate():
+    import pyarrow as pa
+
+    texts = pa.array([" ".join(f"w{i}" for i in range(40)), " ".join(f"w{i}" for i in range(39)) + " v"], pa.large_string())
+    sets = list(text_sets(texts, 3))
+    # Registers that agree nowhere: the worst of estimates.
+    stamps = [np.full(BUCKETS, i, dtype="<u2").tobytes() for i in (1, 2)]
+    rows = pa.RecordBatch.from_arrays(
+        [*(pa.array([0, 0], pa.int64()) for _ in range(4)), pa.array([5, 6], pa.int64()), pa.array([set_key(s) for s in sets]),
+         pa.array(stamps), pa.array([len(s) for s in sets], pa.int64()), texts],
+        names=["cluster", "low", "high", "tile", "c", "node", "registers", "n", "text"])
+    out = pa.Table.from_batches(_connect(3, 85)([rows])).to_pylist()
+    assert out == [{"a": 5, "b": 6}]
