@@ -126,8 +126,9 @@ def links(classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     tiles = F.ceil(F.greatest(F.count(F.lit(1)) / TILE_ROWS, F.sum("n") / TILE_SHINGLES)).cast("int")
     sizes = named.groupBy("cluster").agg(tiles.alias("tiles"))
     named = named.join(sizes.hint("merge"), "cluster").withColumn("tile", F.pmod(F.xxhash64("c"), F.col("tiles")).cast("int"))
-    owners = named.select("c", "node", "rep", "registers", "n", "cluster", "tiles", "tile")
-    own = possibly_in(texts, F.col("id"), named, "rep").join(owners.hint("merge"), F.col("id") == F.col("rep"))
+    owners = named.select("c", "node", "rep_hash", "registers", "n", "cluster", "tiles", "tile")
+    own = possibly_in(texts, F.col("text_hash"), named, "rep_hash").dropDuplicates(["text_hash"])
+    own = own.join(owners.hint("merge"), F.col("text_hash") == F.col("rep_hash"))
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
     met = own.select("cluster", "c", "node", "registers", "n", "text", "tile", other).select(
         "cluster", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "c", "node", "registers", "n", "text")
@@ -156,7 +157,7 @@ def _connect(k, percent):
         def of(i):
             if i not in sets:
                 own = next(text_sets(texts.slice(i, 1).combine_chunks(), k))
-                # Another text under the id of the class's first document is not the class's text.
+                # Another text of the same hash is not the class's text.
                 sets[i] = own if set_key(own) == nodes[i] else own[:0]
             return sets[i]
 
@@ -223,9 +224,9 @@ def near_duplicates(df: DataFrame, id="doc_id", text="text", k=5, percent=80) ->
         "text_hash", F.xxhash64("text"))
     signed = materialise(signatures(docs, k), "signatures")
     classes = (signed.where("node IS NOT NULL").groupBy("node")
-               .agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers")))
+               .agg(F.min("id").alias("rep"), F.min("text_hash").alias("rep_hash"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers")))
     classes = materialise(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
-    texts = docs.select("id", "text")
+    texts = docs.select("text_hash", "text")
     roots = links(classes, texts, k, percent)
     named = classes.select("node", "c", "rep")
     if roots is None:

@@ -85,3 +85,10 @@ def test_small_sets_are_settled_whatever_their_estimate():
         names=["cluster", "low", "high", "tile", "c", "node", "registers", "n", "text"])
     out = pa.Table.from_batches(_connect(3, 85)([rows])).to_pylist()
     assert out == [{"a": 5, "b": 6}]
+
+
+def test_a_null_id_near_a_document_with_an_id_goes(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(4, " ".join(words)), (None, " ".join([*words[:59], "v"])), (None, "nothing like the others here")]
+    out = near_duplicates(documents(spark, rows), k=3, percent=85).collect()
+    assert sorted((str(r["doc_id"]), str(r["component_id"]), r["kept"]) for r in out) == [("4", "4", True), ("None", "4", False), ("None", "None", True)]
