@@ -3,7 +3,7 @@
 import hashlib
 import itertools
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 
@@ -111,3 +111,82 @@ def repeats(rows, length=50):
         spans = int((np.diff(np.r_[0, gone.astype(int)]) == 1).sum())
         out.append((i, len(raw), int(gone.sum()), spans, np.frombuffer(raw, np.uint8)[~gone].tobytes()))
     return out
+
+
+def divergence(rows, shown=50, least=30):
+    """``{(lang, source, part, item, value, rank)}`` of ``(text, lang, source)`` rows."""
+    docs = [(lang or "", source or "", re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(LOWER))) for text, lang, source in rows]
+    seen = Counter((lang, t) for lang, _, terms in docs for t in set(terms))
+    kept = defaultdict(list)
+    for (lang, t), n in seen.items():
+        if n >= least:
+            kept[lang].append(t)
+    counts, whole = defaultdict(Counter), defaultdict(Counter)
+    for lang, source, terms in docs:
+        own = Counter(t for t in terms if seen[lang, t] >= least)
+        counts[lang, source] += own
+        whole[lang] += own
+
+    def prices(n, lang):
+        return {t: 1 + 10**9 * (n[t] + 5) // (sum(n.values()) + 5 * len(kept[lang])) for t in kept[lang]}
+
+    price = {g: prices(counts[g], g[0]) for g in {(lang, source) for lang, source, _ in docs}}
+    out = set()
+    for (lang, source), p in price.items():
+        pairs = [(h[1], sum(abs(p[t] - q[t]) for t in p)) for h, q in price.items() if h[0] == lang and h[1] != source]
+        q = prices(whole[lang], lang)
+        terms = [(t, p[t] - q[t]) for t in p if counts[lang, source][t] and p[t] > q[t]]
+        for part, found, most in (("pair", pairs, len(pairs)), ("term", terms, shown)):
+            ranked = sorted(found, key=lambda x: (-x[1], x[0].encode()))[:most]
+            out |= {(lang, source, part, item, value, k + 1) for k, (item, value) in enumerate(ranked)}
+    return out
+
+
+def decontaminated(rows, items, length=10):
+    """``{id: (words, hit, item ids, hit places)}``."""
+    def words(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+    windows = defaultdict(set)
+    for item, text in items:
+        ws = words(text)
+        n = min(length, len(ws))
+        for k in range(len(ws) - n + 1 if n else 0):
+            windows[tuple(ws[k:k + n])].add(item)
+    out = {}
+    for i, text in rows:
+        ws, hit, found = words(text), set(), set()
+        for n in {len(w) for w in windows}:
+            for k in range(len(ws) - n + 1):
+                if tuple(ws[k:k + n]) in windows:
+                    hit |= set(range(k, k + n))
+                    found |= windows[tuple(ws[k:k + n])]
+        out[i] = len(ws), len(hit), sorted(str(x) for x in found if x is not None), hit
+    return out
+
+
+def collocated(rows, shown=2000):
+    """``{(lang, rank, phrase, a, l, r, n, score)}`` of ``(text, lang)`` rows."""
+    f = defaultdict(Counter)
+    for text, lang in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            ws = tuple(re.findall(r"[^\x20\x09]+", piece))
+            for k in (1, 2, 3):
+                f["und" if lang is None else lang].update(ws[i:i + k] for i in range(len(ws) - k + 1))
+    out = set()
+    for lang, counts in f.items():
+        n = sum(c for w, c in counts.items() if len(w) == 1)
+        candidates = {w: a for w, a in counts.items() if len(w) > 1 and a >= 10}
+        held = Counter()
+        for w, a in candidates.items():
+            if len(w) == 3:
+                held[w[:2]], held[w[1:]] = max(held[w[:2]], a), max(held[w[1:]], a)
+        found = []
+        for w, a in candidates.items():
+            cuts = [(10**6 * a * a // (counts[w[:k]] * counts[w[k:]]), k, counts[w[:k]], counts[w[k:]]) for k in range(1, len(w))]
+            score, _, left, right = min(cuts)
+            if 100 * held[w] < 50 * a:
+                found.append((-score, -a, " ".join(w).encode(), left, right))
+        for k, (score, a, phrase, left, right) in enumerate(sorted(found)[:shown]):
+            out.add((lang, k + 1, phrase.decode(), -a, left, right, n, -score))
+    return out
