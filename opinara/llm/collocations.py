@@ -17,6 +17,7 @@ stay exact at any size; a full filter only lets more through.
 """
 
 import zlib
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -26,78 +27,88 @@ from .common import Shared, materialise
 
 LONGEST, LEAST, SHARE, SHOWN, SCALE = 3, 10, 50, 2000, 1_000_000
 OVERLAP = LONGEST - 1
-EVERY, SHORTEST_CHUNK, LONGEST_CHUNK = 16, 6, 4096
+EVERY, LONGEST_CHUNK = 20, 4096
 CELLS, BITMAP = 1 << 26, 32768  # a filter of 8 MB
-CHUNKS_HELD = 4 << 20  # bytes of chunks that a task holds before it sends them on
-TOKENS, WORDS = 1 << 21, 1 << 18  # tokens counted at once, and words told apart meanwhile
-MARK = b"."
+FACTORS = 0x1F123BB5, 0x159A55E5, 0x1B873593  # of the language, a word and the next one; products stay below 2^61
+PARSED, CHUNKS_HELD = 4 << 20, 24 << 20  # bytes parsed at once, and bytes of chunks held before they are sent on
+COUNTED = 8 << 20  # bytes of chunks counted at once: fewer than 2^21 different words
+SPACE, MARK = 32, 46
 # Of every byte: marks for what ends a piece, a space for a tab, small letters for A-Z.
-FOLD = bytes(46 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
+FOLD = bytes(MARK if b in b".,;:!?\n\x0b\x0c\r" else SPACE if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
+END = b" . . "
 
 
-class _Ids(dict):
-    """Numbers the words of a task in the order they come."""
+def _tokens(data, cuts):
+    """Words and marks of bytes: where they begin and end. Words end at ``cuts`` too."""
+    word = (data != SPACE) & (data != MARK)
+    mark = data == MARK
+    edge = np.zeros(len(data) + 1, dtype=bool)
+    edge[cuts] = True
+    starts = mark | (word & (~np.r_[False, word[:-1]] | edge[:-1]))
+    ends = mark | (word & (~np.r_[word[1:], False] | edge[1:]))
+    return np.flatnonzero(starts), np.flatnonzero(ends) + 1
 
-    def __missing__(self, word):
-        self[word] = n = len(self)
-        return n
 
+def _chunks(data, texts):
+    """Chunks of folded texts that stand in ``data`` one after the other, each with two marks behind it.
 
-def _starts(hashes):
-    """Where the chunks of a stream begin, and its last window: each two neighbours make a chunk."""
-    last = len(hashes) - OVERLAP
-    window = (hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:]) * np.uint64(0xD6E8FEB86659FD93)
-    out = [0]
-    for place in np.flatnonzero((window >> np.uint64(40)) % np.uint64(EVERY) == 0).tolist():
-        if place >= last:
-            break
-        while place - out[-1] > LONGEST_CHUNK:
-            out.append(out[-1] + LONGEST_CHUNK)
-        if place - out[-1] >= SHORTEST_CHUNK:
-            out.append(place)
-    while last - out[-1] > LONGEST_CHUNK:
-        out.append(out[-1] + LONGEST_CHUNK)
-    return [*out, last]
+    ``texts`` are the places where they begin. A window ends a chunk by its own bytes alone.
+    """
+    starts, ends = _tokens(data, texts)
+    first = np.searchsorted(starts, texts)
+    last = np.r_[first[1:], len(starts)] - OVERLAP  # the two marks
+    look = (data[starts].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + data[(starts + ends) // 2].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+            + data[ends - 1].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + (ends - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+    window = look[:-1] * np.uint64(0xE7037ED1A0B428DB) + (look[1:] ^ (look[1:] >> np.uint64(29)))
+    cut = np.zeros(len(starts), dtype=bool)
+    cut[:-1] = ((window ^ (window >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(EVERY) == 0
+    cut[last + 1] = False
+    cut[first] = True
+    cut[last] = True
+    places = np.flatnonzero(cut)
+    far = np.flatnonzero(np.diff(places) > LONGEST_CHUNK)  # no window ends a chunk for so long
+    if len(far):
+        places = np.sort(np.concatenate([places, *[np.arange(places[i] + LONGEST_CHUNK, places[i + 1], LONGEST_CHUNK) for i in far]]))
+    begins = places[~np.isin(places, last)]
+    finish = places[np.searchsorted(places, begins, side="right")] + OVERLAP - 1
+    return starts[begins], ends[finish]
 
 
 def _parse(batches):
     """Texts to ``(lang, chunk, n)``, added up in pieces."""
     import pyarrow as pa
 
-    ids, hashes = _Ids(), []
-    held, size = {}, 0
+    texts, length, held, size = {}, 0, {}, 0
+
+    def settle():
+        nonlocal size
+        for lang, own in texts.items():
+            data = (END.join(own) + END).translate(FOLD)
+            places = np.cumsum([0, *(len(t) + len(END) for t in own[:-1])])
+            counts = held.setdefault(lang, Counter())
+            before = len(counts)
+            found = [data[a:b] for a, b in zip(*(x.tolist() for x in _chunks(np.frombuffer(data, dtype=np.uint8), places)))]
+            counts.update(found)
+            size += len(data) * (len(counts) - before) // max(1, len(found))
 
     def rows():
-        k = len(held)
-        langs, chunks = zip(*held) if k else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(chunks, pa.binary()), pa.array(held.values(), pa.int64())], names=["lang", "chunk", "n"])
+        for lang, counts in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(counts), pa.string()), pa.array(counts, pa.binary()), pa.array(counts.values(), pa.int64())], names=["lang", "chunk", "n"])
 
     for batch in batches:
         for text, lang in zip(batch.column("text"), batch.column("lang")):
-            tokens = (text.as_py() or b"").translate(FOLD).replace(MARK, b" . ").split(b" ")
-            tokens = [t for t in tokens if t]
-            if tokens.count(MARK) == len(tokens):
-                continue
-            tokens += [MARK] * OVERLAP
-            if len(ids) > WORDS:
-                ids, hashes = _Ids(), []
-            numbers = np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens))
-            if len(ids) > len(hashes):
-                fresh = list(ids)[len(hashes):]
-                hashes = np.r_[hashes, np.array([zlib.crc32(w) for w in fresh])].astype(np.uint64)
-            starts = _starts(hashes[numbers])
-            lang = lang.as_py()
-            for a, b in zip(starts, starts[1:]):
-                key = lang, b" ".join(tokens[a:b + OVERLAP])
-                if key in held:
-                    held[key] += 1
-                else:
-                    held[key] = 1
-                    size += len(key[1]) + 100
-            if size > CHUNKS_HELD:
-                yield rows()
-                held, size = {}, 0
-    yield rows()
+            text = text.as_py()
+            if text:
+                texts.setdefault(lang.as_py(), []).append(text)
+                length += len(text)
+                if length > PARSED:
+                    settle()
+                    texts, length = {}, 0
+                    if size > CHUNKS_HELD:
+                        yield from rows()
+                        held, size = {}, 0
+    settle()
+    yield from rows()
 
 
 def dictionary(df: DataFrame, text="text", lang="lang") -> DataFrame:
@@ -107,100 +118,120 @@ def dictionary(df: DataFrame, text="text", lang="lang") -> DataFrame:
     return parsed.groupBy("lang", "chunk").agg(F.sum("n").alias("n"))
 
 
-class _Filter:
-    """Bits of the cells that frequent phrases fall into."""
+def _cell(lang, word, after=None):
+    """The filter's cell of a word, or of two in a row, as a column or as whole numbers, from their checksums."""
+    total = lang * FACTORS[0] + word * FACTORS[1]
+    return (total if after is None else total + after * FACTORS[2]) % CELLS
 
-    def __init__(self, parts):
-        self.bits = np.zeros(CELLS // 8, dtype=np.uint8)
-        for part, bits in parts:
-            self.bits[part * BITMAP // 8:(part + 1) * BITMAP // 8] = np.frombuffer(bits, dtype=np.uint8)
 
-    def has(self, lang, phrases):
-        start = zlib.crc32(lang.encode() + b"\n")
-        cells = np.fromiter((zlib.crc32(p, start) for p in phrases), np.int64, len(phrases)) % CELLS
-        return (self.bits[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 == 1
+def frequent_filter(counts: DataFrame, size: int) -> Shared:
+    """The filter of the phrases of ``counts``, of ``size`` words: at most ``CELLS`` bits, whatever the number of rows."""
+    def checksum(text):
+        return F.crc32(text.cast("binary"))
 
-
-def frequent_filter(counts: DataFrame) -> Shared:
-    """The filter of ``counts`` (lang, phrase): at most ``CELLS`` bits, whatever the number of rows."""
-    cell = F.crc32(F.concat(F.col("lang").cast("binary"), F.lit(b"\n"), F.col("phrase").cast("binary"))) % CELLS
+    cell = _cell(checksum(F.col("lang")), *[checksum(w) for w in (F.substring_index("phrase", " ", 1), F.substring_index("phrase", " ", -1))[:size]])
     parts = counts.select(F.floor(cell / BITMAP).alias("part"), (cell % BITMAP).alias("bit"))
     parts = parts.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    return Shared(counts.sparkSession, [(r["part"], bytes(r["bits"])) for r in parts.collect()])
+    bits = np.zeros(CELLS // 8, dtype=np.uint8)
+    for row in parts.collect():
+        bits[row["part"] * BITMAP // 8:(row["part"] + 1) * BITMAP // 8] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return Shared(counts.sparkSession, bits)
+
+
+def _has(bits, cells):
+    return (bits[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 == 1
 
 
 def _sums(codes, weights):
     """Distinct codes and their weights, added up as whole numbers."""
-    order = np.argsort(codes, kind="stable")
+    order = np.argsort(codes)
     codes = codes[order]
     edges = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
     return codes[edges], np.add.reduceat(weights[order], edges)
 
 
+def _encoded(chunks):
+    """Tokens of an Arrow array of chunks as numbers: ``(numbers, different tokens, tokens of each chunk)``."""
+    import pyarrow as pa
+
+    _, places, values = chunks.buffers()
+    offsets = np.frombuffer(places, dtype=np.int32)[chunks.offset:chunks.offset + len(chunks) + 1].astype(np.int64)
+    data = np.frombuffer(values, dtype=np.uint8)[offsets[0]:offsets[-1]]
+    offsets = offsets - offsets[0]
+    starts, _ = _tokens(data, offsets)
+    kept = data != SPACE  # without spaces the tokens stand one behind the other
+    begins = (np.cumsum(kept) - kept)[starts]
+    packed = data[kept]
+    tokens = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(np.r_[begins, len(packed)].astype(np.int32).tobytes()), pa.py_buffer(packed.tobytes())])
+    coded = tokens.dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary, np.diff(np.r_[np.searchsorted(starts, offsets[:-1]), len(starts)])
+
+
 def _counter(size, frequent):
     """Task function: weighted counts of the phrases of ``size`` words whose parts may be frequent."""
     def count_lang(lang, chunks, freqs, filters):
-        ids = _Ids()
-        lengths = np.fromiter((c.count(b" ") + 1 for c in chunks), np.int64, len(chunks))
-        tokens = b" ".join(chunks).split(b" ")
-        numbers = np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens))
-        del tokens
-        words, m = list(ids), len(ids)
-        weights = np.repeat(np.array(freqs, dtype=np.int64), lengths)
-        ends = np.cumsum(lengths)
+        """Phrases as columns of word numbers, the words, and the sums."""
+        numbers, words, lengths = _encoded(chunks)
+        m, weights = len(words), np.repeat(freqs, lengths)
         first = np.ones(len(numbers), dtype=bool)  # places that this chunk counts, not the next one
+        ends = np.cumsum(lengths)
         for back in range(1, OVERLAP + 1):
             first[ends - back] = False
-        word = np.ones(m, dtype=bool)
-        if MARK in ids:
-            word[ids[MARK]] = False
+        spelt = words.to_pylist()
+        word = np.array([w != b"." for w in spelt])
         if size > 1:
-            word &= filters[0].has(lang, words)
+            own = zlib.crc32(lang.encode())
+            sums = np.fromiter(map(zlib.crc32, spelt), np.int64, m)
+            word &= _has(filters[0], _cell(own, sums))
         good = word[numbers]
         at = np.flatnonzero(first & good)
         for ahead in range(1, size):
             at = at[good[at + ahead]]
+        for ahead in range(1, size - 1):
+            for a in (0, 1):
+                at = at[_has(filters[1], _cell(own, sums[numbers[at + a]], sums[numbers[at + a + 1]]))]
         if not len(at):
-            return [], np.zeros(0, np.int64)
-        if size == 1:
-            found, sums = _sums(numbers[at], weights[at])
-            return [words[i] for i in found], sums
-        if size == 2:
-            found, sums = _sums(numbers[at] * m + numbers[at + 1], weights[at])
-            return [words[a] + b" " + words[b] for a, b in zip((found // m).tolist(), (found % m).tolist())], sums
-        # Pairs are asked once each.
-        codes = numbers[:-1] * m + numbers[1:]
-        asked, place = np.unique(np.concatenate([codes[at], codes[at + 1]]), return_inverse=True)
-        kept = filters[1].has(lang, [words[a] + b" " + words[b] for a, b in zip((asked // m).tolist(), (asked % m).tolist())])[place]
-        at = at[kept[:len(at)] & kept[len(at):]]
-        if not len(at):
-            return [], np.zeros(0, np.int64)
-        found, sums = _sums(codes[at] * m + numbers[at + 2], weights[at])
-        pair, last = found // m, found % m
-        return [words[a] + b" " + words[b] + b" " + words[c] for a, b, c in zip((pair // m).tolist(), (pair % m).tolist(), last.tolist())], sums
+            return [], words, at
+        codes = numbers[at]
+        for ahead in range(1, size):
+            codes = codes * m + numbers[at + ahead]
+        found, totals = _sums(codes, weights[at])
+        columns = []
+        for _ in range(size):
+            columns.append(found % m)
+            found = found // m
+        return columns[::-1], words, totals
 
     def count(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        filters = [_Filter(f.value) for f in frequent]
-        held, length = {}, 0
+        filters = [f.value for f in frequent]
+        held, length = [], 0
 
         def rows():
-            for lang, (chunks, freqs) in held.items():
-                phrases, sums = count_lang(lang, chunks, freqs, filters)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(sums)], names=["lang", "phrase", "n"])
+            table = pa.Table.from_batches(held)
+            for lang in pc.unique(table["lang"]).to_pylist():
+                own = table.filter(pc.equal(table["lang"], lang)).combine_chunks()
+                columns, words, totals = count_lang(lang, own["chunk"].combine_chunks(), own["n"].to_numpy(), filters)
+                if columns:
+                    taken = [words.take(pa.array(c)) for c in columns]
+                    phrases = pc.binary_join_element_wise(*taken, pa.scalar(b" ", pa.binary())) if size > 1 else taken[0]
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(totals), pa.string()), phrases.cast(pa.string()), pa.array(totals)], names=["lang", "phrase", "n"])
 
         for batch in batches:
-            for lang, chunk, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "chunk", "n"))):
-                chunks, freqs = held.setdefault(lang, ([], []))
-                chunks.append(chunk)
-                freqs.append(n)
-                length += len(chunk)
-                if length > 6 * TOKENS:
+            while batch.num_rows:
+                ends = np.frombuffer(batch.column("chunk").buffers()[1], dtype=np.int32)[batch.column("chunk").offset:][:batch.num_rows + 1].astype(np.int64)
+                k = max(1 if not held else 0, int(np.searchsorted(ends, ends[0] + COUNTED - length, side="right")) - 1)
+                if k:
+                    held.append(batch.slice(0, k))
+                    length += int(ends[k] - ends[0])
+                    batch = batch.slice(k)
+                if batch.num_rows or length >= COUNTED:
                     yield from rows()
-                    held, length = {}, 0
-        yield from rows()
+                    held, length = [], 0
+        if held:
+            yield from rows()
     return count
 
 
@@ -248,7 +279,7 @@ def collocations(df: DataFrame, text="text", lang="lang", shown=SHOWN) -> DataFr
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
     counts, frequent = [words.where(F.col("n") >= LEAST).withColumn("size", F.lit(1))], []
     for size in range(2, LONGEST + 1):
-        frequent.append(frequent_filter(counts[-1]))
+        frequent.append(frequent_filter(counts[-1], size - 1))
         found = phrase_counts(chunks, size, frequent).where(F.col("n") >= LEAST)
         counts.append(materialise(found.withColumn("size", F.lit(size)), f"phrases-{size}"))
     every = counts[0].unionByName(counts[1]).unionByName(counts[2])
