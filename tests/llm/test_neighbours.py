@@ -63,3 +63,31 @@ def test_few_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0], 0), (1, [0.5, 0.5], 0), (2, [-1.0, 0.0], 0)], SCHEMA)
     assert [r[1] for r in run(df)[0]] == [1, 2]
     assert run(df.where("vec_id > 0")) == {} and run(df.limit(0)) == {} and run(df.where("vec_id = 0")) == {}
+
+
+@pytest.mark.parametrize("n", [1, 2, 21, 60, 700, 900, 2049])
+def test_small_tables_give_all_they_must(spark, n):
+    x = np.random.default_rng(n).normal(size=(n, 16)).astype(np.float32)
+    out, x, hits = run(spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA)), x.astype(np.float64), 0
+    assert sorted(out) == [q for q in range(0, n, 20) if n > 1]
+    for q, rows in out.items():
+        due = truth(range(n), x, q, 20)
+        assert [r[0] for r in rows] == list(range(1, len(due) + 1))
+        assert [r[2] for r in rows] == sorted((r[2] for r in rows), reverse=True)
+        hits += len({r[1] for r in rows} & set(due)) / len(due)
+    assert not out or hits / len(out) >= (1 if n <= 512 else 0.9)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_the_registered_query_has_the_recall_it_needs(spark, sf):
+    from opinara.llm.queries import op10_neighbours
+
+    given = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet").orderBy("vec_id").collect()
+    ids, x = [r["vec_id"] for r in given], np.array([r["embedding"] for r in given], dtype=np.float64)
+    out = {}
+    for r in op10_neighbours(spark, f"/root/testdata/{sf}").collect():
+        out.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert sorted(out) == [i for i in ids if i % 20 == 0]
+    assert all(sorted(r[0] for r in rows) == list(range(1, 21)) for rows in out.values())
+    hits = sum(len({r[1] for r in rows} & set(truth(ids, x, q, 20))) for q, rows in out.items())
+    assert hits / (20 * len(out)) >= 0.9
