@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_of
+from .common import free_of, names_for
 
 MEMO_PAIRS = 1_000_000
 MEMO_PIECES = 500_000
@@ -214,4 +214,5 @@ def encode_documents(df: DataFrame, path: str, pattern: str, text="text", digest
                 rows.append((len(ids) // 4, ids, back))
         return pd.DataFrame(rows, columns=added)
 
-    return df.withColumn("_coded", run(F.col(text))).select(*df.columns, *[F.col(f"_coded.{c}") for c in added])
+    (coded,) = names_for(df, "coded")
+    return df.withColumn(coded, run(F.col(text))).select(*df.columns, *[F.col(coded)[c].alias(c) for c in added])

@@ -27,9 +27,9 @@ def test_random_texts_encode_as_the_library_does():
 
 def test_documents(spark):
     rows = [*awkward(), (1, "same"), (1, "same"), (None, "<|endoftext|>")]
-    df = documents(spark, rows).withColumn("IDS", F.lit(3))
+    df = documents(spark, rows).withColumn("IDS", F.lit(3)).withColumn("_coded", F.lit(4)).withColumn("coded", F.lit(5))
     out = encode_documents(df, PATH, public_tokenizers.PATTERN).collect()
-    assert len(out) == len(rows) and all(r["IDS_in"] == 3 for r in out)
+    assert len(out) == len(rows) and all((r["IDS_in"], r["_coded"], r["coded"]) == (3, 4, 5) for r in out)
     for r in out:
         want = TRUE.encode_ordinary(r["text"] or "")
         assert (r["n_tokens"], np.frombuffer(bytes(r["ids"]), "<u4").tolist()) == (len(want), want)
