@@ -383,13 +383,12 @@ def rating(spark, model: Model, text):
     """The score of a text column, as a column."""
     shared, fit = model.shared(spark), model.fit
 
-    @F.pandas_udf("double")
+    @F.arrow_udf("double")
     def rate(texts):
-        import pandas as pd
         import pyarrow as pa
 
-        x = features(shared.value, pa.Array.from_pandas(texts, type=pa.large_string()))
-        return pd.Series(1 / (1 + np.exp(-np.clip(x @ fit[:-1] + fit[-1], -30, 30))))
+        x = features(shared.value, texts)
+        return pa.array(1 / (1 + np.exp(-np.clip(x @ fit[:-1] + fit[-1], -30, 30))))
 
     return rate(text.cast("string"))
 
