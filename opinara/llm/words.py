@@ -1,14 +1,20 @@
 """Words of whole texts as 64-bit hashes, found for many texts at once.
 
 A word is a run of bytes other than space and 0x09-0x0D; A-Z count as a-z. The
-hash of a word is a polynomial over random byte values, then mixed. Bytes are
+hash of a word is a polynomial over random byte values, then mixed. Such polynomials
+have different long words of equal hash (those of Thue and Morse, from some 500 bytes
+on, whatever the base), so words over ``LONG`` bytes have a cryptographic hash. Bytes are
 handled in blocks of whole texts of about ``BLOCK`` bytes; a longer text is a
 block of its own.
 """
 
+import ctypes
+import hashlib
+
 import numpy as np
 
 BLOCK = 2 << 20
+LONG = 64
 MASK = (1 << 64) - 1
 
 
@@ -81,6 +87,18 @@ def blocks(array):
         own = offsets[first:last + 1]
         yield first, own - own[0], data[own[0]:own[-1]]
         first = last
+    free()
+
+
+def free():
+    """Give memory that this worker no longer uses back to its machine."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
 
 
 def word_hashes(offsets, data, stops=()):
@@ -100,7 +118,11 @@ def word_hashes(offsets, data, stops=()):
     if not len(starts):
         return starts.astype(np.uint64), starts, ends
     # Bytes of a gap have the value 0.
-    return mix(Hashes(data, VALUE, BASE).of(starts, ends)), starts, ends
+    hashes = mix(Hashes(data, VALUE, BASE).of(starts, ends))
+    for i in np.flatnonzero(ends - starts > LONG).tolist():
+        word = data[starts[i]:ends[i]].tobytes().lower()
+        hashes[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    return hashes, starts, ends
 
 
 def per_text(offsets, starts):

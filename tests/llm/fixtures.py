@@ -36,3 +36,9 @@ def documents(spark, rows):
     """A frame of ``(doc_id, text)`` rows with the other columns of documents."""
     full = [(i, text, "en", None if k % 7 == 0 else f"s{k % 3}", None if text is None else len(text)) for k, (i, text) in enumerate(rows)]
     return spark.createDataFrame(full, DOCUMENTS).repartition(3)
+
+
+def morse(n):
+    """Two different words of ``n`` letters whose polynomial hashes are equal for any base."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))

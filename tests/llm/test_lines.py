@@ -2,7 +2,7 @@ import random
 
 import pytest
 from brute import lines
-from fixtures import awkward, documents, sentence
+from fixtures import awkward, documents, morse, sentence
 from pyspark.sql import functions as F
 
 from opinara.llm import lines as L
@@ -18,6 +18,12 @@ def test_agrees_with_all_pairs(spark):
     check(spark, awkward())
 
 
+def test_different_words_with_equal_polynomials_stay_apart(spark):
+    for n in (512, 2048):
+        a, b = morse(n)
+        check(spark, [(1, a), (2, b), (3, f"{a} x"), (4, f"{b} x\n{a.upper()}")])
+
+
 @pytest.mark.parametrize("first", [1, 4])
 def test_families_of_lines_with_few_candidates_at_first(spark, monkeypatch, first):
     monkeypatch.setattr(L, "FIRST", first)

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 from brute import near, shingle_set
-from fixtures import awkward, documents, sentence
+from fixtures import awkward, documents, morse, sentence
 from pyspark.sql import functions as F
 
 from opinara.llm.minhash import BUCKETS, _connect, drop_near_duplicates, estimate, near_duplicates, registers, text_sets
@@ -22,6 +22,12 @@ def test_agrees_with_all_pairs(spark, k, percent):
     check(spark, awkward(), k, percent)
 
 
+def test_different_words_with_equal_polynomials_stay_apart(spark):
+    for n in (512, 2048):
+        a, b = morse(n)
+        check(spark, [(1, a), (2, b), (3, a.upper()), (4, f"{a} x y z"), (5, f"{b} x y z")], 3, 85)
+
+
 def test_small_sets_and_chains(spark):
     rnd = random.Random(4)
     rows, text = [], sentence(rnd, 60, 10_000).split(" ")
