@@ -16,7 +16,7 @@ from ..operators.text import (detect_language, glossary_from_table, score_sentim
 from ..functions.words import GLOSSARY
 from ..plans import jobs
 from ..session import work_folder
-from ..sinks.batches import newest_batch, write_batch, write_member_files
+from ..sinks.batches import newest_batch, read_batch, write_batch, write_member_files
 from ..sinks.tables import audited, create_table_as, refresh_view, replace_table, save_external
 from ..sources import archives
 from ..sources.objects import batches, entity_name, latest_batch, list_objects, select_paths
@@ -400,13 +400,26 @@ def batch_written(spark, sf_dir):
 
 
 def batch_relanded(spark, sf_dir):
-    """A batch of two entities landed again with one: nothing of the other may stay."""
+    """A batch of two entities landed again, first by a landing that fails half-way, which changes nothing, then with one entity: nothing of the other may stay."""
     folder = work_folder(spark, "landing")
     pages = read(spark, sf_dir, "pages").select("page_id", F.md5("html").alias("digest"))
     first = pages.withColumn("entity", F.when(F.col("page_id") % 2 == 0, "review").otherwise("tip"))
-    for rows in (first, pages.withColumn("entity", F.lit("review"))):
-        write_batch(rows, folder, BATCH, also_by=["entity"])
-    return spark.read.parquet(folder)
+    write_batch(first, folder, BATCH, also_by=["entity"])
+    broken = F.when(F.col("page_id") % 50 == 7, F.raise_error(F.lit("half-way"))).otherwise("new")
+    try:
+        write_batch(pages.withColumn("entity", broken), folder, BATCH, also_by=["entity"])
+    except Exception as error:
+        if "half-way" not in str(error):
+            raise
+    held = materialised(read_batch(spark, folder, BATCH).withColumn("landing", F.lit("after a failure")))
+    write_batch(pages.withColumn("entity", F.lit("review")), folder, BATCH, also_by=["entity"])
+    return held.unionByName(read_batch(spark, folder, BATCH).withColumn("landing", F.lit("again")))
+
+
+def materialised(df):
+    folder = work_folder(df.sparkSession, "rows")
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
 
 
 def awkward_archives(spark, sf_dir):
@@ -416,11 +429,13 @@ def awkward_archives(spark, sf_dir):
     name = F.concat(F.lit("emails_feedback_faker/"), start, page.cast("string"), F.lit(".eml"))
     body = F.when(page % 7 == 0, F.lit("")).otherwise(F.col("html"))
     copies = F.when(page % 3 == 0, F.array(F.lit("old version"), body)).otherwise(F.array(body))
-    rows = read(spark, sf_dir, "pages").select(name.alias("member"), F.posexplode(copies).alias("n", "text"))
+    rows = read(spark, sf_dir, "pages").select(name.alias("member"), (page % 3 + 1).alias("place"), (page % 2 == 0).alias("early"), F.posexplode(copies).alias("n", "text"))
+    rows = rows.withColumn("early", F.col("early") & (F.col("text") == "old version"))
     folder = work_folder(spark, "awkward")
-    # The versions of a name lie in one archive, the newer one behind the older.
-    rows = rows.select("member", "n", F.encode("text", "UTF-8").alias("content"))
-    write_archives(rows.repartition(4, "member").sortWithinPartitions("n"), folder, "zip")
+    # The versions of a name lie in one archive, the newer one behind the older, or the older one in an earlier archive.
+    rows = rows.withColumn("place", F.when(F.col("early"), 0).otherwise(F.col("place")))
+    rows = rows.select("member", "n", "place", F.encode("text", "UTF-8").alias("content"))
+    write_archives(rows.repartitionByRange(4, "place").sortWithinPartitions("place", "n"), folder, "zip")
     return folder
 
 

@@ -267,7 +267,8 @@ def oracles():
         "archive_lines_zip": LINES,
         "archive_lines_tar": LINES,
         "write_batch": "SELECT '2024-01-02-10-00' AS batch, page_id, md5(md5(html)) AS digest FROM pages",
-        "reland_batch": "SELECT '2024-01-02-10-00' AS batch, 'review' AS entity, page_id, md5(html) AS digest FROM pages",
+        "reland_batch": """SELECT '2024-01-02-10-00' AS batch, landing, CASE WHEN landing = 'again' OR page_id % 2 = 0 THEN 'review' ELSE 'tip' END AS entity,
+            page_id, md5(html) AS digest FROM pages CROSS JOIN (VALUES ('after a failure'), ('again')) v(landing)""",
         "landing_members": """SELECT landing, 'emails_feedback_faker/' || CASE page_id % 5 WHEN 0 THEN '_' WHEN 1 THEN '.' ELSE '' END
             || page_id || '.eml' AS member, CAST(strlen(body) AS BIGINT) AS size, md5(body) AS digest
             FROM (SELECT page_id, CASE WHEN page_id % 7 = 0 THEN '' ELSE html END AS body FROM pages)

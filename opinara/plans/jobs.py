@@ -13,11 +13,10 @@ from ..functions.batch import batch_key
 from ..operators.emails import parse_emails, split_readable
 from ..operators.jsonlines import drop_json_key
 from ..operators.report import SCORE, review_report, score_emails, score_reviews
-from ..sinks.batches import landed_folders, newest_batch, write_batch, write_member_files
+from ..sinks.batches import landed_folders, newest_batch, newest_landed, write_batch, write_member_files
 from ..sinks.tables import audited, create_table_as, refresh_view, replace_table
 from ..sources import archives
-from ..sources.objects import (batch_of, entity_name, latest_batch, list_objects,
-                               newest_batch_key, select_paths)
+from ..sources.objects import entity_name, list_objects, newest_folder, select_paths
 from ..sources.tables import SCHEMAS, line_views, read_json_lines
 
 # Names of the original folders and tables.
@@ -69,13 +68,11 @@ def ingest_files(spark, archive: str, root: str, now: datetime, kind: str) -> st
 def load_emails(spark, root: str, table: str = EMAILS, landing="parquet", **options) -> DataFrame:
     """Parse the newest batch of messages into ``table``; returns the files left out."""
     if landing == "parquet":
-        members = newest_batch(spark, root)
-        _require_rows(members)
-        members = select_paths(members, suffix=".eml", name="member").where(
+        members = select_paths(newest_batch(spark, root), suffix=".eml", name="member").where(
             F.col("member").startswith(f"{EMAIL_FOLDER}/"))
         messages = archives.whole_members(members).select(F.col("member").alias("name"), "content")
     else:
-        batch = newest_batch_key(list_objects(spark, root).select(batch_of(F.col("name")).alias("batch")))
+        batch = newest_folder(spark, root)
         files = list_objects(spark, root, f"{batch}/{EMAIL_FOLDER}/", content=True)
         messages = select_paths(files, EMAIL_FOLDER, ".eml").select("name", "content")
     readable, rejects = split_readable(messages)
@@ -95,10 +92,10 @@ def load_reviews(spark, root: str, clean_root: str = None, prefix=EXTERNAL_PREFI
     ``.``: such members need the parquet landing, and here fail with an error.
     """
     if landing == "parquet":
-        folders = landed_folders(spark, root)
-        batch = newest_batch_key(folders)
-        entities = [r[0] for r in folders.where(F.col("batch") == batch).select("entity").distinct().collect()]
-        sources = {e: f"SELECT value FROM parquet.`{root}` WHERE batch = '{batch}' AND entity = '{e}'" for e in entities}
+        folder = f"{root.rstrip('/')}/batch={newest_landed(spark, root)}"
+        entities = [r[0] for r in landed_folders(spark, folder).select("entity").distinct().collect()]
+        # Over the batch, not one version of it: landing it again shows through.
+        sources = {e: f"SELECT value FROM parquet.`{folder}` WHERE entity = '{e}'" for e in entities}
         dropped = {e: (DROPPED_KEY,) for e in entities if "business" in e}
     else:
         sources, dropped = _file_sources(spark, root.rstrip("/"), clean_root), {}
@@ -108,10 +105,14 @@ def load_reviews(spark, root: str, clean_root: str = None, prefix=EXTERNAL_PREFI
 
 def _file_sources(spark, root, clean_root):
     """SQL for the lines of each entity of the newest batch of files; business files cleaned first."""
-    files = select_paths(latest_batch(list_objects(spark, root)), suffix=".json")
+    try:
+        batch = newest_folder(spark, root)
+    except ValueError as error:
+        raise ValueError(f"{error}, so there is no JSON file to load") from error
+    files = select_paths(list_objects(spark, root, f"{batch}/"), suffix=".json")
     hidden = F.max(F.substring_index("name", "/", -1).rlike("^[_.]"))
     # One row per table to be made.
-    entities = (files.groupBy("batch", entity_name(F.col("name")).alias("entity"))
+    entities = (files.groupBy(entity_name(F.col("name")).alias("entity"))
                 .agg(F.min("path").alias("path"), F.max(F.col("name").contains("business")).alias("business"),
                      F.count(F.lit(1)).alias("files"), hidden.alias("hidden")).collect())
     if not entities:
@@ -122,7 +123,6 @@ def _file_sources(spark, root, clean_root):
     cleaned = [r["entity"] for r in entities if r["business"]]
     merged = [r["entity"] for r in entities if r["files"] > 1 and not r["business"]]
     if cleaned or merged:
-        batch = entities[0]["batch"]
         lines = read_json_lines(spark, f"{root}/{batch}").select(
             "value", entity_name(F.col("_metadata.file_name")).alias("entity"))
         clean, _ = drop_json_key(lines.where(F.col("entity").isin(cleaned)), DROPPED_KEY)
@@ -133,11 +133,6 @@ def _file_sources(spark, root, clean_root):
     return sources
 
 
-def _require_rows(df: DataFrame) -> None:
-    if df.isEmpty():
-        raise ValueError("no batch folder found")
-
-
 # --- score and report ---
 
 def score_emails_table(spark, source=EMAILS, target=SCORED_EMAILS, body="body",

@@ -69,9 +69,7 @@ def replace_table(df: DataFrame, name: str, path: str = None, fmt="parquet",
         raise
     spark.sql(f"ALTER TABLE {fresh} SET TBLPROPERTIES ('{OWNER}' = 'replace_table')")
     exists = spark.catalog.tableExists(name)
-    if exists:
-        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    _swap(spark, name, fresh, old if exists else None)
     if exists:
         if _owner(spark, old) == "replace_table":
             drop_with_files(spark, old)
@@ -79,6 +77,34 @@ def replace_table(df: DataFrame, name: str, path: str = None, fmt="parquet",
             spark.sql(f"DROP TABLE {old}")
 
 
+def _rename(spark, name, to):
+    spark.sql(f"ALTER TABLE {name} RENAME TO {to}")
+
+
+def _swap(spark, name, fresh, old):
+    """Give ``name`` to table ``fresh``, and ``old`` to the table that had it.
+
+    If the second rename fails, the first is undone and ``fresh`` goes: the table is
+    again what it was. Should even that fail, the error tells under which name its rows are.
+    """
+    try:
+        if old:
+            _rename(spark, name, old)
+    except Exception:
+        drop_with_files(spark, fresh)
+        raise
+    try:
+        _rename(spark, fresh, name)
+    except Exception as error:
+        if old:
+            try:
+                _rename(spark, old, name)
+            except Exception:
+                raise RuntimeError(f"{name} could not be replaced; its rows are in {old}, the new ones in {fresh}") from error
+        drop_with_files(spark, fresh)
+        raise
+
+
 def _owner(spark, name):
     rows = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == OWNER).collect()
     return rows[0]["value"] if rows else None

@@ -12,7 +12,9 @@ bytes pass through in pieces.
 
 A name written twice in one archive stands for its last member, as unpacking the
 archive would have it. For that the first pass holds the names of one archive; over
-a compressed tar it is a pass of its own.
+a compressed tar it is a pass of its own. A name in several archives stands for that
+of the archive whose path is last, as unpacking them in order would have it; names
+alone are shuffled for that.
 """
 
 import struct
@@ -37,6 +39,7 @@ WHOLE_BYTES = 1 << 30
 SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs", "wasbs": "abfss"}
 
 INDEX = "archive string, member string, size bigint, offset bigint, packed bigint, crc bigint, method string"
+LOST = "replaced"  # of a compressed tar: its members that a later archive replaces
 RANGE, STORED, DEFLATED, OTHER, STREAM = "range", "stored", "deflated", "other", "stream"
 
 
@@ -55,10 +58,26 @@ def _open(path):
     return files.open_input_file(name)
 
 
+class _Seekable:
+    """An open file that tells of a place before its start as Python's own files do; an empty zip is found out that way."""
+
+    def __init__(self, handle):
+        self.handle = handle
+
+    def __getattr__(self, name):
+        return getattr(self.handle, name)
+
+    def seek(self, *place):
+        try:
+            return self.handle.seek(*place)
+        except pa.ArrowInvalid as error:
+            raise OSError(str(error)) from error
+
+
 # --- first pass: the members ---
 
 def _zip_members(path):
-    with _open(path) as handle, zipfile.ZipFile(handle) as archive:
+    with _open(path) as handle, zipfile.ZipFile(_Seekable(handle)) as archive:
         last = {info.filename: info for info in archive.infolist() if not info.is_dir()}
         for info in last.values():
             method = OTHER
@@ -103,7 +122,33 @@ def member_index(spark: SparkSession, path: str, kind: str) -> DataFrame:
                 if rows:
                     yield _index_batch(rows)
 
-    return archives.mapInArrow(scan, INDEX)
+    index = archives.mapInArrow(scan, INDEX)
+    if archives.limit(2).count() < 2:
+        return index.withColumn(LOST, F.lit(None).cast("array<string>"))
+    return _last_archives(index, kind)
+
+
+def _last_archives(index, kind):
+    """The index without members that a later archive replaces."""
+    def names(batches):
+        for batch in batches:
+            for archive in batch.column("archive").to_pylist():
+                with _open(archive) as handle:
+                    found = list(_last_places(handle).values())
+                yield pa.RecordBatch.from_arrays([pa.array([archive] * len(found), pa.string()), pa.array(found, pa.string())], names=["archive", "member"])
+
+    named = index.where(F.col("member").isNotNull())
+    streams = index.where(F.col("member").isNull())
+    every = named.select("archive", "member")
+    if kind == "tar":
+        every = every.union(streams.select("archive").mapInArrow(names, "archive string, member string"))
+    last = every.groupBy("member").agg(F.max("archive").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    lost = every.join(last, "member").where(F.col("archive") < F.col("last")).select("archive", "member")
+    kept = named.join(lost, ["archive", "member"], "left_anti").withColumn(LOST, F.lit(None).cast("array<string>"))
+    if kind != "tar":
+        return kept
+    of_streams = lost.groupBy("archive").agg(F.collect_list("member").alias(LOST))  # no more than the archive has members
+    return kept.unionByName(streams.join(of_streams, "archive", "left").select(kept.columns))
 
 
 def _index_batch(rows):
@@ -226,7 +271,7 @@ def _other(handle, row, kind):
 
 
 def _last_places(handle):
-    """Place in a compressed tar of the last file of each name."""
+    """Place and name in a compressed tar of the last file of each name."""
     handle.seek(0)
     with tarfile.open(fileobj=handle, mode="r|*") as archive:
         last = {}
@@ -234,7 +279,7 @@ def _last_places(handle):
             if info.isfile():
                 last[info.name] = number
             archive.members = []
-        return set(last.values())
+        return {number: name for name, number in last.items()}
 
 
 def _range_start(handle, row):
@@ -245,11 +290,11 @@ def _range_start(handle, row):
 def members_of(handle, row, kind):
     """``(member, size, byte chunks)`` of everything one index row stands for, read from its start."""
     if row["method"] == STREAM:
-        last = _last_places(handle)
+        last, replaced = _last_places(handle), set(row[LOST] or ())
         handle.seek(0)
         with tarfile.open(fileobj=handle, mode="r|*") as archive:
             for number, info in enumerate(archive):
-                if number in last and _name_is_safe(info.name):
+                if number in last and info.name not in replaced and _name_is_safe(info.name):
                     yield info.name, info.size, _copy(archive.extractfile(info))
                 archive.members = []
     elif row["method"] == DEFLATED:

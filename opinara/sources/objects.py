@@ -8,7 +8,7 @@ from .archives import filesystem
 
 
 LISTED = "path string, name string, length bigint"
-FLUSH_BYTES = 8 << 20
+FLUSH_BYTES, FLUSH_NAMES = 8 << 20, 10_000
 READ_TASK_BYTES = 128 << 20
 
 
@@ -25,10 +25,12 @@ def _list_folders(files, root, deep):
             for folder in batch.column("name").to_pylist():
                 selector = fs.FileSelector(f"{base}/{folder}".rstrip("/"), recursive=deep, allow_not_found=True)
                 found = [i for i in store.get_file_info(selector) if i.is_file or not deep]
-                names = [i.path[len(base) + 1:] for i in found]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([f"{root}/{n}" for n in names], pa.string()), pa.array(names, pa.string()),
-                     pa.array([i.size if i.is_file else -1 for i in found], pa.int64())], names=["path", "name", "length"])
+                for k in range(0, len(found), FLUSH_NAMES):
+                    some = found[k:k + FLUSH_NAMES]
+                    names = [i.path[len(base) + 1:] for i in some]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([f"{root}/{n}" for n in names], pa.string()), pa.array(names, pa.string()),
+                         pa.array([i.size if i.is_file else -1 for i in some], pa.int64())], names=["path", "name", "length"])
 
     return files.select("name").mapInArrow(listed, LISTED)
 
@@ -53,6 +55,21 @@ def list_objects(spark: SparkSession, root: str, prefix: str = "", content=False
     return read_objects(found, tasks)
 
 
+def newest_folder(spark: SparkSession, root: str) -> str:
+    """The newest batch key among the folders right below ``root`` that hold an object; raises when there is none.
+
+    Only ``root`` itself is listed, and then the newest folder: what older batches
+    hold is not looked at.
+    """
+    root = root.rstrip("/")
+    top = _list_folders(spark.createDataFrame([("",)], "name string"), root, deep=False)
+    keys = top.where((F.col("length") < 0) & F.col("name").rlike(rf"\A{KEY_PATTERN}\z")).select("name").collect()  # one a batch
+    for key in sorted((r["name"] for r in keys), reverse=True):
+        if not list_objects(spark, root, f"{key}/").isEmpty():
+            return key
+    raise ValueError("no batch folder found")
+
+
 def read_objects(found: DataFrame, tasks: int) -> DataFrame:
     """Add the bytes of every listed object."""
     size = found.agg(F.sum("length")).first()[0] or 0

@@ -162,3 +162,34 @@ def test_a_member_too_large_for_a_row_is_an_error(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(archives, "WHOLE_BYTES", 2000)
     with pytest.raises(Exception, match="too large"):
         archives.whole_members(archives.read_archive(spark, path, "zip", 500)).collect()
+
+
+def test_an_empty_zip_has_no_members(spark, tmp_path):
+    for comment in (b"", b"nothing here"):
+        with zipfile.ZipFile(tmp_path / "e.zip", "w") as z:
+            z.comment = comment
+        assert archives.read_archive(spark, str(tmp_path / "e.zip"), "zip").count() == 0
+
+
+@pytest.mark.parametrize("kind", ["zip", "tar", "tar.gz"])
+def test_the_last_archive_of_a_name_wins(spark, tmp_path, kind):
+    versions = {"a": [("x.eml", b"old"), ("only.eml", b"o")], "b": [("y.eml", b"y"), ("x.eml", b"older"), ("x.eml", b"newer")], "c": [("y.eml", b"Y"), ("d/x.eml", b"d")]}
+    for name, members in versions.items():
+        path = str(tmp_path / f"{name}.bin")
+        if kind == "zip":
+            with zipfile.ZipFile(path, "w") as z:
+                for member, data in members:
+                    z.writestr(member, data)
+        else:
+            with tarfile.open(path, "w:gz" if kind == "tar.gz" else "w") as t:
+                for member, data in members:
+                    info = tarfile.TarInfo(member)
+                    info.size = len(data)
+                    t.addfile(info, io.BytesIO(data))
+    form = kind.partition(".")[0]
+    due = [("d/x.eml", b"d"), ("only.eml", b"o"), ("x.eml", b"newer"), ("y.eml", b"Y")]
+    rows = archives.whole_members(archives.read_archive(spark, str(tmp_path), form)).collect()
+    assert sorted((r["member"], bytes(r["content"])) for r in rows) == due
+    write_member_files(archives.member_index(spark, str(tmp_path), form), form, str(tmp_path / "out"), "b").collect()
+    found = {str(p.relative_to(tmp_path / "out/b")): p.read_bytes() for p in (tmp_path / "out/b").rglob("*.eml")}
+    assert sorted(found.items()) == due

@@ -178,6 +178,95 @@ def test_relanding_replaces_the_whole_batch(spark, tmp_path):
     assert {r["batch"] for r in spark.read.parquet(root).collect()} == {"2024-01-01-00-00"}
 
 
+def test_a_landing_that_fails_leaves_the_earlier_rows(spark, tmp_path, monkeypatch):
+    from opinara.sinks import batches
+
+    root, batch = str(tmp_path / "l"), "2024-01-01-00-00"
+    df = spark.createDataFrame([("review", "r"), ("tip", "t")], "entity string, value string")
+
+    def rows():
+        plain = sorted((r["entity"], r["value"]) for r in spark.read.parquet(root).collect())
+        assert plain == sorted((r["entity"], r["value"]) for r in batches.newest_batch(spark, root).collect())
+        return plain
+
+    batches.write_batch(df, root, batch, also_by=["entity"])
+    bad = spark.range(100).select(F.lit("review").alias("entity"), F.when(F.col("id") < 99, "new").otherwise(F.raise_error(F.lit("no"))).alias("value"))
+    with pytest.raises(Exception):
+        batches.write_batch(bad, root, batch, also_by=["entity"])
+    assert rows() == [("review", "r"), ("tip", "t")]
+    with monkeypatch.context() as m:  # written whole, but not published
+        m.setattr(batches, "_publish", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            batches.write_batch(df, root, batch, also_by=["entity"])
+    assert rows() == [("review", "r"), ("tip", "t")]
+    with monkeypatch.context() as m:  # published, but the old version could not go
+        m.setattr(batches, "_delete", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            batches.write_batch(df.where("entity = 'tip'"), root, batch, also_by=["entity"])
+    assert [(r["entity"], r["batch"]) for r in batches.newest_batch(spark, root).collect()] == [("tip", batch)]
+    batches.write_batch(df, root, batch)  # other inner partitions, and cleans up
+    assert rows() == [("review", "r"), ("tip", "t")]
+    assert batches.read_batch(spark, root, batch).columns == ["entity", "value", "batch"]
+
+
+def test_an_empty_newest_landing_is_passed_over(spark, tmp_path):
+    from opinara.sinks.batches import landed_batches, newest_batch, read_batch, write_batch
+
+    root, df = str(tmp_path / "l"), spark.createDataFrame([(1,)], "a int")
+    with pytest.raises(ValueError, match="no batch folder found"):
+        newest_batch(spark, root)
+    write_batch(df, root, "2024-01-01-00-00")
+    write_batch(df.limit(0), root, "2024-01-02-00-00")
+    assert landed_batches(spark, root) == ["2024-01-02-00-00", "2024-01-01-00-00"]
+    assert newest_batch(spark, root).first()["batch"] == "2024-01-01-00-00"
+    assert read_batch(spark, root, "2024-01-02-00-00").collect() == []
+    with pytest.raises(ValueError, match="has not been landed"):
+        read_batch(spark, root, "2024-01-03-00-00")
+
+
+@pytest.mark.parametrize("failing", [1, 2])
+def test_a_failing_swap_is_undone(spark, monkeypatch, failing):
+    from opinara.sinks import tables
+
+    name, calls, rename = f"t_swap_{failing}", [], tables._rename
+    replace_table(spark.range(3), name)
+
+    def some(spark, a, b):
+        calls.append((a, b))
+        if len(calls) == failing:
+            raise RuntimeError("catalog is away")
+        rename(spark, a, b)
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_rename", some)
+        with pytest.raises(RuntimeError, match="away"):
+            replace_table(spark.range(5), name)
+    assert spark.table(name).count() == 3
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+    replace_table(spark.range(5), name)
+    assert spark.table(name).count() == 5
+
+
+def test_old_batches_are_not_looked_at(spark, tmp_path):
+    """A folder that cannot be listed, or a broken landing, of an older batch does not matter."""
+    with zipfile.ZipFile(tmp_path / "e.zip", "w") as z:
+        z.writestr("emails_feedback_faker/a.eml", b"From: a\n\nx")
+    for kind, root in (("files", tmp_path / "f"), ("parquet", tmp_path / "p")):
+        if kind == "files":
+            jobs.ingest_files(spark, str(tmp_path / "e.zip"), str(root), NOW, "zip")
+            old = root / "2001-01-01-00-00/emails_feedback_faker"
+        else:
+            jobs.ingest_emails(spark, str(tmp_path / "e.zip"), str(root), NOW)
+            old = root / "batch=2001-01-01-00-00/version=1/cut=0"
+            (root / "_landed/2001-01-01-00-00").mkdir()
+            (root / "_landed/2001-01-01-00-00/1").write_text("not to be read")
+        old.mkdir(parents=True)
+        (old / "broken.parquet").write_text("not to be read")
+        (old / "loop").symlink_to(old / "loop")
+        jobs.load_emails(spark, str(root), f"t_old_{kind}", kind)
+        assert [r["sender"] for r in spark.table(f"t_old_{kind}").collect()] == ["a"]
+
+
 AWKWARD = ["a.eml", "_b.eml", ".c.eml", "empty.eml", "twice.eml", "twice.eml"]
 
 

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from opinara.functions.batch import batch_key
 from opinara.sources.archives import is_safe
+from opinara.sources import objects as objects_module
 from opinara.sources.objects import (batch_of, batches, entity_name, latest_batch, list_objects,
-                                     newest_batch_key, select_paths)
+                                     newest_batch_key, newest_folder, select_paths)
 
 NAMES = [
     "2024-01-02-10-00/emails_feedback_faker/a.eml",
@@ -77,6 +78,27 @@ def test_every_object_is_listed_and_only_the_prefix_is_read(spark, tmp_path):
     assert {r["name"]: bytes(r["content"]) for r in read} == {n: b"" if "empty" in n else n.encode() for n in names[:5]}
 
 
+def test_the_newest_folder_is_found_from_the_top(spark, tmp_path, monkeypatch):
+    with pytest.raises(ValueError, match="no batch"):
+        newest_folder(spark, str(tmp_path))
+    for name in ("2024-01-01-00-00/a/x.eml", "2024-01-02-00-00/_y", "zzz/x.eml", "2024-01-03-00-00x/x"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("x")
+    (tmp_path / "2024-01-04-00-00/empty").mkdir(parents=True)
+    (tmp_path / "2024-01-05-00-00").write_text("a file")
+    listed, below = [], objects_module._list_folders
+    monkeypatch.setattr(objects_module, "_list_folders", lambda files, root, deep: listed.append(sorted(r["name"] for r in files.collect())) or below(files, root, deep))
+    assert newest_folder(spark, f"{tmp_path}/") == "2024-01-02-00-00"
+    assert not [n for names in listed for n in names if n.startswith("2024-01-01") or n.startswith("zzz")]
+
+
+def test_a_flat_folder_comes_in_bounded_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(objects_module, "FLUSH_NAMES", 7)
+    for k in range(30):
+        (tmp_path / f"{k}.txt").write_text("x")
+    assert {r["name"] for r in list_objects(spark, str(tmp_path)).collect()} == {f"{k}.txt" for k in range(30)}
+
+
 def test_batch_key_is_local_time(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 1, 2, 5),)], "ts timestamp_ntz")
     ts = F.col("ts").cast("timestamp")
