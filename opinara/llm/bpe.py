@@ -15,10 +15,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_of, names_for
+from .common import forget, free_of, names_for
+from .words import free
 
-MEMO_PAIRS = 1_000_000
-MEMO_PIECES = 500_000
+MEMO_PAIRS = 300_000
+MEMO_PIECES = 200_000
+ROWS_AT_ONCE = 256
 MEMO_LENGTH = 64
 
 ENCODED = "n_tokens bigint, ids binary, decoded binary"
@@ -177,6 +179,7 @@ _coders = {}
 def _coder(shared):
     key = shared.id if hasattr(shared, "id") else id(shared)
     if key not in _coders:
+        forget()
         _coders.clear()
         _coders[key] = Coder(*shared.value)
     return _coders[key]
@@ -200,19 +203,20 @@ def encode_documents(df: DataFrame, path: str, pattern: str, text="text", digest
     df = free_of(df, *added)
     shared = _codec(df.sparkSession, path, pattern)
 
-    @F.pandas_udf(DIGESTS if digests else ENCODED)
+    @F.arrow_udf(DIGESTS if digests else ENCODED)
     def run(texts):
-        import pandas as pd
+        import pyarrow as pa
 
-        coder, rows = _coder(shared), []
-        for value in texts:
-            ids = coder.encode(value) if value else b""
-            back = coder.decode(ids)
+        coder, kind, parts = _coder(shared), pa.string() if digests else pa.binary(), []
+        for k in range(0, max(1, len(texts)), ROWS_AT_ONCE):
+            ids = [coder.encode(value) if value else b"" for value in texts.slice(k, ROWS_AT_ONCE).to_pylist()]
+            columns = [ids, map(coder.decode, ids)]
             if digests:
-                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest()))
-            else:
-                rows.append((len(ids) // 4, ids, back))
-        return pd.DataFrame(rows, columns=added)
+                columns = [[hashlib.sha256(x).hexdigest() for x in column] for column in columns]
+            lengths = pa.array([len(x) // 4 for x in ids], pa.int64())
+            parts.append(pa.StructArray.from_arrays([lengths, *(pa.array(list(c), kind) for c in columns)], names=added))
+        free()
+        return pa.concat_arrays(parts)
 
     (coded,) = names_for(df, "coded")
     return df.withColumn(coded, run(F.col(text))).select(*df.columns, *[F.col(coded)[c].alias(c) for c in added])

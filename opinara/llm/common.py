@@ -84,6 +84,11 @@ class Shared:
 
 _opened = {}
 
+
+def forget():
+    """Drop what this worker has opened for earlier operators; what is asked for again is opened again."""
+    _opened.clear()
+
 BITMAP, BITMAPS = 32768, 1024  # a filter of 4 MB at any size
 
 
