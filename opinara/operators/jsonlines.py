@@ -41,22 +41,22 @@ def _last_of_each_key(parsed: Column) -> Column:
     return F.when(repeated, F.map_from_entries(last)).otherwise(parsed)
 
 
-def _is_double(value: Column) -> Column:
-    return F.schema_of_variant(value) == "DOUBLE"
+# Numbers that a parser may spell in another way: with a point or an exponent, a zero with a sign, very long, or none at all.
+SPELT = r"[0-9][.eE]|-0|[0-9]{16}|NaN|Infinity"
+# What stands before the next number of a line, strings taken whole, and the number. Nothing is taken
+# back once it is matched, so the work grows with the line and needs no stack.
+NUMBERS = r'\G((?:[^"0-9NI-]++|-(?![0-9I])|"[^"\\]*+(?:\\.[^"\\]*+)*+")*+)(-?[0-9][0-9.eE+-]*+|-?Infinity|NaN)'
 
 
-def _written(kept: Column, line: Column) -> Column:
-    """The map as JSON. A number that a double would change keeps the text it had."""
-    texts = F.from_json(line, "map<string,string>", STRICT)
+def _written(parsed: Column, line: Column, key: str) -> Column:
+    """The object without ``key`` as JSON. Numbers go through the parser as marked strings, so they keep their text."""
+    def without(found):
+        return F.to_json(F.map_filter(_last_of_each_key(found), lambda k, v: k != key))
 
-    def member(entry):
-        key = F.to_json(F.array(entry["key"]))
-        raw = F.regexp_replace(F.element_at(texts, entry["key"]), "\"", "")
-        value = F.when(_is_double(entry["value"]), raw).otherwise(F.to_json(entry["value"]))
-        return F.concat(F.substring(key, F.lit(2), F.length(key) - 2), F.lit(":"), value)
-
-    rewritten = F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries(kept), member), ","), F.lit("}"))
-    return F.when(F.exists(F.map_values(kept), _is_double), rewritten).otherwise(F.to_json(kept))
+    mark = f"number_{uuid.uuid4().hex}_"
+    marked = F.from_json(F.regexp_replace(line, NUMBERS, f'$1"{mark}$2"'), OBJECT, STRICT)
+    plain = F.regexp_replace(without(marked), f'"{mark}([^"]*+)"', "$1")
+    return F.when(line.rlike(SPELT), plain).otherwise(without(parsed))
 
 
 def drop_json_key(df: DataFrame, key: str, line="value"):
@@ -66,8 +66,8 @@ def drop_json_key(df: DataFrame, key: str, line="value"):
     ``key``, written as JSON again; ``rejects`` all other lines: malformed ones,
     trailing text, a second object, single quotes, other values. A key given twice
     keeps its last value, at any depth; for that the session's
-    ``spark.sql.variant.allowDuplicateKeys`` is set. Numbers of any size and NaN at
-    the top level stay as written; deeper ones beyond a double's precision do not.
+    ``spark.sql.variant.allowDuplicateKeys`` is set. Numbers stay as written at any
+    depth, of any size and precision, and so do NaN and Infinity.
     """
     df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     parsed = "parsed"
@@ -75,6 +75,5 @@ def drop_json_key(df: DataFrame, key: str, line="value"):
     # the parsed column would be pushed down and parse it again.
     found = F.filter(F.array(json_object(line)), lambda o: o.isNotNull())
     clean = df.select("*", F.explode(found).alias(parsed))
-    kept = F.map_filter(_last_of_each_key(F.col(parsed)), lambda k, v: k != key)
-    clean = clean.withColumn("kept", kept).withColumn(line, _written(F.col("kept"), F.col(line))).drop(parsed, "kept")
+    clean = clean.withColumn(line, _written(F.col(parsed), F.col(line), key)).drop(parsed)
     return clean, df.where(json_object(line).isNull())

@@ -18,6 +18,8 @@ GOOD = [
     '\t{"tab": 1}\r',
     '{"a": {"x": 1, "x": 2}}',
     '{"long": 123456789012345678901234567890123456789012345, "attributes": 1, "s": "NaN"}',
+    '{"deep": {"n": [123456789012345678901234567890123456789012345, {"m": 1.10, "e": 1E3, "s": "a \\"b\\" {"}], "z": -0.0}, "attributes": {"n": 1.5}, "list": [0.1000, -0, [1e400]]}',
+    '{"zero": -0.0, "whole": -0, "long": 0.12345678901234567890123456789012345678901234567890, "attributes": [1.0]}',
     '{"nan": NaN, "inf": 1e400, "neg": -Infinity, "d": 1.10}',
 ]
 BAD = ['{"a": 1', '[1, 2]', '5', '"text"', 'null', '', '   ', '{a: 1}', '{"a" 1}', 'attributes',
@@ -38,6 +40,15 @@ def test_same_values_as_the_standard_parser(spark):
     assert sorted(r["value"] for r in rejects.collect()) == sorted(BAD)
 
 
+def test_numbers_keep_their_spelling_at_any_depth(spark):
+    lines = ['{"a":{"m":-0.0,"n":[123456789012345678901234567890123456789012345,1.10]},"b":-0.0,"c":1E+3,"d":[0.10,{"x":2.50}],"e":"4.50 \\" -0.0"}',
+             '{"a":[[1e400]],"b":12345678901234567890123,"c":[12345678901234567890],"d - 5":[NaN,-Infinity,"NaN"]}',
+             '{"long":"5 ' + '\\"' * 3000 + '","n":[' + ",".join(["1.50", '"x 1.50"'] * 4000) + "]}"]
+    cut = [line[:-1] + ',"attributes":{"k":1.0}}' for line in lines]
+    clean, _ = drop_json_key(spark.createDataFrame([(t,) for t in cut], "value string"), "attributes")
+    assert [r["value"] for r in clean.collect()] == lines
+
+
 def test_dropping_twice_is_dropping_once(spark):
     df = spark.createDataFrame([(t,) for t in GOOD], "value string")
     once, _ = drop_json_key(df, "attributes")
