@@ -17,7 +17,7 @@ from ..functions.words import GLOSSARY
 from ..plans import jobs
 from ..session import work_folder
 from ..sinks.batches import newest_batch, read_batch, write_batch, write_member_files
-from ..sinks.tables import audited, create_table_as, refresh_view, replace_table, save_external
+from ..sinks.tables import audited, content_of, create_table_as, refresh_view, replace_table, save_external
 from ..sources import archives
 from ..sources.objects import batches, entity_name, latest_batch, list_objects, select_paths
 from ..sources.tables import external_table, read_table
@@ -467,6 +467,22 @@ def load_audit(spark, sf_dir):
     return audit.select("table", "rows")
 
 
+def load_audit_content(spark, sf_dir):
+    """Loads of the documents, of the same rows dealt anew, and of one changed row: which of them hold the same."""
+    docs = read(spark, sf_dir, "documents")
+    other = docs.withColumn("lang", F.when(F.col("doc_id") == 7, F.lit(None)).otherwise(F.col("lang")))
+    loads = {"documents_copy": docs, "dealt_anew": docs.repartition(5, "lang").select(*docs.columns[::-1]), "changed": other, "doubled": docs.union(docs.where("doc_id = 7"))}
+    audits = []
+    for name, df in loads.items():
+        path = work_folder(spark, "audit")
+        audits.append(audited(df, name, lambda rows, path=path: rows.write.parquet(path), content=True))
+        stored = spark.read.parquet(path)
+        audits[-1] = audits[-1].withColumn("as_stored", F.col("content") == content_of(stored))
+    first = audits[0].first()["content"]
+    rows = audits[0].unionByName(audits[1]).unionByName(audits[2]).unionByName(audits[3])
+    return rows.select("table", "rows", "as_stored", (F.col("content") == first).alias("same"))
+
+
 def previewed(spark, sf_dir):
     return R.preview(read(spark, sf_dir, "documents", "doc_id", "lang", "n_chars"), "doc_id")
 
@@ -609,6 +625,7 @@ def registry():
         "write_member_files": staged(page_archives("zip"), written_files),
         "landing_members": staged(awkward_archives, landed_members),
         "load_audit": load_audit,
+        "load_audit_content": load_audit_content,
         "preview": previewed,
         "job_emails": staged(email_archives, job_emails),
         "job_emails_files": staged(email_archives, job_emails_files),

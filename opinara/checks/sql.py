@@ -279,6 +279,9 @@ def oracles():
             CROSS JOIN (VALUES ('parquet'), ('files')) v(landing)""",
         "write_member_files": MEMBERS,
         "load_audit": "SELECT 'documents_copy' AS \"table\", count(*) AS \"rows\" FROM documents",
+        "load_audit_content": """SELECT v."table", count(*) + CAST(v.more AS BIGINT) AS "rows", true AS as_stored, v.same
+            FROM documents, (VALUES ('documents_copy', 0, true), ('dealt_anew', 0, true), ('changed', 0, false), ('doubled', 1, false)) v("table", more, same)
+            GROUP BY v."table", v.more, v.same""",
         "preview": "SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id LIMIT 5",
         "job_emails": f"""WITH {MESSAGES}, {english("SELECT conv_id * 1000 + turn AS id, text AS body FROM conversations")},
             {scored("SELECT id, english AS body FROM translated")}

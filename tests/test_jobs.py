@@ -303,3 +303,16 @@ def test_tables_have_all_columns_and_skip_bad_lines(spark, tmp_path, landing):
     business = spark.table(f"all_{landing}_business")
     assert "attributes" not in business.columns and business.select("business_id", "open_late").first() == ("b", True)
     assert spark.table(f"all_{landing}_checkin").select("who", "n").first() == ("w", 7)
+
+
+def test_the_content_of_a_load_is_told_by_its_rows_alone(spark, tmp_path):
+    from opinara.sinks.tables import audited, content_of
+
+    df = spark.createDataFrame([(1, "a", {"k": 1}), (2, None, None), (2, None, None), (3, "", {"j": 2})], "i int, t string, m map<string,int>")
+    row = audited(df.repartition(3), "t", lambda rows: rows.write.parquet(str(tmp_path / "t")), content=True).first()
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    assert row["rows"] == 4 and row["content"] == content_of(stored) == content_of(df.select("m", "t", "i").repartition(5, "i"))
+    others = [df.where("i != 3"), df.dropDuplicates(["i"]), df.na.fill("", ["t"]), df.union(df.where("i = 3")), df.withColumnRenamed("t", "u"), df.withColumn("i", F.col("i") + 1)]
+    sums = [content_of(o) for o in others]
+    assert len({*sums, row["content"]}) == len(others) + 1
+    assert content_of(df.limit(0)) == "0:0"
