@@ -2,12 +2,16 @@
 
 A source's rows are all wanted ``target / size of the source`` times. The whole
 part of that is taken as it is; what remains is a probability of one more copy.
-Two such probabilities meet: mass, measured in words, moves at random from one to
-the other until one of them is 0 or 1, which keeps both the words of the pair and
-each row's expectation. What a group of rows leaves over meets the leftovers of
-other groups in the next level of a tree, up to one row a source.
+A row's probability meets that of the bundle of all shorter rows of its group: mass,
+measured in words, moves at random from one to the other until one of them is
+settled, which keeps both the words of the two and each row's expectation. What a
+group of rows leaves over meets the leftovers of other groups in the next level of
+a tree, up to one row a source.
 """
 
+import random
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +21,7 @@ MOST_COPIES = 3
 WEIGHTS = (1, 2, 3)
 ROWS_PER_GROUP = 2048
 FAN_IN = 64
+TINY = 1e-9  # a probability this close to 0 or 1 is taken for it
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -49,56 +54,62 @@ def targets(sources: DataFrame, weights=WEIGHTS, most=MOST_COPIES, total=None) -
     return ranked.select("source", "source_size", F.least(stop, F.col("weight") * level if open_weight else stop).alias("target"))
 
 
-def pivotal(batches):
-    """Settle rows that arrive sorted by group; each group leaves at most one open row.
+def settle(size, open, chance):
+    """Settle the open probabilities of one group: ``(gained, open)``, with at most one row still open.
 
-    Rows hold ``copies``, ``size`` and the open probability ``open`` (0: settled).
+    Rows come from long to short. Each meets the bundle of all rows behind it:
+    words move at random from one to the other until the row is 0 or 1, or no row
+    of the bundle can move on. Rows of a bundle that are open alike stay so; others
+    give or take in proportion to what each can do both ways. Either way every row
+    keeps its expectation. A long row is thus settled while many short ones are there
+    to make up for it, and what stays open is short, unless one row outweighs all
+    others of its group.
     """
-    import pandas as pd
-
-    held = None  # [group, row, p]
-    for frame in batches:
-        out = []
-        for row in frame.itertuples(index=False):
-            p = row.open
-            group = (row.source, row.no_source, row.level_group)
-            if held is not None and held[0] != group:
-                out.append(held[1]._replace(open=held[2]))
-                held = None
-            if p <= 0:
-                out.append(row)
-                continue
-            if held is None:
-                held = [group, row, p]
-                continue
-            other, q = held[1], held[2]
-            to_other = min((1 - q) * other.size, p * row.size)
-            to_row = min(q * other.size, (1 - p) * row.size)
-            if row.chance * (to_other + to_row) < to_row:  # the other gains, in proportion to what this one could
-                full, none = to_other >= (1 - q) * other.size, to_other >= p * row.size
-                q, p = 1.0 if full else q + to_other / other.size, 0.0 if none else p - to_other / row.size
+    p, gained = np.array(open, float), np.zeros(len(open), np.int32)
+    for i in range(len(p)):
+        draw = random.Random(int(chance[i] * (1 << 53)))
+        rest, words = p[i + 1:], size[i + 1:]
+        while p[i] > 0:
+            alike = not len(rest) or np.ptp(rest) < TINY
+            fall, rise = (rest.copy(), 1 - rest) if alike else (np.minimum(rest, 1 - rest),) * 2
+            given, taken = float(fall @ words), float(rise @ words)
+            if given <= 0 or taken <= 0:
+                return gained, p  # nothing is open behind this row
+            up, down = min((1 - p[i]) * size[i], given), min(p[i] * size[i], taken)
+            if draw.random() * (up + down) < down:  # in proportion, so that the row keeps its expectation
+                p[i] += up / size[i]
+                rest -= up / given * fall
             else:
-                none, full = to_row >= q * other.size, to_row >= (1 - p) * row.size
-                q, p = 0.0 if none else q - to_row / other.size, 1.0 if full else p + to_row / row.size
-            held = None
-            for one, mass in ((other, q), (row, p)):
-                if mass <= 0.0 or mass >= 1.0:
-                    out.append(one._replace(copies=one.copies + int(mass >= 1.0), open=0.0))
-                else:
-                    held = [group, one, mass]
-        if out:
-            yield pd.DataFrame(out, columns=frame.columns)
-        columns = frame.columns
-    if held is not None:
-        yield pd.DataFrame([held[1]._replace(open=held[2])], columns=columns)
+                p[i] -= down / size[i]
+                rest += down / taken * rise
+            for part, first in ((p[i:i + 1], i), (rest, i + 1)):
+                gained[first:first + len(part)] += part > 1 - TINY
+                part[(part > 1 - TINY) | (part < TINY)] = 0
+    return gained, p
+
+
+def settle_group(rows):
+    """One level of the tree for one group of rows ``copies, size, open, chance``."""
+    import pyarrow as pa
+
+    rows = rows.sort_by([("size", "descending"), ("place", "ascending"), ("unit_id", "ascending"), ("unit_size", "ascending")])
+    todo = rows.column("open").to_numpy() > 0
+    copies, open = rows.column("copies").to_numpy().copy(), rows.column("open").to_numpy().copy()
+    gained, open[todo] = settle(rows.column("size").to_numpy()[todo].astype(float), open[todo], rows.column("chance").to_numpy()[todo])
+    copies[todo] += gained
+    for name, values in (("copies", copies), ("open", open)):
+        at = rows.schema.get_field_index(name)
+        rows = rows.set_column(at, rows.schema.field(at), pa.chunked_array([pa.array(values)]))
+    return rows
 
 
 def mix(df: DataFrame, id="doc_id", text="text", source="source", weights=WEIGHTS, most=MOST_COPIES,
         total=None, seed=0) -> DataFrame:
     """Add ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` (words, repeats counted) to every row.
 
-    A source's taken words differ from its target by less than one row. Rows
-    without words are taken by chance alone. Rows that repeat id, source and size
+    A source's taken words differ from its target by less than one row: by a short
+    one, unless one row outweighs the others. Rows without words are taken by chance
+    alone. Rows that repeat id, source and size
     get the same number of copies. The choice follows from ids and ``seed``, so
     reruns agree. Rows are grouped by a hash, hot source or not, and only narrow
     rows shuffle before the results go back by id. Null ids, texts (size 0) and
@@ -130,12 +141,10 @@ def mix(df: DataFrame, id="doc_id", text="text", source="source", weights=WEIGHT
     rows = (rows.withColumn("copies", F.col("copies") + by_chance.cast("int"))
             .withColumn("open", F.when(F.col("size") > 0, F.col("open")).otherwise(0.0))
             .withColumn("no_source", F.col("source").isNull()).withColumn("source", F.coalesce("source", F.lit(""))))
-    n, level, done = int(spark.conf.get("spark.sql.shuffle.partitions")), 0, []
+    level, done = 0, []
     while True:
-        keys = ["source", "no_source", "level_group"]
-        # Long rows first: they settle among themselves, and what stays open is short.
-        ready = rows.repartition(n, *keys).sortWithinPartitions(*keys, F.desc("size"), "place", "unit_id", "unit_size")
-        rows = materialise(ready.mapInPandas(pivotal, rows.schema), f"level{level}")
+        grouped = rows.groupBy("source", "no_source", "level_group")  # some ROWS_PER_GROUP rows at most, hashed
+        rows = materialise(grouped.applyInArrow(settle_group, rows.schema), f"level{level}")
         done.append(rows.where("open = 0"))
         rows = rows.where("open > 0")
         level += 1
