@@ -19,6 +19,7 @@ from ..session import work_folder
 from ..sinks.batches import newest_batch, read_batch, write_batch, write_member_files
 from ..sinks.tables import audited, content_of, create_table_as, refresh_view, replace_table, save_external
 from ..sources import archives
+from ..sources.members import read_members
 from ..sources.objects import batches, entity_name, latest_batch, list_objects, select_paths
 from ..sources.tables import external_table, read_table
 from .archives import write_archives, write_line_archives
@@ -382,6 +383,26 @@ def members(kind, piece_bytes=4096):
     return staged(page_archives(kind), run)
 
 
+def marked_archives(spark, sf_dir):
+    """Every page in a zip and in a tar, between members of other names."""
+    folder, pages = work_folder(spark, "archives"), page_members(spark, sf_dir)
+    both = pages.unionByName(page_members(spark, sf_dir, F.lit("notes/"))).repartitionByRange(4, "page_id")
+    for kind in ("zip", "tar"):
+        write_archives(both, f"{folder}/{kind}", kind)
+    return folder
+
+
+def members_by_name(spark, folder):
+    """The pages by the archive format, small pieces over many tasks; no task is planned for the other members."""
+    def of(kind):
+        rows = read_members(spark, f"{folder}/{kind}", kind, prefix="html/", suffix=".html", pieceBytes=1024, taskBytes=65536)
+        pieces = F.sort_array(F.collect_list(F.struct("piece", "content")))
+        content = F.aggregate(pieces, F.lit(b""), lambda whole, part: F.concat(whole, part["content"]))
+        return (rows.groupBy("archive", "member", "size").agg(F.md5(content).alias("digest"))
+                .select(F.lit(kind).alias("kind"), "member", "size", "digest"))
+    return of("zip").unionByName(of("tar"))
+
+
 def lines(kind):
     def run(spark, folder):
         rows = archives.read_archive_lines(spark, folder, kind, ".html", 1000)
@@ -618,6 +639,7 @@ def registry():
         "archive_zip": members("zip"),
         "archive_tar": members("tar"),
         "archive_tar_gz": members("tar.gz"),
+        "archive_members": staged(marked_archives, members_by_name),
         "archive_lines_zip": lines("zip"),
         "archive_lines_tar": lines("tar"),
         "write_batch": batch_written,

@@ -264,6 +264,7 @@ def oracles():
         "archive_zip": MEMBERS,
         "archive_tar": MEMBERS,
         "archive_tar_gz": MEMBERS,
+        "archive_members": f"SELECT v.kind, m.* FROM ({MEMBERS}) m CROSS JOIN (VALUES ('zip'), ('tar')) v(kind)",
         "archive_lines_zip": LINES,
         "archive_lines_tar": LINES,
         "write_batch": "SELECT '2024-01-02-10-00' AS batch, page_id, md5(md5(html)) AS digest FROM pages",
