@@ -9,7 +9,7 @@ from ..functions.labels import email_label, review_label
 from ..functions.text import lower_letters
 from ..functions.vocabulary import Vocabulary
 from ..operators import report as R
-from ..operators.emails import parse_emails, split_readable
+from ..operators.emails import message_parts, parse_emails, split_readable
 from ..operators.jsonlines import drop_json_key
 from ..operators.text import (detect_language, glossary_from_table, score_sentiment, score_with,
                               translate, translate_with)
@@ -224,6 +224,20 @@ def parsed(original_names=False):
     return query
 
 
+def email_parts(spark, sf_dir):
+    """One row per part of every conversation as nested mail; a fifth of the mails has no parts."""
+    text, turn = F.col("text"), F.col("turn").cast("string")
+    nested = F.concat(
+        F.lit("Subject: nested\nContent-Type: multipart/mixed; boundary=outer-edge\n\nnot shown\n--outer-edge\n\n"), text,
+        F.lit("\n--outer-edge\nContent-Type: multipart/alternative; boundary=\"inner edge\"\n\n--inner edge\nContent-Type: text/html\n\n<p>"), text,
+        F.lit("</p>\n--inner edge\nContent-Disposition: attachment; filename="), turn, F.lit(".txt\n\n"), F.col("role"),
+        F.lit("\n--inner edge--\n\n--outer-edge--\n"))
+    message = F.when(F.col("conv_id") % 5 == 3, F.concat(F.lit("Subject: plain\n\n"), text)).otherwise(nested)
+    parts = message_parts(read(spark, sf_dir, "conversations").select("conv_id", "turn", message.alias("message")))
+    part = parts.select("conv_id", "turn", F.explode("parts").alias("part")).select("conv_id", "turn", "part.*")
+    return part.select("conv_id", "turn", "path", "content_type", "filename", F.md5("body").alias("digest"))
+
+
 def email_rejects(spark, sf_dir):
     bad = F.when(F.col("conv_id") % 7 == 0, F.unhex(F.lit("FF"))).otherwise(F.lit(b""))
     raw = messages(spark, sf_dir).select(
@@ -617,6 +631,7 @@ def registry():
         "label_nulls": label_nulls,
         "parse_emails": parsed(),
         "parse_emails_original_names": parsed(True),
+        "email_parts": email_parts,
         "email_rejects": email_rejects,
         "drop_json_key": json_key_dropped,
         "json_rejects": json_rejects,

@@ -240,6 +240,10 @@ def oracles():
         "parse_emails": f"WITH {MESSAGES} SELECT * FROM messages",
         "parse_emails_original_names": f"""WITH {MESSAGES} SELECT conv_id, turn, sender AS remetente, recipient AS destinatario,
             subject AS assunto, date AS data, body AS corpo, is_multipart FROM messages""",
+        "email_parts": """SELECT conv_id, turn, v.path, v.content_type, CASE WHEN v.path = '2.2' THEN turn || '.txt' END AS filename,
+            CASE v.path WHEN '1' THEN md5(text) WHEN '2.1' THEN md5('<p>' || text || '</p>') WHEN '2.2' THEN md5(role) END AS digest
+            FROM conversations CROSS JOIN (VALUES ('1', 'text/plain'), ('2', 'multipart/alternative'), ('2.1', 'text/html'),
+            ('2.2', 'text/plain')) v(path, content_type) WHERE conv_id % 5 <> 3""",
         "email_rejects": "SELECT conv_id, turn FROM conversations WHERE conv_id % 7 = 0",
         "drop_json_key": """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type, value,
             CAST(2 AS BIGINT) AS keep, false AS has_attributes, CASE WHEN event_id % 20 = 6 THEN '2' END AS twice,

@@ -1,5 +1,9 @@
 """Parse raw email messages into rows."""
 
+import email
+import email.policy
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,3 +39,41 @@ def parse_emails(df: DataFrame, message="message", original_names=False) -> Data
     }
     df = df.withColumns(fields).drop(block, message)
     return df.withColumnsRenamed(ORIGINAL_NAMES) if original_names else df
+
+
+PARTS = "array<struct<path: string, content_type: string, filename: string, body: string>>"
+
+
+def _walk(message, path=""):
+    """The parts below a message, each before its own parts; a container has no body."""
+    for number, part in enumerate(message.get_payload(), 1):
+        place = f"{path}{number}"
+        inner = part.is_multipart()
+        yield {"path": place, "content_type": part.get_content_type(), "filename": part.get_filename(),
+               "body": None if inner else part.get_payload()}
+        if inner:
+            yield from _walk(part, f"{place}.")
+
+
+def message_parts(df: DataFrame, message="message", out="parts") -> DataFrame:
+    """Add the parts of each multipart message as an array of ``path, content_type, filename, body``.
+
+    ``path`` tells the place in the tree of parts: ``2.1`` is the first part of the second.
+    Containers come before their parts and have no body; an attached message has one part, the
+    message in it. Bodies are as written, nothing is decoded. A message that is not multipart, or whose
+    boundary is nowhere, has no parts; a NULL message has NULL. Only multipart messages go to
+    Python, as Arrow arrays.
+    """
+    kind = pa.list_(pa.struct([(name, pa.string()) for name in ("path", "content_type", "filename", "body")]))
+
+    @F.arrow_udf(PARTS)
+    def parts(texts: pa.Array) -> pa.Array:
+        def tree(text):
+            parsed = email.message_from_string(text, policy=email.policy.compat32)
+            return list(_walk(parsed)) if parsed.is_multipart() else []
+
+        return pa.array([None if text is None else tree(text) for text in texts.to_pylist()], kind)
+
+    text = F.col(message)
+    found = parts(F.when(is_multipart(header_block(text)), text))
+    return df.withColumn(out, F.when(text.isNotNull(), F.coalesce(found, F.array().cast(PARTS))))

@@ -1,10 +1,13 @@
 import email
 import random
+from email.mime.message import MIMEMessage
+from email.mime.multipart import MIMEMultipart
+from email.mime.text import MIMEText
 
 import pytest
 from pyspark.sql import functions as F
 
-from opinara.operators.emails import ORIGINAL_NAMES, parse_emails, split_readable
+from opinara.operators.emails import ORIGINAL_NAMES, message_parts, parse_emails, split_readable
 
 MESSAGES = [
     "From: a@x\nTo: b@y\nSubject: hi\nDate: Mon, 1 Jan 2024\n\nbody\nmore\n",
@@ -72,3 +75,49 @@ def test_unreadable_files_are_set_apart(spark):
     good, bad = split_readable(spark.createDataFrame(rows, "name string, content binary"))
     assert sorted(r["name"] for r in good.collect()) == ["a", "d"]
     assert sorted(r["name"] for r in bad.collect()) == ["b", "c", "e"]
+
+
+def grown(rng, depth, path, rows):
+    """A random tree of parts and, in ``rows``, what has to be found in it."""
+    whole = MIMEMultipart(rng.choice(["mixed", "alternative", "related"]))
+    for number in range(1, rng.randint(2, 4)):
+        place = f"{path}{number}"
+        if depth and rng.random() < 0.4:
+            at = len(rows)
+            inner = grown(rng, depth - 1, f"{place}.", rows)
+            rows.insert(at, (place, inner.get_content_type(), None, None))
+        elif rng.random() < 0.2:
+            inner = MIMEMessage(MIMEText("inside " * rng.randint(0, 3)))
+            rows += [(place, "message/rfc822", None, None), (f"{place}.1", "text/plain", None, inner.get_payload()[0].get_payload())]
+        else:
+            text = rng.choice(["", "one line", "two\nlines\n", "--not a boundary\n\nx", "From here\n" * 400])
+            inner, name = MIMEText(text, rng.choice(["plain", "html"])), rng.choice([None, f"file {number}.txt"])
+            if name:
+                inner.add_header("Content-Disposition", "attachment", filename=name)
+            rows.append((place, inner.get_content_type(), name, text))
+        whole.attach(inner)
+    return whole
+
+
+def test_parts_of_generated_mail(spark):
+    rng, texts, want = random.Random(11), [], []
+    for n in range(150):
+        rows = []
+        whole = grown(rng, 3, "", rows)
+        whole["Subject"] = f"mail {n}"
+        text = whole.as_string()
+        texts.append(text.replace("\n", "\r\n") if n % 3 == 0 else text)
+        want.append([(*r[:3], r[3].replace("\n", "\r\n") if n % 3 == 0 and r[3] else r[3]) for r in rows])
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, message string").repartition(4)
+    found = [[tuple(p) for p in r["parts"]] for r in message_parts(df).orderBy("i").collect()]
+    assert found == want
+
+
+def test_messages_without_parts(spark):
+    texts = [None, "", "Subject: x\n\nbody", "Content-Type: multipart/mixed; boundary=q\n\nno boundary here",
+             "Content-Type: multipart/mixed\n\n--q\n\nx\n--q--\n", "Content-Type: multipart/mixed; boundary=q\n\n--q\n\ncut off"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, message string")
+    found = [r["parts"] for r in message_parts(df).orderBy("i").collect()]
+    assert found[0] is None and found[1:5] == [[], [], [], []]
+    assert [tuple(p) for p in found[5]] == [("1", "text/plain", None, "cut off")]
+    assert message_parts(df.limit(0)).collect() == []
