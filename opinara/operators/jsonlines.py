@@ -51,7 +51,9 @@ NUMBERS = r'\G((?:[^"0-9NI-]++|-(?![0-9I])|"[^"\\]*+(?:\\.[^"\\]*+)*+")*+)(-?[0-
 def _written(parsed: Column, line: Column, key: str) -> Column:
     """The object without ``key`` as JSON. Numbers go through the parser as marked strings, so they keep their text."""
     def without(found):
-        return F.to_json(F.map_filter(_last_of_each_key(found), lambda k, v: k != key))
+        # As the element of an array the object is parsed once, however often the rule names it.
+        return F.element_at(F.transform(F.array(found), lambda o: F.to_json(
+            F.map_filter(_last_of_each_key(o), lambda k, v: k != key))), 1)
 
     mark = f"number_{uuid.uuid4().hex}_"
     marked = F.from_json(F.regexp_replace(line, NUMBERS, f'$1"{mark}$2"'), OBJECT, STRICT)
