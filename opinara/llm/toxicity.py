@@ -1,15 +1,18 @@
 """Toxicity by class-conditional Kneser-Ney models (op 8).
 
 A bigram model of toxic and one of ordinary labelled documents score every text.
-Both back off from the bigram to how many different words a word follows in the
-class, and from there to the same counts over both classes together, so that an
-expression too rare for either class alone is judged alike by both. A text's mean
-difference of log-likelihoods per word, and that of its most toxic stretch, go
-through a logistic curve fitted on labelled rows that the models have not seen.
-
-The counts are those of all labelled training rows: every word has a number, in the
-order of its 64-bit hash, and no two bigrams share a count. The models grow with the
-distinct words and frequent bigrams of these rows and are sent to the tasks whole.
+Each backs off from the bigrams of its class to those of both classes together, from
+there to how many different words a word follows in the class, and from there to the
+same over both classes, so that an expression too rare for either class alone is judged
+nearly alike by both. Counts of 1, 2 and more have a discount each, estimated from the
+counts themselves (Chen and Goodman, 1998). A text's mean
+difference of log-likelihoods per word goes through a logistic curve fitted on labelled
+rows that the models have not seen, with that of its most telling word by itself beside
+it, as one insult hardly moves the mean of a long text.
+
+The counts are those of all labelled training rows, with nothing left out: every word
+has a number, in the order of its 64-bit hash, and no two bigrams share a count. The models
+grow with the distinct words and bigrams of these rows and are sent to the tasks whole.
 """
 
 import zlib
@@ -25,11 +28,7 @@ from .words import blocks, per_text, word_hashes
 SLICES = 16
 RANGE_BITS = 16  # high bits of a hash by which words are dealt out
 FLUSH_WORDS = 1 << 20  # words of a task that are counted at once
-DISCOUNT = 0.75
-LEAST = 32  # a bigram in fewer texts of both classes counts for its history only
-COMMON = 8  # a word that follows fewer words of a class is left to the shared counts
-WORD_DISCOUNT = 3  # contexts of a word that go to the shared counts
-STRETCH = 2
+DISCOUNT = 0.75  # of an order without anything that was seen once, or what follows from other counts
 CALIBRATION_ROWS = 50_000  # about the most rows the logistic curve is fitted on, drawn by hash
 COUNTED, FITTED = (0, 1), (3,)  # folds of labelled rows; fold 2 is held out from everything
 
@@ -43,13 +42,13 @@ class Model:
     """Tables by number of a word, the last for words not seen, each for (ordinary, toxic)."""
 
     words: np.ndarray  # hashes of the words, ascending
-    weight: np.ndarray  # of the backoff after a word
-    inverse: np.ndarray  # one over the occurrences of a word as a history
+    weight: np.ndarray  # of the backoff after a word; in a third row that of both classes together
+    inverse: np.ndarray  # one over the occurrences of a word as a history; the same
     word: np.ndarray  # probability of a word after backoff
     begin: np.ndarray  # first bigram of each history, and one past the last
     second: np.ndarray  # second words of the bigrams, ascending within a history
     pair: np.ndarray  # occurrences of the bigrams, then 0 for any other
-    common: np.ndarray  # whether a word stands in enough contexts of both classes to be one of a bigram
+    discounts: np.ndarray  # taken from bigrams that were seen 0, 1, 2 and more times
     fit: np.ndarray | None = None  # logistic coefficients
     sent: Shared | None = None
 
@@ -74,18 +73,36 @@ class Model:
         found[found] = self.second[low[found]] == word[found]
         return np.where(found, low, len(self.second))
 
+    def telling(self, numbers):
+        """Toxic less ordinary log-probability of each word after nothing known."""
+        return np.log(self.word[1][numbers]) - np.log(self.word[0][numbers])
+
     def differences(self, numbers, begins):
-        """Toxic less ordinary log-probability of each word; ``begins`` marks first words of texts."""
+        """The same of each word after the one before it; ``begins`` marks first words of texts."""
         history = np.r_[numbers[:1], numbers[:-1]]
-        pair = self.pair_of(history, numbers)
-        # A rare word says nothing of its neighbour, in either class.
-        alone = begins | ~self.common[numbers] | ~self.common[history]
+        seen = self.pair[:, self.pair_of(history, numbers)]
+        both = kept(seen.sum(axis=0, dtype=np.int64), self.discounts) * self.inverse[2][history]
         logs = []
         for c in (0, 1):
-            p = self.word[c][numbers]
-            after = np.maximum(self.pair[c][pair] - DISCOUNT, 0) * self.inverse[c][history] + self.weight[c][history] * p
-            logs.append(np.log(np.where(alone, p, after)))
-        return logs[1] - logs[0]
+            shared = both + self.weight[2][history] * self.word[c][numbers]
+            logs.append(np.log(kept(seen[c], self.discounts) * self.inverse[c][history] + self.weight[c][history] * shared))
+        return np.where(begins, self.telling(numbers), logs[1] - logs[0])
+
+
+def kept(counts, discounts):
+    """What is left of counts after the discount for 0, 1, 2 and more."""
+    return (counts - discounts[np.minimum(counts, 3)]).astype(np.float32)
+
+
+def discounts(*times):
+    """The discounts of an order of which ``times[i]`` entries have the count ``i + 1``, each at most the count."""
+    if not times[0]:
+        return np.array([0, DISCOUNT, DISCOUNT, DISCOUNT])
+    base = times[0] / (times[0] + 2 * times[1])
+    own = [base]
+    for i in (1, 2):
+        own.append(float(np.clip(i + 1 - (i + 2) * base * times[i + 1] / times[i], base, i + 1)) if times[i] else base)
+    return np.array([0, *own])
 
 
 def numbered_words(offsets, data, words):
@@ -130,7 +147,7 @@ def _by(kind, part, keys, counts):
 
 
 ROWS = "kind int, part int, blob binary"
-BIGRAM, FOLLOWS, PAIR, HISTORY, TYPES, WORD, KEPT, KEPT_TYPES = range(8)
+BIGRAM, FOLLOWS, PAIR, WORD = range(4)
 
 
 def _words(parts):
@@ -213,21 +230,11 @@ def _gathered(batches, handle):
 
 
 def _statistics(bits):
-    """From the bigrams of a range of histories, sums for the model's tables, by slice."""
+    """From the bigrams of a range of histories, these with their counts, and how many words each word follows, by slice."""
     def handle(kind, part, keys, counts):
-        word, history = (keys >> np.uint64(1)) & np.uint64((1 << bits) - 1), keys >> np.uint64(bits + 1)
-        ones = np.ones(len(keys), dtype=np.int64)
-        first = np.flatnonzero(np.r_[True, (keys[1:] >> np.uint64(1)) != (keys[:-1] >> np.uint64(1))][:len(keys)])
-        both = np.add.reduceat(counts, first) if len(first) else counts
-        often = np.repeat(both, np.diff(np.r_[first, len(keys)])) >= LEAST
-        if often.any():
-            yield _by(PAIR, np.full(int(often.sum()), part), keys[often], counts[often])
-        for kind, number, values, use in (
-                (FOLLOWS, word, ones, slice(None)), (HISTORY, history, counts, slice(None)), (TYPES, history, ones, slice(None)),
-                (KEPT, history, counts, often), (KEPT_TYPES, history, ones, often)):
-            if len(number[use]):
-                own, values = _added((number[use] << np.uint64(1)) | keys[use] & np.uint64(1), values[use])
-                yield _by(kind, (own >> np.uint64(1)).astype(np.int64) * SLICES >> bits, own, values)
+        yield _by(PAIR, np.full(len(keys), part), keys, counts)
+        own, times = np.unique(keys & np.uint64((2 << bits) - 1), return_counts=True)
+        yield _by(FOLLOWS, (own >> np.uint64(1)).astype(np.int64) * SLICES >> bits, own, times)
     return lambda batches: _gathered(batches, handle)
 
 
@@ -249,56 +256,65 @@ def _joined(parts):
     return np.concatenate([parts.pop(p) for p in sorted(parts)]) if parts else np.zeros(0, dtype=np.uint64)
 
 
+def _totals_by(begin, values):
+    """Sums of the values from each begin to the next."""
+    out = np.zeros(len(begin) - 1)
+    full = np.flatnonzero(begin[1:] > begin[:-1])
+    if len(full):
+        out[full] = np.add.reduceat(values, begin[full], dtype=np.float64)
+    return out
+
+
 def count_model(rows: DataFrame) -> Model:
-    """The models of ``(text, toxic)`` rows, with every word and the bigrams of ``LEAST`` texts or more."""
+    """The models of ``(text, toxic)`` rows, with every word and bigram."""
     spark = rows.sparkSession
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     words = _joined({part: keys for _, part, keys, _ in _totals(rows.select("text").mapInArrow(_words(parts), ROWS), parts)})
     bits = max(1, len(words).bit_length())
     bigrams = rows.select("text", "toxic").mapInArrow(_bigrams(parts, Shared(spark, words), bits), ROWS)
     bigrams = bigrams.repartition(parts, "part").sortWithinPartitions("kind", "part")
-    tables = {kind: np.zeros((2, len(words) + 1), dtype=np.int64) for kind in (FOLLOWS, HISTORY, TYPES, KEPT, KEPT_TYPES)}
+    follows, times = np.zeros((2, len(words) + 1), dtype=np.int64), np.zeros(4, dtype=np.int64)
     firsts, seconds, seen = {}, {}, {}
     for kind, part, keys, counts in _totals(bigrams.mapInArrow(_statistics(bits), ROWS), parts):
         c, key = (keys & np.uint64(1)).astype(np.int64), keys >> np.uint64(1)
-        if kind != PAIR:
-            tables[kind][c, key.astype(np.int64)] = counts
+        if kind == FOLLOWS:
+            follows[c, key.astype(np.int64)] = counts
             continue
+        times += np.bincount(np.minimum(counts, 5), minlength=6)[1:5]
         new = np.r_[True, key[1:] != key[:-1]]
-        own = np.zeros((2, int(new.sum())), dtype=np.uint32)
+        own = np.zeros((2, int(new.sum())), dtype=np.min_scalar_type(int(counts.max())))
         own[c, np.cumsum(new) - 1] = counts
-        history, times = np.unique(key[new] >> np.uint64(bits), return_counts=True)
-        firsts[part] = np.stack([history.astype(np.int64), times], axis=1)
+        history, many = np.unique(key[new] >> np.uint64(bits), return_counts=True)
+        firsts[part] = np.stack([history.astype(np.int64), many], axis=1)
         seconds[part] = (key[new] & np.uint64((1 << bits) - 1)).astype(np.uint32)
-        seen[part] = own.T.astype(np.min_scalar_type(int(counts.max())))
+        seen[part] = own.T
     begin = np.zeros(len(words) + 2, dtype=np.int64)
     for own in firsts.values():
         begin[own[:, 0] + 1] = own[:, 1]
+    begin = np.cumsum(begin)
     second = _joined(seconds).astype(np.uint32, copy=False)
     pair = _joined(seen).reshape(-1, 2)
     pair = np.concatenate([pair, np.zeros((1, 2), dtype=pair.dtype)]).T
-    follows, history, types, kept_pairs, kept_types = (tables[k] for k in (FOLLOWS, HISTORY, TYPES, KEPT, KEPT_TYPES))
     shared = follows.sum(axis=0)
     shared = (shared + 0.5) / (shared.sum() + 0.5 * len(shared))
-    word = []
-    for c in (0, 1):
-        total = follows[c].sum()
-        kept = np.maximum(follows[c] - WORD_DISCOUNT, 0)
-        word.append((kept + (total - kept.sum()) * shared) / total if total else shared)
-    known = history > 0
-    # What the bigrams of a history do not have, discounted or too rare, goes to the backoff.
-    left = 1 - (kept_pairs - DISCOUNT * kept_types) / np.maximum(history, 1)
+    taken, word = discounts(*np.bincount(np.minimum(follows.ravel(), 5), minlength=6)[1:5]), []
+    for f in follows:
+        left = f - taken[np.minimum(f, 3)]
+        word.append((left + (f.sum() - left.sum()) * shared) / f.sum() if f.sum() else shared)
+    taken = discounts(*times)
+    weight, inverse = [], []
+    for of in (0, 1, None):  # the classes, then both together
+        counts = pair[:, :-1].sum(axis=0, dtype=np.int64) if of is None else pair[of, :-1]
+        total, left = _totals_by(begin, counts), _totals_by(begin, kept(counts, taken))
+        weight.append(np.where(total > 0, (total - left) / np.maximum(total, 1), 1).astype(np.float32))
+        inverse.append(np.where(total > 0, 1 / np.maximum(total, 1), 0).astype(np.float32))
     return Model(
-        words=words,
-        weight=np.where(known, left, 1).astype(np.float32),
-        inverse=np.where(known, 1 / np.maximum(history, 1), 0).astype(np.float32),
-        word=np.array(word).astype(np.float32),
-        begin=np.cumsum(begin), second=second, pair=pair,
-        common=(np.minimum(follows, types) >= COMMON).all(axis=0))
+        words=words, weight=np.array(weight), inverse=np.array(inverse), word=np.array(word).astype(np.float32),
+        begin=begin, second=second, pair=pair, discounts=taken)
 
 
 def features(model, array):
-    """Of each text its mean difference, that of its most toxic stretch, and whether it has words."""
+    """Of each text its mean difference, that of its most telling word, and whether it has words."""
     out = []
     for _, offsets, data in blocks(array):
         numbers, edges = numbered_words(offsets, data, model.words)
@@ -308,15 +324,11 @@ def features(model, array):
         a, b = edges[:-1], edges[1:]
         n = b - a
         mean = (sums[b] - sums[a]) / np.maximum(n, 1)
-        # Sums of the stretch that ends at each word, not beyond the text's start.
-        text = np.repeat(np.arange(len(n)), n)
-        at = np.arange(len(numbers))
-        stretch = sums[at + 1] - sums[np.maximum(at + 1 - STRETCH, a[text])]
         top = np.zeros(len(n))
         full = np.flatnonzero(n)
         if len(full):
-            top[full] = np.maximum.reduceat(stretch, a[full])
-        out.append(np.stack([mean, top / STRETCH, n > 0], axis=1))
+            top[full] = np.maximum.reduceat(model.telling(numbers), a[full])
+        out.append(np.stack([mean, top, n > 0], axis=1))
     return np.concatenate(out) if out else np.zeros((0, 3))
 
 
