@@ -190,3 +190,59 @@ def collocated(rows, shown=2000):
         for k, (score, a, phrase, left, right) in enumerate(sorted(found)[:shown]):
             out.add((lang, k + 1, phrase.decode(), -a, left, right, n, -score))
     return out
+
+
+def smoothed(rows):
+    """Kneser-Ney models of ``(text, toxic)`` rows: a function from a text to its (mean difference, most telling word)."""
+    def words(text):
+        return WORD.findall((text or "").translate(LOWER))
+
+    def fall(counts):
+        times = Counter(counts)
+        if not times[1]:
+            return [0, 0.75, 0.75, 0.75]
+        base, out = times[1] / (times[1] + 2 * times[2]), [0]
+        for n in (1, 2, 3):
+            by_counts = n - (n + 1) * base * times[n + 1] / times[n] if times[n] else base
+            out.append(min(max(by_counts, base), n))
+        return out
+
+    def left(n, taken):
+        return n - taken[min(n, 3)]
+
+    pairs, seen = (Counter(), Counter()), {None}
+    for text, toxic in rows:
+        ws = words(text)
+        seen |= set(ws)
+        pairs[toxic].update(set(zip(ws, ws[1:])))
+    follows = [Counter(w for _, w in p) for p in pairs]
+    every = follows[0] + follows[1]
+    shared = {w: (every[w] + 0.5) / (sum(every.values()) + 0.5 * len(seen)) for w in seen}
+    taken, word = fall([n for f in follows for n in f.values()]), []
+    for f in follows:
+        total = sum(f.values())
+        free = total - sum(left(n, taken) for n in f.values())
+        word.append({w: (left(f[w], taken) + free * shared[w]) / total if total else shared[w] for w in seen})
+    taken = fall([n for p in pairs for n in p.values()])
+    levels = [*pairs, pairs[0] + pairs[1]]
+    after = [defaultdict(list) for _ in levels]
+    for own, level in zip(after, levels):
+        for (h, _), n in level.items():
+            own[h].append(n)
+
+    def after_of(level, h, w, lower):
+        own = after[level][h]
+        if not own:
+            return lower
+        return (left(levels[level][h, w], taken) + (sum(own) - sum(left(n, taken) for n in own)) * lower) / sum(own)
+
+    def judge(text):
+        ws = [w if w in seen else None for w in words(text)]
+        alone = [np.log(word[1][w] / word[0][w]) for w in ws]
+        found = alone[:1]
+        for h, w in zip(ws, ws[1:]):
+            toxic, plain = (after_of(c, h, w, after_of(2, h, w, word[c][w])) for c in (1, 0))
+            found.append(np.log(toxic / plain))
+        return (sum(found) / len(found), max(alone)) if ws else (0, 0)
+
+    return judge

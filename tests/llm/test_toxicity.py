@@ -3,11 +3,12 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from brute import smoothed
 from fixtures import awkward, documents, sentence
 from pyspark.sql import functions as F
 
 from opinara.llm.queries import registry
-from opinara.llm.toxicity import DISCOUNT, LEAST, Model, count_model, drop_toxic, fold, numbered_words, score, train
+from opinara.llm.toxicity import Model, count_model, drop_toxic, features, fold, numbered_words, score, train
 from opinara.llm.words import blocks
 
 INSULTS = ["gruff", "blargh", "snork"]
@@ -58,33 +59,33 @@ def test_counts_do_not_depend_on_partitions(spark, trained):
 
 
 def test_words_and_bigrams_have_counts_of_their_own(spark):
-    rows = [(0, "common rare words stand here"), (1, "rare words stand apart"), (2, "rare words"), (3, "common here common here")] * LEAST
+    rows = [(0, "common rare words stand here"), (1, "rare words stand apart"), (2, "rare words"), (3, "common here common here")] * 40
     rows += [(0, "common odd"), (1, "rare odd"), *((0, f"u{i}x v{i}y") for i in range(20_000))]
     model = count_model(spark.createDataFrame([(text, int(i == 1)) for i, text in rows], "text string, toxic int"))
     assert len(model.words) == 7 + 40_000  # cells of 2^20 were shared by some of so many
-    pairs, after = {}, {}
+    pairs = {}
     for i, text in rows:
         words = text.split(" ")
         for p in set(zip(words, words[1:])):
             pairs.setdefault(p, [0, 0])[int(i == 1)] += 1
-            after.setdefault(p[0], [0, 0])[int(i == 1)] += 1
-    often = {p: n for p, n in pairs.items() if sum(n) >= LEAST}
-    assert len(model.second) == len(often)
+    assert len(model.second) == len(pairs)
+    for (a, b), counts in [*list(pairs.items())[:200], (("apart", "rare"), [0, 0]), (("common", "nowhere"), [0, 0])]:
+        (_, offsets, data), = blocks(pa.array([f"{a} {b}"]))
+        numbers = numbered_words(offsets, data, model.words)[0]
+        assert model.pair[:, model.pair_of(numbers[:1], numbers[1:])[0]].tolist() == counts, (a, b)
 
-    def numbers_of(text):
-        (_, offsets, data), = blocks(pa.array([text]))
-        return numbered_words(offsets, data, model.words)[0]
 
-    for (a, b), counts in [*often.items(), (("apart", "rare"), [0, 0]), (("common", "nowhere"), [0, 0]), (("common", "odd"), [0, 0])]:
-        numbers = numbers_of(f"{a} {b}")
-        assert model.pair[:, model.pair_of(numbers[:1], numbers[1:])[0]].tolist() == counts, (a, b)
-    # Probabilities after a word add up to one, although rare bigrams are left out.
-    for word, total in after.items():
-        if word in ("common", "rare", "here", "words", "stand"):
-            for c in (0, 1):
-                own = sum(max(n[c] - DISCOUNT, 0) for p, n in often.items() if p[0] == word)
-                want = 1 - own / total[c] if total[c] else 1
-                assert model.weight[c][numbers_of(word)[0]] == pytest.approx(want, abs=1e-6)
+@pytest.mark.parametrize("classes", [(0, 1), (0,), (1,)])
+def test_plain_models_say_the_same(spark, classes):
+    rows, labels = corpus(300, seed=8)
+    texts, known = dict(rows), [(i, toxic) for i, toxic in labels if toxic in classes]
+    training = [(texts[i], toxic) for i, toxic in known] + [(None, classes[0]), ("", classes[0]), ("Alone", classes[0]), ("gruff", classes[-1])]
+    model = count_model(spark.createDataFrame(training, "text string, toxic int").repartition(5))
+    judge = smoothed(training)
+    asked = [*texts.values(), None, "", " ", "alone", "never seen before", "GRUFF gruff never gruff", "gruff " * 5000]
+    found = features(model, pa.array(asked))
+    assert np.allclose(found[:, :2], [judge(text) for text in asked], atol=1e-4)
+    assert found[:, 2].tolist() == [float(bool((text or "").strip())) for text in asked]
 
 
 def test_awkward_rows(spark, trained):
