@@ -10,27 +10,40 @@ difference of log-likelihoods per word goes through a logistic curve fitted on l
 rows that the models have not seen, with that of its most telling word by itself beside
 it, as one insult hardly moves the mean of a long text.
 
-The counts are those of all labelled training rows, with nothing left out: every word
-has a number, in the order of its 64-bit hash, and no two bigrams share a count. The models
-grow with the distinct words and bigrams of these rows and are sent to the tasks whole.
+The counts are those of all labelled training rows, with nothing left out, under 64-bit
+hashes of words and bigrams. They stay in Spark, dealt by ranges of the hash of the history, as
+tables of fixed-point values: what a word tells, what having it as history adds, and what a
+known bigram adds to both. A chunk of texts asks each range once for all its words, with
+the texts that hold them, and gets back sums by text. So neither the driver nor a
+worker holds a model; of fixed size are a filter of known words and bigrams and the table of the
+most frequent ones, which save requests and change no result.
 """
 
+import hashlib
+import pickle
 import zlib
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, free_of, materialise, possibly_in
-from .words import blocks, per_text, word_hashes
+from .common import Shared, free_of, materialise, names_for, possibly_in
+from .words import FACTORS, blocks, mix, per_text, word_hashes
 
-SLICES = 16
 RANGE_BITS = 16  # high bits of a hash by which words are dealt out
-FLUSH_WORDS = 1 << 20  # words of a task that are counted at once
+FLUSH_WORDS = 1 << 20  # words of a task that are counted or asked for at once
 DISCOUNT = 0.75  # of an order without anything that was seen once, or what follows from other counts
 CALIBRATION_ROWS = 50_000  # about the most rows the logistic curve is fitted on, drawn by hash
 COUNTED, FITTED = (0, 1), (3,)  # folds of labelled rows; fold 2 is held out from everything
+UNIT = 1 << 20  # logarithms are whole multiples of one over this, so that sums do not depend on order
+FILTER_BITS, SLICE_BITS = 27, 22  # a filter of 16 MB at any size, put together in slices
+FREQUENT = 1 << 16  # about the most words, and bigrams, that every task holds
+NONE = np.iinfo(np.int64).min
+
+ROWS = "kind int, part int, src bigint, blob binary"
+WORD, BIGRAM, TIMES, CELLS, BASE, FOLLOWS, REPLY = range(7)
 
 
 def fold(id):
@@ -39,60 +52,20 @@ def fold(id):
 
 @dataclass
 class Model:
-    """Tables by number of a word, the last for words not seen, each for (ordinary, toxic)."""
-
-    words: np.ndarray  # hashes of the words, ascending
-    weight: np.ndarray  # of the backoff after a word; in a third row that of both classes together
-    inverse: np.ndarray  # one over the occurrences of a word as a history; the same
-    word: np.ndarray  # probability of a word after backoff
-    begin: np.ndarray  # first bigram of each history, and one past the last
-    second: np.ndarray  # second words of the bigrams, ascending within a history
-    pair: np.ndarray  # occurrences of the bigrams, then 0 for any other
-    discounts: np.ndarray  # taken from bigrams that were seen 0, 1, 2 and more times
+    entries: DataFrame  # (kind, part, src, blob): sorted hashes and their values; a written table
+    parts: int
+    frequent: dict  # of words and of bigrams (hashes, values)
+    known: np.ndarray  # bits of the filter
+    unseen: int  # what a word tells that was not seen
     fit: np.ndarray | None = None  # logistic coefficients
     sent: Shared | None = None
 
-    def shared(self, spark):
-        """The tables for all tasks, without the coefficients; sent once."""
+    def shared(self):
+        """What every task needs, all of fixed size; sent once."""
         if self.sent is None:
-            self.sent = Shared(spark, replace(self, fit=None))
+            self.sent = Shared(self.entries.sparkSession, (self.frequent, self.known, self.unseen))
         return self.sent
 
-    def pair_of(self, history, word):
-        """Places of bigrams in ``pair``, by binary search among those of the history."""
-        low, high = self.begin[history], self.begin[history + 1]
-        end = high.copy()
-        open_ = np.flatnonzero(low < high)
-        while len(open_):
-            middle = (low[open_] + high[open_]) >> 1
-            less = self.second[middle] < word[open_]
-            low[open_[less]] = middle[less] + 1
-            high[open_[~less]] = middle[~less]
-            open_ = open_[low[open_] < high[open_]]
-        found = low < end
-        found[found] = self.second[low[found]] == word[found]
-        return np.where(found, low, len(self.second))
-
-    def telling(self, numbers):
-        """Toxic less ordinary log-probability of each word after nothing known."""
-        return np.log(self.word[1][numbers]) - np.log(self.word[0][numbers])
-
-    def differences(self, numbers, begins):
-        """The same of each word after the one before it; ``begins`` marks first words of texts."""
-        history = np.r_[numbers[:1], numbers[:-1]]
-        seen = self.pair[:, self.pair_of(history, numbers)]
-        both = kept(seen.sum(axis=0, dtype=np.int64), self.discounts) * self.inverse[2][history]
-        logs = []
-        for c in (0, 1):
-            shared = both + self.weight[2][history] * self.word[c][numbers]
-            logs.append(np.log(kept(seen[c], self.discounts) * self.inverse[c][history] + self.weight[c][history] * shared))
-        return np.where(begins, self.telling(numbers), logs[1] - logs[0])
-
-
-def kept(counts, discounts):
-    """What is left of counts after the discount for 0, 1, 2 and more."""
-    return (counts - discounts[np.minimum(counts, 3)]).astype(np.float32)
-
 
 def discounts(*times):
     """The discounts of an order of which ``times[i]`` entries have the count ``i + 1``, each at most the count."""
@@ -105,231 +78,479 @@ def discounts(*times):
     return np.array([0, *own])
 
 
-def numbered_words(offsets, data, words):
-    """Numbers of a block's words, ``len(words)`` for others, and the index of each text's first word."""
-    hashes, starts, _ = word_hashes(offsets, data)
-    distinct, which = np.unique(hashes, return_inverse=True)
-    at = np.searchsorted(words, distinct)
-    if len(words):
-        at[words[np.minimum(at, len(words) - 1)] != distinct] = len(words)
-    return at[which], per_text(offsets, starts)
+def kept(counts, taken):
+    """What is left of counts after the discount for 0, 1, 2 and more."""
+    return counts - taken[np.minimum(counts, 3)]
+
+
+def part_of(hashes, parts):
+    return (hashes >> np.uint64(64 - RANGE_BITS)).astype(np.int64) * parts >> RANGE_BITS
 
 
-def _squeeze(keys, counts):
-    """Sorted keys and their counts as one compressed blob."""
-    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
-    return zlib.compress(np.r_[np.uint64(len(keys)), steps, counts.astype(np.uint64)].astype("<u8").tobytes(), 1)
+def pair_key(history, word):
+    return mix(history * FACTORS[0] + mix(word) * FACTORS[1])
 
 
-def _stretch(blob):
-    rows = np.frombuffer(zlib.decompress(blob), dtype="<u8")
-    n = int(rows[0])
-    return np.cumsum(rows[1:n + 1], dtype=np.uint64), rows[n + 1:].astype(np.int64)
+def _small(values):
+    """Whole numbers in the narrowest type that holds them."""
+    if not len(values) or values.dtype.kind not in "iu" or values.dtype == np.uint64:
+        return values
+    return values.astype(np.promote_types(np.min_scalar_type(values.min()), np.min_scalar_type(values.max())))
 
 
-def _added(keys, counts):
-    """Distinct keys in order with the sums of their counts."""
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][:len(keys)])
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+def _pack(keys, *columns):
+    """Arrays as one blob; the first is in order."""
+    return zlib.compress(pickle.dumps([np.diff(keys, prepend=keys.dtype.type(0)), *map(_small, columns)], protocol=5), 1)
 
 
-def _by(kind, part, keys, counts):
-    """Rows ``(kind, part, blob)`` of the keys of each part; ``part`` grows with the key."""
+def _open(blob):
+    steps, *columns = pickle.loads(zlib.decompress(blob))
+    return [np.cumsum(steps, dtype=steps.dtype), *columns]
+
+
+def _rows(rows):
     import pyarrow as pa
 
-    edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else np.zeros(1, np.int64)
-    blobs = [_squeeze(keys[a:b], counts[a:b]) for a, b in zip(edges[:-1], edges[1:])]
+    kind, part, src, blob = zip(*rows) if rows else ((), (), (), ())
     return pa.RecordBatch.from_arrays(
-        [pa.array([kind] * len(blobs), pa.int32()), pa.array(part[edges[:-1]].astype(np.int32)), pa.array(blobs, pa.binary())],
-        names=["kind", "part", "blob"])
+        [pa.array(kind, pa.int32()), pa.array(part, pa.int32()), pa.array(src, pa.int64()), pa.array(blob, pa.binary())],
+        names=["kind", "part", "src", "blob"])
 
 
-ROWS = "kind int, part int, blob binary"
-BIGRAM, FOLLOWS, PAIR, WORD = range(4)
+def _dealt(kind, src, part, *columns):
+    """A row for each part of columns that are in its order."""
+    edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else np.zeros(1, np.int64)
+    return [(kind, int(part[a]), src, _pack(*(c[a:b] for c in columns))) for a, b in zip(edges[:-1], edges[1:])]
 
 
-def _words(parts):
-    """Distinct words of a partition, by ranges of their hashes."""
-    def gather(found):
-        keys = np.unique(np.concatenate(found))
-        part = (keys >> np.uint64(64 - RANGE_BITS)).astype(np.int64) * parts >> RANGE_BITS
-        return _by(WORD, part, keys, np.ones(len(keys), dtype=np.int64))
+def _firsts(*columns):
+    """Where new values of sorted columns begin."""
+    if not len(columns[0]):
+        return np.zeros(0, dtype=np.int64)
+    return np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in columns], axis=0)])
 
-    def list_words(batches):
-        for batch in batches:
-            found, held = [], 0
-            for _, offsets, data in blocks(batch.column("text")):
-                found.append(np.unique(word_hashes(offsets, data)[0]))
-                held += len(found[-1])
-                if held >= FLUSH_WORDS:
-                    yield gather(found)
-                    found, held = [], 0
-            if found:
-                yield gather(found)
-    return list_words
+
+def _added(tables, keys):
+    """Tables as one, in order of their first ``keys`` columns, equal ones with the sums of the other columns."""
+    columns = [np.concatenate(c) for c in zip(*tables)]
+    order = np.lexsort(columns[:keys][::-1])
+    columns = [c[order] for c in columns]
+    first = _firsts(*columns[:keys])
+    return [c[first] for c in columns[:keys]] + [np.add.reduceat(c, first, dtype=np.int64) if len(first) else c.astype(np.int64) for c in columns[keys:]]
+
+
+class Sum:
+    """Adds up blobs as they come."""
+
+    def __init__(self, keys):
+        self.keys, self.whole, self.waiting, self.held = keys, None, [], 0
+
+    def add(self, blob):
+        self.waiting.append(_open(blob))
+        self.held += len(self.waiting[-1][0])
+        if self.held > max(FLUSH_WORDS, 0 if self.whole is None else len(self.whole[0])):
+            self.all()
+
+    def all(self):
+        if self.waiting:
+            self.whole = _added([*([self.whole] if self.whole else []), *self.waiting], self.keys)
+            self.waiting, self.held = [], 0
+        return self.whole
+
+
+def _each(batches):
+    for batch in batches:
+        yield from zip(*(batch.column(c).to_pylist() for c in ("kind", "part", "src", "blob")))
+
+
+def _groups(batches, *by):
+    """Rows sorted by the columns numbered ``by``, group by group: ``(values, rows)``."""
+    held, rows = None, _each(batches)
+    row = next(rows, None)
+
+    def own():
+        nonlocal row
+        while row is not None and tuple(row[i] for i in by) == held:
+            yield row
+            row = next(rows, None)
+
+    while row is not None:
+        held = tuple(row[i] for i in by)
+        yield held, own()
 
 
-def _bigrams(parts, words, bits):
-    """Count bigrams of a partition; the key is history, word, class from the top."""
+# --- counting ---
+
+def _texts(offsets, data):
+    """Word hashes of a block, the text of each, and the number of words of each text."""
+    hashes, starts, _ = word_hashes(offsets, data)
+    n = np.diff(per_text(offsets, starts))
+    return hashes, np.repeat(np.arange(len(n)), n), n
+
+
+def _count(parts):
+    """Words and bigrams of a partition; a bigram once a text, as what one text repeats is no evidence of its class."""
+    def counted(words, pairs):
+        words = _added([(w, np.ones(len(w), dtype=np.int64)) for w in words], 1)
+        pairs = _added(pairs, 2)
+        return _rows(_dealt(WORD, -1, part_of(words[0], parts), *words) + _dealt(BIGRAM, -1, part_of(pairs[0], parts), *pairs))
+
     def count(batches):
         for batch in batches:
-            toxic = batch.column("toxic").to_numpy()
-            found, held = [], 0
+            toxic = batch.column("toxic").to_numpy() > 0
+            words, pairs, held = [], [], 0
             for first, offsets, data in blocks(batch.column("text")):
-                if found and held >= FLUSH_WORDS:
-                    yield _counted(found, parts, bits)
-                    found, held = [], 0
-                numbers, edges = numbered_words(offsets, data, words.value)
-                held += len(numbers)
-                if len(numbers) < 2:
-                    continue
-                text = np.searchsorted(edges[1:], np.arange(len(numbers)), side="right")
+                hashes, text, _ = _texts(offsets, data)
                 same = text[1:] == text[:-1]
-                key = (numbers[:-1] << (bits + 1)) | (numbers[1:] << 1) | (toxic[text[1:] + first] > 0)
-                key, text = key[same], text[1:][same]
-                # Once a text: what one text repeats is no evidence of its class.
-                order = np.lexsort((key, text))
-                key, text = key[order], text[order]
-                once = np.r_[True, (key[1:] != key[:-1]) | (text[1:] != text[:-1])][:len(key)]
-                found.append(key[once].astype(np.uint64))
-            if found:
-                yield _counted(found, parts, bits)
+                h, w, t = hashes[:-1][same], hashes[1:][same], text[1:][same]
+                order = np.lexsort((pair_key(h, w), t))
+                h, w, t = h[order], w[order], t[order]
+                once = _firsts(h, w, t)
+                c = toxic[t[once] + first]
+                words.append(hashes)
+                pairs.append((h[once], w[once], ~c, c))
+                held += len(hashes)
+                if held >= FLUSH_WORDS:
+                    yield counted(words, pairs)
+                    words, pairs, held = [], [], 0
+            if words:
+                yield counted(words, pairs)
     return count
 
 
-def _counted(found, parts, bits):
-    keys, counts = np.unique(np.concatenate(found), return_counts=True)
-    return _by(BIGRAM, (keys >> np.uint64(bits + 1)).astype(np.int64) * parts >> bits, keys, counts)
+def _histogram(*counts):
+    """How many entries have the count 0 to 4, and how many a larger one."""
+    return sum(np.bincount(np.minimum(n, 5), minlength=6) for n in counts)
+
+
+def _sum_counts(parts):
+    """Add up words and bigrams; of the bigrams also how many different words each word follows, and how often counts occur."""
+    def work(batches):
+        for (kind, part), rows in _groups(batches, 0, 1):
+            total = Sum(1 if kind == WORD else 2)
+            for row in rows:
+                total.add(row[3])
+            columns = total.all()
+            yield _rows([(kind, part, -1, _pack(*columns))])
+            if kind == BIGRAM:
+                _, w, plain, toxic = columns
+                follows = _added([(w, plain > 0, toxic > 0)], 1)
+                yield _rows([(TIMES, part, -1, _pack(_histogram(plain, toxic)))] + _dealt(FOLLOWS, part, part_of(follows[0], parts), *follows))
+    return work
+
+
+def _sum_follows(batches):
+    """Of each word: after how many words it stands in either class, and its count."""
+    for (part,), rows in _groups(batches, 1):
+        total = Sum(1)
+        for kind, _, _, blob in rows:
+            if kind == WORD:
+                w, n = _open(blob)
+                nothing = np.zeros(len(w), dtype=np.int8)
+                blob = _pack(w, nothing, nothing, n)
+            else:
+                blob = _pack(*(own := _open(blob)), np.zeros(len(own[0]), dtype=np.int8))
+            total.add(blob)
+        columns = total.all()
+        told = [x for f in columns[1:3] for x in (*_histogram(f), f.sum())]
+        yield _rows([(WORD, part, -1, _pack(*columns)), (TIMES, part, -1, _pack(np.array([*told, len(columns[0])])))])
+
+
+def _reply(batches):
+    """Send what was found of words back to the ranges whose bigrams end in them."""
+    for (part,), rows in _groups(batches, 1):
+        for kind, _, src, blob in rows:
+            if kind == WORD:
+                words, plain, toxic, _ = _open(blob)
+            else:
+                asked = _open(blob)[0]
+                at = np.searchsorted(words, asked)
+                yield _rows([(REPLY, src, -1, _pack(asked, plain[at], toxic[at]))])
 
 
-def _gathered(batches, handle):
-    """Call ``handle(kind, part, keys, counts)`` for each kind and part of sorted rows, added up as they come."""
-    held, keys, counts, waiting = None, None, None, []
-
-    def add():
-        nonlocal keys, counts, waiting
-        ks, cs = zip(*([(keys, counts)] if keys is not None else []), *waiting)
-        keys, counts = _added(np.concatenate(ks), np.concatenate(cs))
-        waiting = []
-
-    for batch in batches:
-        for kind, part, blob in zip(*(batch.column(c).to_pylist() for c in ("kind", "part", "blob"))):
-            if held != (kind, part):
-                if held is not None:
-                    add()
-                    yield from handle(*held, keys, counts)
-                held, keys, counts = (kind, part), None, None
-            waiting.append(_stretch(blob))
-            if sum(len(k) for k, _ in waiting) > max(1 << 20, 0 if keys is None else len(keys)):
-                add()
-    if held is not None:
-        add()
-        yield from handle(*held, keys, counts)
-
-
-def _statistics(bits):
-    """From the bigrams of a range of histories, these with their counts, and how many words each word follows, by slice."""
-    def handle(kind, part, keys, counts):
-        yield _by(PAIR, np.full(len(keys), part), keys, counts)
-        own, times = np.unique(keys & np.uint64((2 << bits) - 1), return_counts=True)
-        yield _by(FOLLOWS, (own >> np.uint64(1)).astype(np.int64) * SLICES >> bits, own, times)
-    return lambda batches: _gathered(batches, handle)
-
-
-def _sums(batches):
-    def handle(kind, part, keys, counts):
-        yield _by(kind, np.full(len(keys), part), keys, counts)
-    return _gathered(batches, handle)
-
-
-def _totals(rows: DataFrame, parts: int):
-    """``(kind, part, keys, counts)``, each part added up in one task."""
-    sums = rows.repartition(parts, "kind", "part").sortWithinPartitions("kind", "part").mapInArrow(_sums, ROWS)
-    for row in sums.toLocalIterator():
-        yield row["kind"], row["part"], *_stretch(row["blob"])
-
-
-def _joined(parts):
-    """The arrays of a dict by part as one; it is emptied."""
-    return np.concatenate([parts.pop(p) for p in sorted(parts)]) if parts else np.zeros(0, dtype=np.uint64)
-
-
-def _totals_by(begin, values):
-    """Sums of the values from each begin to the next."""
-    out = np.zeros(len(begin) - 1)
-    full = np.flatnonzero(begin[1:] > begin[:-1])
-    if len(full):
-        out[full] = np.add.reduceat(values, begin[full], dtype=np.float64)
-    return out
-
-
-def count_model(rows: DataFrame) -> Model:
-    """The models of ``(text, toxic)`` rows, with every word and bigram."""
-    spark = rows.sparkSession
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    words = _joined({part: keys for _, part, keys, _ in _totals(rows.select("text").mapInArrow(_words(parts), ROWS), parts)})
-    bits = max(1, len(words).bit_length())
-    bigrams = rows.select("text", "toxic").mapInArrow(_bigrams(parts, Shared(spark, words), bits), ROWS)
-    bigrams = bigrams.repartition(parts, "part").sortWithinPartitions("kind", "part")
-    follows, times = np.zeros((2, len(words) + 1), dtype=np.int64), np.zeros(4, dtype=np.int64)
-    firsts, seconds, seen = {}, {}, {}
-    for kind, part, keys, counts in _totals(bigrams.mapInArrow(_statistics(bits), ROWS), parts):
-        c, key = (keys & np.uint64(1)).astype(np.int64), keys >> np.uint64(1)
-        if kind == FOLLOWS:
-            follows[c, key.astype(np.int64)] = counts
-            continue
-        times += np.bincount(np.minimum(counts, 5), minlength=6)[1:5]
-        new = np.r_[True, key[1:] != key[:-1]]
-        own = np.zeros((2, int(new.sum())), dtype=np.min_scalar_type(int(counts.max())))
-        own[c, np.cumsum(new) - 1] = counts
-        history, many = np.unique(key[new] >> np.uint64(bits), return_counts=True)
-        firsts[part] = np.stack([history.astype(np.int64), many], axis=1)
-        seconds[part] = (key[new] & np.uint64((1 << bits) - 1)).astype(np.uint32)
-        seen[part] = own.T
-    begin = np.zeros(len(words) + 2, dtype=np.int64)
-    for own in firsts.values():
-        begin[own[:, 0] + 1] = own[:, 1]
-    begin = np.cumsum(begin)
-    second = _joined(seconds).astype(np.uint32, copy=False)
-    pair = _joined(seen).reshape(-1, 2)
-    pair = np.concatenate([pair, np.zeros((1, 2), dtype=pair.dtype)]).T
-    shared = follows.sum(axis=0)
-    shared = (shared + 0.5) / (shared.sum() + 0.5 * len(shared))
-    taken, word = discounts(*np.bincount(np.minimum(follows.ravel(), 5), minlength=6)[1:5]), []
-    for f in follows:
-        left = f - taken[np.minimum(f, 3)]
-        word.append((left + (f.sum() - left.sum()) * shared) / f.sum() if f.sum() else shared)
-    taken = discounts(*times)
-    weight, inverse = [], []
-    for of in (0, 1, None):  # the classes, then both together
-        counts = pair[:, :-1].sum(axis=0, dtype=np.int64) if of is None else pair[of, :-1]
-        total, left = _totals_by(begin, counts), _totals_by(begin, kept(counts, taken))
-        weight.append(np.where(total > 0, (total - left) / np.maximum(total, 1), 1).astype(np.float32))
-        inverse.append(np.where(total > 0, 1 / np.maximum(total, 1), 0).astype(np.float32))
-    return Model(
-        words=words, weight=np.array(weight), inverse=np.array(inverse), word=np.array(word).astype(np.float32),
-        begin=begin, second=second, pair=pair, discounts=taken)
-
-
-def features(model, array):
+@dataclass
+class Lower:
+    """Probability of a word after backoff, by the number of words it follows."""
+
+    taken: np.ndarray
+    total: tuple  # by class
+    free: tuple  # what the discounts leave for the shared distribution
+    words: int
+
+    @classmethod
+    def of(cls, told):
+        """From rows of ``(histogram and sum of either class, words)``."""
+        told = np.sum(told, axis=0, dtype=np.int64) if len(told) else np.zeros(15, dtype=np.int64)
+        times, total = told[[*range(0, 6), *range(7, 13)]].reshape(2, 6), (told[6], told[13])
+        taken = discounts(*times.sum(axis=0)[1:5])
+        free = tuple(taken[1] * t[1] + taken[2] * t[2] + taken[3] * t[3:].sum() for t in times)
+        return cls(taken, total, free, int(told[14]) + 1)
+
+    def probability(self, *follows):
+        shared = (follows[0].astype(np.int64) + follows[1] + 0.5) / (sum(self.total) + 0.5 * self.words)
+        return [(kept(f, self.taken) + free * shared) / n if n else shared for f, free, n in zip(follows, self.free, self.total)]
+
+    def telling(self, *follows):
+        plain, toxic = self.probability(*follows)
+        return np.log(toxic / plain)
+
+
+def _whole(logs):
+    return np.rint(logs * UNIT).astype(np.int64)
+
+
+def _most(n, most, keys, *values):
+    """The ``most`` entries with the greatest counts ``n``, in order of their keys."""
+    top = np.sort(np.argsort(-n, kind="stable")[:most])
+    return [c[top] for c in (keys, *values)]
+
+
+def _values(most, taken, lower):
+    """The values of the words and bigrams of a range, and apart those of its ``most`` frequent ones."""
+    def work(batches):
+        for (part,), rows in _groups(batches, 1):
+            replies, pairs = Sum(1), None
+            for kind, _, _, blob in rows:
+                if kind == WORD:
+                    words, *follows, times = _open(blob)
+                elif kind == BIGRAM:
+                    pairs = _open(blob)
+                else:
+                    replies.add(blob)
+            tells, adds = _whole(lower.telling(*follows)), np.zeros(len(words), dtype=np.int64)
+            cells = [words]
+            if pairs:
+                h, w, *seen = pairs
+                first = _firsts(h)
+                own = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(h)]))
+                seen = [n.astype(np.int64) for n in seen]
+                left, weight = [], []  # by class, then of both together
+                for n in (*seen, seen[0] + seen[1]):
+                    total = np.add.reduceat(n, first)
+                    rest = kept(n, taken)
+                    weight.append(np.where(total > 0, (total - np.add.reduceat(rest, first)) / np.maximum(total, 1), 1))
+                    left.append(rest / np.maximum(total, 1)[own])
+                after, *ends = replies.all()
+                at = np.searchsorted(after, w)
+                ends = [n[at] for n in ends]
+                logs = [np.log(left[c] + weight[c][own] * (left[2] + weight[2][own] * p)) for c, p in enumerate(lower.probability(*ends))]
+                history = np.log(weight[1] / weight[0])
+                known = _whole(logs[1] - logs[0]) - _whole(history)[own] - _whole(lower.telling(*ends))
+                adds[np.searchsorted(words, h[first])] = _whole(history)
+                keys = pair_key(h, w)
+                order = np.argsort(keys, kind="stable")
+                keys, known = keys[order], known[order]
+                n = (seen[0] + seen[1])[order]
+                nothing = np.zeros(len(keys), dtype=np.int8)
+                yield _rows([(BIGRAM, part, -1, _pack(keys, known, nothing)),
+                             (TIMES, part, BIGRAM, _pack(*_most(n, most, keys, known, nothing)))])
+                cells.append(keys)
+            yield _rows([(WORD, part, -1, _pack(words, tells, adds)),
+                         (TIMES, part, WORD, _pack(*_most(times, most, words, tells, adds)))])
+            cells = np.unique(np.concatenate(cells) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+            yield _rows(_dealt(CELLS, -1, cells >> SLICE_BITS, cells & ((1 << SLICE_BITS) - 1)))
+    return work
+
+
+def _fill(batches):
+    """The bits of a slice of the filter."""
+    for (part,), rows in _groups(batches, 1):
+        bits = np.zeros(1 << SLICE_BITS, dtype=bool)
+        for row in rows:
+            bits[_open(row[3])[0]] = True
+        yield _rows([(CELLS, part, -1, zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1))])
+
+
+def _within(rows, parts, work, *by):
+    """``work`` over rows dealt by ``part`` and, if ``by`` begins so, ``kind``; ``by`` is the order in a task."""
+    dealt = ["kind", "part"] if by[0] == "kind" else ["part"]
+    return rows.repartition(parts, *dealt).sortWithinPartitions(*by).mapInArrow(work, ROWS)
+
+
+def count_model(rows: DataFrame, frequent=FREQUENT) -> Model:
+    """The models of ``(text, toxic)`` rows, with every word and bigram; about ``frequent`` of each go to all tasks."""
+    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    raw = rows.select("text", "toxic").mapInArrow(_count(parts), ROWS)
+    counts = materialise(_within(raw, parts, _sum_counts(parts), "kind", "part"), "counts")
+
+    def told(table):  # one small row a part
+        return [_open(r["blob"])[0] for r in table.where(F.col("kind") == TIMES).select("blob").collect()]
+
+    found = told(counts)
+    taken = discounts(*(np.sum(found, axis=0)[1:5] if found else [0] * 4))
+    of = F.col("kind")
+    words = materialise(_within(counts.where(of.isin(WORD, FOLLOWS)), parts, _sum_follows, "part"), "words")
+    lower = Lower.of(told(words))
+    words = words.where(of == WORD)
+    replies = _within(words.unionByName(counts.where(of == FOLLOWS)), parts, _reply, "part", "kind")
+    both = words.unionByName(counts.where(of == BIGRAM)).unionByName(replies)
+    entries = materialise(_within(both, parts, _values(max(1, frequent // parts), taken, lower), "part", "kind"), "entries")
+    nothing = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    most = {WORD: [nothing], BIGRAM: [nothing]}
+    for row in entries.where(of == TIMES).collect():  # ``frequent`` of either kind at most, or one a part
+        most[row["src"]].append(_open(row["blob"]))
+    for kind, tables in most.items():
+        columns = [np.concatenate(c) for c in zip(*tables)]
+        order = np.argsort(columns[0], kind="stable")
+        most[kind] = [c[order] for c in columns]
+    known = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
+    size = 1 << (SLICE_BITS - 3)
+    for row in _within(entries.where(of == CELLS), 1 << (FILTER_BITS - SLICE_BITS), _fill, "part").toLocalIterator():
+        known[row["part"] * size:(row["part"] + 1) * size] = np.frombuffer(zlib.decompress(row["blob"]), dtype=np.uint8)
+    none = np.zeros(1, dtype=np.int64)
+    return Model(entries.where(of.isin(WORD, BIGRAM)), parts, most, known, int(_whole(lower.telling(none, none))[0]))
+
+
+# --- scoring ---
+
+def text_key(text):
+    """What texts are told apart by."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+
+
+class Chunk:
+    """Texts that ask together; what the frequent and the unknown words say is added at once."""
+
+    def __init__(self, keys, n, model):
+        self.keys, self.n = keys, n
+        self.frequent, self.known, self.unseen = model
+        self.sums, self.top, self.asked = np.zeros(len(n), dtype=np.int64), np.full(len(n), NONE), 0
+        told = hashlib.blake2b(b"".join(keys) + pickle.dumps((TaskContext.get().partitionId(), self.n.tobytes())), digest_size=8)
+        self.id = int.from_bytes(told.digest(), "little", signed=True)
+
+    def ask(self, kind, hashes, routes, text, last, parts):
+        """Rows that ask for what is left."""
+        order = np.argsort(hashes, kind="stable")  # the texts of a hash stay in order
+        hashes, routes, text, last = hashes[order], routes[order], text[order], last[order]
+        first = _firsts(hashes, text)
+        if not len(first):
+            return []
+        times, ends = np.diff(np.r_[first, len(hashes)]), np.add.reduceat(last, first, dtype=np.int64)
+        hashes, routes, text = hashes[first], routes[first], text[first]
+        own, tells, adds = self.frequent[kind]
+        at = np.minimum(np.searchsorted(own, hashes), max(len(own) - 1, 0))
+        here = own[at] == hashes if len(own) else np.zeros(len(hashes), dtype=bool)
+        cell = (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+        open_ = ~here & ((self.known[cell >> 3] >> (cell & 7).astype(np.uint8) & 1) > 0)
+        new = ~here & ~open_
+        self.say(kind, text[here], tells[at[here]], adds[at[here]], times[here], ends[here])
+        if kind == WORD:
+            self.say(kind, text[new], np.full(new.sum(), self.unseen), np.zeros(new.sum(), dtype=np.int64), times[new], ends[new])
+        self.asked += int(open_.sum())
+        hashes, part, text = hashes[open_], part_of(routes[open_], parts), text[open_]
+        code = times[open_] << 1 | ends[open_]
+        order = np.argsort(part, kind="stable")
+        hashes, part, text, code = hashes[order], part[order], text[order], code[order]
+        edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else np.zeros(1, np.int64)
+        rows = []
+        for a, b in zip(edges[:-1], edges[1:]):
+            first = _firsts(hashes[a:b])
+            size = np.diff(np.r_[first, b - a])
+            rows.append((kind, int(part[a]), self.id, _pack(hashes[a:b][first], size, text[a:b], code[a:b])))
+        return rows
+
+    def say(self, kind, text, tells, adds, times, ends):
+        self.sums += np.bincount(text, tells * times + adds * (times - ends), len(self.n)).astype(np.int64)
+        if kind == WORD:
+            np.maximum.at(self.top, text, tells)
+
+
+def _ask(parts, shared, most):
+    """Chunks of texts as rows: one with what is known of them and one for each range that is asked."""
+    def asked(held, model):
+        keys, hashes, text, n = [], [], [], []
+        for own_keys, own_hashes, own_text, own_n in held:
+            text.append(own_text + len(keys))
+            keys += own_keys
+            hashes.append(own_hashes)
+            n.append(own_n)
+        hashes, text, n = map(np.concatenate, (hashes, text, n))
+        chunk = Chunk(keys, n, model)
+        same = text[1:] == text[:-1]
+        rows = chunk.ask(WORD, hashes, hashes, text, np.r_[~same, True][:len(text)], parts)
+        h, w = hashes[:-1][same], hashes[1:][same]
+        rows += chunk.ask(BIGRAM, pair_key(h, w), h, text[1:][same], np.zeros(len(h), dtype=bool), parts)
+        base = zlib.compress(pickle.dumps((keys, n, chunk.sums, chunk.top, chunk.asked), protocol=5), 1)
+        return _rows([*rows, (BASE, chunk.id % parts, chunk.id, base)])
+
+    def ask(batches):
+        model = shared.value
+        for batch in batches:
+            keys, held, size = batch.column("key").to_pylist(), [], 0
+            for first, offsets, data in blocks(batch.column("text")):
+                hashes, text, n = _texts(offsets, data)
+                held.append((keys[first:first + len(n)], hashes, text, n))
+                size += len(hashes)
+                if size >= most:
+                    yield asked(held, model)
+                    held, size = [], 0
+            if held:
+                yield asked(held, model)
+    return ask
+
+
+def _answer(unseen):
+    """Sums by text of what a chunk asked of a range."""
+    def answer(batches):
+        for (kind, part), rows in _groups(batches, 0, 1):
+            table = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+            for _, _, src, blob in rows:
+                if kind == BASE:
+                    yield _rows([(kind, part, src, blob)])
+                    continue
+                if src is None:
+                    table = _open(blob)
+                    continue
+                own, tells, adds = table
+                hashes, size, text, code = _open(blob)
+                at = np.minimum(np.searchsorted(own, hashes), max(len(own) - 1, 0))
+                found = own[at] == hashes if len(own) else np.zeros(len(hashes), dtype=bool)
+                tells = np.where(found, tells[at] if len(own) else 0, unseen if kind == WORD else 0).astype(np.int64).repeat(size)
+                adds = np.where(found, adds[at] if len(own) else 0, 0).astype(np.int64).repeat(size)
+                times, ends = code.astype(np.int64) >> 1, code.astype(np.int64) & 1
+                order = np.argsort(text, kind="stable")
+                text, value, tells = text[order], (tells * times + adds * (times - ends))[order], tells[order]
+                first = _firsts(text)
+                top = np.maximum.reduceat(tells, first) if kind == WORD else np.full(len(first), NONE)
+                yield _rows([(kind, part, src, _pack(text[first].astype(np.int64), np.add.reduceat(value, first), top, np.array([len(text)])))])
+    return answer
+
+
+def _measured(batches):
     """Of each text its mean difference, that of its most telling word, and whether it has words."""
-    out = []
-    for _, offsets, data in blocks(array):
-        numbers, edges = numbered_words(offsets, data, model.words)
-        begins = np.zeros(len(numbers), dtype=bool)
-        begins[edges[:-1][edges[:-1] < len(numbers)]] = True
-        sums = np.r_[0.0, np.cumsum(model.differences(numbers, begins), dtype=np.float64)]
-        a, b = edges[:-1], edges[1:]
-        n = b - a
-        mean = (sums[b] - sums[a]) / np.maximum(n, 1)
-        top = np.zeros(len(n))
-        full = np.flatnonzero(n)
-        if len(full):
-            top[full] = np.maximum.reduceat(model.telling(numbers), a[full])
-        out.append(np.stack([mean, top, n > 0], axis=1))
-    return np.concatenate(out) if out else np.zeros((0, 3))
+    import pyarrow as pa
+
+    for (src,), rows in _groups(batches, 2):
+        base, asked = None, 0
+        for kind, _, _, blob in rows:
+            if kind == BASE:
+                keys, n, sums, tops, left = pickle.loads(zlib.decompress(blob))
+                base, asked = True, asked + left
+                continue
+            text, value, top, answered = _open(blob)
+            sums[text] += value
+            np.maximum.at(tops, text, top.astype(np.int64))
+            asked -= int(answered[0])
+        if asked:
+            raise RuntimeError("texts came in another order when read again: write them first")
+        mean = sums / UNIT / np.maximum(n, 1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.binary()), pa.array(mean), pa.array(np.where(n > 0, tops / UNIT, 0.0)), pa.array((n > 0).astype(np.float64))],
+            names=["key", "mean", "top", "words"])
+
+
+def measures(texts: DataFrame, model: Model, text="text", chunk=FLUSH_WORDS) -> DataFrame:
+    """One row ``(key, mean, top, words)`` for each different text, by ``text_key``; some ``chunk`` words ask together."""
+    column = F.col(text).cast("string")
+    asks = texts.select(text_key(column).alias("key"), column.alias("text")).mapInArrow(_ask(model.parts, model.shared(), chunk), ROWS)
+    entries = model.entries.withColumn("src", F.lit(None).cast("bigint"))
+    # The table of a range comes before those that ask it: a missing src sorts first.
+    answers = _within(entries.unionByName(asks), model.parts, _answer(model.unseen), "kind", "part", "src")
+    answers = answers.withColumn("kind", F.when(F.col("kind") == BASE, F.lit(BASE)).otherwise(F.lit(BASE + 1)))
+    answers = answers.repartition(model.parts, "src").sortWithinPartitions("src", "kind")
+    rows = answers.mapInArrow(_measured, "key binary, mean double, top double, words double")
+    # Copies of a text have equal sums.
+    return rows.groupBy("key").agg(*[F.max(c).alias(c) for c in ("mean", "top", "words")])
 
 
 def logistic(x, y, rounds=50, ridge=1e-3):
@@ -368,20 +589,13 @@ def train(docs: DataFrame, labels: DataFrame, id="doc_id", text="text", label="t
     """
     known = materialise(training_rows(docs, labels, id, text, label), "labelled")
     model = count_model(known.where(F.col("fold").isin(*COUNTED)))
-    shared = model.shared(docs.sparkSession)
-
-    def measure(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            x = features(shared.value, batch.column("text"))
-            yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in x.T), batch.column("toxic")], names=["a", "b", "c", "toxic"])
-
     sample = known.where(F.col("fold").isin(*FITTED))
     share = rows / max(rows, sample.count())
-    # By hash, in all tasks alike; only the features reach the driver.
+    # By hash, in all tasks alike; only the measures reach the driver.
     sample = sample.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).select("text", "toxic")
-    found = sample.mapInArrow(measure, "a double, b double, c double, toxic int").toPandas().to_numpy()
+    found = sample.select(text_key(F.col("text")).alias("key"), "toxic").join(measures(sample, model), "key")
+    found = found.select("mean", "top", "words", F.col("toxic").cast("double")).toPandas().to_numpy()
+    found = found[np.lexsort(found.T)]
     y = found[:, 3] if len(found) else np.zeros(0)
     if 0 < y.sum() < len(y):
         model.fit = logistic(found[:, :3], y)
@@ -391,34 +605,41 @@ def train(docs: DataFrame, labels: DataFrame, id="doc_id", text="text", label="t
     return model
 
 
-def rating(spark, model: Model, text):
-    """The score of a text column, as a column."""
-    shared, fit = model.shared(spark), model.fit
-
-    @F.arrow_udf("double")
-    def rate(texts):
-        import pyarrow as pa
-
-        x = features(shared.value, texts)
-        return pa.array(1 / (1 + np.exp(-np.clip(x @ fit[:-1] + fit[-1], -30, 30))))
-
-    return rate(text.cast("string"))
+def rating(model: Model):
+    """The score of a row of measures."""
+    *slopes, constant = (F.lit(float(x)) for x in model.fit)
+    line = constant
+    for slope, column in zip(slopes, ("mean", "top", "words")):
+        line = line + slope * F.col(column)
+    return 1 / (1 + F.exp(-F.least(F.greatest(line, F.lit(-30.0)), F.lit(30.0))))
 
 
 def score(df: DataFrame, model: Model, text="text", least=0.3) -> DataFrame:
     """Add ``score`` (0 to 1, the likelier toxic the higher) and ``predicted`` (1 from ``least`` on).
 
-    Uses nothing but the whole text; no shuffle. A null or empty text has no words
-    and gets what the fitted curve says of that; repeated rows score alike; an
+    Uses nothing but the whole text; scores come to their rows by a digest of the
+    text, so a text that is not used later does not shuffle. A null or empty text has no
+    words and gets what the fitted curve says of that; repeated rows score alike; an
     empty table gives no rows. Other columns stay; those named like the new ones
     become ``<name>_in``.
     """
     if text.lower() in ("score", "predicted"):
         raise ValueError(f"the text column may not be called {text}")
-    df = free_of(df, "score", "predicted").withColumn("score", rating(df.sparkSession, model, F.col(text)))
+    df = free_of(df, "score", "predicted")
+    key, = names_for(df, "text_key")
+    rated = measures(df, model, text).select(F.col("key").alias(key), rating(model).alias("score"))
+    # The planner takes what comes from Python for as small as its input; a merge join is split where a text has many copies.
+    df = df.withColumn(key, text_key(F.col(text))).join(rated.hint("merge"), key, "left").drop(key)
     return df.withColumn("predicted", (F.col("score") >= least).cast("int"))
 
 
 def drop_toxic(df: DataFrame, model: Model, text="text", least=0.3) -> DataFrame:
-    """The rows of ``df`` that score below ``least``, with their columns as they are."""
-    return df.where(rating(df.sparkSession, model, F.col(text)) < least)
+    """The rows of ``df`` that score below ``least``, with their columns as they are.
+
+    The digests of the texts to go are written first, so that the planner knows
+    their size: up to its bound they are broadcast, beyond it the rows shuffle.
+    """
+    key, = names_for(df, "text_key")
+    gone = measures(df, model, text).where(rating(model) >= least).select(F.col("key").alias(key))
+    gone = materialise(gone, "toxic")
+    return df.withColumn(key, text_key(F.col(text))).join(gone, key, "left_anti").select(df.columns)

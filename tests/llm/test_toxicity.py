@@ -1,15 +1,14 @@
+import hashlib
 import random
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from brute import smoothed
 from fixtures import awkward, documents, sentence
 from pyspark.sql import functions as F
 
 from opinara.llm.queries import registry
-from opinara.llm.toxicity import Model, count_model, drop_toxic, features, fold, numbered_words, score, train
-from opinara.llm.words import blocks
+from opinara.llm.toxicity import Model, count_model, drop_toxic, fold, measures, score, train
 
 INSULTS = ["gruff", "blargh", "snork"]
 
@@ -48,44 +47,34 @@ def test_held_out_labels_are_never_learned(spark, trained):
     docs, labels, model = trained
     other = labels.withColumn("toxic", F.when(fold(F.col("doc_id")) == 2, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     again = train(docs, other)
-    assert np.array_equal(again.word, model.word) and np.array_equal(again.fit, model.fit)
+    assert np.array_equal(again.fit, model.fit) and again.unseen == model.unseen
+    rows = [sorted(map(tuple, m.entries.select('kind', 'part', 'blob').collect())) for m in (model, again)]
+    assert rows[0] == rows[1]
 
 
-def test_counts_do_not_depend_on_partitions(spark, trained):
+def test_scores_do_not_depend_on_partitions(spark, trained):
     docs, labels, model = trained
     again = train(docs.repartition(7), labels.repartition(2))
-    assert all(np.allclose(getattr(again, f), getattr(model, f)) for f in ("weight", "inverse", "word", "pair", "fit"))
-    assert model.word.sum(axis=1) == pytest.approx([1, 1], abs=1e-4)
-
-
-def test_words_and_bigrams_have_counts_of_their_own(spark):
-    rows = [(0, "common rare words stand here"), (1, "rare words stand apart"), (2, "rare words"), (3, "common here common here")] * 40
-    rows += [(0, "common odd"), (1, "rare odd"), *((0, f"u{i}x v{i}y") for i in range(20_000))]
-    model = count_model(spark.createDataFrame([(text, int(i == 1)) for i, text in rows], "text string, toxic int"))
-    assert len(model.words) == 7 + 40_000  # cells of 2^20 were shared by some of so many
-    pairs = {}
-    for i, text in rows:
-        words = text.split(" ")
-        for p in set(zip(words, words[1:])):
-            pairs.setdefault(p, [0, 0])[int(i == 1)] += 1
-    assert len(model.second) == len(pairs)
-    for (a, b), counts in [*list(pairs.items())[:200], (("apart", "rare"), [0, 0]), (("common", "nowhere"), [0, 0])]:
-        (_, offsets, data), = blocks(pa.array([f"{a} {b}"]))
-        numbers = numbered_words(offsets, data, model.words)[0]
-        assert model.pair[:, model.pair_of(numbers[:1], numbers[1:])[0]].tolist() == counts, (a, b)
+    want = {r["doc_id"]: r["score"] for r in score(docs, model).collect()}
+    assert want == {r["doc_id"]: r["score"] for r in score(docs.repartition(5), again).collect()}
 
 
+@pytest.mark.parametrize("frequent, chunk", [(1 << 16, 1 << 20), (8, 1 << 20), (8, 1)])
 @pytest.mark.parametrize("classes", [(0, 1), (0,), (1,)])
-def test_plain_models_say_the_same(spark, classes):
+def test_plain_models_say_the_same(spark, classes, frequent, chunk):
     rows, labels = corpus(300, seed=8)
     texts, known = dict(rows), [(i, toxic) for i, toxic in labels if toxic in classes]
     training = [(texts[i], toxic) for i, toxic in known] + [(None, classes[0]), ("", classes[0]), ("Alone", classes[0]), ("gruff", classes[-1])]
-    model = count_model(spark.createDataFrame(training, "text string, toxic int").repartition(5))
+    model = count_model(spark.createDataFrame(training, "text string, toxic int").repartition(5), frequent)
     judge = smoothed(training)
-    asked = [*texts.values(), None, "", " ", "alone", "never seen before", "GRUFF gruff never gruff", "gruff " * 5000]
-    found = features(model, pa.array(asked))
-    assert np.allclose(found[:, :2], [judge(text) for text in asked], atol=1e-4)
-    assert found[:, 2].tolist() == [float(bool((text or "").strip())) for text in asked]
+    asked = [*texts.values(), None, "", " ", "alone", "never seen before", "GRUFF gruff never gruff", "gruff " * 5000, "gruff " * 5000]
+    frame = spark.createDataFrame([(text,) for text in asked], "text string").repartition(3)
+    found = {bytes(r["key"]): r for r in measures(frame, model, chunk=chunk).collect()}
+    assert len(found) == len({text or "" for text in asked})
+    for text in asked:
+        row = found[hashlib.md5((text or "").encode()).digest()]
+        assert np.allclose([row["mean"], row["top"]], judge(text), atol=1e-4), text
+        assert row["words"] == float(bool((text or "").strip()))
 
 
 def test_awkward_rows(spark, trained):
