@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..session import work_folder
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -17,10 +19,18 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared work folder and read it back: cuts lineage and survives lost executors."""
+    """Write ``df`` to the shared work folder and read it back: cuts lineage and survives lost executors.
+
+    The shuffle files of the write are dropped once it is done, as nothing reads them again.
+    """
     spark = df.sparkSession
     folder = work_folder(spark, name)
-    df.write.parquet(folder)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(folder)
 
 

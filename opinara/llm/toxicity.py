@@ -95,7 +95,8 @@ def _small(values):
     """Whole numbers in the narrowest type that holds them."""
     if not len(values) or values.dtype.kind not in "iu" or values.dtype == np.uint64:
         return values
-    return values.astype(np.promote_types(np.min_scalar_type(values.min()), np.min_scalar_type(values.max())))
+    low, high = values.min(), values.max()
+    return values.astype(np.min_scalar_type(high) if low >= 0 else np.min_scalar_type(min(low, ~high)))
 
 
 def _pack(keys, *columns):
