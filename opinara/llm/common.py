@@ -31,7 +31,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(folder)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(folder)
+    out = spark.read.schema(df.schema).parquet(folder)
+    out.work_folder = folder
+    return out
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete tables of ``materialise`` from which nothing is to be read any more."""
+    for df in written:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.work_folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def names_for(df: DataFrame, *wanted: str) -> list[str]:

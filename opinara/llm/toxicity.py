@@ -11,7 +11,7 @@ rows that the models have not seen, with that of its most telling word by itself
 it, as one insult hardly moves the mean of a long text.
 
 The counts are those of all labelled training rows, with nothing left out, under 64-bit
-hashes of words and bigrams. They stay in Spark, dealt by ranges of the hash of the history, as
+hashes of words, and of bigrams 48 bits more under the range of their history. They stay in Spark, dealt by ranges of the hash of the history, as
 tables of fixed-point values: what a word tells, what having it as history adds, and what a
 known bigram adds to both. A chunk of texts asks each range once for all its words, with
 the texts that hold them, and gets back sums by text. So neither the driver nor a
@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, free_of, materialise, names_for, possibly_in
+from .common import Shared, discard, free_of, materialise, names_for, possibly_in
 from .words import FACTORS, blocks, mix, per_text, word_hashes
 
 RANGE_BITS = 16  # high bits of a hash by which words are dealt out
@@ -37,7 +37,7 @@ FLUSH_WORDS = 1 << 20  # words of a task that are counted or asked for at once
 DISCOUNT = 0.75  # of an order without anything that was seen once, or what follows from other counts
 CALIBRATION_ROWS = 50_000  # about the most rows the logistic curve is fitted on, drawn by hash
 COUNTED, FITTED = (0, 1), (3,)  # folds of labelled rows; fold 2 is held out from everything
-UNIT = 1 << 20  # logarithms are whole multiples of one over this, so that sums do not depend on order
+UNIT = 1 << 14  # logarithms are whole multiples of one over this, so that sums do not depend on order
 FILTER_BITS, SLICE_BITS = 27, 22  # a filter of 16 MB at any size, put together in slices
 FREQUENT = 1 << 16  # about the most words, and bigrams, that every task holds
 NONE = np.iinfo(np.int64).min
@@ -88,7 +88,12 @@ def part_of(hashes, parts):
 
 
 def pair_key(history, word):
-    return mix(history * FACTORS[0] + mix(word) * FACTORS[1])
+    """48 bits, as bigrams are told apart within the range of their histories only."""
+    return mix(history * FACTORS[0] + mix(word) * FACTORS[1]) >> np.uint64(16)
+
+
+def cell_of(kind, hashes):
+    return (hashes >> np.uint64((64 if kind == WORD else 48) - FILTER_BITS)).astype(np.int64)
 
 
 def _small(values):
@@ -96,7 +101,8 @@ def _small(values):
     if not len(values) or values.dtype.kind not in "iu" or values.dtype == np.uint64:
         return values
     low, high = values.min(), values.max()
-    return values.astype(np.min_scalar_type(high) if low >= 0 else np.min_scalar_type(min(low, ~high)))
+    own = np.min_scalar_type(high) if low >= 0 else np.min_scalar_type(min(low, ~high))
+    return values if own == np.uint64 else values.astype(own)
 
 
 def _pack(keys, *columns):
@@ -319,7 +325,7 @@ def _values(most, taken, lower):
                 else:
                     replies.add(blob)
             tells, adds = _whole(lower.telling(*follows)), np.zeros(len(words), dtype=np.int64)
-            cells = [words]
+            cells = [cell_of(WORD, words)]
             if pairs:
                 h, w, *seen = pairs
                 first = _firsts(h)
@@ -345,10 +351,10 @@ def _values(most, taken, lower):
                 nothing = np.zeros(len(keys), dtype=np.int8)
                 yield _rows([(BIGRAM, part, -1, _pack(keys, known, nothing)),
                              (TIMES, part, BIGRAM, _pack(*_most(n, most, keys, known, nothing)))])
-                cells.append(keys)
+                cells.append(cell_of(BIGRAM, keys))
             yield _rows([(WORD, part, -1, _pack(words, tells, adds)),
                          (TIMES, part, WORD, _pack(*_most(times, most, words, tells, adds)))])
-            cells = np.unique(np.concatenate(cells) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+            cells = np.unique(np.concatenate(cells))
             yield _rows(_dealt(CELLS, -1, cells >> SLICE_BITS, cells & ((1 << SLICE_BITS) - 1)))
     return work
 
@@ -382,10 +388,11 @@ def count_model(rows: DataFrame, frequent=FREQUENT) -> Model:
     of = F.col("kind")
     words = materialise(_within(counts.where(of.isin(WORD, FOLLOWS)), parts, _sum_follows, "part"), "words")
     lower = Lower.of(told(words))
-    words = words.where(of == WORD)
-    replies = _within(words.unionByName(counts.where(of == FOLLOWS)), parts, _reply, "part", "kind")
-    both = words.unionByName(counts.where(of == BIGRAM)).unionByName(replies)
+    known_words = words.where(of == WORD)
+    replies = _within(known_words.unionByName(counts.where(of == FOLLOWS)), parts, _reply, "part", "kind")
+    both = known_words.unionByName(counts.where(of == BIGRAM)).unionByName(replies)
     entries = materialise(_within(both, parts, _values(max(1, frequent // parts), taken, lower), "part", "kind"), "entries")
+    discard(counts, words)
     nothing = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     most = {WORD: [nothing], BIGRAM: [nothing]}
     for row in entries.where(of == TIMES).collect():  # ``frequent`` of either kind at most, or one a part
@@ -431,7 +438,7 @@ class Chunk:
         own, tells, adds = self.frequent[kind]
         at = np.minimum(np.searchsorted(own, hashes), max(len(own) - 1, 0))
         here = own[at] == hashes if len(own) else np.zeros(len(hashes), dtype=bool)
-        cell = (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+        cell = cell_of(kind, hashes)
         open_ = ~here & ((self.known[cell >> 3] >> (cell & 7).astype(np.uint8) & 1) > 0)
         new = ~here & ~open_
         self.say(kind, text[here], tells[at[here]], adds[at[here]], times[here], ends[here])
@@ -594,8 +601,10 @@ def train(docs: DataFrame, labels: DataFrame, id="doc_id", text="text", label="t
     share = rows / max(rows, sample.count())
     # By hash, in all tasks alike; only the measures reach the driver.
     sample = sample.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).select("text", "toxic")
-    found = sample.select(text_key(F.col("text")).alias("key"), "toxic").join(measures(sample, model), "key")
+    measured = materialise(measures(sample, model), "measured")
+    found = sample.select(text_key(F.col("text")).alias("key"), "toxic").join(measured, "key")
     found = found.select("mean", "top", "words", F.col("toxic").cast("double")).toPandas().to_numpy()
+    discard(known, measured)
     found = found[np.lexsort(found.T)]
     y = found[:, 3] if len(found) else np.zeros(0)
     if 0 < y.sum() < len(y):

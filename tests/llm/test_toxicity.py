@@ -67,7 +67,7 @@ def test_plain_models_say_the_same(spark, classes, frequent, chunk):
     training = [(texts[i], toxic) for i, toxic in known] + [(None, classes[0]), ("", classes[0]), ("Alone", classes[0]), ("gruff", classes[-1])]
     model = count_model(spark.createDataFrame(training, "text string, toxic int").repartition(5), frequent)
     judge = smoothed(training)
-    asked = [*texts.values(), None, "", " ", "alone", "never seen before", "GRUFF gruff never gruff", "gruff " * 5000, "gruff " * 5000]
+    asked = [*texts.values(), None, "", " ", "alone", "never seen before", "GRUFF gruff never gruff", "gruff " * 200_000, "gruff " * 200_000]
     frame = spark.createDataFrame([(text,) for text in asked], "text string").repartition(3)
     found = {bytes(r["key"]): r for r in measures(frame, model, chunk=chunk).collect()}
     assert len(found) == len({text or "" for text in asked})
