@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Shared, discard, free_of, materialise, names_for, possibly_in
-from .words import FACTORS, blocks, mix, per_text, word_hashes
+from .words import FACTORS, blocks, free, mix, per_text, word_hashes
 
 RANGE_BITS = 16  # high bits of a hash by which words are dealt out
 FLUSH_WORDS = 1 << 20  # words of a task that are counted or asked for at once
@@ -39,7 +39,7 @@ CALIBRATION_ROWS = 50_000  # about the most rows the logistic curve is fitted on
 COUNTED, FITTED = (0, 1), (3,)  # folds of labelled rows; fold 2 is held out from everything
 UNIT = 1 << 14  # logarithms are whole multiples of one over this, so that sums do not depend on order
 FILTER_BITS, SLICE_BITS = 27, 22  # a filter of 16 MB at any size, put together in slices
-FREQUENT = 1 << 16  # about the most words, and bigrams, that every task holds
+FREQUENT = 1 << 18  # about the most words, and bigrams, that every task holds: 4 MB of each
 NONE = np.iinfo(np.int64).min
 
 ROWS = "kind int, part int, src bigint, blob binary"
@@ -492,6 +492,7 @@ def _ask(parts, shared, most):
                 if size >= most:
                     yield asked(held, model)
                     held, size = [], 0
+                    free()
             if held:
                 yield asked(held, model)
     return ask
