@@ -3,8 +3,9 @@
 For picking members out of archives by name. The options ``prefix``, ``suffix`` and
 ``containing`` go to the planning, which walks the member lists (the directory of a
 zip, the headers of a plain tar) and plans tasks for the members that pass only.
-A task then goes straight to its part of the archive. What planning keeps is one
-row a task, and the names that pass of one archive at a time.
+A task then goes straight to its part of the archive, and of a zip's directory reads
+only the entries of its own members. What planning keeps is one row a task, and the
+names that pass of one archive at a time.
 
 Names are chosen by options, not by filters that Spark pushes down: Spark 4.1 keeps
 one reader for all scans of a DataFrame, so that two differently filtered uses of it in
@@ -14,8 +15,11 @@ To read whole archives of very many members, ``archives.read_archive`` lists the
 members in parallel and spreads them by hash.
 """
 
+import io
+import struct
 import tarfile
 import zipfile
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,7 +38,11 @@ SCHEMA = "archive string, member string, size bigint, piece int, content binary"
 
 @dataclass
 class Part(InputPartition):
-    """Members whose places lie in ``[begin, end]``, or the bytes ``[start, stop)`` of one; ``old`` places are replaced."""
+    """Members whose places lie in ``[begin, end]``, or the bytes ``[start, stop)`` of one; ``old`` places are replaced.
+
+    ``listed`` is where a zip's directory tells of them, first and last byte, and
+    ``shift`` what has to be added to the places it tells.
+    """
 
     archive: str
     begin: int = 0
@@ -42,20 +50,54 @@ class Part(InputPartition):
     start: int = 0
     stop: int | None = None
     old: tuple = ()
+    listed: tuple = ()
+    shift: int = 0
+
+
+def _zip_row(path, info):
+    method = OTHER if info.flag_bits & 1 else {zipfile.ZIP_STORED: STORED, zipfile.ZIP_DEFLATED: DEFLATED}.get(info.compress_type, OTHER)
+    return info.header_offset, {
+        "archive": path, "member": info.filename, "size": info.file_size, "offset": info.header_offset,
+        "packed": info.compress_size, "crc": info.CRC, "method": method, LOST: None}
+
+
+def _directory(handle):
+    """The entries of a zip in order of their places, each with its range of bytes in the directory, and what is added to the places told there."""
+    with zipfile.ZipFile(_Seekable(handle)) as archive:
+        infos, start = archive.infolist(), archive.start_dir
+    handle.seek(0, 2)
+    end = handle.tell()
+    handle.seek(start)
+    data = handle.read(end - start)  # as the library does, the directory of one archive at a time
+    at, shift, found = 0, 0, []
+    for info in infos:
+        told, = struct.unpack_from("<L", data, at + 42)
+        if told != 0xFFFFFFFF:
+            shift = info.header_offset - told
+        size = 46 + sum(struct.unpack_from("<HHH", data, at + 28))
+        found.append((info, start + at, start + at + size))
+        at += size
+    return sorted(found, key=lambda e: e[0].header_offset), shift
+
+
+def _listed(handle, begin, end, shift):
+    """The entries in one range of bytes of a zip's directory, read as the directory of an archive of their own."""
+    handle.seek(begin)
+    entries = handle.read(end - begin)
+    tail = struct.pack("<4s4H2LH", b"PK\x05\x06", 0, 0, 0, 0, len(entries), 0, 0)
+    with zipfile.ZipFile(io.BytesIO(entries + tail)) as archive:
+        infos = archive.infolist()
+    for info in infos:
+        info.header_offset += shift
+    return sorted(infos, key=lambda i: i.header_offset)
 
 
-def _entries(handle, path, kind, begin=0, end=None):
+def _entries(handle, path, kind, begin=0, end=None, listed=(), shift=0):
     """``(place, index row)`` of the regular members whose places lie in ``[begin, end]``, in order of their places."""
     if kind == "zip":
-        with zipfile.ZipFile(_Seekable(handle)) as archive:
-            infos = sorted(archive.infolist(), key=lambda i: i.header_offset)
-        for info in infos:
-            if info.is_dir() or info.header_offset < begin or (end is not None and info.header_offset > end):
-                continue
-            method = OTHER if info.flag_bits & 1 else {zipfile.ZIP_STORED: STORED, zipfile.ZIP_DEFLATED: DEFLATED}.get(info.compress_type, OTHER)
-            yield info.header_offset, {
-                "archive": path, "member": info.filename, "size": info.file_size, "offset": info.header_offset,
-                "packed": info.compress_size, "crc": info.CRC, "method": method, LOST: None}
+        for info in _listed(handle, *listed, shift) if listed else []:
+            if not info.is_dir() and info.header_offset >= begin and (end is None or info.header_offset <= end):
+                yield _zip_row(path, info)
         return
     handle.seek(begin)
     try:
@@ -100,32 +142,47 @@ class ArchiveReader(DataSourceReader):
         return [part for path in self._archives() for part in self._plan(path)] or [Part("")]
 
     def _plan(self, path):
-        last, old = {}, []
+        last, old, listed, shift = {}, [], {}, 0
         with _open(path) as handle:
-            for place, row in _entries(handle, path, self.kind):
+            if self.kind == "zip":
+                infos, shift = _directory(handle)
+                entries = []
+                for info, *place in infos:
+                    if not info.is_dir() and self._wanted(info.filename):
+                        entries.append(_zip_row(path, info))
+                        listed[info.header_offset] = place
+            else:
+                entries = _entries(handle, path, self.kind)
+            for place, row in entries:
                 if row["method"] == STREAM:
                     return [Part(path)]
                 if self._wanted(row["member"]):
                     if row["member"] in last:
                         old.append(last.pop(row["member"])[0])
                     last[row["member"]] = (place, row["size"], row["method"] in (RANGE, STORED))
-        parts, begin, end, held = [], None, None, 0
+        old.sort()
+        parts, held = [], []
 
-        def close():
-            if begin is not None:
-                parts.append(Part(path, begin, end, old=tuple(p for p in old if begin <= p <= end)))
+        def add(places, start=0, stop=None):
+            begin, end = places[0], places[-1]
+            ranges = [listed[p] for p in places if p in listed]
+            span = (min(r[0] for r in ranges), max(r[1] for r in ranges)) if ranges else ()
+            replaced = tuple(old[bisect_left(old, begin):bisect_right(old, end)])
+            parts.append(Part(path, begin, end, start, stop, replaced, span, shift))
 
+        size_held = 0
         for place, size, cuttable in sorted(last.values()):
+            if held and (size_held + size > self.task_bytes):
+                add(held)
+                held, size_held = [], 0
             if cuttable and size > self.task_bytes:
-                close()
-                begin, held = None, 0
-                parts += [Part(path, place, place, at, min(at + self.task_bytes, size)) for at in range(0, size, self.task_bytes)]
+                for at in range(0, size, self.task_bytes):
+                    add([place], at, min(at + self.task_bytes, size))
                 continue
-            if begin is not None and held + size > self.task_bytes:
-                close()
-                begin, held = None, 0
-            begin, end, held = place if begin is None else begin, place, held + size
-        close()
+            held.append(place)
+            size_held += size
+        if held:
+            add(held)
         return parts
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
@@ -136,7 +193,7 @@ class ArchiveReader(DataSourceReader):
 
     def _pieces(self, part):
         with _open(part.archive) as handle:
-            for place, row in _entries(handle, part.archive, self.kind, part.begin, part.end):
+            for place, row in _entries(handle, part.archive, self.kind, part.begin, part.end, part.listed, part.shift):
                 if place in part.old or not (row["method"] == STREAM or self._wanted(row["member"])):
                     continue
                 if part.stop is not None:

@@ -102,3 +102,50 @@ def test_one_frame_may_be_filtered_in_many_ways(spark, tmp_path):
     for df in (rows, spark.table("members_of_a")):
         assert [df.where("member = 'a'").count(), df.count(), df.where("member IN ('b', 'c')").count(), df.count()] == [1, 3, 2, 3]
         assert df.where("member = 'a'").unionByName(df.where("member = 'b'")).unionByName(df).count() == 5
+
+
+@pytest.mark.parametrize("front", [b"", b"#!/bin/sh\n" * 9])
+def test_a_task_reads_its_own_part_of_a_zips_directory(tmp_path, monkeypatch, front):
+    path, names = str(tmp_path / "many.zip"), [f"é{i}/x.txt" for i in range(500)]
+    with open(path, "wb") as out:
+        out.write(front)
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as made:
+            for name in names:
+                made.writestr(name, name * 20)
+            made.comment = b"end"
+    if front:  # written behind other bytes and counted from its own start
+        with open(path, "rb") as whole, open(path + ".sfx", "wb") as out:
+            out.write(front + whole.read())
+        path += ".sfx"
+    reader = ArchiveReader(path, "zip", 100, 1000)
+    parts = reader.partitions()
+    opened = []
+    real = zipfile.ZipFile
+
+    def counted(*a, **k):
+        archive = real(*a, **k)
+        opened.append(len(archive.infolist()))
+        return archive
+
+    monkeypatch.setattr(zipfile, "ZipFile", counted)
+    found = {}
+    for part in parts:
+        for batch in reader.read(part):
+            for row in batch.to_pylist():
+                found[row["member"]] = found.get(row["member"], b"") + row["content"]
+    assert found == {name: (name * 20).encode() for name in names}
+    assert len(parts) > 50 and sum(opened) == len(names)
+
+
+def test_a_directory_in_another_order_than_the_members(tmp_path):
+    path = str(tmp_path / "turned.zip")
+    with zipfile.ZipFile(path, "w") as made:
+        for i in range(60):
+            made.writestr(f"{i % 50}.txt", f"{i} " * 50)
+        made.filelist.sort(key=lambda info: -info.header_offset)
+    reader = ArchiveReader(path, "zip", 100, 500)
+    rows = [row for part in reader.partitions() for batch in reader.read(part) for row in batch.to_pylist()]
+    found = {}
+    for row in rows:
+        found[row["member"]] = found.get(row["member"], b"") + row["content"]
+    assert found == {f"{i % 50}.txt": (f"{i + 50 if i < 10 else i} " * 50).encode() for i in range(50)}
