@@ -68,6 +68,7 @@ def _write(df, folder, kind, members):
                         info = tarfile.TarInfo(name)
                         info.size = len(content)
                         archive.addfile(info, io.BytesIO(content))
+                        archive.members = []  # it would keep them all
         files.move(partial, final)
         yield pa.RecordBatch.from_pydict({"n": [n]})
 

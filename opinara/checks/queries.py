@@ -372,11 +372,19 @@ def saved_external(spark, sf_dir):
 
 # --- archives ---
 
+ARCHIVE_PAGES = 2000
+
+
+def archive_count(spark, sf_dir):
+    """As many archives as the pages need, so that none, and no directory of one, grows with the table."""
+    return max(4, -(-read(spark, sf_dir, "pages").count() // ARCHIVE_PAGES))
+
+
 def page_members(spark, sf_dir, folder=None):
     folder = F.lit("html/") if folder is None else folder
     name = F.concat(folder, F.col("page_id").cast("string"), F.lit(".html"))
     return read(spark, sf_dir, "pages").select(
-        name.alias("member"), F.encode("html", "UTF-8").alias("content"), "page_id").repartition(4)
+        name.alias("member"), F.encode("html", "UTF-8").alias("content"), "page_id").repartition(archive_count(spark, sf_dir))
 
 
 def page_archives(kind):
@@ -400,7 +408,8 @@ def members(kind, piece_bytes=4096):
 def marked_archives(spark, sf_dir):
     """Every page in a zip and in a tar, between members of other names."""
     folder, pages = work_folder(spark, "archives"), page_members(spark, sf_dir)
-    both = pages.unionByName(page_members(spark, sf_dir, F.lit("notes/"))).repartitionByRange(4, "page_id")
+    both = pages.unionByName(page_members(spark, sf_dir, F.lit("notes/"))).repartitionByRange(
+        archive_count(spark, sf_dir), "page_id")
     for kind in ("zip", "tar"):
         write_archives(both, f"{folder}/{kind}", kind)
     return folder

@@ -16,3 +16,10 @@ def test_a_view_refreshed_again_scores_nothing_again(spark, monkeypatch):
     monkeypatch.setattr(checks, "refresh_view", refreshed)
     assert checks.refreshed_view(spark, SF).count() == 200
     assert read and not any("documents.parquet" in file for file in read)
+
+
+def test_more_pages_make_more_archives(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(checks, "ARCHIVE_PAGES", 5)
+    spark.range(40).selectExpr("id AS page_id", "'<p>' AS html").write.parquet(str(tmp_path / "pages.parquet"))
+    folder = checks.page_archives("tar")(spark, str(tmp_path))
+    assert spark.read.format("binaryFile").load(folder).count() == 8
