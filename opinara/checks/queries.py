@@ -515,7 +515,7 @@ def load_audit_content(spark, sf_dir):
     """Loads of the documents, of the same rows dealt anew, and of one changed row: which of them hold the same."""
     docs = read(spark, sf_dir, "documents")
     other = docs.withColumn("lang", F.when(F.col("doc_id") == 7, F.lit(None)).otherwise(F.col("lang")))
-    loads = {"documents_copy": docs, "dealt_anew": docs.repartition(5, "lang").select(*docs.columns[::-1]), "changed": other, "doubled": docs.union(docs.where("doc_id = 7"))}
+    loads = {"documents_copy": docs, "dealt_anew": docs.repartition("doc_id", "lang").select(*docs.columns[::-1]), "changed": other, "doubled": docs.union(docs.where("doc_id = 7"))}
     audits = []
     for name, df in loads.items():
         path = work_folder(spark, "audit")
