@@ -60,7 +60,7 @@ def score_sentiment(df: DataFrame, text="text", out="sentiment_score",
         rows = rows.withColumn(at.lower, F.transform(at.words, F.lower))
         rows = rows.withColumns({
             at.valence: F.transform(at.lower, lambda w: lookup(index, w).cast("double")),
-            at.shout: sentiment.mixed_capitals(at.words, at.lower),
+            at.shout: sentiment.not_all_capitals(at.words),
             at.but_at: F.array_position(at.lower, "but").cast("int"),
             at.idioms: sentiment.may_hold_idioms(at.words),
         })
