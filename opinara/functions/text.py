@@ -37,8 +37,17 @@ def words(text: Column) -> Column:
     One punctuation mark of the fixed list is taken off one end of a plain word;
     every other spelling (emoticons, contractions, hyphens) stays as written.
     """
-    parts = F.filter(F.split(text, f"{SPACE}+"), lambda w: F.length(w) > 1)
-    return F.transform(parts, _without_edge)
+    return F.transform(F.filter(parts(text), lambda w: F.length(w) > 1), _without_edge)
+
+
+def parts(text: Column) -> Column:
+    """What stands between white space; ``word`` makes each a word."""
+    return F.split(text, f"{SPACE}+")
+
+
+def word(part: Column) -> Column:
+    """The word of ``words`` that ``part`` holds, NULL when it is too short."""
+    return F.when(F.length(part) > 1, _without_edge(part))
 
 
 def letter_runs(text: Column) -> Column:

@@ -18,14 +18,16 @@ from pyspark.sql.types import NumericType
 
 MAX_INLINE_ENTRIES = 50_000
 MAX_INLINE_BYTES = 2 << 20
+MAX_SENT_BYTES = 8 << 20
 
 
 class Vocabulary:
     """Words and their values, held as a constant or, beyond the bound, as a table."""
 
-    def __init__(self, entries=None, table=None, value_type="double", cut_entries=MAX_INLINE_ENTRIES):
+    def __init__(self, entries=None, table=None, value_type="double", cut_entries=MAX_INLINE_ENTRIES, sent=False):
         self.entries = entries
         self.table = table
+        self.sent = sent
         self.value_type = value_type
         self.cut_entries = cut_entries
 
@@ -59,7 +61,16 @@ class Vocabulary:
         if n <= max_entries and size <= max_bytes:
             entries = {r["word"]: r["value"] for r in table.collect()}
             return cls(entries=entries, value_type=value_type)
-        return cls(table=table, value_type=value_type, cut_entries=cut_entries)
+        return cls(table=table, value_type=value_type, cut_entries=cut_entries, sent=size <= MAX_SENT_BYTES)
+
+    def found_in(self, words: DataFrame) -> DataFrame:
+        """Rows of ``words`` whose ``word`` is listed, with its ``value``.
+
+        A table that measured small goes to every task, so the words of the texts need no
+        shuffle. A larger one is merged: its hot words are split by adaptive execution. The
+        words look small to the planner before they are exploded, so it never chooses.
+        """
+        return words.join(self.table.select("word", "value").hint("broadcast" if self.sent else "merge"), "word")
 
     def cut(self, words: DataFrame):
         """The vocabulary of the words in ``words``, a constant if at most ``cut_entries`` of them are listed.
@@ -69,7 +80,10 @@ class Vocabulary:
         """
         if self.inline:
             return self
-        own = self.table.join(words.select("word").distinct(), "word", "left_semi")
+        if self.sent:
+            own = self.found_in(words.select("word")).distinct()
+        else:
+            own = self.table.join(words.select("word").distinct(), "word", "left_semi")
         rows = own.limit(self.cut_entries + 1).collect()
         size = sum(len(r["word"].encode()) + len(json.dumps({"value": r["value"]})) for r in rows)
         if len(rows) <= self.cut_entries and size <= MAX_INLINE_BYTES:
@@ -117,21 +131,31 @@ def by_text(df: DataFrame, key: str, digest: Column, columns, work, out: str) ->
             .drop(key, f"{key}__{out}"))
 
 
-def attach(df: DataFrame, vocabulary: Vocabulary, words: Column, key: str, out: str):
+def distinct_words(df: DataFrame, parts: Column, word=None, keep=(), reads=()) -> DataFrame:
+    """Rows ``(*keep, word)`` of the different elements of ``parts`` in each row of ``df``.
+
+    ``word`` makes the word of an element, NULL for none, and may read the columns ``reads``. It
+    runs after the elements are exploded, once for each different one, in compiled code.
+    """
+    part = "vocabulary__part"
+    rows = df.select(*dict.fromkeys([*keep, *reads]), F.explode(F.array_distinct(parts)).alias(part))
+    made = word(F.col(part)) if word else F.col(part)
+    return rows.select(*keep, made.alias("word")).where(F.col("word").isNotNull())
+
+
+def attach(df: DataFrame, vocabulary: Vocabulary, parts: Column, key: str, out: str, word=None, reads=()):
     """Return ``(df, column)`` where ``column`` can be given to ``lookup``.
 
     An inline vocabulary leaves ``df`` as it is. Otherwise ``df`` has one row per
-    ``key`` (see ``by_text``): the distinct ``words`` of each row meet the table
-    in a join whose hot words adaptive execution splits, and ``df`` gains a small
-    map of its own hits as ``out``.
+    ``key`` (see ``by_text``): the distinct words of each row (see ``distinct_words``;
+    ``word`` may read the columns ``reads``) meet the table, and ``df`` gains a small map
+    of its own hits as ``out``.
     """
     if vocabulary.inline:
         return df, vocabulary.constant()
-    asked = df.select(key, F.explode(F.array_distinct(words)).alias("word"))
-    # The words of all texts look small to the planner before they are exploded;
-    # a merge join keeps it from broadcasting them.
-    hits = (asked.join(vocabulary.table.select("word", "value").hint("merge"), "word")
-            .groupBy(key).agg(F.collect_list(F.struct("word", "value")).alias("hits")))
+    asked = distinct_words(df, parts, word, [key], reads)
+    hits = (vocabulary.found_in(asked)
+            .groupBy(key).agg(F.collect_set(F.struct("word", "value")).alias("hits")))
     n = F.ceil(F.sqrt(F.size("hits"))).cast("int")
     own = F.transform(
         F.sequence(F.lit(0), n - 1),

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions import sentiment, words as W
 from ..functions.language import ENGLISH, best_language, glossary_key, in_place_of
-from ..functions.text import letter_runs, lower_letters, words
-from ..functions.vocabulary import Vocabulary, attach, by_text, lookup, text_key
+from ..functions.text import letter_runs, lower_letters, parts, word, words
+from ..functions.vocabulary import Vocabulary, attach, by_text, distinct_words, lookup, text_key
 
 
 def default_lexicon() -> Vocabulary:
@@ -49,13 +49,17 @@ def score_sentiment(df: DataFrame, text="text", out="sentiment_score",
                     lexicon: Vocabulary = None, context=sentiment.FIRST) -> DataFrame:
     """Add the sentiment of ``text`` in [-1, 1] as FLOAT; NULL stays NULL."""
     lexicon = lexicon or default_lexicon()
-    if not lexicon.inline:
-        lexicon = lexicon.cut(df.select(F.explode(F.transform(words(F.col(text)), F.lower)).alias("word")))
     key = f"{out}__key"
 
+    def lower_word(part):
+        return F.lower(word(part))
+
+    if not lexicon.inline:
+        lexicon = lexicon.cut(distinct_words(df, parts(F.col(text)), lower_word))
+
     def score(rows):
         at = sentiment.Stages(out)
-        rows, index = attach(rows, lexicon, F.transform(words(F.col(text)), F.lower), key, at.lexicon)
+        rows, index = attach(rows, lexicon, parts(F.col(text)), key, at.lexicon, lower_word)
         rows = rows.withColumn(at.words, words(F.col(text)))
         rows = rows.withColumn(at.lower, F.transform(at.words, F.lower))
         rows = rows.withColumns({
@@ -78,7 +82,7 @@ def detect_language(df: DataFrame, text="text", out="language",
     """Add the language code of ``text``; NULL when no stop word tells."""
     stop_words = stop_words or stop_word_vocabulary()
     if not stop_words.inline:
-        stop_words = stop_words.cut(df.select(F.explode(lower_letters(F.col(text))).alias("word")))
+        stop_words = stop_words.cut(distinct_words(df, lower_letters(F.col(text))))
     key, own = f"{out}__key", f"{out}__vocabulary"
 
     def detect(rows):
@@ -103,22 +107,22 @@ def translate(df: DataFrame, text="text", out="translated", lang=None,
     key, source, pieces, keys, found, own = (
         f"{out}__{stage}" for stage in ("key", "source", "pieces", "keys", "found", "vocabulary"))
 
-    def asked(runs):
-        return F.transform(runs, lambda p: glossary_key(F.col(code), p))
+    def asked(run):
+        return glossary_key(F.col(code), run)
 
     def known(rows):
         return rows if lang else detect_language(rows, text, code, stop_words)
 
     if not glossary.inline:
         foreign = known(df.select(text, *([lang] if lang else []))).where(F.col(code) != ENGLISH)
-        glossary = glossary.cut(foreign.select(F.explode(asked(letter_runs(F.col(text)))).alias("word")))
+        glossary = glossary.cut(distinct_words(foreign, letter_runs(F.col(text)), asked, reads=[code]))
 
     def turn(rows):
         rows = known(rows)
         rows = rows.withColumn(source, F.when(F.col(code) != ENGLISH, F.col(text)))
-        rows, index = attach(rows, glossary, asked(letter_runs(F.col(source))), key, own)
+        rows, index = attach(rows, glossary, letter_runs(F.col(source)), key, own, asked, [code])
         rows = rows.withColumn(pieces, letter_runs(F.col(source)))
-        rows = rows.withColumn(keys, asked(F.col(pieces)))
+        rows = rows.withColumn(keys, F.transform(pieces, asked))
         rows = rows.withColumn(found, F.transform(keys, lambda k: lookup(index, k)))
         english = F.transform(pieces, lambda p, i: in_place_of(p, F.get(found, i)))
         rows = rows.withColumn(out, F.coalesce(F.array_join(english, ""), F.col(text)))

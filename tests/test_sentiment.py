@@ -167,3 +167,33 @@ def test_a_cut_lexicon_leaves_one_scan_and_no_shuffle(spark):
     lexicon = Vocabulary.from_table(words, "word", "value", max_entries=0)
     plan = score_sentiment(df, lexicon=lexicon)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan parquet") == 1 and "Exchange" not in plan and "Join" not in plan
+
+
+def test_rules_are_asked_for_turning_words_only(spark):
+    """The words before an opinion meet one set; only whole expressions and the strength of a booster are looked up by hash."""
+    df = spark.createDataFrame([("not good",)], "text string")
+    plan = score_sentiment(df, lexicon=Vocabulary.of({"good": 1.9}))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("crc32") <= 13  # the lexicon, three boosters, nine expressions; 17 with every word before it
+    assert "INSET" in plan.upper()
+
+
+# Words around the edges of the rules, and whether any other word keeps them from applying.
+SHOUTS = [("GOOD", 1.9), ("GOOD GOOD", 3.8), ("GOOD day", 1.9 + 0.733), ("DAY good", 1.9), ("DAY GOOD", 1.9), ("VERY good day", 1.9 + 0.293 + 0.733), ("12 GOOD", 1.9 + 0.733)]
+
+
+def test_capitals_count_where_not_all_words_are_in_capitals(spark):
+    assert scores(spark, [t for t, _ in SHOUTS], lexicon=Vocabulary.of({"good": 1.9})) == [norm(v) for _, v in SHOUTS]
+
+
+def test_a_joined_lexicon_of_small_size_shuffles_no_words(spark):
+    table = spark.createDataFrame([(f"w{i}", float(i)) for i in range(1, 50)], "word string, value double")
+    texts = spark.createDataFrame([(i, f"w{i}, W{i + 1}. w{i} and x{i}!") for i in range(1, 40)], "id int, text string")
+    joined = Vocabulary.from_table(table, "word", "value", max_entries=0, cut_entries=0)
+    scored = score_sentiment(texts, lexicon=joined)
+    found = {r["id"]: r["sentiment_score"] for r in scored.collect()}
+    inline = {r["id"]: r["sentiment_score"] for r in score_sentiment(texts, lexicon=Vocabulary.from_table(table, "word", "value")).collect()}
+    assert found == inline
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan and "strategy=merge" not in plan
+    merged = Vocabulary(table=joined.table, cut_entries=0)
+    assert {r["id"]: r["sentiment_score"] for r in score_sentiment(texts, lexicon=merged).collect()} == inline

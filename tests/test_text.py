@@ -3,8 +3,8 @@ import sys
 from pyspark.sql import functions as F
 
 from opinara.functions import words as W
-from opinara.functions.text import letter_runs, words
-from opinara.functions.vocabulary import Vocabulary
+from opinara.functions.text import letter_runs, parts, word, words
+from opinara.functions.vocabulary import Vocabulary, distinct_words
 from opinara.operators.text import (detect_language, glossary_from_table, stop_words_from_table,
                                     translate, translate_with)
 
@@ -144,3 +144,11 @@ def test_default_plans_stay_in_the_row(spark):
 
 def test_word_tables_stay_small():
     assert len(W.LEXICON) < 200 and sum(map(len, W.GLOSSARY.values())) < 200
+
+
+def test_asked_words_are_made_once_for_each_spelling(spark):
+    df = spark.createDataFrame([(1, "one One. one. a one"), (2, None)], "word int, text string")
+    asked = distinct_words(df, parts(F.col("text")), lambda p: F.concat(F.col("word"), word(p)), reads=["word"])
+    assert sorted(r["word"] for r in asked.collect()) == ["1One", "1one", "1one"]
+    plain = distinct_words(df, parts(F.col("text")), word)
+    assert sorted(r["word"] for r in plain.collect()) == ["One", "one", "one"]
