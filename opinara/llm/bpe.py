@@ -9,6 +9,7 @@ tried again, so the work is linear in the piece.
 """
 
 import hashlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -201,22 +202,27 @@ def encode_documents(df: DataFrame, path: str, pattern: str, text="text", digest
     if text.lower() in added:
         raise ValueError(f"the text column may not be called {text}")
     df = free_of(df, *added)
+    import pyarrow as pa
+
     shared = _codec(df.sparkSession, path, pattern)
 
+    def piece(coder, texts):
+        kind = pa.string() if digests else pa.binary()
+        ids = [coder.encode(value) if value else b"" for value in texts.to_pylist()]
+        columns = [ids, map(coder.decode, ids)]
+        if digests:
+            columns = [[hashlib.sha256(x).hexdigest() for x in column] for column in columns]
+        lengths = pa.array([len(x) // 4 for x in ids], pa.int64())
+        return pa.StructArray.from_arrays([lengths, *(pa.array(list(c), kind) for c in columns)], names=added)
+
     @F.arrow_udf(DIGESTS if digests else ENCODED)
-    def run(texts):
-        import pyarrow as pa
-
-        coder, kind, parts = _coder(shared), pa.string() if digests else pa.binary(), []
-        for k in range(0, max(1, len(texts)), ROWS_AT_ONCE):
-            ids = [coder.encode(value) if value else b"" for value in texts.slice(k, ROWS_AT_ONCE).to_pylist()]
-            columns = [ids, map(coder.decode, ids)]
-            if digests:
-                columns = [[hashlib.sha256(x).hexdigest() for x in column] for column in columns]
-            lengths = pa.array([len(x) // 4 for x in ids], pa.int64())
-            parts.append(pa.StructArray.from_arrays([lengths, *(pa.array(list(c), kind) for c in columns)], names=added))
-        free()
-        return pa.concat_arrays(parts)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # A few rows go back at a time, so neither side holds the ids and bytes of a whole batch.
+        coder = _coder(shared)
+        for texts in batches:
+            for k in range(0, len(texts), ROWS_AT_ONCE):
+                yield piece(coder, texts.slice(k, ROWS_AT_ONCE))
+            free()
 
     (coded,) = names_for(df, "coded")
     return df.withColumn(coded, run(F.col(text))).select(*df.columns, *[F.col(coded)[c].alias(c) for c in added])

@@ -7,6 +7,7 @@ from brute import sha
 from fixtures import awkward, documents
 from pyspark.sql import functions as F
 
+from opinara.llm import bpe
 from opinara.llm.bpe import Coder, encode_documents, halves, read_ranks
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -37,3 +38,12 @@ def test_documents(spark):
     digests = encode_documents(df, PATH, public_tokenizers.PATTERN, digests=True).select("text", "decoded_sha256").collect()
     assert all(r[1] == sha(r[0] or "") for r in digests)
     assert encode_documents(documents(spark, []), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_rows_beyond_one_piece_keep_their_ids(spark, monkeypatch):
+    """Ids go back in pieces of a batch: every row gets its own, whatever the size of a piece."""
+    texts = [None if i % 7 == 0 else f"row {i} of many" for i in range(50)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(bpe, "ROWS_AT_ONCE", 8)
+    rows = bpe.encode_documents(df, PATH, public_tokenizers.PATTERN).collect()
+    assert {r["doc_id"]: bytes(r["decoded"]).decode() for r in rows} == {i: t or "" for i, t in enumerate(texts)}
