@@ -8,18 +8,19 @@ import zipfile
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ..sources.archives import filesystem
+from ..sources.archives import filesystem, free
 
 
 MEMBER_BYTES = 1 << 20
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 500  # rows that a worker holds at once
 
 
 def write_archives(df: DataFrame, folder: str, kind: str) -> None:
     """Write rows ``(member, content)`` to archives below ``folder``."""
     def members(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                yield row["member"], row["content"]
+            for member, content in zip(batch.column("member"), batch.column("content")):
+                yield member.as_py(), content.as_py()
 
     _write(df.select("member", "content"), folder, kind, members)
 
@@ -31,11 +32,14 @@ def write_line_archives(df: DataFrame, folder: str, kind: str) -> None:
 
         task, number, held = TaskContext.get().partitionId(), 0, {}
         for batch in batches:
-            for row in batch.to_pylist():
-                lines = held.setdefault(row["entity"], bytearray())
-                lines += row["value"].encode() + b"\n"
+            # Line by line: the batch as Python strings would be several times as large.
+            for entity, value in zip(batch.column("entity"), batch.column("value").cast(pa.binary())):
+                entity = entity.as_py()
+                lines = held.setdefault(entity, bytearray())
+                lines += value.as_buffer()
+                lines += b"\n"
                 if len(lines) >= MEMBER_BYTES:
-                    yield f"set-{task}-{number}_{row['entity']}.json", bytes(held.pop(row["entity"]))
+                    yield f"set-{task}-{number}_{entity}.json", bytes(held.pop(entity))
                     number += 1
         for entity, lines in held.items():
             yield f"set-{task}-{number}_{entity}.json", bytes(lines)
@@ -70,6 +74,13 @@ def _write(df, folder, kind, members):
                         archive.addfile(info, io.BytesIO(content))
                         archive.members = []  # it would keep them all
         files.move(partial, final)
+        free()
         yield pa.RecordBatch.from_pydict({"n": [n]})
 
-    df.mapInArrow(write, "n bigint").write.format("noop").mode("overwrite").save()
+    conf = df.sparkSession.conf
+    before = conf.get(BATCH)
+    conf.set(BATCH, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    try:
+        df.mapInArrow(write, "n bigint").write.format("noop").mode("overwrite").save()
+    finally:
+        conf.set(BATCH, before)

@@ -17,13 +17,13 @@ of the archive whose path is last, as unpacking them in order would have it; nam
 alone are shuffled for that.
 """
 
+import ctypes
 import struct
 import tarfile
 import zipfile
 import zlib
 from functools import lru_cache
 
-import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 PIECE_BYTES = 4 << 20
 FLUSH_BYTES = 8 << 20
 FLUSH_ROWS = 2000
+BLOCK_BYTES = 1 << 20  # of lines; a worker holds several copies of a block
 TASK_BYTES = 128 << 20
 WHOLE_BYTES = 1 << 30
 
@@ -53,6 +54,15 @@ def filesystem(path: str):
     return fs.LocalFileSystem(), path
 
 
+def free():
+    """Give memory that this worker no longer uses back to its machine; idle workers stay."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def _open(path):
     files, name = filesystem(path)
     return files.open_input_file(name)
@@ -321,6 +331,7 @@ def each_row(batches):
     finally:
         if handle:
             handle.close()
+        free()
 
 
 def _resized(chunks, size):
@@ -337,13 +348,13 @@ def _resized(chunks, size):
         yield bytes(held)
 
 
-def _flushed(rows, schema, weight):
+def _flushed(rows, schema, weight, most=FLUSH_BYTES):
     """Record batches of bounded size."""
     held, size = [], 0
     for row in rows:
         held.append(row)
         size += weight(row)
-        if size >= FLUSH_BYTES or len(held) >= FLUSH_ROWS:
+        if size >= most or len(held) >= FLUSH_ROWS:
             yield pa.RecordBatch.from_pylist(held, schema=schema)
             held, size = [], 0
     if held:
@@ -397,6 +408,8 @@ def whole_members(df: DataFrame) -> DataFrame:
         F.concat(F.lit("too large to be one row: "), "member")).cast("bigint"))
 
     def join(key, rows):
+        import pandas as pd
+
         content = b"".join(rows.sort_values("piece")["content"])
         crc = rows["crc"].iloc[0]
         if len(content) != key[2] or (crc == crc and crc is not None and zlib.crc32(content) != int(crc)):
@@ -409,15 +422,18 @@ def whole_members(df: DataFrame) -> DataFrame:
 
 
 def _blocks(chunks):
-    """Regroup byte chunks to blocks of whole lines, of ``FLUSH_BYTES`` or one line; without the last line end."""
+    """Regroup byte chunks to blocks of whole lines, of some ``BLOCK_BYTES`` or one line; without the last line end."""
     held = bytearray()
     for chunk in chunks:
-        held += chunk
-        if len(held) >= FLUSH_BYTES:
-            end = held.rfind(b"\n")
-            if end >= 0:
-                yield bytes(held[:end])
-                del held[:end + 1]
+        view = memoryview(chunk)
+        for at in range(0, len(view), BLOCK_BYTES):
+            seen = len(held)
+            held += view[at:at + BLOCK_BYTES]
+            if len(held) >= BLOCK_BYTES:
+                end = held.rfind(b"\n", seen)
+                if end >= 0:
+                    yield bytes(memoryview(held)[:end])
+                    del held[:end + 1]
     if held:
         yield bytes(held.removesuffix(b"\n"))
 
@@ -484,7 +500,7 @@ def read_archive_lines(spark: SparkSession, path: str, kind: str, suffix: str =
                         yield {"archive": row["archive"], "member": member, "block": text}
 
     def read(batches):
-        return _flushed(blocks(batches), schema, lambda r: len(r["block"] or ""))
+        return _flushed(blocks(batches), schema, lambda r: len(r["block"] or ""), BLOCK_BYTES)
 
     index = member_index(spark, path, kind)
     index = index.where(F.col("member").isNull() | F.col("member").endswith(suffix))

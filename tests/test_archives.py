@@ -193,3 +193,11 @@ def test_the_last_archive_of_a_name_wins(spark, tmp_path, kind):
     write_member_files(archives.member_index(spark, str(tmp_path), form), form, str(tmp_path / "out"), "b").collect()
     found = {str(p.relative_to(tmp_path / "out/b")): p.read_bytes() for p in (tmp_path / "out/b").rglob("*.eml")}
     assert sorted(found.items()) == due
+
+
+def test_blocks_of_lines_stay_small():
+    text = b"".join(b"%d %s\n" % (i, b"x" * (i % 3000)) for i in range(8000)) + b"y" * (3 << 20) + b"\nlast"
+    chunks = (text[at:at + (4 << 20)] for at in range(0, len(text), 4 << 20))
+    blocks = list(archives._blocks(chunks))
+    assert b"\n".join(blocks) == text
+    assert max(len(b) for b in blocks if b"y" not in b) <= 2 << 20
