@@ -14,21 +14,22 @@ def _quoted(text):
 
 
 def strict_sql(line: str, kind: str, options=None) -> str:
-    """SQL for the one JSON object of ``line`` as ``kind``, NULL for anything else.
+    """SQL for the one JSON object of ``line`` as ``kind``, in an array that is empty for anything else.
 
     Spark's parser stops behind the first value of a line. So the line is read as
     the value of an object that goes on with a key nobody has written, which a cut
-    line or trailing text would hide, and as the only element of an array.
+    line or trailing text would hide, and as the only element of an array. That
+    second reading builds nothing, and the first is named once, so it runs once.
     """
     end = f"end_{uuid.uuid4().hex}"
     given = "map('allowSingleQuotes', 'false'" + "".join(f", '{k}', '{v}'" for k, v in (options or {}).items()) + ")"
     whole = f"from_json(concat('{{\"o\":', {line}, ',\"{end}\":0}}'), 'o {_quoted(kind)}, {end} int', {given})"
-    alone = f"size(from_json(concat('[', {line}, ']'), 'array<string>', {given}))"
-    return f"CASE WHEN {alone} = 1 AND {whole}.{end} = 0 THEN {whole}.o END"
+    alone = f"size(from_json(concat('[', {line}, ']'), 'array<struct<{end}:int>>', {given}))"
+    return f"transform(filter(array({whole}), w -> w.{end} = 0 AND w.o IS NOT NULL AND {alone} = 1), w -> w.o)"
 
 
-def json_object(line: str) -> Column:
-    """The line's object as a map, NULL for anything else."""
+def json_objects(line: str) -> Column:
+    """The line's object as a map, in an array that is empty for anything else."""
     return F.expr(strict_sql(f"`{line}`", OBJECT))
 
 
@@ -75,7 +76,6 @@ def drop_json_key(df: DataFrame, key: str, line="value"):
     parsed = "parsed"
     # Exploding the object, if there is one, parses each kept line once; a filter on
     # the parsed column would be pushed down and parse it again.
-    found = F.filter(F.array(json_object(line)), lambda o: o.isNotNull())
-    clean = df.select("*", F.explode(found).alias(parsed))
+    clean = df.select("*", F.explode(json_objects(line)).alias(parsed))
     clean = clean.withColumn(line, _written(F.col(parsed), F.col(line), key)).drop(parsed)
-    return clean, df.where(json_object(line).isNull())
+    return clean, df.where(F.size(json_objects(line)) == 0)

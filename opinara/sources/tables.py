@@ -37,8 +37,9 @@ def external_table(spark: SparkSession, name: str, path: str, schema: str = None
 
 def found_columns(lines: DataFrame, line="value") -> dict:
     """Columns ``{name: type}`` of the JSON objects of all lines, from one pass over them."""
-    parsed = lines.select(F.expr(f"try_parse_json(`{line}`)").alias("v"))
-    kind = parsed.where(F.expr("schema_of_variant(v) LIKE 'OBJECT%'")).agg(F.expr("schema_of_variant_agg(v)")).first()[0]
+    # Exploded, as a filter on the parsed value would be pushed down and parse each line again.
+    objects = f"filter(array(try_parse_json(`{line}`)), v -> schema_of_variant(v) LIKE 'OBJECT%')"
+    kind = lines.select(F.expr(f"explode({objects})").alias("v")).agg(F.expr("schema_of_variant_agg(v)")).first()[0]
     if not kind or not kind.startswith("OBJECT<"):
         return {}
     ddl = re.sub(r"\bOBJECT<", "STRUCT<", kind).replace("VOID", "STRING")
@@ -66,7 +67,7 @@ def line_view(spark: SparkSession, name: str, source: str, schema: str) -> None:
     spark.sql(f"DROP VIEW IF EXISTS {name}")
     spark.sql(f"""
         CREATE VIEW {name} AS
-        SELECT o.* FROM (SELECT {strict_sql('value', kind)} AS o FROM ({source})) WHERE o IS NOT NULL""")
+        SELECT o.* FROM (SELECT explode({strict_sql('value', kind)}) AS o FROM ({source}))""")
 
 
 def _each(spark, items, register) -> DataFrame:

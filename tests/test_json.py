@@ -93,3 +93,15 @@ def test_line_views_skip_what_is_no_object(spark, tmp_path):
     assert sorted(r["k"] or 0 for r in spark.table("v_e").collect()) == [0, 0, 0, 1]
     assert spark.table("v_e").columns == ["k", "a", "b"]
     assert spark.table("v_other").first()["q"] == [1]
+
+
+def test_lines_are_parsed_as_few_times_as_can_be(spark):
+    from opinara.sources.tables import line_view
+
+    lines = spark.createDataFrame([('{"a": 1, "b": "x"}',), ('{"a": 2} x',)], "value string")
+    line_view(spark, "few_objects", """SELECT value FROM VALUES ('{"a": 1, "b": "x"}'), ('{"a": 2} x') AS t(value)""", "a int, b string")
+    rows = spark.table("few_objects").where("a > 0")
+    assert [tuple(r) for r in rows.collect()] == [(1, "x")]
+    clean, _ = drop_json_key(lines, "a")
+    for df, most in ((rows.select("b"), 2), (clean, 3)):
+        assert str(df._jdf.queryExecution().optimizedPlan()).count("from_json(") <= most
