@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, free_of, names_for
+from .common import forget, free_of, kept_apart, names_for
 from .words import free
 
 MEMO_PAIRS = 300_000
@@ -174,14 +174,13 @@ def _codec(spark, path, pattern):
     return spark.sparkContext.broadcast((read_ranks(path), halves(path), pattern))
 
 
-_coders = {}
+_coders = kept_apart({})
 
 
 def _coder(shared):
     key = shared.id if hasattr(shared, "id") else id(shared)
     if key not in _coders:
         forget()
-        _coders.clear()
         _coders[key] = Coder(*shared.value)
     return _coders[key]
 

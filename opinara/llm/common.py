@@ -96,6 +96,7 @@ class Shared:
     @property
     def value(self):
         if self.name not in _opened:
+            drop_others()
             while len(_opened) >= 3:
                 _opened.pop(next(iter(_opened)))
             _opened[self.name] = pickle.loads(zlib.decompress(self.sent.value))
@@ -103,11 +104,26 @@ class Shared:
 
 
 _opened = {}
+_others = []
+
+
+def kept_apart(cache: dict) -> dict:
+    """A cache of an operator that shares nothing with the others: emptied in a worker that goes on with one of them."""
+    _others.append(cache)
+    return cache
+
+
+def drop_others():
+    """Empty the caches of ``kept_apart``; a worker outlives its tasks, and so would they."""
+    for cache in _others:
+        cache.clear()
 
 
 def forget():
     """Drop what this worker has opened for earlier operators; what is asked for again is opened again."""
     _opened.clear()
+    drop_others()
+
 
 BITMAP, BITMAPS = 32768, 1024  # a filter of 4 MB at any size
 

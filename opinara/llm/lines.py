@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vocabulary import let
-from .common import Shared, free_of, materialise, names_for, possibly_in
+from .common import Shared, drop_others, free_of, materialise, names_for, possibly_in
 from .words import blocks, mix, stream, word_hashes
 
 CELL_BITS = 20
@@ -139,6 +139,7 @@ def token_counts(docs: DataFrame) -> np.ndarray:
     def count(batches):
         import pyarrow as pa
 
+        drop_others()
         total = np.zeros(CELLS, dtype=np.int64)
         for batch in batches:
             for _, offsets, data in blocks(batch.column("text")):

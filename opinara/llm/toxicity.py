@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, discard, free_of, materialise, names_for, possibly_in
+from .common import Shared, discard, drop_others, free_of, materialise, names_for, possibly_in
 from .words import FACTORS, blocks, free, mix, per_text, word_hashes
 
 RANGE_BITS = 16  # high bits of a hash by which words are dealt out
@@ -214,6 +214,7 @@ def _count(parts):
         return _rows(_dealt(WORD, -1, part_of(words[0], parts), *words) + _dealt(BIGRAM, -1, part_of(pairs[0], parts), *pairs))
 
     def count(batches):
+        drop_others()
         for batch in batches:
             toxic = batch.column("toxic").to_numpy() > 0
             words, pairs, held = [], [], 0

@@ -53,3 +53,14 @@ def test_awkward_and_empty_documents_pass_all_stages(spark):
         for name, stage in corpus_pipeline.STAGES:
             docs = materialise(stage(spark, docs, SF), name)
         assert docs.where("NOT round_trip").count() == 0
+
+
+def test_a_worker_keeps_no_coder_in_other_stages():
+    import pyarrow as pa
+
+    from opinara.llm import bpe, lines, toxicity  # noqa: F401
+
+    batch = pa.RecordBatch.from_pydict({"text": ["a b a"], "toxic": pa.array([1], pa.int32())})
+    bpe._coders["vocabulary"] = object()
+    assert list(toxicity._count(2)(iter([batch])))
+    assert not bpe._coders
