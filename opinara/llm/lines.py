@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vocabulary import let
 from .common import Shared, drop_others, free_of, materialise, names_for, possibly_in
-from .words import blocks, mix, stream, word_hashes
+from .words import blocks, mix, stream, word_hashes, word_places
 
 CELL_BITS = 20
 CELLS = 1 << CELL_BITS
@@ -43,23 +43,30 @@ class Lines:
     A token is 40 bits of its word's hash; sets are told apart by 48.
     """
 
-    def __init__(self, offsets, data, counts):
+    def __init__(self, offsets, data, counts, asked=None):
+        """With a filter ``asked`` of mixed tokens, only the lines that have one in it."""
         self.text, self.number, line, hashes = lines_of(offsets, data)
+        if asked is not None:
+            good = np.zeros(len(self.text), dtype=bool)
+            good[line[in_filter(asked, mix(hashes >> np.uint64(24)))]] = True
+            self.text, self.number = self.text[good], self.number[good]
+            own = good[line]
+            line, hashes = (np.cumsum(good) - 1)[line[own]], hashes[own]
         tokens, self.n, parity, check, other = [], [], [], [], []
         for a in range(0, len(self.text), 1 << 16):
             low, high = np.searchsorted(line, (a, a + (1 << 16)))
             at = (line[low:high] - a).astype(np.uint64) << np.uint64(48)
             whole = np.sort(at | (hashes[low:high] >> np.uint64(16)))
             whole = whole[np.r_[True, whole[1:] != whole[:-1]]]
-            at, word = whole >> np.uint64(48), whole & _LOW[0]
+            at, word = whole & ~_LOW[0], whole & _LOW[0]
             first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
             self.n.append(np.diff(np.r_[first, len(at)]))
             parity.append(sketches(word, first, self.n[-1]))
             check.append((np.add.reduceat(mix(word ^ _K[0]), first) >> np.uint64(32)).astype(np.uint32))
             other.append(np.add.reduceat(mix(word + _K[1]), first))
             if counts is not None:
-                rarity = counts[(word >> np.uint64(48 - CELL_BITS)).astype(np.int64)]
-                tokens.append(np.sort((at << np.uint64(48)) | (rarity << np.uint64(40)) | (word >> np.uint64(8))) & _LOW[1])
+                rarity = counts[(word >> np.uint64(48 - CELL_BITS)).view(np.int64)]
+                tokens.append(np.sort(at | (rarity << np.uint64(40)) | (word >> np.uint64(8))) & _LOW[1])
 
         def joined(parts, kind):
             return np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
@@ -83,25 +90,25 @@ def sketches(word, first, n):
     out = np.zeros((len(n), WIDEST), dtype=np.uint64)
     spread = mix(word)
     bit = np.uint64(1) << (spread & np.uint64(63))
+    out[:, 0] = np.bitwise_xor.reduceat(bit, first)
     wide = width_of(n)
-    part = (spread >> np.uint64(6)) & np.repeat(wide - 1, n).astype(np.uint64)
-    for k in range(WIDEST):
-        own = np.flatnonzero(wide > k)
-        if not len(own):
-            break
-        if k == 0:
-            out[:, 0] = np.bitwise_xor.reduceat(np.where(part == 0, bit, np.uint64(0)), first)
-        else:
-            at = np.repeat(first[own] - np.cumsum(n[own]) + n[own], n[own]) + np.arange(n[own].sum())
-            begin = np.cumsum(n[own]) - n[own]
-            out[own, k] = np.bitwise_xor.reduceat(np.where(part[at] == k, bit[at], np.uint64(0)), begin)
+    own = np.flatnonzero(wide > 1)
+    if not len(own):
+        return out
+    # The tokens of the wide sets only, each on its own part.
+    size = n[own]
+    begin = np.cumsum(size) - size
+    at = np.repeat(first[own] - begin, size) + np.arange(size.sum())
+    part, bit = (spread[at] >> np.uint64(6)) & np.repeat(wide[own] - 1, size).astype(np.uint64), bit[at]
+    for k in range(wide.max()):
+        out[own, k] = np.bitwise_xor.reduceat(np.where(part == k, bit, np.uint64(0)), begin)
     return out
 
 
 def apart(x, y, wide_x, wide_y):
     """Tokens at least in which the sets of two rows of sketches differ; the wider one is folded to the other's width."""
-    out = np.zeros(len(x), dtype=np.int64)
-    least = np.minimum(wide_x, wide_y)
+    out = np.bitwise_count(x[:, 0] ^ y[:, 0]).astype(np.int64)
+    least = np.where((wide_x == 1) & (wide_y == 1), 0, np.minimum(wide_x, wide_y))
     for width in (1, 2, 4, 8):
         own = np.flatnonzero(least == width)
         if len(own):
@@ -110,16 +117,24 @@ def apart(x, y, wide_x, wide_y):
     return out
 
 
+def ends_of_lines(offsets, data):
+    """All lines, with words or without: ``(text, number in the text, start)`` of each."""
+    breaks = np.flatnonzero(data == 10)
+    starts = np.concatenate([offsets[:-1], breaks + 1])
+    texts = np.concatenate([np.arange(len(offsets) - 1), np.searchsorted(offsets, breaks, side="right") - 1])
+    order = np.argsort(texts, kind="stable")  # a text's first line, then those after its breaks
+    text = texts[order]
+    number = np.arange(len(text)) - np.searchsorted(text, np.arange(len(offsets) - 1))[text]
+    return text, number, starts[order]
+
+
 def lines_of(offsets, data):
     """Lines with words: ``(text, number in the text)`` of each, and ``(line, hash)`` of each word."""
-    breaks = np.flatnonzero(data == 10)
-    hashes, starts, _ = word_hashes(offsets, data, breaks)
-    text = np.searchsorted(offsets, starts, side="right") - 1
-    before = np.searchsorted(breaks, starts)
-    line = before + text  # grows with every line and every text
-    new = np.r_[True, line[1:] != line[:-1]][:len(line)]
-    own = text[new]
-    return own, before[new] - np.searchsorted(breaks, offsets[own]), np.cumsum(new) - 1, hashes
+    text, number, begin = ends_of_lines(offsets, data)
+    hashes, starts, _ = word_hashes(offsets, data)  # a line feed ends a word by itself
+    n = np.diff(np.append(np.searchsorted(starts, begin), len(starts)))
+    own = n > 0
+    return text[own], number[own], np.repeat(np.arange(own.sum()), n[own]), hashes
 
 
 def prefix(n, percent):
@@ -175,15 +190,63 @@ def needed(n, m, percent):
     return -(-percent * (n + m) // (100 + percent))
 
 
-PARTS = [f"sketch{k}" for k in range(WIDEST)]
-TOKEN = np.dtype([("token", "<u4"), ("place", "<u4"), ("n", "<u4"), ("number", "<u4"), ("check", "<u4"), ("id", "<i8"), ("tag", "<u4"),
-                  *((part, "<u8") for part in PARTS)])
+TOKEN = {"token": "<u4", "place": "<u4", "n": "<u4", "number": "<u4", "check": "<u4", "id": "<i8", "tag": "<u4"}
 LINE = np.dtype([("number", "<u4"), ("key", "<u8"), ("other", "<u8"), ("id", "<i8"), ("text_hash", "<i8")])
 
 
+def _planes(values):
+    """The bytes of an array, plane by plane."""
+    return np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.dtype.itemsize).T).tobytes()
+
+
 def _pack(rows):
     """The bytes of all fields, plane by plane, so that the many bytes that are alike stand together."""
-    return b"".join(np.ascontiguousarray(rows[name]).view(np.uint8).reshape(len(rows), -1).T.tobytes() for name in rows.dtype.names)
+    return b"".join(_planes(rows[name]) for name in rows.dtype.names)
+
+
+def _pack_tokens(columns, wide, a, b):
+    """Token rows ``a`` to ``b`` with their number in front. Of a sketch only the parts its set has; random bytes stay as they are."""
+    out = [np.array([b - a], dtype="<u4").tobytes()]
+    for name in ("place", "n", "number", "id"):
+        out.append(_planes(columns[name][a:b]))
+    for name in ("token", "check", "tag"):
+        out.append(columns[name][a:b].tobytes())
+    for k in range(WIDEST):
+        own = wide[a:b] > k
+        if not own.any():
+            break
+        out.append(columns["sketch"][a:b, k][own].tobytes())
+    return b"".join(out)
+
+
+def _unpack_tokens(blobs):
+    """The fields of all blobs of ``_pack_tokens``, an array each; ``sketch`` has the parts side by side."""
+    sizes = [int(np.frombuffer(blob, dtype="<u4", count=1)[0]) for blob in blobs]
+    total, place = sum(sizes), [4] * len(blobs)
+    columns = {name: np.empty(total, dtype=kind) for name, kind in TOKEN.items()}
+    columns["sketch"] = np.zeros((total, WIDEST), dtype=np.uint64)
+
+    def take(i, kind, count):
+        out = np.frombuffer(blobs[i], dtype=kind, count=count, offset=place[i])
+        place[i] += out.nbytes
+        return out
+
+    edges = np.cumsum([0, *sizes]).tolist()
+    for name in ("place", "n", "number", "id", "token", "check", "tag"):
+        kind = columns[name].dtype
+        for i, n in enumerate(sizes):
+            own = columns[name][edges[i]:edges[i + 1]]
+            if name in ("place", "n", "number", "id"):
+                own.view(np.uint8).reshape(n, kind.itemsize)[:] = take(i, np.uint8, n * kind.itemsize).reshape(kind.itemsize, n).T
+            else:
+                own[:] = take(i, kind, n)
+    wide = width_of(columns["n"])
+    for k in range(WIDEST):
+        for i in range(len(blobs)):
+            own = np.flatnonzero(wide[edges[i]:edges[i + 1]] > k)
+            if len(own):
+                columns["sketch"][edges[i] + own, k] = take(i, "<u8", len(own))
+    return columns
 
 
 def _unpack(blobs, dtype):
@@ -218,10 +281,17 @@ def _exchange(docs, counts, buckets, percent, tokens=None):
         import pyarrow as pa
 
         def out(kind, bucket, rows):
-            order = np.argsort(bucket, kind="stable")
-            bucket, rows = bucket[order], rows[order]
+            # Numbers of 16 bits are sorted by counting.
+            order = np.argsort(bucket.astype(np.uint16 if buckets <= 1 << 16 else np.uint32), kind="stable")
+            bucket = bucket[order]
             edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(bucket) else [0]
-            blobs = [_pack(rows[a:b]) for a, b in zip(edges[:-1], edges[1:])]
+            if kind == 0:
+                rows = rows[order]
+                blobs = [_pack(rows[a:b]) for a, b in zip(edges[:-1], edges[1:])]
+            else:
+                rows = {name: values[order] for name, values in rows.items()}
+                wide = width_of(rows["n"])
+                blobs = [_pack_tokens(rows, wide, a, b) for a, b in zip(edges[:-1], edges[1:])]
             return pa.RecordBatch.from_arrays(
                 [pa.array([kind] * len(blobs), pa.int32()), pa.array(bucket[edges[:-1]].astype(np.int32)), pa.array(blobs, pa.binary())],
                 names=["kind", "bucket", "blob"])
@@ -230,14 +300,15 @@ def _exchange(docs, counts, buckets, percent, tokens=None):
             if line_rows:
                 rows = np.concatenate(line_rows)
                 yield out(0, (rows["key"] % np.uint64(buckets)).astype(np.int64), rows)
-            if sum(map(len, token_rows)):
-                yield out(1, np.concatenate(token_buckets), np.concatenate(token_rows))
+            if sum(map(len, token_buckets)):
+                rows = {name: np.concatenate([own[name] for own in token_rows]) for name in token_rows[0]}
+                yield out(1, np.concatenate(token_buckets), rows)
 
         for batch in batches:
             ids, text_hashes = (batch.column(c).to_numpy() for c in ("id", "text_hash"))
             line_rows, token_rows, token_buckets, size = [], [], [], 0
             for first, offsets, data in blocks(batch.column("text")):
-                found = Lines(offsets, data, counts.value)
+                found = Lines(offsets, data, counts.value, None if tokens is None else tokens.value)
                 text = found.text + first
                 if not len(text):
                     continue
@@ -254,16 +325,14 @@ def _exchange(docs, counts, buckets, percent, tokens=None):
                 place = np.arange(len(found.tokens)) - np.repeat(found.first, found.n)
                 at = np.flatnonzero(place < np.repeat(keep, found.n))
                 line = np.repeat(np.arange(len(found.n)), found.n)[at]
-                if tokens is not None:
-                    good = in_filter(tokens.value, mix(found.tokens[at]))
-                    at, line = at[good], line[good]
-                rows = np.empty(len(at), dtype=TOKEN)
                 spread = mix(found.tokens[at])
-                rows["token"], rows["place"], rows["n"] = spread >> np.uint64(32), place[at], found.n[line]
-                rows["number"], rows["check"] = found.number[line], found.check[line]
-                for k, part in enumerate(PARTS):
-                    rows[part] = found.parity[line, k]
-                rows["id"], rows["tag"] = ids[text[line]], text_hashes[text[line]] & 0xFFFFFFFF
+                if tokens is not None:
+                    good = in_filter(tokens.value, spread)
+                    at, line, spread = at[good], line[good], spread[good]
+                rows = {"token": spread >> np.uint64(32), "place": place[at], "n": found.n[line], "number": found.number[line],
+                        "check": found.check[line], "id": ids[text[line]], "tag": text_hashes[text[line]] & 0xFFFFFFFF}
+                rows = {name: values.astype(TOKEN[name]) for name, values in rows.items()}
+                rows["sketch"] = found.parity[line]
                 token_rows.append(rows)
                 token_buckets.append((spread & np.uint64(0xFFFFFFFF)).astype(np.int64) % buckets)
                 size += len(data)
@@ -306,7 +375,7 @@ def candidates(rows, percent, most, wanted):
         return order, order, np.zeros(0, dtype=bool)
     # Each set once, at its first place.
     group = np.cumsum(np.r_[False, token[1:] != token[:-1]]).astype(np.uint64)
-    content = mix(rows["sketch0"][order] + rows["check"][order].astype(np.uint64) * _K[3])
+    content = mix(rows["sketch"][order, 0] + rows["check"][order].astype(np.uint64) * _K[3])
     by = np.argsort((group << np.uint64(32)) | (content >> np.uint64(32)))
     order, group, content = order[by], group[by], content[by]
     first = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (content[1:] != content[:-1])])
@@ -334,7 +403,7 @@ def candidates(rows, percent, most, wanted):
         y = order[ys]
         ys = ys[in_filter(wanted, place_key(rows["id"][y], rows["tag"][y], rows["number"][y]))]
     n, place = rows["n"][order].astype(np.int64), rows["place"][order].astype(np.int64)
-    sketch, wide = np.stack([rows[part][order] for part in PARTS], axis=1), width_of(n)
+    sketch, wide = rows["sketch"][order], width_of(n)
     given = np.zeros(len(token), dtype=np.int64)
     xs, found, step = [], [], 0
     while True:
@@ -390,7 +459,7 @@ def _meet(percent, most, wanted):
             zero = np.zeros(len(rows), dtype=np.int64)
             columns = [zero, zero, zero, rows["id"], rows["text_hash"], rows["number"], zero.astype(bool)]
         else:
-            rows = _columns_of(blobs, TOKEN)
+            rows = _unpack_tokens(blobs)
             x, y, more = candidates(rows, percent, most, None if wanted is None else wanted.value)
             key_x, key_y = (place_key(rows["id"][z], rows["tag"][z], rows["number"][z]).view(np.int64) for z in (x, y))
             columns = [key_x, key_y, rows["id"][x], rows["id"][y], np.zeros(len(y), np.int64), rows["number"][y], more]
@@ -420,17 +489,25 @@ def _sets(docs, wanted):
         for batch in batches:
             ids, text_hashes = (batch.column(c).to_numpy() for c in ("id", "text_hash"))
             for first, offsets, data in blocks(batch.column("text")):
-                text, number, line, hashes = lines_of(offsets, data)
+                text, number, begin = ends_of_lines(offsets, data)
+                end = np.append(begin[1:], len(data))
                 text = text + first
                 key = place_key(ids[text], text_hashes[text] & 0xFFFFFFFF, number)
                 good = np.flatnonzero(in_filter(wanted.value, key))
                 if not len(good):
                     continue
-                low, high = np.searchsorted(line, good), np.searchsorted(line, good, side="right")
-                words = [np.unique(hashes[a:b]).tobytes() for a, b in zip(low, high)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[good].view(np.int64)), pa.array(text_hashes[text[good]]), pa.array(words, pa.binary())],
-                    names=["key", "text_hash", "words"])
+                # The bytes of these lines only, one behind the other.
+                edges = np.append(0, np.cumsum(end[good] - begin[good]))
+                own = np.concatenate([data[a:b] for a, b in zip(begin[good].tolist(), end[good].tolist())])
+                hashes, starts, _ = word_hashes(edges, own)
+                places = np.searchsorted(starts, edges)
+                some = places[1:] > places[:-1]
+                words = [np.unique(hashes[a:b]).tobytes() for a, b in zip(places[:-1][some].tolist(), places[1:][some].tolist())]
+                good = good[some]
+                if len(good):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key[good].view(np.int64)), pa.array(text_hashes[text[good]]), pa.array(words, pa.binary())],
+                        names=["key", "text_hash", "words"])
 
     # Only a repeated row stands in the same place.
     return docs.mapInArrow(pick, "key bigint, text_hash bigint, words binary").dropDuplicates(["key"])
