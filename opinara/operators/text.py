@@ -114,8 +114,9 @@ def translate(df: DataFrame, text="text", out="translated", lang=None,
         return rows if lang else detect_language(rows, text, code, stop_words)
 
     if not glossary.inline:
-        foreign = known(df.select(text, *([lang] if lang else []))).where(F.col(code) != ENGLISH)
-        glossary = glossary.cut(distinct_words(foreign, letter_runs(F.col(text)), asked, reads=[code]))
+        # A filter by the language would be pushed down to where the language is found, and find it again.
+        foreign = F.when(F.col(code) != ENGLISH, letter_runs(F.col(text)))
+        glossary = glossary.cut(distinct_words(known(df.select(text, *([lang] if lang else []))), foreign, asked, reads=[code]))
 
     def turn(rows):
         rows = known(rows)

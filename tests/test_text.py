@@ -152,3 +152,23 @@ def test_asked_words_are_made_once_for_each_spelling(spark):
     assert sorted(r["word"] for r in asked.collect()) == ["1One", "1one", "1one"]
     plain = distinct_words(df, parts(F.col("text")), word)
     assert sorted(r["word"] for r in plain.collect()) == ["One", "one", "one"]
+
+
+def test_cutting_a_glossary_finds_each_language_once(spark, monkeypatch):
+    plans, plain = [], Vocabulary.cut
+
+    def cut(vocabulary, asked):
+        plans.append(asked._jdf.queryExecution().executedPlan().toString())
+        return plain(vocabulary, asked)
+
+    monkeypatch.setattr(Vocabulary, "cut", cut)
+    rows = [(1, "le film est bon et la fin"), (2, "the film is good"), (3, "xyz"), (4, None)]
+    df = spark.createDataFrame(rows, "id int, text string")
+    listed = [(lang, word, english) for lang, own in W.GLOSSARY.items() for word, english in own.items()]
+    table = spark.createDataFrame(listed, "lang string, word string, english string")
+    expected = {r["id"]: r["translated"] for r in translate(df).collect()}
+    assert expected[1] != rows[0][1] and expected[2] == rows[1][1]
+    for bounds in ({"max_entries": 1}, {"max_entries": 1, "cut_entries": 1}):
+        out = translate(df, glossary=glossary_from_table(table, **bounds))
+        assert {r["id"]: r["translated"] for r in out.collect()} == expected
+    assert [plan.count("regexp_extract_all(lower(") for plan in plans] == [1, 1]
