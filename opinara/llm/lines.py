@@ -29,6 +29,8 @@ FLUSH_BYTES = 2 << 20
 FIRST = 2
 WIDEN = 16
 WIDEST = 8
+TRIES = 16  # pairs of a line that are tried at once, at first
+PAIRS = 1 << 17  # pairs at once
 FILTER_BITS = 1 << 27  # 16 MB: filters of wanted classes that are sent to all tasks
 BITMAP = 32768
 LAST_ID = (1 << 63) - 1
@@ -149,18 +151,19 @@ def place_key(ids, tags, numbers):
     return mix(mix(ids.astype(np.uint64) + _K[2]) + (tags.astype(np.uint64) << np.uint64(32)) + numbers.astype(np.uint64))
 
 
-def token_counts(docs: DataFrame) -> np.ndarray:
-    """How common words are, by cell, in eighths of a doubling; a bounded table, added up in slices."""
+def token_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """How common words are, by cell, in eighths of a doubling, and the bytes of all texts; a bounded table, added up in slices."""
     def count(batches):
         import pyarrow as pa
 
         drop_others()
-        total = np.zeros(CELLS, dtype=np.int64)
+        total, size = np.zeros(CELLS, dtype=np.int64), 0
         for batch in batches:
             for _, offsets, data in blocks(batch.column("text")):
+                size += len(data)
                 hashes, _, _ = word_hashes(offsets, data)
                 total += np.bincount((hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=CELLS)
-        for i, part in enumerate(np.split(total, SLICES)):
+        for i, part in enumerate([*np.split(total, SLICES), np.array([size])]):
             if part.any():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([i], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=["slice", "counts"])
@@ -180,9 +183,14 @@ def token_counts(docs: DataFrame) -> np.ndarray:
     schema = "slice int, counts binary"
     parts = docs.select("text").mapInArrow(count, schema).repartition(SLICES, "slice").mapInArrow(add, schema).collect()
     total = np.zeros((SLICES, CELLS // SLICES), dtype=np.int64)
+    size = 0
     for row in parts:  # the same 8 MB at any size
-        total[row["slice"]] = np.frombuffer(row["counts"], dtype=np.int64)
-    return np.minimum(8 * np.log2(total.ravel() + 1), 255).astype(np.uint64)
+        part = np.frombuffer(row["counts"], dtype=np.int64)
+        if row["slice"] < SLICES:
+            total[row["slice"]] = part
+        else:
+            size = int(part[0])
+    return np.minimum(8 * np.log2(total.ravel() + 1), 255).astype(np.uint64), size
 
 
 def needed(n, m, percent):
@@ -362,8 +370,8 @@ def later_copies(rows):
 def candidates(rows, percent, most, wanted):
     """Pairs ``(x, y, more)`` of row numbers: x before y, at a shared prefix token, that no filter rules out.
 
-    A y gets the first ``most`` of them at a token; ``more`` says that it has reached
-    that number. ``rows`` has an array for each field.
+    A y gets ``most`` of them at a token, those of smaller sets first; ``more`` says that it has
+    reached that number. ``rows`` has an array for each field.
     """
     # Rows by token, without those that are alone with theirs.
     packed = np.sort((rows["token"].astype(np.uint64) << np.uint64(32)) | np.arange(len(rows["token"]), dtype=np.uint64))
@@ -395,38 +403,94 @@ def candidates(rows, percent, most, wanted):
     order, token = order[by], group[by]
     if not len(order):
         return order, order, np.zeros(0, dtype=bool)
-    begin = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-    size = np.diff(np.r_[begin, len(token)])
-    group = np.repeat(begin, size)
-    ys = np.flatnonzero(np.arange(len(token)) > group)
+    # Rows of a token by size and place; ``rank`` tells which of two is before.
+    token, n, place = token.astype(np.int64), rows["n"][order].astype(np.int64), rows["place"][order].astype(np.int64)
+    rank = np.lexsort((place, n, token))
+    order, token, n, place = order[rank], token[rank], n[rank], place[rank]
+    ys = np.arange(len(order))
     if wanted is not None:
-        y = order[ys]
-        ys = ys[in_filter(wanted, place_key(rows["id"][y], rows["tag"][y], rows["number"][y]))]
-    n, place = rows["n"][order].astype(np.int64), rows["place"][order].astype(np.int64)
+        ys = ys[in_filter(wanted, place_key(rows["id"][order], rows["tag"][order], rows["number"][order]))]
     sketch, wide = rows["sketch"][order], width_of(n)
-    given = np.zeros(len(token), dtype=np.int64)
-    xs, found, step = [], [], 0
-    while True:
-        ys = ys[(group[ys] + step < ys) & (given[ys] < most)]
-        if not len(ys):
-            break
-        x = group[ys] + step
-        a, b = n[x], n[ys]
+    fold = np.bitwise_xor.reduce(sketch, axis=1)  # as if all sets were narrow
+    key = (token << 32) | n
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    kind = np.cumsum(np.r_[False, key[1:] != key[:-1]])
+    key, cell = key[first], (kind << 32) | place
+    # The kinds (token and size) that may hold a match of each y.
+    low = np.searchsorted(key, (token[ys] << 32) | -(-percent * n[ys] // 100))
+    high = np.searchsorted(key, (token[ys] << 32) | (100 * n[ys] // percent), side="right")
+    xs, found, more = [], [], []
+    for part in runs_of(high - low, PAIRS):
+        y, count = ys[part], (high - low)[part]
+        who = np.repeat(np.arange(len(y)), count)
+        other = np.repeat(low[part] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        a, b, j = n[first[other]], n[y][who], place[y][who]
         least = needed(a, b, percent)
-        i, j = place[x], place[ys]
-        fit = (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
-        fit &= np.minimum(i, j) + 1 + np.minimum(a - 1 - i, b - 1 - j) >= least
-        fit = np.flatnonzero(fit)
-        fit = fit[apart(sketch[x[fit]], sketch[ys[fit]], wide[x[fit]], wide[ys[fit]]) <= (a + b - 2 * least)[fit]]
-        hit = ys[fit]
-        given[hit] += 1
-        xs.append(x[fit])
-        found.append(hit)
-        step += 1
+        # Where the token stands in x, for so many tokens to be shared from there on and before.
+        begin = np.searchsorted(cell, (other << 32) | np.maximum(j - (b - least), 0))
+        end = np.searchsorted(cell, (other << 32) | (j + (a - least)), side="right")
+        some = end > begin
+        x, hit, full = first_matches(y, who[some], begin[some], (end - begin)[some], (a + b - 2 * least)[some], rank, fold, sketch, wide, most)
+        xs.append(order[x])
+        found.append(order[hit])
+        more.append(full)
     if not found:
         return order[:0], order[:0], np.zeros(0, bool)
-    x, y = np.concatenate(xs), np.concatenate(found)
-    return order[x], order[y], given[y] >= most
+    return np.concatenate(xs), np.concatenate(found), np.concatenate(more)
+
+
+def runs_of(sizes, most):
+    """Slices of neighbours whose sizes add up to ``most``, or one more at the most."""
+    ends = np.cumsum(sizes)
+    cuts = np.searchsorted(ends, np.arange(most, ends[-1], most)) + 1 if len(ends) else []
+    edges = np.unique(np.r_[0, cuts, len(sizes)]).astype(np.int64).tolist()
+    return [slice(a, b) for a, b in zip(edges[:-1], edges[1:])]
+
+
+def first_matches(y, who, begin, size, slack, rank, fold, sketch, wide, most):
+    """The first ``most`` rows for each of ``y`` that are before it and that no sketch rules out: ``(x, y, more)``.
+
+    Range ``i`` of ``size[i]`` rows from ``begin[i]`` on is tried for ``y[who[i]]``, in which ``slack[i]``
+    tokens may differ; a y that has its matches tries no more.
+    """
+    ahead = np.cumsum(size) - size
+    total = np.bincount(who, weights=size, minlength=len(y)).astype(np.int64)
+    start = np.cumsum(total) - total
+    done, given = np.zeros(len(y), dtype=np.int64), np.zeros(len(y), dtype=np.int64)
+    xs, found, tries, left = [], [], TRIES, np.flatnonzero(total)
+    while len(left):
+        for part in runs_of(np.minimum(tries, (total - done)[left]), PAIRS):
+            own = left[part]
+            count = np.minimum(tries, (total - done)[own])
+            of = np.repeat(own, count)
+            at = np.repeat((start + done)[own] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            done[own] += count
+            where = np.searchsorted(ahead, at, side="right") - 1
+            x = begin[where] + at - ahead[where]
+            fit = np.flatnonzero(rank[x] < rank[y[of]])
+            x, of, most_apart = x[fit], of[fit], slack[where[fit]]
+            fit = np.bitwise_count(fold[x] ^ fold[y[of]]) <= most_apart
+            x, of, most_apart = x[fit], of[fit], most_apart[fit]
+            both = np.flatnonzero((wide[x] > 1) & (wide[y[of]] > 1))
+            if len(both):
+                i, k = x[both], y[of[both]]
+                fit = np.ones(len(x), dtype=bool)
+                fit[both] = apart(sketch[i], sketch[k], wide[i], wide[k]) <= most_apart[both]
+                x, of = x[fit], of[fit]
+            if len(of):
+                new = np.r_[True, of[1:] != of[:-1]]
+                nth = np.arange(len(of)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+                fit = given[of] + nth < most
+                x, of = x[fit], of[fit]
+                given += np.bincount(of, minlength=len(y))
+                xs.append(x)
+                found.append(of)
+        left = left[(done[left] < total[left]) & (given[left] < most)]
+        tries *= 4
+    if not found:
+        return y[:0], y[:0], np.zeros(0, bool)
+    of = np.concatenate(found)
+    return np.concatenate(xs), y[of], given[of] >= most
 
 
 def in_filter(bits, keys):
@@ -552,9 +616,9 @@ def matched_lines(df: DataFrame, id="doc_id", text="text", percent=80) -> DataFr
     spark = df.sparkSession
     docs = df.select(F.coalesce(F.col(id).cast("bigint"), F.lit(LAST_ID)).alias("id"), F.xxhash64(text).alias("text_hash"),
                      F.col(text).alias("text")).where("text IS NOT NULL")
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    counts, size = token_counts(docs)
+    counts = Shared(spark, counts)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
-    counts = Shared(spark, token_counts(docs))
     gone, most, wanted, tokens = [], FIRST, None, None
     while True:
         met = _exchange(docs, counts, buckets, percent, tokens).mapInArrow(_meet(percent, most, wanted), FOUND)
