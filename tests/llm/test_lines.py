@@ -113,3 +113,31 @@ def test_hashes_do_not_depend_on_the_run(monkeypatch, run):
     polynomials = [sum(int(W.VALUE[b]) * pow(W.BASE, i, 1 << 64) for i, b in enumerate(word.encode())) & W.MASK for words in plain for word in words]
     short = ends - starts <= W.LONG
     assert np.array_equal(hashes[short], W.mix(np.array(polynomials, dtype=np.uint64))[short])
+
+
+@pytest.mark.parametrize("tries, pairs", [(1, 1), (16, 50)])
+def test_candidates_meet_by_size_and_place_only(monkeypatch, tries, pairs):
+    rnd, percent, tried, plain = np.random.default_rng(9), 80, [], L.first_matches
+    total = 400
+    n = rnd.integers(5, 70, total)
+    sketch = np.where(np.arange(L.WIDEST) < L.width_of(n)[:, None], rnd.integers(0, 8, (total, L.WIDEST)), 0).astype(np.uint64)
+    rows = {"token": rnd.integers(0, 4, total), "place": rnd.integers(0, 6, total) % L.prefix(n, percent), "n": n, "number": np.zeros(total),
+            "check": np.arange(total), "id": rnd.permutation(total), "tag": np.zeros(total)}
+    rows = {name: values.astype(L.TOKEN[name]) for name, values in rows.items()} | {"sketch": sketch}
+    n, place, wide = rows["n"].astype(np.int64), rows["place"].astype(np.int64), L.width_of(n)
+    x, y = (z.ravel() for z in np.meshgrid(np.arange(total), np.arange(total)))
+    own = (rows["token"][x] == rows["token"][y]) & (rows["id"][x] < rows["id"][y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
+    least = L.needed(n[x], n[y], percent)
+    own &= np.minimum(place[x], place[y]) + 1 + np.minimum(n[x] - 1 - place[x], n[y] - 1 - place[y]) >= least
+    fit = own & (L.apart(sketch[x], sketch[y], wide[x], wide[y]) <= n[x] + n[y] - 2 * least)
+    monkeypatch.setattr(L, "TRIES", tries)
+    monkeypatch.setattr(L, "PAIRS", pairs)
+    monkeypatch.setattr(L, "first_matches", lambda y, who, begin, size, *more: tried.append(size.sum()) or plain(y, who, begin, size, *more))
+    expected = set(zip(x[fit].tolist(), y[fit].tolist()))
+    a, b, full = L.candidates(rows, percent, 1 << 40, None)
+    assert len(a) == len(expected) > 50 and set(zip(a.tolist(), b.tolist())) == expected and not full.any()
+    assert sum(tried) == 2 * own.sum() + total  # either way round, and each with itself
+    a, b, full = L.candidates(rows, percent, 2, None)
+    counts = np.bincount(y[fit], minlength=total)
+    assert set(zip(a.tolist(), b.tolist())) <= expected and np.array_equal(np.bincount(b, minlength=total), np.minimum(counts, 2))
+    assert np.array_equal(full, counts[b] >= 2)
