@@ -1,30 +1,36 @@
-"""Removal of repeated byte strings with a hash-compared suffix sort (op 7).
+"""Removal of repeated byte strings with a suffix sort (op 7).
 
 Every string of ``LENGTH`` bytes has an anchor, the place of its least hash of
 ``GRAM`` bytes; equal strings have equal anchors at equal places. Strings that
 follow each other share an anchor, so a text is a row of runs, one per anchor.
 Runs meet by anchor. A run that a smaller document has in full is covered at once.
-Where documents agree around an anchor only in part, the suffixes that begin at
-the strings of those runs are sorted: two suffixes are compared by the prefix
-polynomial hashes of their texts, a binary search for the end of what they share,
-and the next byte. Neighbours that share ``LENGTH`` bytes are compared byte by byte
-against collisions, and the smallest document of each group of equals decides.
+
+Most runs that meet agree in little more than the anchor. A string holds ``LEFT``
+bytes before its anchor or ``RIGHT`` bytes behind it, so a run has two sides: its
+strings of the first kind, and the others. A side is open if different runs of
+different documents have its anchor with those bytes. Open sides meet by anchor and
+bytes, and the suffixes that begin at their strings are sorted, eight bytes at a
+time; those that share their hash of ``LENGTH`` bytes with no other are left out.
+The smallest document of each group of equals decides.
 """
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, free_of, materialise, names_for
-from .lines import _pack, _unpack, in_filter, key_filter
-from .words import Hashes, blocks, mix, stream
+from .common import Shared, forget, free_of, materialise, names_for
+from .lines import _columns_of, _pack, _unpack, in_filter, key_filter
+from .words import Hashes, blocks, free, mix, stream
 
 LENGTH = 50
 GRAM = 18
 SPAN = LENGTH - GRAM + 1
+LEFT = (SPAN - 1) // 2
+RIGHT = SPAN - LEFT
 BUCKET_BYTES = 8 << 20
-FLUSH_BYTES = 4 << 20
-WINDOWS = 1 << 18  # strings that are sorted at once, or one anchor's
+FLUSH_BYTES = 6 << 20
+PIECE = 1 << 16  # bytes that are hashed at once, so that they stay in a processor's own cache
+WINDOWS = 1 << 18  # strings that are sorted at once, or those of one anchor at one place
 LAST_ID = (1 << 63) - 1
 
 _BYTES = stream(6, 256)
@@ -67,19 +73,44 @@ def runs(offsets, data, hashes):
     return np.searchsorted(offsets, start, side="right") - 1, start, size, own[first]
 
 
-RUN = np.dtype([("anchor", "<u4"), ("run", "<u4"), ("shape", "<u4"), ("start", "<u4"), ("id", "<i8"), ("tag", "<u2")])
+RUN = np.dtype([("anchor", "<u4"), ("run", "<u4"), ("shape", "<u4"), ("left", "<u2"), ("right", "<u2"), ("start", "<u4"), ("id", "<i8"), ("tag", "<u2")])
 SPANS = np.dtype([("id", "<i8"), ("tag", "<u2"), ("start", "<u4"), ("end", "<u4")])
 PART = np.dtype([("anchor", "<u4"), ("offset", "u1"), ("size", "u1"), ("start", "<u4"), ("id", "<i8"), ("tag", "<u2")])
 
 
 def run_key(bucket, rows):
-    """Key of a run's content, for the filter."""
+    """Key of a run's content."""
     joint = (rows["anchor"].astype(np.uint64) << np.uint64(32)) | rows["run"]
-    return mix(joint * _K[0] + rows["shape"].astype(np.uint64) * _K[1] + np.asarray(bucket).astype(np.uint64) * _K[2])
+    sides = (rows["left"].astype(np.uint64) << np.uint64(16)) | rows["right"]
+    return mix(mix(joint * _K[0] + rows["shape"].astype(np.uint64) * _K[1] + np.asarray(bucket).astype(np.uint64) * _K[2]) + sides * _K[3])
+
+
+def side_key(bucket, rows, side):
+    """Key of a side's anchor and bytes, for the filter."""
+    joint = (rows["anchor"].astype(np.uint64) << np.uint64(32)) | rows[side]
+    return mix(joint * _K[0] + np.uint64(side == "right") * _K[1] + np.asarray(bucket).astype(np.uint64) * _K[3])
+
+
+def has_side(rows, side):
+    """Whether the runs have strings of the side."""
+    offset = rows["shape"] & np.uint32(255)
+    if side == "left":
+        return offset >= LEFT
+    return (rows["shape"] >> np.uint32(8) & np.uint32(255)) - offset >= GRAM + RIGHT
+
+
+def _pieces(offsets, data):
+    """A block in pieces of whole texts: ``(first, offsets, data)``."""
+    first, n = 0, len(offsets) - 1
+    while first < n:
+        last = int(np.searchsorted(offsets, offsets[first] + PIECE, side="right")) - 1
+        last = min(max(last, first + 1), n)
+        yield first, offsets[first:last + 1] - offsets[first], data[offsets[first]:offsets[last]]
+        first = last
 
 
 def _described(ids, tags, first, offsets, data, hashes, buckets):
-    """The runs of a block as ``RUN`` rows, their buckets, and where they lie in the block."""
+    """The runs of a block as ``RUN`` rows, their buckets, and the places of the runs and anchors in the block."""
     text, start, size, anchor = runs(offsets, data, hashes)
     gram = mix(hashes.of(anchor, anchor + GRAM))
     whole = mix(hashes.of(start, start + size) + size.astype(np.uint64))
@@ -87,7 +118,12 @@ def _described(ids, tags, first, offsets, data, hashes, buckets):
     rows["anchor"], rows["run"] = gram & np.uint64(0xFFFFFFFF), whole & np.uint64(0xFFFFFFFF)
     rows["shape"] = (whole >> np.uint64(48) << np.uint64(16)) | (size.astype(np.uint64) << np.uint64(8)) | (anchor - start).astype(np.uint64)
     rows["start"], rows["id"], rows["tag"] = start - offsets[text], ids[text + first], tags[text + first]
-    return rows, ((gram >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64), start, size
+    # Where a run does not have the side, its bytes are not asked for.
+    rows["left"] = mix(hashes.of(np.maximum(anchor - LEFT, 0), anchor)) & np.uint64(0xFFFF)
+    rows["right"] = mix(hashes.of(anchor + GRAM, np.minimum(anchor + GRAM + RIGHT, len(data)))) & np.uint64(0xFFFF)
+    for side in ("left", "right"):
+        rows[side][~has_side(rows, side)] = 0
+    return rows, ((gram >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64), start, anchor
 
 
 def _edges(values):
@@ -123,13 +159,16 @@ def _send(buckets):
             ids, tags = _columns(batch)
             found, size = [], 0
             for first, offsets, data in blocks(batch.column("text")):
-                found.append(_described(ids, tags, first, offsets, data, hashes_of(data), buckets)[:2])
+                for more, places, own in _pieces(offsets, data):
+                    found.append(_described(ids, tags, first + more, places, own, hashes_of(own), buckets)[:2])
                 size += len(data)
                 if size >= FLUSH_BYTES:
                     yield _sent(found)
                     found, size = [], 0
             if found:
                 yield _sent(found)
+            del found
+            free()
     return send
 
 
@@ -152,6 +191,8 @@ def _by_bucket(work):
                 more.append(other)
         if held is not None:
             yield from work(held, blobs, more)
+        del blobs, more
+        free()
     return run
 
 
@@ -160,33 +201,41 @@ def _doc_bucket(ids, buckets):
 
 
 def _meet(buckets):
-    """Runs that a smaller document has in full are covered; anchors with several runs go on."""
+    """Runs that a smaller document has in full are covered; sides that different runs have go on. Spans go to ``buckets``."""
     def work(bucket, blobs, more):
-        rows = _unpack(blobs, RUN)
+        rows = _columns_of(blobs, RUN)
         joint = (rows["anchor"].astype(np.uint64) << np.uint64(32)) | rows["run"]
-        order = np.lexsort((rows["shape"], joint))
-        rows, joint = rows[order], joint[order]
-        new = np.r_[True, (joint[1:] != joint[:-1]) | (rows["shape"][1:] != rows["shape"][:-1])]
-        first = np.flatnonzero(new)
-        least = np.minimum.reduceat(rows["id"], first)
-        of = np.cumsum(new) - 1
-        covered = rows[rows["id"] > least[of]]
+        rest = (rows["shape"].astype(np.uint64) << np.uint64(32)) | (rows["left"].astype(np.uint64) << np.uint64(16)) | rows["right"]
+        order = np.argsort(joint)
+        alike = joint[order[1:]] == joint[order[:-1]]
+        if (rest[order[1:]] != rest[order[:-1]])[alike].any():
+            order = np.lexsort((rest, joint))
+        joint, rest, ids = joint[order], rest[order], rows["id"][order]
+        first = np.flatnonzero(np.r_[True, (joint[1:] != joint[:-1]) | (rest[1:] != rest[:-1])])
+        least = np.minimum.reduceat(ids, first)
+        covered = order[ids > np.repeat(least, np.diff(np.r_[first, len(ids)]))]
         if len(covered):
             spans = np.empty(len(covered), dtype=SPANS)
             for name in ("id", "tag", "start"):
-                spans[name] = covered[name]
-            spans["end"] = covered["start"] + (covered["shape"] >> np.uint32(8) & np.uint32(255))
+                spans[name] = rows[name][covered]
+            spans["end"] = spans["start"] + (rows["shape"][covered] >> np.uint32(8) & np.uint32(255))
             yield _blobs(COVERED, _doc_bucket(spans["id"], buckets), spans)
-        # Contents of an anchor that has several, with a smaller document among them.
-        reps = rows[first]
-        edges = _edges(reps["anchor"])
-        group = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-        low, high = np.minimum.reduceat(least, edges[:-1]), np.maximum.reduceat(least, edges[:-1])
-        open_runs = reps[low[group] < high[group]]
-        if len(open_runs):
+        # Sides that several contents have, with a smaller document among them.
+        reps, keys = {name: rows[name][order[first]] for name in ("anchor", "shape", "left", "right")}, []
+        for side in ("left", "right"):
+            own = np.flatnonzero(has_side(reps, side))
+            if not len(own):
+                continue
+            joint = (reps["anchor"][own].astype(np.uint64) << np.uint64(16)) | reps[side][own]
+            order = np.argsort(joint)
+            own, edges = own[order], _edges(joint[order])[:-1]
+            is_open = np.minimum.reduceat(least[own], edges) < np.maximum.reduceat(least[own], edges)
+            some = own[edges[is_open]]
+            keys.append(side_key(np.full(len(some), bucket), {name: reps[name][some] for name in ("anchor", side)}, side))
+        keys = np.concatenate(keys) if keys else keys
+        if len(keys):
             import pyarrow as pa
 
-            keys = run_key(np.full(len(open_runs), bucket), open_runs)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([KEYS], pa.int32()), pa.array([bucket], pa.int32()), pa.array([keys.astype("<u8").tobytes()], pa.binary()),
                  pa.array([b""], pa.binary())], names=["kind", "bucket", "blob", "more"])
@@ -198,170 +247,268 @@ def _keys(batches):
 
     for batch in batches:
         for blob in batch.column("blob").to_pylist():
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(blob, dtype="<i8"))], names=["key"])
+            cells = np.concatenate(_probes(np.frombuffer(blob, dtype="<u8")))
+            yield pa.RecordBatch.from_arrays([pa.array(cells.astype("<i8"))], names=["key"])
+
+
+def _probes(keys):
+    return [keys, mix(keys + _K[0]), mix(keys + _K[1])]
+
+
+def probed(bits, keys):
+    """Whether the filter may hold the keys: three cells each."""
+    out = in_filter(bits, keys)
+    held = np.flatnonzero(out)
+    for cells in _probes(keys[held])[1:]:
+        out[held] &= in_filter(bits, cells)
+    return out
+
+
+def _ragged(data, begin, size):
+    """The bytes of all pieces, none much longer than another, one after the other."""
+    if not len(begin):
+        return data[:0]
+    width = int(size.max())
+    wide = np.lib.stride_tricks.sliding_window_view(np.r_[data, np.zeros(width, np.uint8)], width)[begin]
+    return wide[np.arange(width) < size[:, None]]
+
+
+def _open_parts(ids, tags, first, offsets, data, buckets, bits):
+    """The open sides of the runs of a piece: their buckets, ``PART`` rows and bytes; of equal runs those of the smallest document."""
+    hashes = hashes_of(data)
+    rows, bucket, start, anchor = _described(ids, tags, first, offsets, data, hashes, buckets)
+    asked = {side: has_side(rows, side) & probed(bits, side_key(bucket, rows, side)) for side in ("left", "right")}
+    good = np.flatnonzero(asked["left"] | asked["right"])
+    key = run_key(bucket[good], rows[good])
+    order = np.argsort(key, kind="stable")
+    good, edges = good[order], _edges(key[order])
+    if len(good):
+        least = np.repeat(np.minimum.reduceat(rows["id"][good], edges[:-1]), np.diff(edges))
+        good = np.sort(good[rows["id"][good] == least])
+    found = []
+    for side in ("left", "right"):
+        own = good[asked[side][good]]
+        at, run = anchor[own], rows[own]
+        offset = (run["shape"] & np.uint32(255)).astype(np.int64)
+        size = (run["shape"] >> np.uint32(8) & np.uint32(255)).astype(np.int64)
+        if side == "left":
+            context = hashes.of(at - LEFT, at + GRAM)
+            size = np.minimum(offset - LEFT + LENGTH, size)
+        else:
+            context = hashes.of(at, at + GRAM + RIGHT) + _K[3]
+            size = size - np.maximum(offset - LEFT + 1, 0)
+            offset = np.minimum(offset, LEFT - 1)
+        context = mix(context)
+        parts = np.empty(len(own), dtype=PART)
+        parts["anchor"], parts["offset"], parts["size"] = context & np.uint64(0xFFFFFFFF), offset, size
+        parts["start"], parts["id"], parts["tag"] = run["start"] + (at - offset - start[own]).astype(np.uint32), run["id"], run["tag"]
+        found.append((((context >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64), parts, _ragged(data, at - offset, size)))
+    return found
 
 
 def _send_parts(buckets, wanted):
-    """The bytes of the runs that the filter holds; of equal runs in a batch those of the smallest document."""
+    """The bytes of the sides that the filter holds."""
     def send(batches):
         for batch in batches:
             ids, tags = _columns(batch)
+            found, size = [], 0
             for first, offsets, data in blocks(batch.column("text")):
-                if len(data) < LENGTH:
-                    continue
-                rows, bucket, start, size = _described(ids, tags, first, offsets, data, hashes_of(data), buckets)
-                key = run_key(bucket, rows)
-                good = np.flatnonzero(in_filter(wanted.value, key))
-                if not len(good):
-                    continue
-                good = good[np.argsort(key[good], kind="stable")]
-                edges = _edges(key[good])
-                least = np.repeat(np.minimum.reduceat(rows["id"][good], edges[:-1]), np.diff(edges))
-                good = np.sort(good[rows["id"][good] == least])
-                parts = np.empty(len(good), dtype=PART)
-                for name in ("anchor", "start", "id", "tag"):
-                    parts[name] = rows[name][good]
-                parts["offset"], parts["size"] = rows["shape"][good] & np.uint32(255), size[good]
-                raw, begin, end = data.tobytes(), start[good], start[good] + size[good]
-                yield _blobs(SENT, bucket[good], parts, lambda own: b"".join(raw[begin[i]:end[i]] for i in own))
+                for more, places, own in _pieces(offsets, data):
+                    found += [x for x in _open_parts(ids, tags, first + more, places, own, buckets, wanted.value) if len(x[0])]
+                size += len(data)
+                if size >= FLUSH_BYTES:
+                    yield from _sent_parts(found)
+                    found, size = [], 0
+            yield from _sent_parts(found)
+            del found
+            free()
     return send
 
 
+def _sent_parts(found):
+    if not found:
+        return
+    bucket, parts, data = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(bucket, kind="stable")
+    bucket, sorted_parts = bucket[order], parts[order]
+    data = _ragged(data, (np.cumsum(parts["size"], dtype=np.int64) - parts["size"])[order], sorted_parts["size"])
+    ends = np.r_[0, np.cumsum(sorted_parts["size"], dtype=np.int64)]
+    yield _blobs(SENT, bucket, sorted_parts, lambda own: data[ends[own[0]]:ends[own[-1] + 1]].tobytes())
+
+
 class Suffixes:
-    """Suffixes of byte strings, compared by at most ``LENGTH`` bytes."""
+    """Suffixes of byte strings, compared by their first ``LENGTH`` bytes."""
+
+    #: Where the words of eight bytes begin that are compared in turn; the last two overlap.
+    WORDS = [*range(0, LENGTH - 8, 8), LENGTH - 8]
 
     def __init__(self, data, hashes=None):
-        self.data, self.hashes = data, hashes or hashes_of(data)
-
-    def shared(self, a, b):
-        """Bytes that the suffixes at ``a`` and ``b`` share, up to ``LENGTH``: a binary search over hashes."""
-        low, high = np.zeros(len(a), dtype=np.int64), np.full(len(a), LENGTH)
-        while (low < high).any():
-            middle = (low + high + 1) >> 1
-            same = self.hashes.of(a, a + middle) == self.hashes.of(b, b + middle)
-            low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
-        return low
-
-    def compare(self, a, b):
-        """-1, 0 or 1 for each pair."""
-        common = self.shared(a, b)
-        inside = np.minimum(common, LENGTH - 1)
-        left, right = self.data[a + inside].astype(np.int16), self.data[b + inside].astype(np.int16)
-        return np.where(common == LENGTH, 0, np.sign(left - right))
+        self.data, self.hashes, self.windows = np.ascontiguousarray(data), hashes, None
+        # The word at every byte.
+        self.words = np.ndarray((max(len(data) - 7, 0),), dtype=">u8", buffer=self.data, strides=(1,))
+
+    def hash(self, at):
+        """Hashes of the first ``LENGTH`` bytes; found in pieces, as one anchor may have many bytes."""
+        if self.hashes:
+            return self.hashes.of(at, at + LENGTH)
+        if self.windows is None:
+            self.windows = np.empty(len(self.data) - LENGTH + 1, dtype=np.uint64)
+            for a in range(0, len(self.windows), PIECE):
+                own = hashes_of(self.data[a:a + PIECE + LENGTH - 1])
+                n = len(own.sums) - LENGTH
+                self.windows[a:a + PIECE] = own.of(slice(0, n), slice(LENGTH, LENGTH + n))
+        return self.windows[at]
 
     def sort(self, at, edges):
-        """Order of the suffixes ``at`` within each group: a bottom-up mergesort of all groups at once."""
+        """Order of the suffixes ``at`` within each group: all groups at once by a word, then what is still equal by the next."""
         sizes = np.diff(edges)
-        begin = np.repeat(edges[:-1], sizes)
-        end = np.repeat(edges[1:], sizes)
-        order, width, most = np.arange(len(at)), 1, int(sizes.max()) if len(sizes) else 0
-        place = np.arange(len(at))
-        while width < most:
-            pair = begin + (place - begin) // (2 * width) * (2 * width)
-            middle = np.minimum(pair + width, end)
-            left = place < middle
-            low = np.where(left, middle, pair)
-            high = np.where(left, np.minimum(pair + 2 * width, end), middle)
-            other = low.copy()
-            # Of equals the left one comes first.
-            while True:
-                busy = np.flatnonzero(low < high)
-                if not len(busy):
-                    break
-                probe = (low[busy] + high[busy]) >> 1
-                sign = self.compare(at[order[probe]], at[order[busy]])
-                before = np.where(left[busy], sign < 0, sign <= 0)
-                low[busy] = np.where(before, probe + 1, low[busy])
-                high[busy] = np.where(before, high[busy], probe)
-            target = np.where(left, place, place - (middle - pair)) + (low - other)
-            moved = np.empty_like(order)
-            moved[target] = order
-            order, width = moved, 2 * width
+        order, number = np.arange(len(at)), np.repeat(np.arange(len(sizes)), sizes)
+        todo = np.flatnonzero(sizes[number] > 1)
+        number = number[todo]
+        for skip in self.WORDS:
+            if not len(todo):
+                break
+            own = order[todo]
+            word = self.words[at[own] + skip].astype(np.uint64)
+            place = np.lexsort((word, number))
+            order[todo], word = own[place], word[place]
+            new = np.r_[True, (number[1:] != number[:-1]) | (word[1:] != word[:-1])]
+            tied = np.flatnonzero(~new | np.r_[~new[1:], False])
+            todo, number = todo[tied], np.cumsum(new)[tied]
         return order
 
     def equal_groups(self, at, edges):
-        """Number of each suffix's group of equals of ``LENGTH`` bytes within its group, checked byte by byte."""
+        """Number of each suffix's group of equals of ``LENGTH`` bytes within its group."""
         order = self.sort(at, edges)
-        first = np.zeros(len(at), dtype=bool)
-        first[edges[:-1]] = True
-        here = np.flatnonzero(~first)
-        a, b = at[order[here - 1]], at[order[here]]
-        same = self.shared(a, b) == LENGTH
-        span = np.arange(LENGTH)
+        new = np.zeros(len(at), dtype=bool)
+        new[edges[:-1]] = True
+        for skip in self.WORDS:
+            here = np.flatnonzero(~new)
+            new[here] = self.words[at[order[here - 1]] + skip] != self.words[at[order[here]] + skip]
         number = np.empty(len(at), dtype=np.int64)
-        checked = np.zeros(len(same), dtype=bool)
-        for k in range(0, len(here), 1 << 16):
-            sure = np.flatnonzero(same[k:k + (1 << 16)]) + k
-            checked[sure] = (self.data[a[sure][:, None] + span] == self.data[b[sure][:, None] + span]).all(axis=1)
-        if (checked != same).any():  # a collision: the bytes themselves decide
-            group = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-            whole = np.ascontiguousarray(self.data[at[:, None] + span]).view(f"S{LENGTH}").ravel()
-            return np.unique(np.rec.fromarrays([group, whole]), return_inverse=True)[1]
-        new = np.ones(len(at), dtype=bool)
-        new[here] = ~same
         number[order] = np.cumsum(new) - 1
         return number
 
+    def repeated(self, at):
+        """Numbers of the suffixes that share their hash with another."""
+        value = self.hash(at)
+        order = np.argsort(value)
+        edges = _edges(value[order])
+        return np.sort(order[np.repeat(np.diff(edges) > 1, np.diff(edges))])
+
 
 def _resolve(buckets):
-    """Strings of the open runs that a smaller document has too."""
+    """Strings of the open sides that a smaller document has too. Spans go to ``buckets``."""
     def work(bucket, blobs, more):
         rows = _unpack(blobs, PART)
         data = np.frombuffer(b"".join(more), dtype=np.uint8)
         base = np.cumsum(rows["size"], dtype=np.int64) - rows["size"]
         order = np.argsort(rows["anchor"], kind="stable")
         rows, base = rows[order], base[order]
+        # An anchor with rows of one document only has nothing to find.
+        edges = _edges(rows["anchor"])
+        several = np.minimum.reduceat(rows["id"], edges[:-1]) < np.maximum.reduceat(rows["id"], edges[:-1])
+        good = np.repeat(several, np.diff(edges))
+        rows, base = rows[good], base[good]
         # Anchors in turn, so many that their strings fit.
         strings = np.cumsum(rows["size"].astype(np.int64) - LENGTH + 1)
-        edges, low = _edges(rows["anchor"]), 0
+        edges, low, found = _edges(rows["anchor"]), 0, []
         while low < len(rows):
             done = strings[low - 1] if low else 0
             high = edges[max(np.searchsorted(strings[edges[1:] - 1], done + WINDOWS, side="right"), np.searchsorted(edges, low, side="right"))]
+            own = _ragged(data, base[low:high], rows["size"][low:high])
             size = rows["size"][low:high].astype(np.int64)
-            start = np.cumsum(size) - size
-            own = data[np.repeat(base[low:high] - start, size) + np.arange(size.sum())]
-            spans = _spans(rows[low:high], own, start)
-            if len(spans):
-                yield _blobs(COVERED, _doc_bucket(spans["id"], buckets), spans)
+            found.append(_spans(rows[low:high], own, np.cumsum(size) - size))
             low = high
+        spans = np.concatenate(found) if found else np.zeros(0, dtype=SPANS)
+        if len(spans):
+            yield _blobs(COVERED, _doc_bucket(spans["id"], buckets), spans)
     return _by_bucket(work)
 
 
+def _classes(rows, data, base, suffixes):
+    """Order of the rows by anchor, offset, content and document, and which of them begin a class of equals."""
+    size = rows["size"].astype(np.int64)
+    content = mix(suffixes.hash(base) * _K[0] + suffixes.hash(base + size - LENGTH) + size.astype(np.uint64) * _K[1])
+
+    def by(content):
+        order = np.lexsort((rows["id"], rows["offset"], content, rows["anchor"]))
+        new = np.ones(len(rows), dtype=bool)
+        for values in (rows["anchor"], content, rows["offset"]):
+            new[1:] &= values[order[1:]] == values[order[:-1]]
+        new[1:] = ~new[1:]
+        return order, new
+
+    order, new = by(content)
+    later = np.flatnonzero(~new)
+    a, b = order[later - 1], order[later]
+    if (size[a] != size[b]).any() or (_ragged(data, base[a], size[a]) != _ragged(data, base[b], size[b])).any():
+        # A collision: the bytes themselves decide.
+        raw, numbers = data.tobytes(), {}
+        content = np.array([numbers.setdefault(raw[i:i + n], len(numbers)) for i, n in zip(base.tolist(), size.tolist())], dtype=np.int64)
+        order, new = by(content)
+    return order, new
+
+
+def _as_spans(rows, start, end):
+    spans = np.empty(len(rows), dtype=SPANS)
+    spans["id"], spans["tag"], spans["start"], spans["end"] = rows["id"], rows["tag"], rows["start"] + start, rows["start"] + end
+    return spans
+
+
 def _spans(rows, data, base):
-    """What smaller documents have of the runs ``rows``, whose bytes begin at ``base`` in ``data``."""
-    hashes = hashes_of(data)
-    content = mix(hashes.of(base, base + rows["size"]) + rows["size"].astype(np.uint64))
-    order = np.lexsort((rows["id"], rows["offset"], content, rows["anchor"]))
-    rows, base, content = rows[order], base[order], content[order]
-    new = np.r_[True, (rows["anchor"][1:] != rows["anchor"][:-1]) | (content[1:] != content[:-1]) | (rows["offset"][1:] != rows["offset"][:-1])]
+    """What smaller documents have of the sides ``rows``, whose bytes begin at ``base`` in ``data``."""
+    suffixes = Suffixes(data)
+    order, new = _classes(rows, data, base, suffixes)
+    rows, base = rows[order], base[order]
     first, of = np.flatnonzero(new), np.cumsum(new) - 1
     least = rows["id"][first]
-    count = rows["size"][first].astype(np.int64) - LENGTH + 1
-    cls = np.repeat(np.arange(len(first)), count)
-    step = np.arange(len(cls)) - np.repeat(np.cumsum(count) - count, count)
-    offset = rows["offset"][first][cls].astype(np.int64) - step
-    anchor = rows["anchor"][first][cls]
-    order = np.lexsort((offset, anchor))
-    offset, anchor = offset[order], anchor[order]
-    edges = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (offset[1:] != offset[:-1]), True])
-    number = Suffixes(data, hashes).equal_groups(base[first][cls[order]] + step[order], edges)
-    smallest = np.full(number.max() + 1, LAST_ID)
-    np.minimum.at(smallest, number, least[cls[order]])
-    hit = np.zeros(len(cls), dtype=bool)
-    hit[order] = smallest[number] < least[cls[order]]
+    covered = rows[rows["id"] > least[of]]
+    found = [_as_spans(covered, np.zeros(len(covered), dtype=np.uint32), covered["size"])]
+    count, offset, anchor = rows["size"][first].astype(np.int64) - LENGTH + 1, rows["offset"][first].astype(np.int64), rows["anchor"][first]
+    # Classes that meet another one with another smallest document.
+    edges = _edges(anchor)
+    mixed = np.minimum.reduceat(least, edges[:-1]) < np.maximum.reduceat(least, edges[:-1])
+    live = np.flatnonzero(np.repeat(mixed, np.diff(edges)))
+    # Strings that are equal lie at one place to the anchor: so many places at once that their strings fit.
+    hits, high = [], SPAN
+    while high and len(live):
+        low = max(0, high - max(1, WINDOWS // len(live)))
+        begin, end = np.maximum(offset[live] - high + 1, 0), np.minimum(offset[live] - low + 1, count[live])
+        hits.append(_repeats(suffixes, live, begin, np.maximum(end - begin, 0), anchor, offset, base[first], least))
+        high = low
+    c, at = (np.concatenate(x) for x in zip(*hits)) if hits else (np.zeros(0, np.int64),) * 2
+    order = np.lexsort((at, c))
+    c, at = c[order], at[order]
     # Strings in a row make one span, for every place of the class in its smallest document.
-    at_hit = np.flatnonzero(hit)
-    begin = np.flatnonzero(np.r_[True, (np.diff(at_hit) != 1) | (cls[at_hit][1:] != cls[at_hit][:-1])][:len(at_hit)])
-    finish = np.r_[begin[1:] - 1, len(at_hit) - 1][:len(begin)]
-    c, low, high = cls[at_hit[begin]], step[at_hit[begin]], step[at_hit[finish]] + LENGTH
+    begin = np.flatnonzero(np.r_[True, (at[1:] != at[:-1] + 1) | (c[1:] != c[:-1])][:len(at)])
+    finish = np.r_[begin[1:] - 1, len(at) - 1][:len(begin)]
+    c, low, high = c[begin], at[begin], at[finish] + LENGTH
     targets = np.flatnonzero(rows["id"] == least[of])
     lo, hi = np.searchsorted(of[targets], c), np.searchsorted(of[targets], c, side="right")
     span = np.repeat(np.arange(len(c)), hi - lo)
     row = targets[np.arange(len(span)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[span]]
-    spans = np.empty(len(span), dtype=SPANS)
-    spans["id"], spans["tag"] = rows["id"][row], rows["tag"][row]
-    spans["start"], spans["end"] = rows["start"][row] + low[span], rows["start"][row] + high[span]
-    return spans
+    found.append(_as_spans(rows[row], low[span].astype(np.uint32), high[span].astype(np.uint32)))
+    return np.concatenate(found)
+
+
+def _repeats(suffixes, classes, begin, count, anchor, offset, base, least):
+    """Strings ``(class, step)`` that a smaller document has, of ``count`` strings of each class from the step ``begin`` on."""
+    c = np.repeat(classes, count)
+    step = np.arange(len(c)) - np.repeat(np.cumsum(count) - count - begin, count)
+    some = suffixes.repeated(base[c] + step)
+    c, step = c[some], step[some]
+    place = offset[c] - step
+    order = np.lexsort((place, anchor[c]))
+    c, step, place = c[order], step[order], place[order]
+    if not len(c):
+        return c, step
+    edges = np.flatnonzero(np.r_[True, (anchor[c[1:]] != anchor[c[:-1]]) | (place[1:] != place[:-1]), True])
+    number = suffixes.equal_groups(base[c] + step, edges)
+    smallest = np.full(number.max() + 1, LAST_ID)
+    np.minimum.at(smallest, number, least[c])
+    hit = smallest[number] < least[c]
+    return c[hit], step[hit]
 
 
 def _merge(bucket, blobs, more):
@@ -395,15 +542,18 @@ def repeated_spans(df: DataFrame, id="doc_id", text="text") -> DataFrame:
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
 
-    def dealt(frame):
-        return frame.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    # A document's spans are few beside its bytes, and every bucket writes to every one of theirs.
+    held = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (4 * BUCKET_BYTES)))
+
+    def dealt(frame, n=buckets):
+        return frame.repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket")
 
-    met = materialise(dealt(docs.mapInArrow(_send(buckets), BLOBS)).mapInArrow(_meet(buckets), BLOBS), "runs")
+    met = materialise(dealt(docs.mapInArrow(_send(buckets), BLOBS)).mapInArrow(_meet(held), BLOBS), "runs")
     keys = met.where(F.col("kind") == KEYS).select("blob").mapInArrow(_keys, "key bigint")
     wanted = Shared(spark, key_filter(keys, "key"))
-    parts = dealt(docs.mapInArrow(_send_parts(buckets, wanted), BLOBS)).mapInArrow(_resolve(buckets), BLOBS)
+    parts = dealt(docs.mapInArrow(_send_parts(buckets, wanted), BLOBS)).mapInArrow(_resolve(held), BLOBS)
     spans = met.where(F.col("kind") == COVERED).union(parts)
-    return dealt(spans).mapInArrow(_by_bucket(_merge), "id bigint, tag int, starts array<bigint>, ends array<bigint>")
+    return dealt(spans, held).mapInArrow(_by_bucket(_merge), "id bigint, tag int, starts array<bigint>, ends array<bigint>")
 
 
 def _tag(text):
@@ -436,6 +586,9 @@ def remove_repeats(df: DataFrame, id="doc_id", text="text") -> DataFrame:
     def cut(texts, begins, stops):
         import pandas as pd
 
+        # The workers of earlier stages go on with this one.
+        forget()
+        free()
         out = []
         for value, begin, stop in zip(texts, begins, stops):
             raw = (value or "").encode()
